@@ -61,7 +61,8 @@ _FIRST_EVENT = (
 
 def first_event_fields(text: Column) -> Column:
     """Signature, type, first account and first mint of an array payload's first element."""
-    event = F.try_element_at(F.from_json(text, _FIRST_EVENT), F.lit(1))
+    events = F.when(F.ltrim(text).startswith("["), F.from_json(text, _FIRST_EVENT))
+    event = F.try_element_at(events, F.lit(1))
     return F.struct(
         event["signature"].alias("signature"),
         F.coalesce(event["type"], F.lit("UNKNOWN")).alias("type"),

@@ -186,11 +186,9 @@ def payload_state(payload: Column) -> Column:
 
 def notifications(payloads: DataFrame) -> DataFrame:
     """One row per transaction in a valid payload, which may be one object or an array of them."""
-    valid = payloads.filter(payload_state(F.col("payload")) == "valid")
-    text = F.trim("payload")
-    listed = F.when(text.startswith("["), F.from_json(text, f"array<{_NOTE}>"))
-    single = F.when(text.startswith("{"), F.array(F.from_json(text, _NOTE)))
-    return valid.select(*payloads.columns, F.explode(F.coalesce(listed, single)).alias("tx")).filter("tx is not null")
+    listed = F.from_json(F.trim("payload"), f"array<{_NOTE}>")  # a single object is read as an array of one
+    rows = payloads.filter(F.col("payload").isNotNull()).select(*payloads.columns, F.explode(listed).alias("tx"))
+    return rows.filter(F.col("tx").isNotNull())
 
 
 def payload_quality(payloads: DataFrame) -> DataFrame:
@@ -209,8 +207,10 @@ def payload_profile(payloads: DataFrame) -> DataFrame:
     def lines(kind: str, values: Column) -> Column:
         return F.transform(values, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
 
+    none = F.array().cast("array<string>")
+
     def gathered(*parts: Column) -> Column:
-        return F.flatten(F.array(*[F.coalesce(p, F.array().cast("array<string>")) for p in parts]))
+        return F.concat(*[F.coalesce(p, none) for p in parts])
 
     transfers, accounts = tx["tokenTransfers"], tx["accountData"]
     changed = F.flatten(F.transform(accounts["tokenBalanceChanges"], lambda c: c["mint"]))
@@ -219,7 +219,7 @@ def payload_profile(payloads: DataFrame) -> DataFrame:
         lines("source", F.array(F.coalesce(tx["source"], F.lit("UNKNOWN")))),
         lines("mint", gathered(transfers["mint"], changed)),
         lines("address", gathered(transfers["fromUserAccount"], transfers["toUserAccount"], accounts["account"])),
-        lines("swapped", F.when(tx["type"] == "SWAP", gathered(tx["events"]["swap"]["tokenInputs"]["mint"])).otherwise(gathered())),
+        lines("swapped", F.when(tx["type"] == "SWAP", gathered(tx["events"]["swap"]["tokenInputs"]["mint"])).otherwise(none)),
     )
     values = notifications(payloads).select(F.inline(everything)).filter(F.col("value").isNotNull())
     return values.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("occurrences"))

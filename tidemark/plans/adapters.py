@@ -1,7 +1,8 @@
 """Domain tables derived from the given star-schema and event tables.
 
-Prices are put on a 1/64 grid: products and sums of such numbers are exact in
-double arithmetic, so results do not depend on the order of summation.
+Prices and scores are put on a grid of 2^-20: products with whole quantities and
+sums of them are exact in double arithmetic, so results do not depend on the
+order of summation.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TICK = 64
+TICK = 2**20
 VENUE_NAMES = ("Raydium", "Orca", "Jupiter", "Serum", "Saber")
 
 
@@ -63,18 +64,18 @@ def order_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         parts, F.col("l_partkey") == F.col("p_partkey")
     )
     price = on_tick(F.col("l_extendedprice") * (1 - F.col("l_discount")) / F.col("l_quantity"))
-    discount, tax = F.round(F.col("l_discount") * 100), F.round(F.col("l_tax") * 100)
+    line = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     return joined.select(
         F.col("o_custkey").alias("wallet_address"),
         F.col("p_brand").alias("token_address"),
         F.col("p_brand").alias("token_symbol"),
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("trade_id"),
+        line.alias("trade_id"),
         F.col("l_shipdate").alias("trade_time"),
         F.when(F.col("l_returnflag") == "R", "SELL").otherwise("BUY").alias("side"),
         F.col("l_quantity").alias("quantity"),
         (F.col("l_quantity") * price).alias("usd"),
-        ((128 - discount * 3) / 128).alias("trade_efficiency_score"),
-        ((128 - tax * 4) / 128).alias("timing_score"),
+        ((TICK - line * 7919 % 330_000) / TICK).alias("trade_efficiency_score"),
+        ((TICK - line * 104_729 % 450_000) / TICK).alias("timing_score"),
     )
 
 

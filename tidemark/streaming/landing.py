@@ -50,11 +50,19 @@ def with_partitions(df: DataFrame, moment: Column) -> DataFrame:
     )
 
 
-def land(stream: DataFrame, path: str, checkpoint: str, every: str | None = "10 seconds") -> StreamingQuery:
-    """Append to Parquet by date and hour; ``every=None`` handles what is there and stops."""
+def land(
+    stream: DataFrame, path: str, checkpoint: str, every: str | None = "10 seconds", spread: int = 4
+) -> StreamingQuery:
+    """Append to Parquet by date and hour; ``every=None`` handles what is there and stops.
+
+    Rows of one hour are gathered in ``spread`` tasks, so a batch writes few files
+    and a crowded hour is still shared by several tasks.
+    """
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
+    share = F.pmod(F.xxhash64(*stream.columns), F.lit(spread))
+    gathered = stream.repartition("processing_date", "processing_hour", share)
     return (
-        stream.writeStream.format("parquet")
+        gathered.writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
