@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.ordered import scan
+from tidemark.operators.ordered import find_hot_groups, scan
 from tidemark.operators.relational import symmetric_difference
 
 
@@ -99,7 +99,8 @@ def sequential_values(
     """Values that do not follow the previous one by exactly ``interval``."""
     previous = f"previous_{column}"
     rows = df.select(*group_by, column).filter(F.col(column).isNotNull())
-    paired = scan(rows, list(group_by), [column], preceding={previous: F.col(column)})
+    hot = find_hot_groups(rows, list(group_by)) if group_by else None
+    paired = scan(rows, list(group_by), [column], preceding={previous: F.col(column)}, hot=hot)
     if datepart:
         expected = F.timestamp_add(datepart.upper(), F.lit(interval), F.col(previous)).cast("timestamp_ntz")
         return paired.filter(F.col(column).cast("timestamp_ntz") != expected)
@@ -125,6 +126,7 @@ def mutually_exclusive_ranges(
         list(partition_by),
         ["lower_bound", "upper_bound"],
         following={"next_lower_bound": F.col("lower_bound"), "__has_next": F.lit(True)},
+        hot=find_hot_groups(rows, list(partition_by)) if partition_by else None,
     )
     low, high, ahead = F.col("lower_bound"), F.col("upper_bound"), F.col("next_lower_bound")
     ordered = F.coalesce((low <= high) if zero_length else (low < high), F.lit(False))
@@ -171,12 +173,13 @@ def equality_failures(differences: DataFrame) -> DataFrame:
 
 
 def _paired_counts(a: DataFrame, b: DataFrame, group_by: Sequence[str]) -> DataFrame:
-    left = _named(a.groupBy(*group_by).agg(_rows().alias("count_a")), group_by, "a").withColumn("__one_a", F.lit(1))
-    right = _named(b.groupBy(*group_by).agg(_rows().alias("count_b")), group_by, "b").withColumn("__one_b", F.lit(1))
-    same = reduce(
-        lambda x, y: x & y, [F.col(f"{c}_a") == F.col(f"{c}_b") for c in group_by], F.col("__one_a") == F.col("__one_b")
-    )
-    return left.join(right, same, "full").drop("__one_a", "__one_b")
+    if not group_by:
+        marked = a.select(F.lit(True).alias("of_a")).unionByName(b.select(F.lit(False).alias("of_a")))
+        return marked.agg(F.count_if("of_a").alias("count_a"), F.count_if(~F.col("of_a")).alias("count_b"))
+    left = _named(a.groupBy(*group_by).agg(_rows().alias("count_a")), group_by, "a")
+    right = _named(b.groupBy(*group_by).agg(_rows().alias("count_b")), group_by, "b")
+    same = reduce(lambda x, y: x & y, [F.col(f"{c}_a") == F.col(f"{c}_b") for c in group_by])
+    return left.join(right, same, "full")
 
 
 def row_counts_compared(a: DataFrame, b: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
@@ -262,15 +265,23 @@ PROFILES = {
 
 
 def validate(df: DataFrame, profile: TableProfile) -> DataFrame:
-    """Failure counts of a profile: columns, nulls, key uniqueness, rules and size, in one result."""
+    """Failure counts of a profile: columns, nulls, key uniqueness, rules and size.
+
+    Everything that looks at single rows is counted in one pass over the table.
+    """
     present = [c for c in profile.required if c in df.columns]
-    tests = {"columns": columns_match(df.select(*present), profile.required)}
-    tests |= {f"not_null_{c}": not_null(df, c) for c in present}
+    wrong_columns = len(set(profile.required) - set(present))
+    failing = {f"not_null_{c}": F.col(c).isNull() for c in present}
+    failing |= {name: ~F.expr(rule) for name, rule in profile.rules.items()}
+    counts = {name: F.count_if(test) for name, test in failing.items()}
+    counts["columns"] = F.lit(wrong_columns).cast("bigint")
+    counts["row_count"] = F.when(_rows() < profile.min_rows, 1).otherwise(0).cast("bigint")
+    totals = df.agg(*[c.alias(n) for n, c in counts.items()])
+    lines = [F.struct(F.lit(n).alias("test"), F.col(n).alias("failures")) for n in counts]
+    results = totals.select(F.inline(F.array(*lines)))
     if profile.keys:
-        tests["unique_key"] = unique_combination(df, profile.keys)
-    tests |= {name: expression_is_true(df, rule) for name, rule in profile.rules.items()}
-    tests["row_count"] = df.agg(_rows().alias("n")).filter(F.col("n") < profile.min_rows)
-    return run_suite(tests)
+        results = results.unionByName(run_suite({"unique_key": unique_combination(df, profile.keys)}))
+    return results
 
 
 def rank_gaps(df: DataFrame, rank: str, score: str) -> DataFrame:

@@ -186,9 +186,10 @@ def payload_state(payload: Column) -> Column:
 
 def notifications(payloads: DataFrame) -> DataFrame:
     """One row per transaction in a valid payload, which may be one object or an array of them."""
-    listed = F.from_json(F.trim("payload"), f"array<{_NOTE}>")  # a single object is read as an array of one
-    rows = payloads.filter(F.col("payload").isNotNull()).select(*payloads.columns, F.explode(listed).alias("tx"))
-    return rows.filter(F.col("tx").isNotNull())
+    # A single object is read as an array of one.  The outer form and the filter
+    # afterwards keep Spark from parsing again for a filter of its own.
+    listed = F.from_json(F.trim("payload"), f"array<{_NOTE}>")
+    return payloads.select(*payloads.columns, F.explode_outer(listed).alias("tx")).filter(F.col("tx").isNotNull())
 
 
 def payload_quality(payloads: DataFrame) -> DataFrame:
@@ -313,28 +314,29 @@ def venue_ranking(pairs: DataFrame, keep: int = 3) -> DataFrame:
     return head.withColumn("share", F.try_divide(F.col("swaps"), F.lit(total)))
 
 
-def _main_source(keys: list[str], rows: DataFrame) -> DataFrame:
-    counted = rows.groupBy(*keys, "source").agg(F.count(F.lit(1)).alias("n"))
-    return counted.groupBy(*keys).agg(
-        F.min_by("source", F.struct((-F.col("n")).alias("n"), F.col("source"))).alias("main_dex")
+def _sides(pairs: DataFrame) -> DataFrame:
+    """Two rows per paired swap: its first and its second token."""
+    return pairs.filter(F.col("from_token").isNotNull()).select(
+        "trader", "source", "from_token", "from_amount", "to_token", "to_amount",
+        F.posexplode_outer(F.array("from_token", "to_token")).alias("side", "token"),
     )
 
 
+def _usual_source() -> Column:
+    """Most frequent venue, the first by name among equals.  Venues are few, so the counts stay small."""
+    return F.mode("source", deterministic=True)
+
+
 def token_activity(pairs: DataFrame) -> DataFrame:
-    """Swaps, traders, reference volume and main venue of every swapped token."""
-    sides = pairs.filter(F.col("from_token").isNotNull()).select(
-        "trader", "source", "from_token", "from_amount", "to_token", "to_amount",
-        F.explode(F.array("from_token", "to_token")).alias("token"),
-    )
-    sides = sides.filter(F.col("token") != "")
+    """Swaps, traders, reference volume and main venue of every swapped token, in one pass."""
     units = F.when(F.col("token") == S.REFERENCE_MINT, _reference_units()).otherwise(0.0)
-    tokens = sides.groupBy("token").agg(
+    tokens = _sides(pairs).filter(F.col("token") != "").groupBy("token").agg(
         F.count(F.lit(1)).alias("swap_count"),
         F.count_distinct("trader").alias("unique_traders"),
         F.sum(units).alias("total_volume_sol"),
+        _usual_source().alias("primary_dex"),
     )
-    named = tokens.join(_main_source(["token"], sides), "token").withColumnRenamed("main_dex", "primary_dex")
-    return named.withColumns(
+    return tokens.withColumns(
         {
             "symbol": C.mint_symbol(F.col("token")),
             "avg_swap_size": F.try_divide("total_volume_sol", "swap_count"),
@@ -349,20 +351,15 @@ def hot_tokens(pairs: DataFrame, keep: int = 20) -> DataFrame:
 
 def trader_activity(pairs: DataFrame, keep: int = 10) -> DataFrame:
     """The busiest traders with tokens, reference volume, preferred venue and a whale flag."""
-    rows = pairs.filter(F.col("trader") != "")
-    per_trader = rows.groupBy("trader").agg(
-        F.count(F.lit(1)).alias("swap_count"), F.sum(_reference_units()).alias("total_volume")
-    )
-    tokens = (
-        rows.select("trader", F.explode(F.array("from_token", "to_token")).alias("token"))
-        .groupBy("trader")
-        .agg(F.count_distinct("token").alias("tokens_traded"))
-    )
-    head = top_n(per_trader, [F.desc("swap_count"), F.desc("total_volume"), F.asc("trader")], keep, "place")
-    whole = head.join(tokens, "trader").join(_main_source(["trader"], rows), "trader")
-    return whole.withColumnRenamed("main_dex", "preferred_dex").withColumn(
-        "potential_whale", F.col("total_volume") > S.WHALE_TRADER_UNITS
+    first = F.col("side") == 0
+    traders = _sides(pairs).filter(F.col("trader") != "").groupBy("trader").agg(
+        F.count_if(first).alias("swap_count"),
+        F.sum(F.when(first, _reference_units()).otherwise(0.0)).alias("total_volume"),
+        F.count_distinct("token").alias("tokens_traded"),
+        _usual_source().alias("preferred_dex"),
     )
+    head = top_n(traders, [F.desc("swap_count"), F.desc("total_volume"), F.asc("trader")], keep, "place")
+    return head.withColumn("potential_whale", F.col("total_volume") > S.WHALE_TRADER_UNITS)
 
 
 def meme_transfers(payloads: DataFrame) -> DataFrame:
@@ -376,7 +373,7 @@ def meme_transfers(payloads: DataFrame) -> DataFrame:
         F.coalesce(on_venue, F.lit(False)).alias("on_meme_venue"),
         F.col("tx.timestamp").alias("swap_time"),
         F.try_element_at("tx.tokenTransfers", F.lit(1))["fromUserAccount"].alias("trader"),
-        F.posexplode("tx.tokenTransfers").alias("place", "t"),
+        F.posexplode_outer("tx.tokenTransfers").alias("place", "t"),
     )
     return rows.select(
         "message_id", "on_meme_venue", "swap_time", "trader", "place",

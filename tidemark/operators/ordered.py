@@ -25,6 +25,8 @@ HOT_GROUP_ROWS = 2_000_000
 
 _PART = "__part"
 _SLOT = "__slot"
+_ROWS = "__rows_here"
+_BEFORE = "__rows_before"
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -50,15 +52,10 @@ def find_hot_groups(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_GROU
     return spark.createDataFrame(rows, largest.schema) if rows else None
 
 
-def part_hot_groups(
-    df: DataFrame, keys: Sequence[str], min_rows: int = HOT_GROUP_ROWS
-) -> tuple[DataFrame, DataFrame | None]:
-    """``df`` without its hot groups, and the rows of the hot groups if there are any."""
-    hot = find_hot_groups(df, keys, min_rows)
-    if hot is None:
-        return df, None
-    small = F.broadcast(hot)
-    return df.join(small, _same(df, hot, keys), "left_anti"), df.join(small, _same(df, hot, keys), "left_semi")
+def part_hot_groups(df: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows outside and the rows inside the hot groups."""
+    small, same = F.broadcast(hot), _same(df, hot, hot.columns)
+    return df.join(small, same, "left_anti"), df.join(small, same, "left_semi")
 
 
 def scan(
@@ -71,7 +68,7 @@ def scan(
     following: Mapping[str, Column] | None = None,
     preceding: Mapping[str, Column] | None = None,
     position: str | None = None,
-    min_hot_rows: int = HOT_GROUP_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add running columns per group, rows taken in ascending ``order``.
 
@@ -79,14 +76,16 @@ def scan(
     ``order`` must be unique inside a group.  ``sums`` are running totals up to
     and including the row, ``carry`` the last non-null value so far, ``following``
     and ``preceding`` the neighbouring row's value, ``position`` the 1-based index.
+    ``hot`` lists the groups to cut in parts, by all or some of the keys, as found
+    by ``find_hot_groups``.
     """
     plan = _ScanColumns(keys, order, sums or {}, carry or {}, following or {}, preceding or {}, position)
     if not keys:
         return plan.split(df)
-    cold, hot = part_hot_groups(df, keys, min_hot_rows)
     if hot is None:
-        return plan.plain(cold)
-    return plan.plain(cold).unionByName(plan.split(hot))
+        return plan.plain(df)
+    cold_rows, hot_rows = part_hot_groups(df, hot)
+    return plan.plain(cold_rows).unionByName(plan.split(hot_rows))
 
 
 class _ScanColumns:
@@ -123,14 +122,14 @@ class _ScanColumns:
         inner = Window.partitionBy(*self.keys, _PART).orderBy(*self.order)
         rows = ranged.withColumns(self._inside(inner) | {_SLOT: F.row_number().over(inner).cast("bigint")})
         joined = rows.join(F.broadcast(edges), _same(rows, edges, [*self.keys, _PART])).select(
-            *[rows[c] for c in rows.columns], *[c for c in edges.columns if c.startswith("__e_")]
+            *[rows[c] for c in rows.columns], *[edges[c] for c in edges.columns if c not in (*self.keys, _PART)]
         )
         return joined.select(*names, *[c.alias(n) for n, c in self._stitched().items()])
 
     def _edges(self, ranged: DataFrame) -> DataFrame:
         """One row per (group, part); range partitioning keeps this below groups + parts rows."""
         at = F.struct(*self.order)
-        per_part = [F.count(F.lit(1)).alias("__e_rows")]
+        per_part = [F.count(F.lit(1)).alias(_ROWS)]
         per_part += [F.sum(x).alias(f"__p_{n}") for n, x in self.sums.items()]
         per_part += [F.max_by(x, F.when(x.isNotNull(), at)).alias(f"__p_{n}") for n, x in self.carry.items()]
         per_part += [F.min_by(x, at).alias(f"__p_{n}") for n, x in self.following.items()]
@@ -138,12 +137,12 @@ class _ScanColumns:
         parts = ranged.groupBy(*self.keys, _PART).agg(*per_part)
         across = Window.partitionBy(*self.keys).orderBy(_PART)
         before = across.rowsBetween(Window.unboundedPreceding, -1)
-        out = {"__e_before": F.sum("__e_rows").over(before)}
+        out = {_BEFORE: F.sum(_ROWS).over(before)}
         out |= {f"__e_{n}": F.sum(f"__p_{n}").over(before) for n in self.sums}
         out |= {f"__e_{n}": F.last(f"__p_{n}", ignorenulls=True).over(before) for n in self.carry}
         out |= {f"__e_{n}": F.lead(f"__p_{n}").over(across) for n in self.following}
         out |= {f"__e_{n}": F.lag(f"__p_{n}").over(across) for n in self.preceding}
-        return parts.withColumns(out).select(*self.keys, _PART, "__e_rows", *out)
+        return parts.withColumns(out).select(*self.keys, _PART, _ROWS, *out)
 
     def _stitched(self) -> dict[str, Column]:
         def edge(name: str) -> Column:
@@ -153,11 +152,11 @@ class _ScanColumns:
         for n in self.sums:
             out[n] = F.when(F.col(n).isNull(), edge(n)).otherwise(F.col(n) + F.coalesce(edge(n), F.lit(0)))
         out |= {n: F.coalesce(F.col(n), edge(n)) for n in self.carry}
-        last_of_part = F.col(_SLOT) == F.col("__e_rows")
+        last_of_part = F.col(_SLOT) == F.col(_ROWS)
         out |= {n: F.when(last_of_part, edge(n)).otherwise(F.col(n)) for n in self.following}
         out |= {n: F.when(F.col(_SLOT) == 1, edge(n)).otherwise(F.col(n)) for n in self.preceding}
         if self.position:
-            out[self.position] = F.col(_SLOT) + F.coalesce(edge("before"), F.lit(0))
+            out[self.position] = F.col(_SLOT) + F.coalesce(F.col(_BEFORE), F.lit(0))
         return out
 
 
@@ -169,11 +168,8 @@ def global_position(df: DataFrame, order: Sequence[Column | str], name: str) ->
     """
     spark = df.sparkSession
     columns = df.columns
-    numbered = cut_lineage(
-        df.repartitionByRange(parallelism(spark), *order)
-        .sortWithinPartitions(*order)
-        .withColumn("__id", F.monotonically_increasing_id())
-    )
+    ranged = df.repartitionByRange(parallelism(spark), *order).sortWithinPartitions(*order)
+    numbered = cut_lineage(ranged.withColumn("__id", F.monotonically_increasing_id()))
     # The generated id holds the partition number above bit 33 and the row slot below it.
     part, slot = F.shiftrightunsigned("__id", 33), F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = numbered.groupBy(part.alias(_PART)).agg(F.count(F.lit(1)).alias("n")).collect()
@@ -196,37 +192,17 @@ def row_number_in(df: DataFrame, groups: Sequence[str], order: Sequence[Column |
     return joined.select(*[F.col(f"r.{c}") for c in df.columns], (F.col("__pos") - F.col("__start")).alias(name))
 
 
-def percent_rank_by(df: DataFrame, column: str, name: str) -> DataFrame:
-    """``percent_rank`` over the whole frame, ascending by ``column`` (nulls first)."""
-    tied = df.groupBy(column).agg(F.count(F.lit(1)).alias("__same"))
-    ranked, total = _prefix_sum(tied, [F.col(column).asc_nulls_first()], "__same", "__upto")
-    share = (F.col("__upto") - F.col("__same")) / F.lit(float(total - 1)) if total > 1 else F.lit(0.0)
-    ranked = ranked.select(F.col(column).alias("__value"), share.alias(name))
-    return df.join(ranked, F.col(column).eqNullSafe(F.col("__value")), "left").drop("__value")
-
+def percent_rank_from(df: DataFrame, rank: str, column: str, name: str) -> DataFrame:
+    """``percent_rank`` ascending by ``column``, out of a rank that puts its largest value first.
 
-def running_total(df: DataFrame, order: Sequence[Column | str], value: str, name: str) -> DataFrame:
-    """Running sum of ``value`` over the whole frame in the unique order ``order``."""
-    return _prefix_sum(df, order, value, name)[0]
-
-
-def _prefix_sum(df: DataFrame, order, value: str, name: str) -> tuple[DataFrame, float]:
-    spark, columns = df.sparkSession, df.columns
-    ranged = cut_lineage(
-        df.repartitionByRange(parallelism(spark), *order).withColumn(_PART, F.spark_partition_id())
-    )
-    sizes = ranged.groupBy(_PART).agg(F.sum(value).alias("n")).collect()
-    offsets, total = [], 0
-    for row in sorted(sizes, key=lambda r: r[_PART]):
-        offsets.append((row[_PART], total))
-        total += row["n"] or 0
-    schema = T.StructType(
-        [T.StructField(_PART, T.IntegerType()), T.StructField("__before", ranged.agg(F.sum(value)).schema[0].dataType)]
-    )
-    lookup = F.broadcast(spark.createDataFrame(offsets, schema))
-    inner = Window.partitionBy(_PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    summed = ranged.withColumn(name, F.sum(value).over(inner)).join(lookup, _PART)
-    return summed.select(*columns, (F.col(name) + F.col("__before")).alias(name)), total
+    Rows below a value are those behind its last rank.  Values are summed up before
+    they meet the rows again, so a value shared by most rows costs one row.
+    """
+    last = df.groupBy(F.col(column).alias("__value")).agg(F.max(rank).alias("__last"))
+    total = df.count()
+    share = (F.lit(total) - F.col("__last")) / F.lit(float(total - 1)) if total > 1 else F.lit(0.0)
+    shares = last.select("__value", share.alias(name))
+    return df.join(shares, F.col(column).eqNullSafe(F.col("__value")), "left").drop("__value")
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:

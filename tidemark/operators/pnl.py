@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark import settings as S
 from tidemark.functions import market as M
-from tidemark.operators.ordered import HOT_GROUP_ROWS, keep_latest, part_hot_groups, scan, top_n_per_group
+from tidemark.operators.ordered import HOT_GROUP_ROWS, find_hot_groups, keep_latest, part_hot_groups, scan, top_n_per_group
 
 PAIR = ["wallet_address", "token_address"]
 TRADE_COLUMNS = [*PAIR, "token_symbol", "trade_id", "trade_time", "side", "quantity", "usd"]
@@ -77,13 +77,14 @@ def costed_trades(trades: DataFrame, min_hot_rows: int = HOT_GROUP_ROWS) -> Data
     before any buy has no basis and realises 0.
     """
     moved = trades.filter(F.col("side").isin("BUY", "SELL"))
-    cold, hot = part_hot_groups(moved, PAIR, min_hot_rows)
+    hot = find_hot_groups(moved, PAIR, min_hot_rows)
+    cold, crowded = (moved, None) if hot is None else part_hot_groups(moved, hot)
     known = Window.partitionBy(*PAIR).orderBy("trade_time")  # default frame: rows of the same moment count
     costed = cold.withColumn(
         "avg_cost", F.try_divide(F.sum(_buys("usd")).over(known), F.sum(_buys("quantity")).over(known))
     )
-    if hot is not None:
-        costed = costed.unionByName(hot.join(_cost_levels(hot, min_hot_rows), [*PAIR, "trade_time"]))
+    if crowded is not None:
+        costed = costed.unionByName(crowded.join(_cost_levels(crowded, hot), [*PAIR, "trade_time"]))
     cost = _sells(F.col("quantity") * F.col("avg_cost"))
     return costed.withColumns(
         {
@@ -94,7 +95,7 @@ def costed_trades(trades: DataFrame, min_hot_rows: int = HOT_GROUP_ROWS) -> Data
     )
 
 
-def _cost_levels(trades: DataFrame, min_hot_rows: int) -> DataFrame:
+def _cost_levels(trades: DataFrame, hot: DataFrame) -> DataFrame:
     """Average cost per trading moment of pairs too large for one task.
 
     Trades are first summed per moment with map-side combine, which makes the
@@ -104,7 +105,7 @@ def _cost_levels(trades: DataFrame, min_hot_rows: int) -> DataFrame:
         F.sum(_buys("quantity")).alias("bought_here"), F.sum(_buys("usd")).alias("paid_here")
     )
     sums = {"bought": F.col("bought_here"), "paid": F.col("paid_here")}
-    levels = scan(moments, PAIR, ["trade_time"], sums=sums, min_hot_rows=min_hot_rows)
+    levels = scan(moments, PAIR, ["trade_time"], sums=sums, hot=hot)
     return levels.select(*PAIR, "trade_time", F.try_divide("paid", "bought").alias("avg_cost"))
 
 
@@ -349,13 +350,14 @@ def running_positions(trades: DataFrame, min_hot_rows: int = HOT_GROUP_ROWS) ->
     """Sequence number, signed position and buy cost after every trade of a pair."""
     signed = F.when(F.col("side") == "BUY", F.col("quantity")).otherwise(-F.col("quantity"))
     paid = F.when(F.col("side") == "BUY", F.col("usd")).otherwise(0.0)
+    moved = trades.filter(F.col("side").isin("BUY", "SELL") & (F.col("quantity") > 0))
     return scan(
-        trades.filter(F.col("side").isin("BUY", "SELL") & (F.col("quantity") > 0)),
+        moved,
         PAIR,
         ["trade_time", "trade_id"],
         sums={"running_position": signed, "running_cost": paid},
         position="trade_order",
-        min_hot_rows=min_hot_rows,
+        hot=find_hot_groups(moved, PAIR, min_hot_rows),
     )
 
 
@@ -420,12 +422,13 @@ def fifo_matches(
         *PAIR, "side", "trade_id", "trade_time", F.try_divide("usd", "quantity").alias("price"), amount.alias("amount")
     )
     sides = sides.filter(F.col("amount") > 0)
+    hot = find_hot_groups(sides, PAIR, min_hot_rows)
     stacked = scan(
         sides,
         [*PAIR, "side"],
         ["trade_time", "trade_id"],
         sums={"end": F.col("amount")},
-        min_hot_rows=min_hot_rows,
+        hot=hot,
     ).withColumn("start", F.col("end") - F.col("amount"))
     leg = F.struct("trade_id", "trade_time", "price", "end")
     points = stacked.withColumns({"buy": _buys(leg), "sell": _sells(leg)}).drop("trade_time", "price", "amount", "end")
@@ -435,7 +438,7 @@ def fifo_matches(
         ["start", "side", "trade_id"],
         carry={"lot": F.col("buy"), "sale": F.col("sell")},
         following={"next_start": F.col("start")},
-        min_hot_rows=min_hot_rows,
+        hot=hot,
     )
     piece_end = F.least("next_start", "lot.end", "sale.end")
     pieces = walked.filter(F.col("lot").isNotNull() & F.col("sale").isNotNull()).withColumn(

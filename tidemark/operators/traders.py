@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark import settings as S
 from tidemark.functions import market as M
-from tidemark.operators.ordered import global_position, percent_rank_by, row_number_in, top_n
+from tidemark.operators.ordered import global_position, percent_rank_from, row_number_in, top_n
+from tidemark.session import cut_lineage
 
 
 def gold_traders(portfolios: DataFrame) -> DataFrame:
@@ -29,7 +30,7 @@ def gold_traders(portfolios: DataFrame) -> DataFrame:
         }
     )
     best_first = [F.desc("smart_trader_score"), F.desc("total_pnl"), F.asc("wallet_address")]
-    ranked = global_position(scored, best_first, "overall_rank")
+    ranked = global_position(cut_lineage(scored), best_first, "overall_rank")
     return row_number_in(ranked, ["performance_tier"], best_first, "tier_rank")
 
 
@@ -91,16 +92,16 @@ def ranked_positions(scored: DataFrame) -> DataFrame:
         "execution_rank": [F.desc("avg_trade_efficiency"), F.desc("avg_timing_score"), *tie],
         "roi_rank": [F.desc("roi"), *tie],
     }
-    ranked = scored
+    ranked = cut_lineage(scored)
     for name, order in orders.items():
         ranked = global_position(ranked, order, name)
     percentiles = {
-        "score_percentile": "enhanced_smart_trader_score",
-        "pnl_percentile": "total_pnl",
-        "efficiency_percentile": "avg_trade_efficiency",
+        "score_percentile": ("overall_rank", "enhanced_smart_trader_score"),
+        "pnl_percentile": ("profitability_rank", "total_pnl"),
+        "efficiency_percentile": ("execution_rank", "avg_trade_efficiency"),
     }
-    for name, column in percentiles.items():
-        ranked = percent_rank_by(ranked, column, name)
+    for name, (rank, column) in percentiles.items():
+        ranked = percent_rank_from(ranked, rank, column, name)
     return ranked
 
 
@@ -123,7 +124,7 @@ def wallet_summary(scored: DataFrame) -> DataFrame:
 
 def enhanced_traders(positions: DataFrame) -> DataFrame:
     """Ranked positions with the summary of their wallet."""
-    scored = scored_positions(positions)
+    scored = cut_lineage(scored_positions(positions))
     return ranked_positions(scored).join(wallet_summary(scored), "wallet_address", "left")
 
 

@@ -18,12 +18,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_scan(df: DataFrame) -> DataFrame:
+    """A scan of few, unsplittable files shared out over all cores; larger scans are left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
 def on_tick(x):
     return F.floor(x * TICK).cast("double") / TICK
 
 
 def _event_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
+    events = spread_scan(table(spark, sf_dir, "events"))
     return events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
 
 

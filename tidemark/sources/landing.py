@@ -78,7 +78,9 @@ def token_rows(documents: DataFrame, body: str = "body") -> DataFrame:
         F.col(body), f"struct<data:struct<items:array<struct<{item}>>,tokens:array<struct<{item}>>>>",
         {"caseSensitive": "true"},
     )
-    items = documents.select(F.explode(F.coalesce(parsed["data"]["items"], parsed["data"]["tokens"])).alias("i"))
+    # The outer forms of explode keep Spark from parsing again for a filter of its own.
+    listed = F.explode_outer(F.coalesce(parsed["data"]["items"], parsed["data"]["tokens"]))
+    items = documents.select(listed.alias("i")).filter(F.col("i").isNotNull())
 
     def value(target: str) -> Column:
         return F.coalesce(*[F.col("i")[a] for a in _TOKEN_ALIASES.get(target, (target,))])
@@ -94,9 +96,8 @@ _HOLDER = "array<struct<owner:string,amount:string,ui_amount:double,decimals:int
 def holder_rows(documents: DataFrame, body: str = "body") -> DataFrame:
     """One row per listed holder; the rank is the place in the list (``items`` or ``holders``)."""
     parsed = F.from_json(F.col(body), f"struct<data:struct<items:{_HOLDER},holders:{_HOLDER}>>")
-    listed = documents.select(
-        "token_address", F.posexplode(F.coalesce(parsed["data"]["items"], parsed["data"]["holders"])).alias("pos", "h")
-    )
+    holders = F.coalesce(parsed["data"]["items"], parsed["data"]["holders"])
+    listed = documents.select("token_address", F.posexplode_outer(holders).alias("pos", "h")).filter(F.col("h").isNotNull())
     return listed.select(
         "token_address",
         F.coalesce("h.owner", F.lit("")).alias("wallet_address"),
@@ -125,7 +126,7 @@ def trade_rows(documents: DataFrame, fetched_at: Column, body: str = "body") ->
     nested = F.from_json(F.col(body), f"struct<data:struct<items:{_TRADE},trades:{_TRADE}>>")["data"]
     direct = F.from_json(F.col(body), f"struct<data:{_TRADE}>")["data"]
     listed = documents.select(
-        "wallet_address", F.explode(F.coalesce(nested["items"], nested["trades"], direct)).alias("x")
+        "wallet_address", F.explode_outer(F.coalesce(nested["items"], nested["trades"], direct)).alias("x")
     )
     own = listed.filter((F.col("x.tx_hash") != "") & (F.col("x.owner") == F.col("wallet_address")))
     legs = [

@@ -112,9 +112,10 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ()
     row, which a repeated task computes again just the same.
     """
     if partition_by:
-        spread = max(1, parallelism(df.sparkSession) // 4)
+        tasks = parallelism(df.sparkSession)
+        spread = max(1, tasks // 4)
         hashable = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-        df = df.repartition(*partition_by, F.pmod(F.xxhash64(*hashable), F.lit(spread)))
+        df = df.repartition(tasks, *partition_by, F.pmod(F.xxhash64(*hashable), F.lit(spread)))
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 

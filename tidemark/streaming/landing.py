@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.session import parallelism
 from tidemark.sources.landing import MESSAGE_SCHEMA
 
 
@@ -60,7 +61,7 @@ def land(
     """
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
     share = F.pmod(F.xxhash64(*stream.columns), F.lit(spread))
-    gathered = stream.repartition("processing_date", "processing_hour", share)
+    gathered = stream.repartition(parallelism(stream.sparkSession), "processing_date", "processing_hour", share)
     return (
         gathered.writeStream.format("parquet")
         .outputMode("append")
