@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import io
 import math
 import sys
 import time
@@ -22,6 +24,14 @@ def connect(sf_dir: str):
     return con
 
 
+def plan_of(df) -> str:
+    """The physical plan as text."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()
+
+
 def plain(value):
     """A value whose repr is comparable between the engines."""
     if isinstance(value, bool) or value is None:

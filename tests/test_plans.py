@@ -1,48 +1,12 @@
 """Shapes of physical plans that must hold at any size."""
 
-import contextlib
-import io
-import re
-
-import pytest
+from compare import plan_of
 from pyspark.sql import functions as F
 
 from tidemark.plans import adapters as A
 from tidemark.plans.catalog import QUERIES
 
 
-def plan_of(df) -> str:
-    out = io.StringIO()
-    with contextlib.redirect_stdout(out):
-        df.explain("formatted")
-    return out.getvalue()
-
-
-STREAMS = {n for n in QUERIES if n.startswith("stream_")}
-
-
-@pytest.mark.parametrize("name", sorted(QUERIES.keys() - STREAMS))
-def test_no_cross_join_and_no_python(spark, sf_dir, name):
-    plan = plan_of(QUERIES[name](spark, sf_dir))
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
-        assert operator not in plan
-
-
-# Reports over a fixed number of rows may number them in one task.
-SMALL = {
-    "publish_list", "top_performers", "largest_results", "lenient_tokens", "screened_tokens", "latest_rows", "whale_trades", "hot_tokens",
-    "trader_activity", "meme_trends", "venue_ranking", "unknown_pairs", "unknown_tokens",
-    "check_sequential", "check_sequential_days", "check_exclusive_ranges_overall", "validate_gold_traders",
-}
-
-
-@pytest.mark.parametrize("name", sorted(QUERIES.keys() - STREAMS - SMALL))
-def test_no_window_over_everything(spark, sf_dir, name):
-    plan = plan_of(QUERIES[name](spark, sf_dir))
-    for window in re.findall(r"\) Window\n(?:.*\n)*?\n", plan):
-        assert "Arguments: [], [" not in window
-
-
 def test_running_cost_needs_one_shuffle_per_level(spark, sf_dir):
     plan = plan_of(QUERIES["running_cost_by_token"](spark, sf_dir))
     body = plan.split("\n\n")[0]

@@ -156,4 +156,6 @@ def test_compaction_clusters(spark):
 
 
 def test_shared_folder_is_the_configured_one(spark):
-    assert shared_folder(spark) == spark.sparkContext.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    assert shared_folder(spark) == (configured or spark.sparkContext.getCheckpointDir())
+    assert spark.sparkContext.getCheckpointDir() is not None
