@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,15 +81,20 @@ def iso_timestamp(text: Column) -> Column:
     return F.when(shaped, text.try_cast("timestamp_ntz"))
 
 
+def moment(when: datetime) -> Column:
+    """Time-zone free timestamp literal, whatever the session's time zone is."""
+    return F.lit(when.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def unix_time(seconds: Column, fallback: Column | None = None) -> Column:
     """Time-zone free timestamp of unix seconds, or ``fallback``."""
-    moment = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
-    return moment if fallback is None else F.coalesce(moment, fallback)
+    at = moment(datetime(1970, 1, 1)) + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    return at if fallback is None else F.coalesce(at, fallback)
 
 
-def day_of_week(moment: Column) -> Column:
+def day_of_week(at: Column) -> Column:
     """Sunday is 0."""
-    return F.dayofweek(moment) - 1
+    return F.dayofweek(at) - 1
 
 
 def age_text(latest: Column, now: Column) -> Column:

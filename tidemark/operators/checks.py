@@ -148,7 +148,7 @@ def relationships(
 ) -> DataFrame:
     """Non-null child keys without parent; both sides may be filtered first."""
     children = (child.filter(child_where) if child_where else child).select(F.col(column).alias("id"))
-    parents = (parent.filter(parent_where) if parent_where else parent).select(F.col(parent_column).alias("id"))
+    parents = (parent.filter(parent_where) if parent_where else parent).select(F.col(parent_column).alias("id")).distinct()
     return children.filter(F.col("id").isNotNull()).join(parents, "id", "left_anti")
 
 

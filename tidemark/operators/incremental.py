@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark import settings as S
 from tidemark.functions.market import first_label
+from tidemark.functions.scalars import moment
 
 # --- upsert ------------------------------------------------------------------------------
 
@@ -39,26 +40,26 @@ def upsert(
         update = [c for c in target.columns if c in source.columns and c not in keys]
     changes = update if isinstance(update, Mapping) else {c: F.col(f"s.{c}") for c in update}
 
-    t = target.withColumn("__in_target", F.lit(True)).alias("t")
-    s = source.withColumn("__in_source", F.lit(True)).alias("s")
-    same = reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys])
-    joined = t.join(s, same, "full" if insert else "left")
-    matched = F.col("t.__in_target").isNotNull() & F.col("s.__in_source").isNotNull()
+    # Left join and semi join instead of a full join: a small source is broadcast and
+    # the target stays where it is, and a key with many target rows can be split.
+    t, s = target.alias("t"), source.withColumn("__hit", F.lit(True)).alias("s")
+    joined = t.join(s, reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]), "left")
+    matched = F.col("s.__hit").isNotNull()
     if only_if is not None:
         matched = matched & F.coalesce(only_if, F.lit(False))
-    added = F.col("t.__in_target").isNull()
-
-    out = []
-    for field in target.schema:
-        name = field.name
-        value = F.col(f"t.{name}")
-        if name in changes:
-            value = F.when(matched, changes[name]).otherwise(value)
-        if insert:
-            fresh = F.col(f"s.{name}") if name in source.columns else F.lit(None)
-            value = F.when(added, fresh).otherwise(value)
-        out.append(value.cast(field.dataType).alias(name))
-    return joined.select(*out)
+    kinds = {f.name: f.dataType for f in target.schema}
+    columns = [
+        (F.when(matched, changes[c]).otherwise(F.col(f"t.{c}")) if c in changes else F.col(f"t.{c}")).cast(kind).alias(c)
+        for c, kind in kinds.items()
+    ]
+    merged = joined.select(*columns)
+    if not insert:
+        return merged
+    present = target.select(*keys).join(source.select(*keys), list(keys), "left_semi").distinct()
+    added = source.join(present, list(keys), "left_anti")
+    missing = {c: F.lit(None) for c in kinds if c not in source.columns}
+    fresh = added.withColumns(missing).select(*[F.col(c).cast(kind).alias(c) for c, kind in kinds.items()])
+    return merged.unionByName(fresh)
 
 
 def update_status(target: DataFrame, done: DataFrame, keys: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
@@ -91,8 +92,8 @@ def due_for_refetch(df: DataFrame, status: str, fetched_at: str, as_of: Column,
     return df.filter(F.coalesce(due, F.lit(False)))
 
 
-def latest_activity(df: DataFrame, key: str, moment: str) -> DataFrame:
-    return df.groupBy(key).agg(F.max(moment).alias("latest_activity"), F.count(F.lit(1)).alias("n_rows"))
+def latest_activity(df: DataFrame, key: str, time_column: str) -> DataFrame:
+    return df.groupBy(key).agg(F.max(time_column).alias("latest_activity"), F.count(F.lit(1)).alias("n_rows"))
 
 
 def above_high_water(df: DataFrame, column: str, existing: DataFrame, include_equal: bool = False) -> DataFrame:
@@ -105,7 +106,8 @@ def above_high_water(df: DataFrame, column: str, existing: DataFrame, include_eq
     mark = existing.agg(F.max(column)).first()[0]
     if mark is None:
         return df
-    literal = F.lit(mark).cast(df.schema[column].dataType)
+    kind = df.schema[column].dataType
+    literal = moment(mark) if isinstance(kind, T.TimestampNTZType) else F.lit(mark).cast(kind)
     return df.filter(F.col(column) >= literal if include_equal else F.col(column) > literal)
 
 

@@ -22,6 +22,8 @@ from tidemark.session import cut_lineage, parallelism
 
 # A group below this many rows is always left to a plain window.
 HOT_GROUP_ROWS = 2_000_000
+# Rows a group of the minimum size has in the sample that looks for hot groups.
+_SAMPLED_ROWS = 10_000
 
 _PART = "__part"
 _SLOT = "__slot"
@@ -36,14 +38,18 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 def find_hot_groups(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_GROUP_ROWS) -> DataFrame | None:
     """Keys of the groups that need splitting, or None.
 
-    Takes the largest P groups above ``min_rows`` with P the shuffle partition
-    count.  Any group left out is smaller than 1/P of all rows, so the list has a
-    fixed bound and still covers every group that could dominate a task.
+    Sizes are taken from a sample in which a group of ``min_rows`` still has
+    thousands of rows; the sample only picks the route of a group, never its
+    result.  Of the groups above the size the largest P are listed, P being the
+    shuffle partition count: any group left out is smaller than 1/P of all rows,
+    so the list has a fixed bound and covers every group that could stall a task.
     """
     spark = df.sparkSession
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    share = min(1.0, _SAMPLED_ROWS / max(min_rows, 1))
+    seen = df.select(*keys) if share == 1.0 else df.select(*keys).sample(share, seed=17)
+    counts = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     largest = (
-        counts.filter(F.col("__n") > min_rows)
+        counts.filter(F.col("__n") > min_rows * share)
         .orderBy(F.desc("__n"), *keys)
         .limit(parallelism(spark))
         .select(*keys)

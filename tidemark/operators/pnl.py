@@ -418,20 +418,18 @@ def fifo_matches(
     the sell.
     """
     amount = F.col("quantity").cast(f"decimal(28,{scale})")
-    sides = trades.filter(F.col("side").isin("BUY", "SELL")).select(
+    moved = trades.filter(F.col("side").isin("BUY", "SELL")).select(
         *PAIR, "side", "trade_id", "trade_time", F.try_divide("usd", "quantity").alias("price"), amount.alias("amount")
     )
-    sides = sides.filter(F.col("amount") > 0)
-    hot = find_hot_groups(sides, PAIR, min_hot_rows)
-    stacked = scan(
-        sides,
-        [*PAIR, "side"],
-        ["trade_time", "trade_id"],
-        sums={"end": F.col("amount")},
-        hot=hot,
-    ).withColumn("start", F.col("end") - F.col("amount"))
-    leg = F.struct("trade_id", "trade_time", "price", "end")
-    points = stacked.withColumns({"buy": _buys(leg), "sell": _sells(leg)}).drop("trade_time", "price", "amount", "end")
+    moved = moved.filter(F.col("amount") > 0)
+    hot = find_hot_groups(moved, PAIR, min_hot_rows)
+    sums = {"bought": _buys("amount"), "sold": _sells("amount")}
+    stacked = scan(moved, PAIR, ["trade_time", "trade_id"], sums=sums, hot=hot)
+    end = F.when(F.col("side") == "BUY", F.col("bought")).otherwise(F.col("sold"))
+    leg = F.struct("trade_id", "trade_time", "price", end.alias("end"))
+    points = stacked.select(
+        *PAIR, "side", "trade_id", (end - F.col("amount")).alias("start"), _buys(leg).alias("buy"), _sells(leg).alias("sell")
+    )
     walked = scan(
         points,
         PAIR,

@@ -48,7 +48,7 @@ def transaction_details(spark, sf_dir):
     return E.transaction_details(silver(spark, sf_dir))
 
 
-@query(using("silver_events") + """SELECT processing_date, count(*) AS total_events, count(*) FILTER (WHERE has_valid_json) AS valid_json_events,
+_QUALITY = """SELECT processing_date, count(*) AS total_events, count(*) FILTER (WHERE has_valid_json) AS valid_json_events,
         count(*) FILTER (WHERE has_source_ip) AS events_with_source_ip, count(event_timestamp) AS events_with_valid_timestamp,
         count(*) FILTER (WHERE event_type = 'unknown') AS unknown_event_types, count(DISTINCT message_id) AS unique_message_ids,
         round(count(*) FILTER (WHERE has_valid_json) * 100 / count(*), 2) AS json_validity_pct,
@@ -56,7 +56,10 @@ def transaction_details(spark, sf_dir):
         round(count(*) FILTER (WHERE event_type <> 'unknown') * 100 / count(*), 2) AS categorization_pct,
         count(*) FILTER (WHERE event_type = 'solana_swap') AS solana_swap_count, count(*) FILTER (WHERE event_type = 'solana_transaction') AS solana_transaction_count,
         count(*) FILTER (WHERE event_type = 'test_event') AS test_event_count, min(processed_at) AS first_processed, max(processed_at) AS last_processed
-    FROM silver_events GROUP BY processing_date""")
+    FROM silver_events GROUP BY processing_date"""
+
+
+@query(using("silver_events") + _QUALITY)
 def quality_by_date(spark, sf_dir):
     return E.quality_by_date(silver(spark, sf_dir))
 

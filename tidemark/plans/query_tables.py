@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import moment
 from tidemark.operators import incremental as I
 from tidemark.plans import adapters as A
 from tidemark.plans.oracle_tables import using
@@ -72,7 +73,7 @@ def ingest_json_files(spark, sf_dir):
         F.col("message_id").alias("webhook_id"), F.date_format("received_at", "yyyy-MM-dd'T'HH:mm:ss").alias("received_at"),
         F.lit("10.0.0.1").alias("source_ip"), "payload",
     ).write.json(path)
-    rows = L.webhook_rows(L.read_json_files(spark, path), F.lit(NOON).cast("timestamp_ntz"), "batch-1")
+    rows = L.webhook_rows(L.read_json_files(spark, path), moment(NOON), "batch-1")
     return rows.select(
         "webhook_id", "transaction_signature", "webhook_type", "account_address", "token_address", "processing_date", "processed_to_silver"
     )
@@ -142,7 +143,7 @@ def trade_list_rows(spark, sf_dir):
         .otherwise(F.concat(F.lit('{"data":{"trades":['), trade, F.lit("]}}")))
     )
     documents = events(spark, sf_dir).select(F.concat(F.lit("W"), user).alias("wallet_address"), body.alias("body"))
-    rows = L.trade_rows(documents, F.lit(NOON).cast("timestamp_ntz"))
+    rows = L.trade_rows(documents, moment(NOON))
     return rows.select(
         "wallet_address", "transaction_hash", "timestamp", "base_symbol", "base_ui_change_amount", "quote_symbol", "quote_nearest_price", "tx_type"
     )
@@ -319,8 +320,8 @@ def stream_landing(spark, sf_dir):
 @query("SELECT DISTINCT event_id // 4 AS message FROM events")
 def stream_once_per_key(spark, sf_dir):
     path, checkpoint = fresh_path(spark, "single"), fresh_path(spark, "single-checkpoint")
-    moment = F.col("ts").cast("timestamp").alias("ts")
-    keyed = _event_stream(spark, sf_dir).select(F.floor(F.col("event_id") / 4).alias("message"), moment)
+    at = F.col("ts").cast("timestamp").alias("ts")
+    keyed = _event_stream(spark, sf_dir).select(F.floor(F.col("event_id") / 4).alias("message"), at)
     ST.run_to_end(ST.once_per_key(keyed, ["message"], "ts"), path, checkpoint)
     return spark.read.parquet(path).select("message")
 

@@ -47,14 +47,32 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once and continue from the written copy."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once to a table in the shared folder and continue from that table.
+
+    The table survives lost executors and is read back by column, so later steps
+    load only what they use.  It is removed when the session's JVM ends.
+    """
+    path = fresh_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder, removed when the session's JVM ends."""
+    text = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    files, path = _file_system(spark, text)
+    files.deleteOnExit(path)
+    return text
+
+
+def path_exists(spark: SparkSession, text: str) -> bool:
+    files, path = _file_system(spark, text)
+    return files.exists(path)
+
+
+def _file_system(spark: SparkSession, text: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(text)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
 def parallelism(spark: SparkSession) -> int:

@@ -6,13 +6,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.scalars import moment as at_moment
 from tidemark.operators.incremental import require_compatible
-from tidemark.session import parallelism
+from tidemark.session import parallelism, path_exists
 
 
 @dataclass(frozen=True)
@@ -55,8 +55,10 @@ class Lake:
     def path(self, name: str) -> str:
         return f"{self.root}/{self.spec(name).layer}/{name}"
 
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.option("mergeSchema", "true").parquet(self.path(name))
+    def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
+        """The table; with a ``schema`` no file footer is read, else the schemas of all files are merged."""
+        reader = self.spark.read.schema(schema) if schema else self.spark.read.option("mergeSchema", "true")
+        return reader.parquet(self.path(name))
 
     def exists(self, name: str) -> bool:
         return path_exists(self.spark, self.path(name))
@@ -68,13 +70,6 @@ class Lake:
         write_partitioned(df, self.path(name), self.spec(name).partition_by, mode)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        return not spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).limit(1).isEmpty()
-    except AnalysisException:
-        return False
-
-
 # --- scans -----------------------------------------------------------------------------
 
 
@@ -88,12 +83,9 @@ def read_files(spark: SparkSession, paths: Sequence[str], recursive: bool = Fals
 
 def read_partition(spark: SparkSession, root: str, column: str, value, schema: T.StructType | None = None) -> DataFrame:
     """One partition of a table; an absent table gives an empty frame of ``schema``."""
-    try:
-        return spark.read.parquet(root).filter(F.col(column) == F.lit(value))
-    except AnalysisException:
-        if schema is None:
-            raise
+    if schema is not None and not path_exists(spark, root):
         return spark.createDataFrame([], schema)
+    return spark.read.parquet(root).filter(F.col(column) == F.lit(value))
 
 
 def recent_partitions(df: DataFrame, column: str, as_of: Column, days: int) -> DataFrame:
@@ -131,7 +123,7 @@ def append_batch(df: DataFrame, path: str, status_path: str, batch_id: str, mome
     status = stored.agg(F.count(F.lit(1)).alias("n_rows")).select(
         F.lit(batch_id).alias("batch_id"),
         "n_rows",
-        F.lit(moment).cast("timestamp_ntz").alias("written_at"),
+        at_moment(moment).alias("written_at"),
         F.lit(df.schema.simpleString()).alias("schema_text"),
         F.lit("completed").alias("status"),
     )
@@ -173,17 +165,20 @@ class SnapshotTable:
         self.spark, self.root = spark, root.rstrip("/")
 
     def history(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest")
-        except AnalysisException:
-            return self.spark.createDataFrame([], _MANIFEST)
+        path = f"{self.root}/manifest"
+        if path_exists(self.spark, path):
+            return self.spark.read.schema(_MANIFEST).parquet(path)
+        return self.spark.createDataFrame([], _MANIFEST)
+
+    def exists(self) -> bool:
+        return self._resolve(None, None) is not None
 
     def _resolve(self, version: int | None, timestamp: datetime | None) -> int | None:
         rows = self.history()
         if version is not None:
             rows = rows.filter(F.col("snapshot_id") == version)
         if timestamp is not None:
-            rows = rows.filter(F.col("committed_at") <= F.lit(timestamp).cast("timestamp_ntz"))
+            rows = rows.filter(F.col("committed_at") <= at_moment(timestamp))
         return rows.agg(F.max("snapshot_id")).first()[0]
 
     def read(self, version: int | None = None, timestamp: datetime | None = None) -> DataFrame:
