@@ -159,3 +159,14 @@ def test_shared_folder_is_the_configured_one(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_folder(spark) == (configured or spark.sparkContext.getCheckpointDir())
     assert spark.sparkContext.getCheckpointDir() is not None
+
+
+def test_merge_rewrites_only_touched_partitions(spark, rows):
+    lake = S.Lake(spark, fresh_path(spark, "lake"))
+    schema = "token_address string, liquidity double, processing_date date"
+    lake.merge("tokens", spark.createDataFrame([("a", 1.0, date(2024, 1, 1)), ("b", 2.0, date(2024, 1, 2))], schema))
+    before = {r["file_path"] for r in I.stored_files(lake.read("tokens").filter("processing_date = '2024-01-01'")).collect()}
+    lake.merge("tokens", spark.createDataFrame([("b", 5.0, date(2024, 1, 2)), ("c", 6.0, date(2024, 1, 3))], schema))
+    after = {r["file_path"] for r in I.stored_files(lake.read("tokens").filter("processing_date = '2024-01-01'")).collect()}
+    assert before == after
+    assert rows(lake.read("tokens"), "token_address", "liquidity") == [("a", 1.0), ("b", 5.0), ("c", 6.0)]

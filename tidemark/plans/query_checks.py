@@ -194,9 +194,13 @@ def check_fewer_rows(spark, sf_dir):
     return K.fewer_rows_than(load(spark, sf_dir, "lineitem"), load(spark, sf_dir, "orders"))
 
 
-@query("SELECT * FROM (VALUES ('n_comment', 'missing'), ('n_regionkey', 'unexpected')) v(column_name, problem) WHERE EXISTS (SELECT 1 FROM nation)")
+@query("""SELECT d.*, n.n_values FROM (VALUES ('c_comment', 'missing'), ('c_acctbal', 'unexpected'), ('c_nationkey', 'unexpected')) d(column_name, problem)
+    LEFT JOIN (SELECT unnest(['c_acctbal', 'c_nationkey']) AS column_name, unnest([count(c_acctbal), count(c_nationkey)]) AS n_values FROM customer) n USING (column_name)""")
 def check_columns_match(spark, sf_dir):
-    return K.columns_match(load(spark, sf_dir, "nation"), ["N_NATIONKEY", "n_name", "n_comment"])
+    customers = load(spark, sf_dir, "customer")
+    wrong = K.columns_match(customers, ["C_CUSTKEY", "c_name", "c_mktsegment", "c_comment"])
+    held = K.null_profile(customers, "c_custkey").select("column_name", (F.col("total") - F.col("null_count")).alias("n_values"))
+    return wrong.join(held, "column_name", "left")
 
 
 @query(using("tokens") + """, t AS (SELECT token_address, symbol, logo_uri, market_cap FROM tokens)

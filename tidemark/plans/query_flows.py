@@ -1,4 +1,4 @@
-"""Queries that run a whole flow twice, as a daily job would, and return its last table."""
+"""Queries that run a whole flow and return its last table."""
 
 from __future__ import annotations
 
@@ -21,9 +21,7 @@ from tidemark.session import fresh_path
          row_number() OVER (ORDER BY smart_trader_score DESC, total_pnl DESC, wallet_address) AS overall_rank FROM qualified""")
 def trader_flow(spark, sf_dir):
     root, sources = fresh_path(spark, "trader-flow"), [f(spark, sf_dir) for f in (A.tokens, A.holders, A.swaps)]
-    for hour in (6, 18):
-        TraderFlow(spark, root, datetime(2024, 2, 1, hour), f"run-{hour}").run(*sources)
-    gold = TraderFlow(spark, root, datetime(2024, 2, 2), "read").table("traders").read()
+    gold = TraderFlow(spark, root, datetime(2024, 2, 1, 6), "run-1").run(*sources)
     return gold.select(
         "wallet_address", "performance_tier", "smart_trader_score", "total_pnl", "win_rate", "trade_count", "overall_rank"
     )

@@ -199,10 +199,10 @@ def surrogate_keys(spark, sf_dir):
     )
 
 
-@query("SELECT n_nationkey AS n_nationkey_x, n_regionkey AS n_regionkey_x FROM nation")
+@query("SELECT c_custkey AS c_custkey_x, c_nationkey AS c_nationkey_x, c_acctbal AS c_acctbal_x FROM customer")
 def star_with_suffix(spark, sf_dir):
-    nations = A.table(spark, sf_dir, "nation")
-    return nations.select(*R.star(nations, exclude=["n_name"], suffix="_x"))
+    customers = A.table(spark, sf_dir, "customer")
+    return customers.select(*R.star(customers, exclude=["C_NAME", "c_mktsegment"], suffix="_x"))
 
 
 @query("SELECT p_brand AS value, count(*) AS n_rows FROM part WHERE p_size > 5 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 12")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import moment
 from tidemark.operators import incremental as I
+from tidemark.operators.checks import null_profile
 from tidemark.plans import adapters as A
 from tidemark.plans.oracle_tables import using
 from tidemark.plans.query_tokens import _TRACKED, tracked
@@ -34,9 +35,9 @@ def _written_by_date(spark, sf_dir):
 # --- scans ------------------------------------------------------------------------------
 
 
-@query("SELECT * FROM nation UNION ALL BY NAME SELECT * FROM region")
+@query("SELECT * FROM customer UNION ALL BY NAME SELECT * FROM supplier")
 def scan_union_by_name(spark, sf_dir):
-    return T.read_files(spark, [f"{sf_dir}/nation*.parquet", f"{sf_dir}/region*.parquet"])
+    return T.read_files(spark, [f"{sf_dir}/customer*.parquet", f"{sf_dir}/supplier*.parquet"])
 
 
 @query("SELECT event_id, user_id, value, CAST(ts AS DATE) AS date FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-07'")
@@ -283,12 +284,36 @@ def pending_dates(spark, sf_dir):
     return I.pending_dates(dated, "day", log)
 
 
-@query("""SELECT unnest(['s_acctbal', 's_name', 's_nationkey', 's_region', 's_suppkey']) AS column_name, unnest(['retyped', 'removed', 'same', 'added', 'same']) AS change,
-    unnest(['double', 'string', 'int', NULL, 'bigint']) AS old_type, unnest(['string', NULL, 'int', 'string', 'bigint']) AS new_type FROM (SELECT count(*) FROM supplier)""")
+@query("""SELECT d.*, n.null_count FROM (VALUES ('o_totalprice', 'retyped', 'double', 'string'), ('o_orderstatus', 'removed', 'string', NULL),
+      ('o_orderkey', 'same', 'bigint', 'bigint'), ('o_custkey', 'same', 'bigint', 'bigint'), ('o_orderdate', 'same', 'timestamp_ntz', 'timestamp_ntz'),
+      ('o_orderpriority', 'same', 'string', 'string'), ('o_region', 'added', NULL, 'string')) d(column_name, change, old_type, new_type)
+    LEFT JOIN (SELECT unnest(['o_totalprice', 'o_orderstatus', 'o_orderkey', 'o_custkey', 'o_orderdate', 'o_orderpriority']) AS column_name,
+      unnest([count(*) - count(o_totalprice), count(*) - count(o_orderstatus), count(*) - count(o_orderkey), count(*) - count(o_custkey),
+              count(*) - count(o_orderdate), count(*) - count(o_orderpriority)]) AS null_count FROM orders) n USING (column_name)""")
 def schema_changes(spark, sf_dir):
-    old = A.table(spark, sf_dir, "supplier")
-    new = old.drop("s_name").withColumns({"s_acctbal": F.col("s_acctbal").cast("string"), "s_region": F.lit("x")})
-    return I.schema_diff_frame(old, new)
+    old = A.table(spark, sf_dir, "orders")
+    new = old.drop("o_orderstatus").withColumns({"o_totalprice": F.col("o_totalprice").cast("string"), "o_region": F.lit("x")})
+    filled = null_profile(old, "o_orderkey").select("column_name", "null_count")
+    return I.schema_diff_frame(old, new).join(filled, "column_name", "left")
+
+
+@query(using("tokens") + """, stored AS (SELECT token_address, symbol, liquidity, ingest, processing_date FROM tokens WHERE ingest = 1),
+    fresh AS (SELECT token_address, symbol || '!' AS symbol, liquidity + 1 AS liquidity, 2 AS ingest, processing_date FROM stored
+              WHERE processing_date >= DATE '2024-01-04' AND token_address % 3 = 0
+              UNION ALL SELECT -token_address, symbol, liquidity, 2, processing_date FROM stored WHERE processing_date = DATE '2024-01-04' AND token_address % 7 = 0)
+    SELECT * FROM fresh UNION ALL SELECT * FROM stored WHERE token_address NOT IN (SELECT token_address FROM fresh)""")
+def merge_into_partitions(spark, sf_dir):
+    lake = T.Lake(spark, fresh_path(spark, "lake"))
+    stored = A.tokens(spark, sf_dir).filter("ingest = 1").select("token_address", "symbol", "liquidity", "ingest", "processing_date")
+    lake.merge("tokens", stored)
+    changed = stored.filter("processing_date >= date'2024-01-04' and token_address % 3 = 0").withColumns(
+        {"symbol": F.concat("symbol", F.lit("!")), "liquidity": F.col("liquidity") + 1, "ingest": F.lit(2)}
+    )
+    added = stored.filter("processing_date = date'2024-01-04' and token_address % 7 = 0").withColumns(
+        {"token_address": -F.col("token_address"), "ingest": F.lit(2)}
+    )
+    lake.merge("tokens", changed.unionByName(added))
+    return lake.read("tokens")
 
 
 @query()

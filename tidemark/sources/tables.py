@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.scalars import moment as at_moment
-from tidemark.operators.incremental import require_compatible
-from tidemark.session import parallelism, path_exists
+from tidemark.operators.incremental import require_compatible, upsert
+from tidemark.session import cut_lineage, parallelism, path_exists
 
 
 @dataclass(frozen=True)
@@ -70,6 +70,25 @@ class Lake:
         write_partitioned(df, self.path(name), self.spec(name).partition_by, mode)
 
 
+    def merge(self, name: str, source: DataFrame, **options) -> None:
+        """Upsert on the table's keys that rewrites only the partitions the source touches.
+
+        A key has to stay in its partition.  The merged rows are written aside first,
+        since a partition cannot be read and replaced at once.
+        """
+        spec = self.spec(name)
+        if not self.exists(name):
+            self.write(name, source, "overwrite")
+            return
+        stored = self.read(name)
+        require_compatible(stored.schema, source.schema)
+        parts = list(spec.partition_by)
+        if parts:
+            stored = stored.join(source.select(*parts).distinct(), parts, "left_semi").select(*stored.columns)
+        merged = cut_lineage(upsert(stored, source, spec.keys, **options))
+        write_partitioned(merged, self.path(name), parts, "overwrite", {"partitionOverwriteMode": "dynamic"})
+
+
 # --- scans -----------------------------------------------------------------------------
 
 
@@ -97,7 +116,9 @@ def recent_partitions(df: DataFrame, column: str, as_of: Column, days: int) -> D
 # --- writes -----------------------------------------------------------------------------
 
 
-def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "append") -> None:
+def write_partitioned(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "append", options: Mapping[str, str] | None = None
+) -> None:
     """Parquet write clustered by the partition columns, so a task writes few files.
 
     A partition value that holds most rows is spread over tasks by a hash of the
@@ -108,7 +129,7 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ()
         spread = max(1, tasks // 4)
         hashable = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
         df = df.repartition(tasks, *partition_by, F.pmod(F.xxhash64(*hashable), F.lit(spread)))
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    df.write.mode(mode).options(**(options or {})).partitionBy(*partition_by).parquet(path)
 
 
 def append_batch(df: DataFrame, path: str, status_path: str, batch_id: str, moment: datetime, partition_by: Sequence[str] = ()) -> None:
