@@ -12,6 +12,8 @@ from tidemark.session import build_session  # noqa: E402
 def spark():
     settings = {
         "spark.sql.shuffle.partitions": "4",
+        # Small test tables would end up in one partition and leave nothing to stitch.
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "6g",

@@ -118,12 +118,9 @@ class _ScanColumns:
         return out
 
     def split(self, df: DataFrame) -> DataFrame:
-        spark, names = df.sparkSession, df.columns
-        ranged = cut_lineage(
-            df.repartitionByRange(parallelism(spark), *self.keys, *self.order).withColumn(
-                _PART, F.spark_partition_id()
-            )
-        )
+        names = df.columns
+        ranged = df.repartitionByRange(*self.keys, *self.order)
+        ranged = cut_lineage(ranged.withColumn(_PART, F.spark_partition_id()))
         edges = self._edges(ranged)
         inner = Window.partitionBy(*self.keys, _PART).orderBy(*self.order)
         rows = ranged.withColumns(self._inside(inner) | {_SLOT: F.row_number().over(inner).cast("bigint")})
@@ -174,7 +171,7 @@ def global_position(df: DataFrame, order: Sequence[Column | str], name: str) ->
     """
     spark = df.sparkSession
     columns = df.columns
-    ranged = df.repartitionByRange(parallelism(spark), *order).sortWithinPartitions(*order)
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     numbered = cut_lineage(ranged.withColumn("__id", F.monotonically_increasing_id()))
     # The generated id holds the partition number above bit 33 and the row slot below it.
     part, slot = F.shiftrightunsigned("__id", 33), F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
@@ -205,7 +202,7 @@ def percent_rank_from(df: DataFrame, rank: str, column: str, name: str) -> DataF
     they meet the rows again, so a value shared by most rows costs one row.
     """
     last = df.groupBy(F.col(column).alias("__value")).agg(F.max(rank).alias("__last"))
-    total = df.count()
+    total = df.agg(F.max(rank)).first()[0] or 0
     share = (F.lit(total) - F.col("__last")) / F.lit(float(total - 1)) if total > 1 else F.lit(0.0)
     shares = last.select("__value", share.alias(name))
     return df.join(shares, F.col(column).eqNullSafe(F.col("__value")), "left").drop("__value")

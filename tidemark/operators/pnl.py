@@ -69,15 +69,21 @@ def trades_from_swaps(swaps: DataFrame) -> DataFrame:
 # --- running average cost -----------------------------------------------------------
 
 
-def costed_trades(trades: DataFrame, min_hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def swap_pairs_of(swaps: DataFrame) -> DataFrame:
+    """Wallet and token of raw swaps: enough to find crowded pairs without valuing and deduplicating first."""
+    return swaps.select("wallet_address", F.col("base_address").alias("token_address"))
+
+
+def costed_trades(trades: DataFrame, pairs: DataFrame | None = None, min_hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """Buys and sells with the average cost of all buys up to and including their moment.
 
     This is the as-of match of every sell with the buys before it, ties included,
     done as one ordered pass instead of a join of sells with earlier buys.  A sell
-    before any buy has no basis and realises 0.
+    before any buy has no basis and realises 0.  ``pairs`` may name a frame that is
+    cheaper to count than the trades when looking for crowded pairs.
     """
     moved = trades.filter(F.col("side").isin("BUY", "SELL"))
-    hot = find_hot_groups(moved, PAIR, min_hot_rows)
+    hot = find_hot_groups(moved if pairs is None else pairs, PAIR, min_hot_rows)
     cold, crowded = (moved, None) if hot is None else part_hot_groups(moved, hot)
     known = Window.partitionBy(*PAIR).orderBy("trade_time")  # default frame: rows of the same moment count
     costed = cold.withColumn(
@@ -109,19 +115,19 @@ def _cost_levels(trades: DataFrame, hot: DataFrame) -> DataFrame:
     return levels.select(*PAIR, "trade_time", F.try_divide("paid", "bought").alias("avg_cost"))
 
 
-def sells_with_cost(trades: DataFrame, min_hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def sells_with_cost(trades: DataFrame, pairs: DataFrame | None = None, min_hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """Each sell with its cost basis and realised result."""
-    return costed_trades(trades, min_hot_rows).filter(F.col("side") == "SELL")
+    return costed_trades(trades, pairs, min_hot_rows).filter(F.col("side") == "SELL")
 
 
 def running_cost_by_token(
-    trades: DataFrame, include_unbought: bool = False, min_hot_rows: int = HOT_GROUP_ROWS
+    trades: DataFrame, include_unbought: bool = False, pairs: DataFrame | None = None, min_hot_rows: int = HOT_GROUP_ROWS
 ) -> DataFrame:
     """Realised result per wallet and token under the running average cost.
 
     Tokens that were only sold are left out unless ``include_unbought``.
     """
-    tokens = costed_trades(trades, min_hot_rows).groupBy(*PAIR).agg(
+    tokens = costed_trades(trades, pairs, min_hot_rows).groupBy(*PAIR).agg(
         F.max("token_symbol").alias("token_symbol"),
         F.sum("realized_pnl").alias("realized_pnl"),
         F.sum("cost_of_sold").alias("cost_of_sold"),
@@ -406,7 +412,11 @@ def position_pnl(trades: DataFrame, min_hot_rows: int = HOT_GROUP_ROWS) -> DataF
 
 
 def fifo_matches(
-    trades: DataFrame, strict: bool = False, scale: int = 9, min_hot_rows: int = HOT_GROUP_ROWS
+    trades: DataFrame,
+    strict: bool = False,
+    scale: int = 9,
+    pairs: DataFrame | None = None,
+    min_hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Pieces of sells matched to buy lots, first in first out.
 
@@ -422,7 +432,7 @@ def fifo_matches(
         *PAIR, "side", "trade_id", "trade_time", F.try_divide("usd", "quantity").alias("price"), amount.alias("amount")
     )
     moved = moved.filter(F.col("amount") > 0)
-    hot = find_hot_groups(moved, PAIR, min_hot_rows)
+    hot = find_hot_groups(moved if pairs is None else pairs, PAIR, min_hot_rows)
     sums = {"bought": _buys("amount"), "sold": _sells("amount")}
     stacked = scan(moved, PAIR, ["trade_time", "trade_id"], sums=sums, hot=hot)
     end = F.when(F.col("side") == "BUY", F.col("bought")).otherwise(F.col("sold"))

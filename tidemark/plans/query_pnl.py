@@ -16,8 +16,16 @@ def trades(spark, sf_dir):
     return pnl.trades_from_swaps(A.swaps(spark, sf_dir))
 
 
+def pairs(spark, sf_dir):
+    return pnl.swap_pairs_of(A.swaps(spark, sf_dir))
+
+
+def tokens(spark, sf_dir):
+    return pnl.running_cost_by_token(trades(spark, sf_dir), pairs=pairs(spark, sf_dir))
+
+
 def portfolios(spark, sf_dir):
-    return pnl.running_cost_portfolio(pnl.running_cost_by_token(trades(spark, sf_dir)))
+    return pnl.running_cost_portfolio(tokens(spark, sf_dir))
 
 
 def positions(spark, sf_dir):
@@ -55,7 +63,7 @@ def leg_values_and_sides(spark, sf_dir):
     SELECT wallet_address, token_address, trade_id, trade_time, quantity, usd, avg_cost, avg_cost IS NOT NULL AS has_cost_basis,
            coalesce(quantity * avg_cost, 0) AS cost_of_sold, coalesce(usd - quantity * avg_cost, 0) AS realized_pnl FROM sell_costs""")
 def asof_sell_cost(spark, sf_dir):
-    return pnl.sells_with_cost(trades(spark, sf_dir)).drop("token_symbol", "side")
+    return pnl.sells_with_cost(trades(spark, sf_dir), pairs(spark, sf_dir)).drop("token_symbol", "side")
 
 
 _TOKEN_ROWS = """SELECT wallet_address, token_address, token_symbol, round(realized_pnl, 4) AS realized_pnl, round(cost_of_sold, 4) AS cost_of_sold,
@@ -67,7 +75,7 @@ _TOKEN_ROWS = """SELECT wallet_address, token_address, token_symbol, round(reali
 
 @query(using("cost_tokens") + _TOKEN_ROWS)
 def running_cost_by_token(spark, sf_dir):
-    return rounded(pnl.running_cost_by_token(trades(spark, sf_dir)), 4, "realized_pnl", "cost_of_sold", "token_roi")
+    return rounded(tokens(spark, sf_dir), 4, "realized_pnl", "cost_of_sold", "token_roi")
 
 
 @query(using("portfolios") + "SELECT * FROM portfolios")
@@ -144,8 +152,8 @@ def whole_period_portfolio(spark, sf_dir):
 
 @query(using("trades") + _MEAN_PRICE + _WALLET_RESULTS.replace("{roi}", "avg(roi)"))
 def mean_price_portfolio(spark, sf_dir):
-    tokens = pnl.whole_period_by_token(trades(spark, sf_dir), "mean_price")
-    return pnl.whole_period_portfolio(tokens, "mean_of_tokens")
+    by_token = pnl.whole_period_by_token(trades(spark, sf_dir), "mean_price")
+    return pnl.whole_period_portfolio(by_token, "mean_of_tokens")
 
 
 # --- net flow ----------------------------------------------------------------------------------
@@ -199,13 +207,13 @@ def position_pnl(spark, sf_dir):
 @query(using("fifo") + """SELECT wallet_address, token_address, buy_id, sell_id, buy_time, sell_time, quantity,
     round(cost, 4) AS cost, round(proceeds, 4) AS proceeds FROM fifo""")
 def fifo_matches(spark, sf_dir):
-    return rounded(pnl.fifo_matches(trades(spark, sf_dir)), 4, "cost", "proceeds")
+    return rounded(pnl.fifo_matches(trades(spark, sf_dir), pairs=pairs(spark, sf_dir)), 4, "cost", "proceeds")
 
 
 @query(using("fifo") + """SELECT wallet_address, token_address, sell_id, sum(quantity) AS matched_quantity, round(sum(cost), 4) AS cost,
     round(sum(proceeds - cost), 4) AS realized_pnl, count(*) AS lots FROM fifo WHERE buy_time <= sell_time GROUP BY ALL""")
 def fifo_without_short_sales(spark, sf_dir):
-    return rounded(pnl.fifo_by_sell(pnl.fifo_matches(trades(spark, sf_dir), strict=True)), 4, "cost", "realized_pnl")
+    return rounded(pnl.fifo_by_sell(pnl.fifo_matches(trades(spark, sf_dir), strict=True, pairs=pairs(spark, sf_dir))), 4, "cost", "realized_pnl")
 
 
 # --- selections ---------------------------------------------------------------------------------------
