@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.scalars import first_event_fields, unix_time
 
@@ -143,6 +142,3 @@ def trade_rows(documents: DataFrame, fetched_at: Column, body: str = "body") ->
         F.col("x.tx_type").alias("tx_type"),
     )
 
-
-def schema_of(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)

@@ -119,16 +119,13 @@ def recent_partitions(df: DataFrame, column: str, as_of: Column, days: int) -> D
 def write_partitioned(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "append", options: Mapping[str, str] | None = None
 ) -> None:
-    """Parquet write clustered by the partition columns, so a task writes few files.
+    """Parquet write clustered by the partition columns, so a partition gets few files.
 
-    A partition value that holds most rows is spread over tasks by a hash of the
-    row, which a repeated task computes again just the same.
+    The rebalance hint lets Spark merge small partitions into one task and split a
+    partition value that holds most rows over several, by the sizes it finds.
     """
     if partition_by:
-        tasks = parallelism(df.sparkSession)
-        spread = max(1, tasks // 4)
-        hashable = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-        df = df.repartition(tasks, *partition_by, F.pmod(F.xxhash64(*hashable), F.lit(spread)))
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     df.write.mode(mode).options(**(options or {})).partitionBy(*partition_by).parquet(path)
 
 
