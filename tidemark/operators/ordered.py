@@ -59,9 +59,13 @@ def find_hot_groups(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_GROU
 
 
 def part_hot_groups(df: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows outside and the rows inside the hot groups."""
+    """The rows outside and the rows inside the hot groups.
+
+    The hot rows are written aside once, since they are sampled, cut in parts and
+    joined again.
+    """
     small, same = F.broadcast(hot), _same(df, hot, hot.columns)
-    return df.join(small, same, "left_anti"), df.join(small, same, "left_semi")
+    return df.join(small, same, "left_anti"), cut_lineage(df.join(small, same, "left_semi"))
 
 
 def scan(
