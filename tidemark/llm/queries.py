@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, urls
+from tidemark.llm import chat, decontaminate, simhash, substrings, urls
 from tidemark.llm.common import table
 from tidemark.llm.registry import query
-from tidemark.llm.sql import CHAT, DECONTAMINATE, URLS
+from tidemark.llm.sql import CHAT, DECONTAMINATE, SUBSTRINGS, URLS
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -22,6 +22,18 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+@query(SUBSTRINGS)
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.dedup(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query()
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs).select("doc_id", simhash.hex_print().alias("fingerprint"), "component_id")
+
+
 @query(DECONTAMINATE)
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

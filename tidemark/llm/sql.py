@@ -4,6 +4,24 @@ from __future__ import annotations
 
 from tidemark.llm import urls
 
+SUBSTRINGS = r"""
+WITH d AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), windows AS (
+    SELECT doc_id, s, md5(array_to_string(w[s : s + 49], ' ')) AS h
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS s FROM d WHERE len(w) >= 50)
+), firsts AS (SELECT h, min(doc_id) AS owner FROM windows GROUP BY h
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS p FROM windows JOIN firsts USING (h) WHERE owner < doc_id
+), words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d
+), kept AS (
+    SELECT words.doc_id, string_agg(word, ' ' ORDER BY words.p) AS text, count(*) AS n
+    FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.p = words.p WHERE gone.p IS NULL GROUP BY words.doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 DECONTAMINATE = r"""
 WITH d AS (
     SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
