@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, simhash, substrings, urls
+from tidemark.llm import chat, decontaminate, languages, packing, simhash, substrings, urls
 from tidemark.llm.common import table
 from tidemark.llm.registry import query
 from tidemark.llm.sql import CHAT, DECONTAMINATE, SUBSTRINGS, URLS
@@ -41,6 +41,20 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return marked.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+@query()
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(packing.pieces(docs, tokenizer_path(packing.TOKENIZER))).drop("certified")
+
+
+@query()
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = languages.learn(docs.select("doc_id", "text", "lang"))
+    guessed = languages.identify(docs.select("doc_id", "text"), model)
+    return guessed.select("doc_id", languages.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @query(CHAT)
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
