@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, languages, packing, simhash, substrings, urls
+from tidemark.llm import chat, decontaminate, languages, lines, merkle, packing, simhash, substrings, urls
 from tidemark.llm.common import table
 from tidemark.llm.registry import query
-from tidemark.llm.sql import CHAT, DECONTAMINATE, SUBSTRINGS, URLS
+from tidemark.llm.sql import CHAT, DECONTAMINATE, LINES, SUBSTRINGS, URLS
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -41,6 +41,12 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return marked.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+@query(LINES)
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.drop_recurring(docs).select("doc_id", "n_lines", "n_dropped", "text")
+
+
 @query()
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -67,3 +73,8 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
     return judged.select("page_id", F.col("host"), "path", "rule", "verdict")
+
+
+@query()
+def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.fingerprint_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
