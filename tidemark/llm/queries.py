@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, languages, lines, merkle, packing, simhash, substrings, urls
+from tidemark.llm import chat, decontaminate, languages, lines, merkle, packing, pages, simhash, substrings, urls
 from tidemark.llm.common import table
 from tidemark.llm.registry import query
 from tidemark.llm.sql import CHAT, DECONTAMINATE, LINES, SUBSTRINGS, URLS
@@ -78,3 +78,8 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprint_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
