@@ -61,28 +61,38 @@ def fingerprint(raw: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, print) with the fingerprint's bits as a long."""
+    """(doc_id, mark, print): the fingerprint's bits as a long, and a hash that tells texts with one id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             offsets, data = raw_texts(batch.column("text"))
             prints = [fingerprint(data[a:b].tobytes(), shingle) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             values = pa.array(np.array(prints, dtype=np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), values], names=["doc_id", "print"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), values], names=["doc_id", "mark", "print"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, print long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), F.col("text").cast("binary").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, mark long, print long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, parts: int = PARTS) -> DataFrame:
-    """One row per document: doc_id, print and the smallest doc_id of its component."""
+    """One row per document: doc_id, mark, print, component (a number) and component_id, its smallest doc_id."""
     prints = cut_lineage(fingerprints(docs, shingle))
     distinct = cut_lineage(prints.groupBy("print").agg(F.min("doc_id").alias("first_doc")))
     roots = components(links(distinct.select("print"), distance, parts)).withColumnRenamed("node", "print")
     placed = cut_lineage(distinct.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print")))
     groups = placed.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    named = cut_lineage(placed.select("print", "root").join(groups, "root").select("print", "component_id"))
-    return prints.join(named, "print").select("doc_id", "print", "component_id")
+    named = cut_lineage(placed.select("print", "root").join(groups, "root").select("print", F.col("root").alias("component"), "component_id"))
+    return prints.join(named, "print").select("doc_id", "mark", "print", "component", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, parts: int = PARTS) -> DataFrame:
+    """``docs`` with one row of each component: the smallest id (null last), of rows with that id the lowest text hash."""
+    found = near_duplicates(docs, shingle, distance, parts)
+    kept = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("kept"))
+    kept = kept.select(F.col("kept.doc_id").alias("__id"), F.col("kept.mark").alias("__mark")).distinct()
+    marked = docs.withColumn("__own", F.xxhash64("text"))
+    same = marked["doc_id"].eqNullSafe(kept["__id"]) & (marked["__own"] == kept["__mark"])
+    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__own"]).drop("__own")
 
 
 def links(prints: DataFrame, distance: int = DISTANCE, parts: int = PARTS) -> DataFrame:
