@@ -1,4 +1,4 @@
-"""Ordered operators: whole groups and groups cut in parts give the same, ranks are exact."""
+"""Ordered operators: buckets give what windows over whole groups give, ranks are exact."""
 
 import random
 
@@ -23,32 +23,59 @@ def skewed(spark):
     return spark.createDataFrame(data, SCHEMA).repartition(5)
 
 
-def all_columns(df, hot):
-    return O.scan(
-        df, ["g"], ["t", "id"], sums={"total": F.col("x")}, carry={"last_y": F.col("y")},
-        following={"next_x": F.col("x")}, preceding={"prev_y": F.col("y")}, position="pos", hot=hot,
+def columns():
+    return {
+        "sums": {"total": F.col("x")}, "tied_sums": {"tied": F.col("x")}, "least": {"low": F.col("x")}, "least_before": {"low_before": F.col("x")},
+        "carry": {"last_y": F.col("y")}, "following": {"next_x": F.col("x")}, "preceding": {"prev_y": F.col("y")}, "totals": {"whole": F.col("x")},
+    }
+
+
+def by_windows(df):
+    """The same columns from plain windows over whole groups."""
+    W = O.Window.partitionBy("g")
+    order = W.orderBy("t", "id")
+    so_far = order.rowsBetween(O.Window.unboundedPreceding, 0)
+    return df.select(
+        *df.columns,
+        F.sum("x").over(so_far).alias("total"),
+        F.sum("x").over(W.orderBy("t")).alias("tied"),
+        F.min("x").over(so_far).alias("low"),
+        F.min("x").over(order.rowsBetween(O.Window.unboundedPreceding, -1)).alias("low_before"),
+        F.last("y", True).over(so_far).alias("last_y"),
+        F.lead("x").over(order).alias("next_x"),
+        F.lag("y").over(order).alias("prev_y"),
+        F.sum("x").over(W).alias("whole"),
+        F.row_number().over(order).cast("bigint").alias("pos"),
     )
 
 
-def test_parts_equal_whole_groups(skewed, rows):
-    hot = O.find_hot_groups(skewed, ["g"], min_rows=500)
-    assert [r["g"] for r in hot.collect()] == ["hot"]
-    assert rows(all_columns(skewed, hot)) == rows(all_columns(skewed, None))
+@pytest.mark.parametrize("width", [1, 7, 1000])
+def test_buckets_equal_whole_groups(skewed, rows, width):
+    got = O.scan(skewed, ["g"], ["t", "id"], position="pos", bucket=F.floor(F.col("t") / width), **columns())
+    assert got.columns == by_windows(skewed).columns
+    assert rows(got) == rows(by_windows(skewed))
 
 
-def test_null_group_can_be_hot(skewed, rows):
-    hot = O.find_hot_groups(skewed, ["g"], min_rows=0)
-    assert None in [r["g"] for r in hot.collect()]
-    assert rows(all_columns(skewed, hot)) == rows(all_columns(skewed, None))
+def test_null_order_and_null_keys_keep_all_rows(spark, rows):
+    df = spark.createDataFrame([(None, None, i, float(i), None) for i in range(5)] + [(None, 3, 9, 1.0, "u"), ("a", None, 1, None, None)], SCHEMA)
+    assert rows(O.scan(df, ["g"], ["t", "id"], position="pos", **columns())) == rows(by_windows(df))
 
 
-def test_no_hot_groups(skewed):
-    assert O.find_hot_groups(skewed, ["g"]) is None
+@pytest.mark.parametrize("kind", ["timestamp", "date", "string", "double"])
+def test_default_buckets_keep_the_order(spark, kind):
+    df = spark.range(200).select((F.col("id") * 40_000).alias("id"), F.timestamp_seconds(F.col("id") * 40_000).alias("timestamp"))
+    df = df.withColumns({"date": F.to_date("timestamp"), "string": F.lpad(F.col("id").cast("string"), 9, "0"), "double": F.col("id") / 3.0})
+    got = O.scan(df, [], [kind, "id"], sums={"s": F.lit(1)}, position="p").orderBy("id").collect()
+    assert [(r.s, r.p) for r in got] == [(i, i) for i in range(1, 201)]
 
 
-def test_hot_list_is_bounded(spark):
-    many = spark.range(1000).select((F.col("id") % 100).alias("g"))
-    assert O.find_hot_groups(many, ["g"], min_rows=1).count() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+def test_building_a_scan_runs_no_job(spark, skewed):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "build")
+    O.scan(skewed, ["g"], ["t", "id"], position="pos", **columns())
+    jobs = tracker.getJobIdsForGroup("build")
+    spark.sparkContext.setJobGroup("", "")
+    assert not jobs
 
 
 def test_scan_without_keys(skewed):
@@ -86,10 +113,10 @@ def test_percent_rank_of_one_row(spark):
     assert O.percent_rank_from(one, "r", "x", "share").first()["share"] == 0.0
 
 
-def test_broadcast_if_small(spark):
-    big = spark.range(50)
-    assert O.broadcast_if_small(big, 10) is big
-    assert O.broadcast_if_small(big, 100).count() == 50
+def test_percent_rank_when_nearly_all_share_a_value(spark):
+    df = spark.range(1000).select("id", F.when(F.col("id") % 100 == 0, F.col("id")).otherwise(0).cast("double").alias("x"))
+    pdf = O.percent_rank_from(O.global_position(df, [F.desc("x"), "id"], "r"), "r", "x", "share").toPandas()
+    assert ((pdf.x.rank(method="min") - 1) / 999 - pdf.share).abs().max() < 1e-12
 
 
 def test_keep_latest_and_top_n(spark, rows):

@@ -1,9 +1,11 @@
 """Ordered operators that stay distributed when one group holds most of the rows.
 
-``scan`` gives running sums, carried values, neighbours and positions inside
-groups.  Ordinary groups go through one window.  Groups large enough to stall a
-task are range-partitioned on (keys, order), so that a single group spans many
-tasks; the parts are then stitched together with one small row per (group, part).
+``scan`` gives running sums, minima, carried values, neighbours and positions inside
+groups, by one plan for groups of any size: rows are windowed inside
+(group, bucket), a bucket being a stretch of the order such as an hour, and the
+buckets of a group are stitched together with one small row each.  The plan is
+lazy, keeps null keys apart like any other value and needs no look at the data
+first.
 
 ``global_position`` numbers all rows of a frame in a total order without moving
 them to one task; the rank functions are built on it.
@@ -18,54 +20,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import cut_lineage, parallelism
+from tidemark.session import cut_lineage
 
-# A group below this many rows is always left to a plain window.
-HOT_GROUP_ROWS = 2_000_000
-# Rows a group of the minimum size has in the sample that looks for hot groups.
-_SAMPLED_ROWS = 10_000
+# Width of a bucket of whole-number orders.
+NUMBERS_PER_BUCKET = 65_536
 
-_PART = "__part"
+_AT = "__at"
 _SLOT = "__slot"
 _ROWS = "__rows_here"
 _BEFORE = "__rows_before"
+_PART = "__part"
 
 
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
-def find_hot_groups(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_GROUP_ROWS) -> DataFrame | None:
-    """Keys of the groups that need splitting, or None.
-
-    Sizes are taken from a sample in which a group of ``min_rows`` still has
-    thousands of rows; the sample only picks the route of a group, never its
-    result.  Of the groups above the size the largest P are listed, P being the
-    shuffle partition count: any group left out is smaller than 1/P of all rows,
-    so the list has a fixed bound and covers every group that could stall a task.
-    """
-    spark = df.sparkSession
-    share = min(1.0, _SAMPLED_ROWS / max(min_rows, 1))
-    seen = df.select(*keys) if share == 1.0 else df.select(*keys).sample(share, seed=17)
-    counts = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    largest = (
-        counts.filter(F.col("__n") > min_rows * share)
-        .orderBy(F.desc("__n"), *keys)
-        .limit(parallelism(spark))
-        .select(*keys)
-    )
-    rows = largest.collect()
-    return spark.createDataFrame(rows, largest.schema) if rows else None
-
-
-def part_hot_groups(df: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows outside and the rows inside the hot groups.
-
-    The hot rows are written aside once, since they are sampled, cut in parts and
-    joined again.
-    """
-    small, same = F.broadcast(hot), _same(df, hot, hot.columns)
-    return df.join(small, same, "left_anti"), cut_lineage(df.join(small, same, "left_semi"))
+def default_bucket(df: DataFrame, column: str) -> Column:
+    """A stretch of an order column: an hour of times, a day, a run of numbers, the first letters of a text."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_trunc("HOUR", F.col(column))
+    if isinstance(kind, T.NumericType):
+        return F.floor(F.col(column) / F.lit(NUMBERS_PER_BUCKET))
+    if isinstance(kind, T.StringType):
+        return F.substring(F.col(column), 1, 4)
+    return F.col(column)
 
 
 def scan(
@@ -74,97 +50,78 @@ def scan(
     order: Sequence[str],
     *,
     sums: Mapping[str, Column] | None = None,
+    tied_sums: Mapping[str, Column] | None = None,
+    least: Mapping[str, Column] | None = None,
+    least_before: Mapping[str, Column] | None = None,
     carry: Mapping[str, Column] | None = None,
     following: Mapping[str, Column] | None = None,
     preceding: Mapping[str, Column] | None = None,
+    totals: Mapping[str, Column] | None = None,
     position: str | None = None,
-    hot: DataFrame | None = None,
+    bucket: Column | None = None,
 ) -> DataFrame:
     """Add running columns per group, rows taken in ascending ``order``.
 
-    Without ``keys`` the whole frame is one group and is always cut in parts.
-    ``order`` must be unique inside a group.  ``sums`` are running totals up to
-    and including the row, ``carry`` the last non-null value so far, ``following``
-    and ``preceding`` the neighbouring row's value, ``position`` the 1-based index.
-    ``hot`` lists the groups to cut in parts, by all or some of the keys, as found
-    by ``find_hot_groups``.
+    Without ``keys`` the whole frame is one group.  ``order`` must be unique inside
+    a group except for ``tied_sums``, which are running totals up to and including all
+    rows with the same first order column.  ``sums`` are running totals up to and
+    including the row, ``least`` running minima, ``least_before`` without the row, ``carry`` the last non-null value
+    so far, ``following`` and ``preceding`` the neighbouring row's value,
+    ``totals`` sums over the group, ``position`` the 1-based index.  ``bucket`` must not fall when the first
+    order column rises; buckets of a group meet in one task with one row each, and so
+    do the rows of one bucket.
     """
-    plan = _ScanColumns(keys, order, sums or {}, carry or {}, following or {}, preceding or {}, position)
-    if not keys:
-        return plan.split(df)
-    if hot is None:
-        return plan.plain(df)
-    cold_rows, hot_rows = part_hot_groups(df, hot)
-    return plan.plain(cold_rows).unionByName(plan.split(hot_rows))
-
-
-class _ScanColumns:
-    """The requested running columns, for whole groups or for groups cut in parts."""
-
-    def __init__(self, keys, order, sums, carry, following, preceding, position):
-        self.keys, self.order = list(keys), list(order)
-        self.sums, self.carry = sums, carry
-        self.following, self.preceding = following, preceding
-        self.position = position
-
-    def plain(self, df: DataFrame) -> DataFrame:
-        ordered = Window.partitionBy(*self.keys).orderBy(*self.order)
-        return df.withColumns(self._inside(ordered))
-
-    def _inside(self, ordered) -> dict[str, Column]:
-        so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = {name: F.sum(x).over(so_far) for name, x in self.sums.items()}
-        out |= {name: F.last(x, ignorenulls=True).over(so_far) for name, x in self.carry.items()}
-        out |= {name: F.lead(x).over(ordered) for name, x in self.following.items()}
-        out |= {name: F.lag(x).over(ordered) for name, x in self.preceding.items()}
-        if self.position:
-            out[self.position] = F.row_number().over(ordered).cast("bigint")
-        return out
-
-    def split(self, df: DataFrame) -> DataFrame:
-        names = df.columns
-        ranged = df.repartitionByRange(*self.keys, *self.order)
-        ranged = cut_lineage(ranged.withColumn(_PART, F.spark_partition_id()))
-        edges = self._edges(ranged)
-        inner = Window.partitionBy(*self.keys, _PART).orderBy(*self.order)
-        rows = ranged.withColumns(self._inside(inner) | {_SLOT: F.row_number().over(inner).cast("bigint")})
-        joined = rows.join(F.broadcast(edges), _same(rows, edges, [*self.keys, _PART])).select(
-            *[rows[c] for c in rows.columns], *[edges[c] for c in edges.columns if c not in (*self.keys, _PART)]
-        )
-        return joined.select(*names, *[c.alias(n) for n, c in self._stitched().items()])
-
-    def _edges(self, ranged: DataFrame) -> DataFrame:
-        """One row per (group, part); range partitioning keeps this below groups + parts rows."""
-        at = F.struct(*self.order)
-        per_part = [F.count(F.lit(1)).alias(_ROWS)]
-        per_part += [F.sum(x).alias(f"__p_{n}") for n, x in self.sums.items()]
-        per_part += [F.max_by(x, F.when(x.isNotNull(), at)).alias(f"__p_{n}") for n, x in self.carry.items()]
-        per_part += [F.min_by(x, at).alias(f"__p_{n}") for n, x in self.following.items()]
-        per_part += [F.max_by(x, at).alias(f"__p_{n}") for n, x in self.preceding.items()]
-        parts = ranged.groupBy(*self.keys, _PART).agg(*per_part)
-        across = Window.partitionBy(*self.keys).orderBy(_PART)
-        before = across.rowsBetween(Window.unboundedPreceding, -1)
-        out = {_BEFORE: F.sum(_ROWS).over(before)}
-        out |= {f"__e_{n}": F.sum(f"__p_{n}").over(before) for n in self.sums}
-        out |= {f"__e_{n}": F.last(f"__p_{n}", ignorenulls=True).over(before) for n in self.carry}
-        out |= {f"__e_{n}": F.lead(f"__p_{n}").over(across) for n in self.following}
-        out |= {f"__e_{n}": F.lag(f"__p_{n}").over(across) for n in self.preceding}
-        return parts.withColumns(out).select(*self.keys, _PART, _ROWS, *out)
-
-    def _stitched(self) -> dict[str, Column]:
-        def edge(name: str) -> Column:
-            return F.col(f"__e_{name}")
-
-        out = {}
-        for n in self.sums:
-            out[n] = F.when(F.col(n).isNull(), edge(n)).otherwise(F.col(n) + F.coalesce(edge(n), F.lit(0)))
-        out |= {n: F.coalesce(F.col(n), edge(n)) for n in self.carry}
-        last_of_part = F.col(_SLOT) == F.col(_ROWS)
-        out |= {n: F.when(last_of_part, edge(n)).otherwise(F.col(n)) for n in self.following}
-        out |= {n: F.when(F.col(_SLOT) == 1, edge(n)).otherwise(F.col(n)) for n in self.preceding}
-        if self.position:
-            out[self.position] = F.col(_SLOT) + F.coalesce(F.col(_BEFORE), F.lit(0))
-        return out
+    sums, tied_sums, least, least_before = sums or {}, tied_sums or {}, least or {}, least_before or {}
+    carry, following, preceding, totals = carry or {}, following or {}, preceding or {}, totals or {}
+    stretch = default_bucket(df, order[0]) if bucket is None else bucket
+    # A struct is never null itself and its null fields are equal, so null keys join like others.
+    rows = df.withColumn(_AT, F.struct(*keys, stretch.alias("__bucket")))
+
+    every_sum = {**sums, **tied_sums}
+    every_least = {**least, **least_before}
+    at = F.struct(*order)
+    per_bucket = [F.count(F.lit(1)).alias(_ROWS)]
+    per_bucket += [F.sum(x).alias(f"__p_{n}") for n, x in [*every_sum.items(), *totals.items()]]
+    per_bucket += [F.min(x).alias(f"__p_{n}") for n, x in every_least.items()]
+    per_bucket += [F.max_by(x, F.when(x.isNotNull(), at)).alias(f"__p_{n}") for n, x in carry.items()]
+    per_bucket += [F.min_by(x, at).alias(f"__p_{n}") for n, x in following.items()]
+    per_bucket += [F.max_by(x, at).alias(f"__p_{n}") for n, x in preceding.items()]
+    parts = rows.groupBy(_AT).agg(*per_bucket)
+
+    group = [F.col(_AT)[k] for k in keys]
+    across = Window.partitionBy(*group).orderBy(F.asc_nulls_first(F.col(_AT)["__bucket"]))
+    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    edges = {_BEFORE: F.sum(_ROWS).over(before)}
+    edges |= {f"__e_{n}": F.sum(f"__p_{n}").over(before) for n in every_sum}
+    edges |= {f"__e_{n}": F.min(f"__p_{n}").over(before) for n in every_least}
+    edges |= {f"__e_{n}": F.last(f"__p_{n}", ignorenulls=True).over(before) for n in carry}
+    edges |= {f"__e_{n}": F.lead(f"__p_{n}").over(across) for n in following}
+    edges |= {f"__e_{n}": F.lag(f"__p_{n}").over(across) for n in preceding}
+    edges |= {f"__e_{n}": F.sum(f"__p_{n}").over(Window.partitionBy(*group)) for n in totals}
+    stitches = parts.withColumns(edges).select(_AT, _ROWS, *edges)
+
+    inner = Window.partitionBy(_AT).orderBy(*order)
+    so_far = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = {n: F.sum(x).over(so_far) for n, x in sums.items()}
+    inside |= {n: F.sum(x).over(Window.partitionBy(_AT).orderBy(order[0])) for n, x in tied_sums.items()}
+    inside |= {n: F.min(x).over(so_far) for n, x in least.items()}
+    inside |= {n: F.min(x).over(inner.rowsBetween(Window.unboundedPreceding, -1)) for n, x in least_before.items()}
+    inside |= {n: F.last(x, ignorenulls=True).over(so_far) for n, x in carry.items()}
+    inside |= {n: F.lead(x).over(inner) for n, x in following.items()}
+    inside |= {n: F.lag(x).over(inner) for n, x in preceding.items()}
+    inside[_SLOT] = F.row_number().over(inner).cast("bigint")
+    joined = rows.withColumns(inside).join(stitches, _AT)
+
+    edge = lambda n: F.col(f"__e_{n}")
+    out = {n: F.when(F.col(n).isNull(), edge(n)).otherwise(F.col(n) + F.coalesce(edge(n), F.lit(0))) for n in every_sum}
+    out |= {n: F.least(n, edge(n)) for n in every_least}
+    out |= {n: F.coalesce(F.col(n), edge(n)) for n in carry}
+    out |= {n: F.when(F.col(_SLOT) == F.col(_ROWS), edge(n)).otherwise(F.col(n)) for n in following}
+    out |= {n: F.when(F.col(_SLOT) == 1, edge(n)).otherwise(F.col(n)) for n in preceding}
+    out |= {n: edge(n) for n in totals}
+    if position:
+        out[position] = F.col(_SLOT) + F.coalesce(F.col(_BEFORE), F.lit(0))
+    return joined.select(*[c for c in df.columns if c not in out], *[c.alias(n) for n, c in out.items()])
 
 
 def global_position(df: DataFrame, order: Sequence[Column | str], name: str) -> DataFrame:
@@ -195,29 +152,28 @@ def row_number_in(df: DataFrame, groups: Sequence[str], order: Sequence[Column |
     placed = global_position(df, [*groups, *order], "__pos")
     starts = placed.groupBy(*groups).agg((F.min("__pos") - 1).alias("__start"))
     same = reduce(lambda a, b: a & b, [F.col(f"r.{g}").eqNullSafe(F.col(f"s.{g}")) for g in groups])
-    joined = placed.alias("r").join(broadcast_if_small(starts).alias("s"), same)
+    joined = placed.alias("r").join(starts.alias("s"), same)
     return joined.select(*[F.col(f"r.{c}") for c in df.columns], (F.col("__pos") - F.col("__start")).alias(name))
 
 
 def percent_rank_from(df: DataFrame, rank: str, column: str, name: str) -> DataFrame:
     """``percent_rank`` ascending by ``column``, out of a rank that puts its largest value first.
 
-    Rows below a value are those behind its last rank.  Values are summed up before
-    they meet the rows again, so a value shared by most rows costs one row.
+    Rows below a value are those behind its last rank, and equal values stand side by side in
+    the rank, so the last rank of a value is found like the next smaller value: inside
+    stretches of ranks, stretches stitched by one row each.  No join on the value, however
+    many rows share it.
     """
-    last = df.groupBy(F.col(column).alias("__value")).agg(F.max(rank).alias("__last"))
-    total = df.agg(F.max(rank)).first()[0] or 0
-    share = (F.lit(total) - F.col("__last")) / F.lit(float(total - 1)) if total > 1 else F.lit(0.0)
-    shares = last.select("__value", share.alias(name))
-    return df.join(shares, F.col(column).eqNullSafe(F.col("__value")), "left").drop("__value")
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """A broadcast copy of ``df`` when it has at most ``max_rows`` rows, else ``df`` itself."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    after = "__after"
+    marked = scan(df, [], [rank], following={after: F.struct(F.col(column).alias("v"))}, totals={"__total": F.lit(1)})
+    is_last = F.col(after).isNull() | ~F.col(f"{after}.v").eqNullSafe(F.col(column))
+    # Seen from the end, the nearest last rank of a value is its own.
+    backwards = scan(
+        marked.withColumn("__back", -F.col(rank)), [], ["__back"], carry={"__last": F.when(is_last, F.col(rank))}
+    )
+    total = F.col("__total")
+    share = F.when(total > 1, (total - F.col("__last")) / (total - 1).cast("double")).otherwise(F.lit(0.0))
+    return backwards.select(*df.columns, share.alias(name))
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark import settings as S
 from tidemark.functions import market as M
-from tidemark.operators.ordered import HOT_GROUP_ROWS, find_hot_groups, keep_latest, part_hot_groups, scan, top_n_per_group
+from tidemark.operators.ordered import keep_latest, scan, top_n_per_group
 
 PAIR = ["wallet_address", "token_address"]
 TRADE_COLUMNS = [*PAIR, "token_symbol", "trade_id", "trade_time", "side", "quantity", "usd"]
@@ -69,28 +69,17 @@ def trades_from_swaps(swaps: DataFrame) -> DataFrame:
 # --- running average cost -----------------------------------------------------------
 
 
-def swap_pairs_of(swaps: DataFrame) -> DataFrame:
-    """Wallet and token of raw swaps: enough to find crowded pairs without valuing and deduplicating first."""
-    return swaps.select("wallet_address", F.col("base_address").alias("token_address"))
-
-
-def costed_trades(trades: DataFrame, pairs: DataFrame | None = None, min_hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def costed_trades(trades: DataFrame) -> DataFrame:
     """Buys and sells with the average cost of all buys up to and including their moment.
 
     This is the as-of match of every sell with the buys before it, ties included,
     done as one ordered pass instead of a join of sells with earlier buys.  A sell
-    before any buy has no basis and realises 0.  ``pairs`` may name a frame that is
-    cheaper to count than the trades when looking for crowded pairs.
+    before any buy has no basis and realises 0.
     """
     moved = trades.filter(F.col("side").isin("BUY", "SELL"))
-    hot = find_hot_groups(moved if pairs is None else pairs, PAIR, min_hot_rows)
-    cold, crowded = (moved, None) if hot is None else part_hot_groups(moved, hot)
-    known = Window.partitionBy(*PAIR).orderBy("trade_time")  # default frame: rows of the same moment count
-    costed = cold.withColumn(
-        "avg_cost", F.try_divide(F.sum(_buys("usd")).over(known), F.sum(_buys("quantity")).over(known))
-    )
-    if crowded is not None:
-        costed = costed.unionByName(crowded.join(_cost_levels(crowded, hot), [*PAIR, "trade_time"]))
+    known = {"__bought": _buys("quantity"), "__paid": _buys("usd")}
+    levels = scan(moved, PAIR, ["trade_time", "trade_id"], tied_sums=known)
+    costed = levels.withColumn("avg_cost", F.try_divide("__paid", "__bought")).drop(*known)
     cost = _sells(F.col("quantity") * F.col("avg_cost"))
     return costed.withColumns(
         {
@@ -101,33 +90,17 @@ def costed_trades(trades: DataFrame, pairs: DataFrame | None = None, min_hot_row
     )
 
 
-def _cost_levels(trades: DataFrame, hot: DataFrame) -> DataFrame:
-    """Average cost per trading moment of pairs too large for one task.
-
-    Trades are first summed per moment with map-side combine, which makes the
-    order unique, and the moments are scanned in parts.
-    """
-    moments = trades.groupBy(*PAIR, "trade_time").agg(
-        F.sum(_buys("quantity")).alias("bought_here"), F.sum(_buys("usd")).alias("paid_here")
-    )
-    sums = {"bought": F.col("bought_here"), "paid": F.col("paid_here")}
-    levels = scan(moments, PAIR, ["trade_time"], sums=sums, hot=hot)
-    return levels.select(*PAIR, "trade_time", F.try_divide("paid", "bought").alias("avg_cost"))
-
-
-def sells_with_cost(trades: DataFrame, pairs: DataFrame | None = None, min_hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def sells_with_cost(trades: DataFrame) -> DataFrame:
     """Each sell with its cost basis and realised result."""
-    return costed_trades(trades, pairs, min_hot_rows).filter(F.col("side") == "SELL")
+    return costed_trades(trades).filter(F.col("side") == "SELL")
 
 
-def running_cost_by_token(
-    trades: DataFrame, include_unbought: bool = False, pairs: DataFrame | None = None, min_hot_rows: int = HOT_GROUP_ROWS
-) -> DataFrame:
+def running_cost_by_token(trades: DataFrame, include_unbought: bool = False) -> DataFrame:
     """Realised result per wallet and token under the running average cost.
 
     Tokens that were only sold are left out unless ``include_unbought``.
     """
-    tokens = costed_trades(trades, pairs, min_hot_rows).groupBy(*PAIR).agg(
+    tokens = costed_trades(trades).groupBy(*PAIR).agg(
         F.max("token_symbol").alias("token_symbol"),
         F.sum("realized_pnl").alias("realized_pnl"),
         F.sum("cost_of_sold").alias("cost_of_sold"),
@@ -352,7 +325,7 @@ def net_flow_portfolio(tokens: DataFrame, volume: str = "both") -> DataFrame:
 # --- position tracking --------------------------------------------------------------------
 
 
-def running_positions(trades: DataFrame, min_hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def running_positions(trades: DataFrame) -> DataFrame:
     """Sequence number, signed position and buy cost after every trade of a pair."""
     signed = F.when(F.col("side") == "BUY", F.col("quantity")).otherwise(-F.col("quantity"))
     paid = F.when(F.col("side") == "BUY", F.col("usd")).otherwise(0.0)
@@ -363,17 +336,16 @@ def running_positions(trades: DataFrame, min_hot_rows: int = HOT_GROUP_ROWS) ->
         ["trade_time", "trade_id"],
         sums={"running_position": signed, "running_cost": paid},
         position="trade_order",
-        hot=find_hot_groups(moved, PAIR, min_hot_rows),
     )
 
 
-def position_pnl(trades: DataFrame, min_hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def position_pnl(trades: DataFrame) -> DataFrame:
     """Result per wallet and token from tracked positions.
 
     Rows whose position went negative are dropped.  Expects the extra columns
     ``trade_efficiency_score`` and ``timing_score``.
     """
-    valid = running_positions(trades, min_hot_rows).filter(F.col("running_position") >= 0)
+    valid = running_positions(trades).filter(F.col("running_position") >= 0)
     pairs = valid.groupBy(*PAIR).agg(
         F.max("running_position").alias("position_tokens"),
         F.max("running_cost").alias("cost_basis"),
@@ -411,60 +383,85 @@ def position_pnl(trades: DataFrame, min_hot_rows: int = HOT_GROUP_ROWS) -> DataF
 # --- first in, first out ---------------------------------------------------------------------
 
 
-def fifo_matches(
-    trades: DataFrame,
-    strict: bool = False,
-    scale: int = 9,
-    pairs: DataFrame | None = None,
-    min_hot_rows: int = HOT_GROUP_ROWS,
-) -> DataFrame:
+# Points of a pair that share a cell of its quantity axis, on average.
+CELL_POINTS = 10_000
+
+
+def fifo_matches(trades: DataFrame, strict: bool = False, scale: int = 18, cell_points: int = CELL_POINTS) -> DataFrame:
     """Pieces of sells matched to buy lots, first in first out.
 
-    Every trade starts at the summed quantity of earlier trades on its side.  All
-    starts of a pair lie on one axis; between two neighbouring starts exactly one
-    lot meets one sell.  The number of pieces is at most buys + sells, and no buy
-    is ever compared with a sell it does not touch.  Quantities are decimals, so
-    the pieces add up exactly.  ``strict`` keeps only lots bought no later than
-    the sell.
+    Every trade takes a stretch of one axis per pair: buys the summed quantity
+    of the buys so far, sells that of the sells so far.  Where two stretches overlap, the
+    lot meets the sell.  With ``strict`` a sell takes only what had been bought
+    by its moment and is not yet sold, ``consumed = least(bought by then, consumed before +
+    quantity)``; that recurrence is the summed sells plus the running minimum of ``bought by then -
+    summed sells`` where negative.  What a sell could not get stays unmatched and its lots
+    serve later sells.
+
+    The axis of a pair is cut in cells of equal width, one for about ``cell_points``
+    of its trades; stretches are cut at cell borders and each cell is matched by
+    itself.  Stretches of one side do not overlap, so this adds at most two rows per
+    border, there are at most buys + sells pieces, and no buy is compared with a sell it does
+    not touch.  Quantities are decimals, so pieces add up exactly.
     """
-    amount = F.col("quantity").cast(f"decimal(28,{scale})")
+    number = f"decimal(37,{scale})"  # one digit less than the most, so that differences keep the scale
     moved = trades.filter(F.col("side").isin("BUY", "SELL")).select(
-        *PAIR, "side", "trade_id", "trade_time", F.try_divide("usd", "quantity").alias("price"), amount.alias("amount")
+        *PAIR, "side", "trade_id", "trade_time", F.try_divide("usd", "quantity").alias("price"), F.col("quantity").cast(number).alias("amount")
     )
     moved = moved.filter(F.col("amount") > 0)
-    hot = find_hot_groups(moved if pairs is None else pairs, PAIR, min_hot_rows)
-    sums = {"bought": _buys("amount"), "sold": _sells("amount")}
-    stacked = scan(moved, PAIR, ["trade_time", "trade_id"], sums=sums, hot=hot)
-    end = F.when(F.col("side") == "BUY", F.col("bought")).otherwise(F.col("sold"))
-    leg = F.struct("trade_id", "trade_time", "price", end.alias("end"))
-    points = stacked.select(
-        *PAIR, "side", "trade_id", (end - F.col("amount")).alias("start"), _buys(leg).alias("buy"), _sells(leg).alias("sell")
-    )
-    walked = scan(
-        points,
+    stacked = scan(
+        moved,
         PAIR,
-        ["start", "side", "trade_id"],
-        carry={"lot": F.col("buy"), "sale": F.col("sell")},
-        following={"next_start": F.col("start")},
-        hot=hot,
-    )
-    piece_end = F.least("next_start", "lot.end", "sale.end")
-    pieces = walked.filter(F.col("lot").isNotNull() & F.col("sale").isNotNull()).withColumn(
-        "matched", piece_end - F.col("start")
+        ["trade_time", "trade_id"],
+        sums={"bought": _buys("amount"), "sold": _sells("amount")},
+        tied_sums={"bought_by_then": _buys("amount")},
+        totals={"pair_rows": F.lit(1), "pair_bought": _buys("amount")},
     )
-    matched = pieces.filter(F.col("matched") > 0)
+    end = F.when(F.col("side") == "BUY", F.col("bought")).otherwise(F.col("sold")).cast(number)
+    points = stacked.withColumns({"start": (end - F.col("amount")).cast(number), "end": end})
     if strict:
-        matched = matched.filter(F.col("lot.trade_time") <= F.col("sale.trade_time"))
-    quantity = F.col("matched").cast("double")
-    return matched.select(
+        short = F.coalesce("bought_by_then", F.lit(0)).cast(number) - F.col("sold").cast(number)
+        short = F.when(F.col("side") == "SELL", short.cast(number))
+        points = scan(points, PAIR, ["trade_time", "trade_id"], least={"low": short}, least_before={"low_before": short})
+        zero, is_sell = F.lit(0).cast(number), F.col("side") == "SELL"
+        points = points.withColumns(
+            {
+                "end": F.when(is_sell, F.col("end") + F.least(zero, "low")).otherwise(F.col("end")).cast(number),
+                "start": F.when(is_sell, F.col("start") + F.least(zero, "low_before")).otherwise(F.col("start")).cast(number),
+            }
+        )
+    # Borders have few decimals, so that a cell number times the width is exact.
+    border = "decimal(38,6)"
+    cells = F.ceil(F.col("pair_rows") / F.lit(cell_points))
+    width = ((F.col("pair_bought") / cells).cast(border) + F.lit("0.000001").cast(border)).cast(border)
+    placed = points.filter((F.col("end") > F.col("start")) & (F.col("start") < F.col("pair_bought")))
+    placed = placed.withColumns({"width": width, "reach": F.least("end", "pair_bought")})
+    first, last = F.expr("start div width"), F.expr(f"(reach - CAST('1e-{scale}' AS {number})) div width")
+    placed = placed.withColumn("cell", F.explode(F.sequence(first, last)))
+    low = (F.col("cell").cast("decimal(18,0)") * F.col("width")).cast(border)
+    high = (low + F.col("width")).cast(number)
+    clipped = placed.withColumns({"from": F.greatest("start", low.cast(number)), "to": F.least("reach", high)})
+
+    inside = Window.partitionBy(*PAIR, "cell").orderBy("from", "side", "trade_id")
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    leg = F.struct("trade_id", "trade_time", "price", "to")
+    walked = clipped.select(
         *PAIR,
-        F.col("lot.trade_id").alias("buy_id"),
-        F.col("sale.trade_id").alias("sell_id"),
-        F.col("lot.trade_time").alias("buy_time"),
-        F.col("sale.trade_time").alias("sell_time"),
-        quantity.alias("quantity"),
-        (quantity * F.col("lot.price")).alias("cost"),
-        (quantity * F.col("sale.price")).alias("proceeds"),
+        "from",
+        F.last(_buys(leg), ignorenulls=True).over(so_far).alias("lot"),
+        F.last(_sells(leg), ignorenulls=True).over(so_far).alias("sale"),
+        F.lead("from").over(inside).alias("next_from"),
+    )
+    piece = F.least("next_from", "lot.to", "sale.to") - F.col("from")
+    pieces = walked.filter(F.col("lot").isNotNull() & F.col("sale").isNotNull()).withColumn("matched", piece.cast(number))
+    trade = lambda side, name: F.col(f"{side}.{name}")
+    names = {"buy_id": trade("lot", "trade_id"), "sell_id": trade("sale", "trade_id"), "buy_time": trade("lot", "trade_time"), "sell_time": trade("sale", "trade_time")}
+    prices = {"buy_price": trade("lot", "price"), "sell_price": trade("sale", "price")}
+    found = pieces.filter(F.col("matched") > 0).select(*PAIR, *[c.alias(n) for n, c in (names | prices).items()], "matched")
+    # A piece that a cell border cuts is one piece again.
+    whole = found.groupBy(*PAIR, *names, *prices).agg(F.sum("matched").cast("double").alias("quantity"))
+    return whole.select(
+        *PAIR, *names, "quantity", (F.col("quantity") * F.col("buy_price")).alias("cost"), (F.col("quantity") * F.col("sell_price")).alias("proceeds")
     )
 
 

@@ -58,7 +58,7 @@ class TraderFlow(Flow):
         return self.merge("tracked_holders", rows, ["whale_id"], only_if=F.col("s.rank_date") > F.col("t.rank_date"))
 
     def wallet_results(self, swaps: DataFrame) -> DataFrame:
-        by_token = pnl.running_cost_by_token(pnl.trades_from_swaps(swaps), pairs=pnl.swap_pairs_of(swaps))
+        by_token = pnl.running_cost_by_token(pnl.trades_from_swaps(swaps))
         portfolios = pnl.running_cost_portfolio(by_token)
         rows = portfolios.withColumns(
             {

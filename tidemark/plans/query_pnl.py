@@ -16,12 +16,8 @@ def trades(spark, sf_dir):
     return pnl.trades_from_swaps(A.swaps(spark, sf_dir))
 
 
-def pairs(spark, sf_dir):
-    return pnl.swap_pairs_of(A.swaps(spark, sf_dir))
-
-
 def tokens(spark, sf_dir):
-    return pnl.running_cost_by_token(trades(spark, sf_dir), pairs=pairs(spark, sf_dir))
+    return pnl.running_cost_by_token(trades(spark, sf_dir))
 
 
 def portfolios(spark, sf_dir):
@@ -63,7 +59,7 @@ def leg_values_and_sides(spark, sf_dir):
     SELECT wallet_address, token_address, trade_id, trade_time, quantity, usd, avg_cost, avg_cost IS NOT NULL AS has_cost_basis,
            coalesce(quantity * avg_cost, 0) AS cost_of_sold, coalesce(usd - quantity * avg_cost, 0) AS realized_pnl FROM sell_costs""")
 def asof_sell_cost(spark, sf_dir):
-    return pnl.sells_with_cost(trades(spark, sf_dir), pairs(spark, sf_dir)).drop("token_symbol", "side")
+    return pnl.sells_with_cost(trades(spark, sf_dir)).drop("token_symbol", "side")
 
 
 _TOKEN_ROWS = """SELECT wallet_address, token_address, token_symbol, round(realized_pnl, 4) AS realized_pnl, round(cost_of_sold, 4) AS cost_of_sold,
@@ -207,13 +203,50 @@ def position_pnl(spark, sf_dir):
 @query(using("fifo") + """SELECT wallet_address, token_address, buy_id, sell_id, buy_time, sell_time, quantity,
     round(cost, 4) AS cost, round(proceeds, 4) AS proceeds FROM fifo""")
 def fifo_matches(spark, sf_dir):
-    return rounded(pnl.fifo_matches(trades(spark, sf_dir), pairs=pairs(spark, sf_dir)), 4, "cost", "proceeds")
+    return rounded(pnl.fifo_matches(trades(spark, sf_dir)), 4, "cost", "proceeds")
+
+
+# Sells are walked one after the other, each taking what is bought by its moment and not yet sold.
+_QUEUE = """, sells AS (
+    SELECT s.*, row_number() OVER (PARTITION BY wallet_address, token_address ORDER BY trade_time, trade_id) AS n,
+           coalesce((SELECT sum(b.quantity) FROM trades b WHERE b.wallet_address = s.wallet_address AND b.token_address = s.token_address
+                     AND b.side = 'BUY' AND b.trade_time <= s.trade_time), 0) AS bought FROM trades s WHERE side = 'SELL'),
+  walk AS (
+    SELECT wallet_address, token_address, n, CAST(0 AS DOUBLE) AS used, least(bought, quantity) AS used_then FROM sells WHERE n = 1
+    UNION ALL
+    SELECT s.wallet_address, s.token_address, s.n, w.used_then, least(s.bought, w.used_then + s.quantity)
+    FROM walk w JOIN sells s ON s.wallet_address = w.wallet_address AND s.token_address = w.token_address AND s.n = w.n + 1),
+  met AS (
+    SELECT s.wallet_address, s.token_address, s.trade_id AS sell_id, least(b.hi, w.used_then) - greatest(b.lo, w.used) AS matched,
+           s.usd / s.quantity AS sell_price, b.price AS buy_price
+    FROM walk w JOIN sells s USING (wallet_address, token_address, n)
+    JOIN fifo_legs b ON b.wallet_address = w.wallet_address AND b.token_address = w.token_address AND b.side = 'BUY'
+     AND b.lo < w.used_then AND w.used < b.hi)
+  SELECT wallet_address, token_address, sell_id, sum(matched) AS matched_quantity, round(sum(matched * buy_price), 4) AS cost,
+         round(sum(matched * sell_price - matched * buy_price), 4) AS realized_pnl, count(*) AS lots FROM met GROUP BY ALL"""
+
+
+@query(using("fifo_legs").replace("WITH", "WITH RECURSIVE", 1) + _QUEUE)
+def fifo_without_short_sales(spark, sf_dir):
+    return rounded(pnl.fifo_by_sell(pnl.fifo_matches(trades(spark, sf_dir), strict=True)), 4, "cost", "realized_pnl")
 
 
-@query(using("fifo") + """SELECT wallet_address, token_address, sell_id, sum(quantity) AS matched_quantity, round(sum(cost), 4) AS cost,
-    round(sum(proceeds - cost), 4) AS realized_pnl, count(*) AS lots FROM fifo WHERE buy_time <= sell_time GROUP BY ALL""")
-def fifo_without_short_sales(spark, sf_dir):
-    return rounded(pnl.fifo_by_sell(pnl.fifo_matches(trades(spark, sf_dir), strict=True, pairs=pairs(spark, sf_dir))), 4, "cost", "realized_pnl")
+# Half of all trades belong to one pair and that pair has no token.
+_CROWDED = """, crowded AS (
+    SELECT CASE WHEN trade_id % 2 = 0 THEN wallet_address END AS wallet_address, CASE WHEN trade_id % 2 = 0 THEN token_address END AS token_address,
+           trade_id, trade_time, side, quantity, usd FROM order_trades)
+  SELECT trade_id, wallet_address, token_address, round(usd - quantity * sum(CASE side WHEN 'BUY' THEN usd END) OVER w
+         / sum(CASE side WHEN 'BUY' THEN quantity END) OVER w, 4) AS realized_pnl FROM crowded
+  WINDOW w AS (PARTITION BY wallet_address, token_address ORDER BY trade_time) QUALIFY side = 'SELL'"""
+
+
+@query(using("order_trades") + _CROWDED)
+def crowded_sell_cost(spark, sf_dir):
+    named = F.col("trade_id") % 2 == 0
+    rows = A.order_trades(spark, sf_dir).withColumns({c: F.when(named, F.col(c)) for c in pnl.PAIR})
+    sold = pnl.sells_with_cost(rows)
+    result = F.when(F.col("has_cost_basis"), F.round("realized_pnl", 4))
+    return sold.select("trade_id", *pnl.PAIR, result.alias("realized_pnl"))
 
 
 # --- selections ---------------------------------------------------------------------------------------
