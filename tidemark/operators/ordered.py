@@ -44,6 +44,13 @@ def default_bucket(df: DataFrame, column: str) -> Column:
     return F.col(column)
 
 
+def _plus(here: Column, before: Column, kind: T.DataType) -> Column:
+    """The sum of a total and what came before; a decimal of most digits gives one up, so that its scale stays."""
+    if isinstance(kind, T.DecimalType):
+        kind = T.DecimalType(min(kind.precision, 37), kind.scale)
+    return here.cast(kind) + F.coalesce(before.cast(kind), F.lit(0).cast(kind))
+
+
 def scan(
     df: DataFrame,
     keys: Sequence[str],
@@ -113,7 +120,8 @@ def scan(
     joined = rows.withColumns(inside).join(stitches, _AT)
 
     edge = lambda n: F.col(f"__e_{n}")
-    out = {n: F.when(F.col(n).isNull(), edge(n)).otherwise(F.col(n) + F.coalesce(edge(n), F.lit(0))) for n in every_sum}
+    kinds = {n: joined.schema[n].dataType for n in every_sum}
+    out = {n: F.when(F.col(n).isNull(), edge(n)).otherwise(_plus(F.col(n), edge(n), kinds[n])).cast(kinds[n]) for n in every_sum}
     out |= {n: F.least(n, edge(n)) for n in every_least}
     out |= {n: F.coalesce(F.col(n), edge(n)) for n in carry}
     out |= {n: F.when(F.col(_SLOT) == F.col(_ROWS), edge(n)).otherwise(F.col(n)) for n in following}

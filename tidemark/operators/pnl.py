@@ -435,7 +435,7 @@ def fifo_matches(trades: DataFrame, strict: bool = False, scale: int = 18, cell_
     cells = F.ceil(F.col("pair_rows") / F.lit(cell_points))
     width = ((F.col("pair_bought") / cells).cast(border) + F.lit("0.000001").cast(border)).cast(border)
     placed = points.filter((F.col("end") > F.col("start")) & (F.col("start") < F.col("pair_bought")))
-    placed = placed.withColumns({"width": width, "reach": F.least("end", "pair_bought")})
+    placed = placed.withColumns({"width": width, "reach": F.least("end", F.col("pair_bought").cast(number))})
     first, last = F.expr("start div width"), F.expr(f"(reach - CAST('1e-{scale}' AS {number})) div width")
     placed = placed.withColumn("cell", F.explode(F.sequence(first, last)))
     low = (F.col("cell").cast("decimal(18,0)") * F.col("width")).cast(border)
