@@ -135,11 +135,13 @@ def _crossed(texts: DataFrame, parsed: DataFrame, window: int) -> DataFrame:
     """Texts that share an anchor with another document, with their found phrases and the phrases to probe."""
     phrases = parsed.select(*KEY, F.explode("phrases").alias("p")).select(*KEY, "p.*")
     anchors = phrases.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
-    shared = cut_lineage(phrases.join(anchors.select("anchor"), "anchor", "left_semi"))
+    # Written, so that both sides of the join are dealt anew and a crowded anchor can be split.
+    shared = cut_lineage(phrases.join(cut_lineage(anchors.select("anchor")), "anchor", "left_semi"))
     owners = shared.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "start", "anchor")).alias("owner"))
     owners = cut_lineage(owners.select("h1", "h2", "owner.anchor", F.col("owner.doc_id").alias("ref_doc"), F.col("owner.start").alias("ref_start")))
     # Anchors whose phrases differ between documents stand at factor boundaries.
-    open_anchors = owners.groupBy("anchor").agg(F.min("ref_doc").alias("lo"), F.max("ref_doc").alias("hi")).filter("lo < hi").select("anchor")
+    open_anchors = owners.groupBy("anchor").agg(F.min("ref_doc").alias("lo"), F.max("ref_doc").alias("hi")).filter("lo < hi")
+    open_anchors = cut_lineage(open_anchors.select("anchor"))
     placed = shared.join(owners.drop("anchor"), ["h1", "h2"])
     found = placed.filter("ref_doc < doc_id").select(*KEY, "start", (F.col("windows") + window - 1).alias("length"), "ref_doc", "ref_start")
     probed = placed.filter("ref_doc = doc_id").join(open_anchors, "anchor", "left_semi")
@@ -174,7 +176,7 @@ def _window_hits(crossed: DataFrame, window: int) -> DataFrame:
     probed = crossed.filter(F.size("probed") > 0).select(*KEY, "text", "probed")
     windows = cut_lineage(probed.mapInArrow(run, "doc_id long, mark long, start int, h1 long, h2 long"))
     first = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").drop("hi")
-    hits = windows.join(first, ["h1", "h2"]).filter("lo < doc_id")
+    hits = windows.join(cut_lineage(first), ["h1", "h2"]).filter("lo < doc_id")
     return hits.groupBy(*KEY).agg(F.collect_list("start").alias("starts"))
 
 
