@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # Text handled at once inside a task; a longer single text is handled alone.
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 1_000_000
 
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -87,15 +87,17 @@ class Words:
     are the words of text i.
     """
 
-    def __init__(self, offsets: np.ndarray, data: np.ndarray):
+    def __init__(self, offsets: np.ndarray, data: np.ndarray, cuts: np.ndarray | None = None):
+        """``cuts`` may mark bytes before which a word is cut as well."""
         low, high = int(offsets[0]), int(offsets[-1])
         self.data = data[low:high]
         self.bounds = offsets - low
         inside = ~_WHITE[self.data]
-        begins = inside.copy()
-        begins[1:] &= ~inside[:-1]
-        finishes = inside.copy()
-        finishes[:-1] &= ~inside[1:]
+        apart = np.ones(len(inside) + 1, dtype=bool)
+        apart[1:-1] = ~(inside[:-1] & inside[1:])
+        if cuts is not None:
+            apart[:-1] |= cuts
+        begins, finishes = inside & apart[:-1], inside & apart[1:]
         inner = self.bounds[(self.bounds > 0) & (self.bounds < len(self.data))]
         begins[inner] = inside[inner]
         finishes[inner - 1] = inside[inner - 1]
