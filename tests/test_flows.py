@@ -52,3 +52,27 @@ def test_event_flow_in_three_steps(spark, sf_dir, rows):
         part = messages.filter(F.col("processed_at") < F.lit(day).cast("timestamp_ntz"))
         stepped = EventFlow(spark, root, datetime(2024, 2, 1 + step), day).run(part)
     assert rows(stepped) == rows(whole)
+
+
+def test_event_flow_finds_late_and_equal_messages(spark, sf_dir, rows):
+    messages = A.messages(spark, sf_dir)
+    odd = F.col("message_id").cast("bigint") % 2 == 1
+    unnamed = messages.filter(F.col("message_id").cast("bigint") % 50 == 0).withColumn("message_id", F.lit(None).cast("string"))
+    every = messages.unionByName(unnamed)
+    whole = EventFlow(spark, fresh_path(spark, "events"), datetime(2024, 2, 1), "all")
+    root = fresh_path(spark, "events")
+    want = rows(whole.run(every))
+    EventFlow(spark, root, datetime(2024, 2, 1), "odd").run(every.filter(odd))  # the others come late, with the same stamps
+    assert rows(EventFlow(spark, root, datetime(2024, 2, 2), "rest").run(every)) == want
+    assert rows(EventFlow(spark, root, datetime(2024, 2, 3), "again").run(every)) == want
+    assert whole.table("events").read().filter("message_id like 'unnamed%'").count() == unnamed.count()
+
+
+def test_a_changed_result_goes_to_gold_again(spark, sources):
+    root, swaps = fresh_path(spark, "flow"), sources[2]
+    TraderFlow(spark, root, datetime(2024, 2, 1, 6), "one").run(*sources[:2], swaps.filter("event_id % 2 = 0"))
+    gold = TraderFlow(spark, root, datetime(2024, 2, 1, 18), "two").run(*sources)
+    whole = TraderFlow(spark, fresh_path(spark, "flow"), datetime(2024, 2, 1, 18), "all").run(*sources)
+    score = lambda df: {r["wallet_address"]: r["total_pnl"] for r in df.collect()}
+    found, want = score(gold), score(whole)
+    assert {w: found[w] for w in want} == want

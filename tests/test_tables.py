@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import incremental as I
-from tidemark.session import fresh_path, shared_folder
+from tidemark.session import fresh_path, shared_folder, stored_bytes
 from tidemark.sources import tables as S
 
 TARGET = "k string, v int, status string"
@@ -150,7 +150,7 @@ def test_batches(spark):
 def test_compaction_clusters(spark):
     source, target = fresh_path(spark, "many"), fresh_path(spark, "few")
     spark.range(1000).repartition(20).write.parquet(source)
-    S.compact(spark, source, target, ["id"], files=2)
+    S.compact(spark, source, target, ["id"], file_bytes=stored_bytes(spark, source) // 2 + 1)
     files = spark.read.parquet(target).groupBy(F.input_file_name().alias("f")).agg(F.min("id").alias("lo"), F.max("id").alias("hi")).orderBy("lo").collect()
     assert len(files) == 2 and files[0]["hi"] < files[1]["lo"]
 
@@ -165,8 +165,46 @@ def test_merge_rewrites_only_touched_partitions(spark, rows):
     lake = S.Lake(spark, fresh_path(spark, "lake"))
     schema = "token_address string, liquidity double, processing_date date"
     lake.merge("tokens", spark.createDataFrame([("a", 1.0, date(2024, 1, 1)), ("b", 2.0, date(2024, 1, 2))], schema))
-    before = {r["file_path"] for r in I.stored_files(lake.read("tokens").filter("processing_date = '2024-01-01'")).collect()}
+    before = {r["file_path"] for r in I.stored_files(spark, lake.path("tokens") + "/processing_date=2024-01-01").collect()}
     lake.merge("tokens", spark.createDataFrame([("b", 5.0, date(2024, 1, 2)), ("c", 6.0, date(2024, 1, 3))], schema))
-    after = {r["file_path"] for r in I.stored_files(lake.read("tokens").filter("processing_date = '2024-01-01'")).collect()}
+    after = {r["file_path"] for r in I.stored_files(spark, lake.path("tokens") + "/processing_date=2024-01-01").collect()}
     assert before == after
     assert rows(lake.read("tokens"), "token_address", "liquidity") == [("a", 1.0), ("b", 5.0), ("c", 6.0)]
+
+
+TRADERS = "wallet_address string, performance_tier string, smart_trader_score double"
+
+
+def test_merge_moves_keys_between_partitions(spark, rows):
+    lake = S.Lake(spark, fresh_path(spark, "lake"))
+    lake.merge("traders", spark.createDataFrame([("a", "STRONG", 1.0), ("b", "STRONG", 2.0), ("c", None, 3.0), (None, "ELITE", 4.0)], TRADERS))
+    lake.merge("traders", spark.createDataFrame([("a", "ELITE", 9.0)], TRADERS))
+    want = [("a", "ELITE", 9.0), ("b", "STRONG", 2.0), ("c", None, 3.0), (None, "ELITE", 4.0)]
+    assert rows(lake.read("traders"), "wallet_address", "performance_tier", "smart_trader_score") == sorted(want, key=repr)
+    # The last row of a partition leaves it; rows without a partition value and without a key stay and match.
+    lake.merge("traders", spark.createDataFrame([("b", "ELITE", 5.0), ("c", None, 6.0), (None, "ELITE", 7.0)], TRADERS))
+    want = [("a", "ELITE", 9.0), ("b", "ELITE", 5.0), ("c", None, 6.0), (None, "ELITE", 7.0)]
+    assert rows(lake.read("traders"), "wallet_address", "performance_tier", "smart_trader_score") == sorted(want, key=repr)
+
+
+def test_upsert_matches_null_keys(target, rows):
+    source = target.sparkSession.createDataFrame([(None, 90, "new")], TARGET)
+    once = I.upsert(target, source, ["k"])
+    want = sorted([("a", 1, "done"), ("b", 2, "done"), (None, 90, "new")], key=repr)
+    assert rows(once) == want and rows(I.upsert(once, source, ["k"])) == want
+
+
+def test_compaction_keeps_partitions(spark, rows):
+    source, target = fresh_path(spark, "many"), fresh_path(spark, "few")
+    spark.range(300).withColumn("p", F.col("id") % 3).repartition(10).write.partitionBy("p").parquet(source)
+    S.compact(spark, source, target, ["id"], ["p"])
+    assert rows(spark.read.parquet(target), "id", "p") == rows(spark.read.parquet(source), "id", "p")
+    folders = {r["f"] for r in spark.read.parquet(target).select(F.regexp_extract(F.input_file_name(), "/(p=[0-9])/", 1).alias("f")).collect()}
+    assert folders == {"p=0", "p=1", "p=2"} and I.stored_files(spark, target).count() == 3
+
+
+def test_refetch_takes_the_longest_waiting(spark):
+    data = [("a", "completed", date(2024, 1, 1)), ("b", "completed", date(2024, 1, 9)), ("c", None, None), ("d", "pending", date(2024, 1, 9)), ("e", "completed", date(2023, 12, 1))]
+    df = spark.createDataFrame(data, "id string, whale_fetch_status string, whale_fetched_at date")
+    found = I.next_for_refetch(df, "holders", "id", F.lit("2024-01-10").cast("date"), 3)
+    assert [r["id"] for r in found.collect()] == ["c", "e", "a"]

@@ -14,8 +14,10 @@ from tidemark.operators.ordered import global_position, keep_latest, top_n, top_
 
 
 def latest_messages(messages: DataFrame) -> DataFrame:
-    """One row per message id, the one processed last."""
-    return keep_latest(messages, ["message_id"], [F.desc("processed_at"), F.desc("delivery")])
+    """One row per message id, the one processed last; messages without an id are kept apart by content."""
+    content = F.when(F.col("message_id").isNull(), F.sha2(F.to_json(F.struct(*messages.columns)), 256))
+    keyed = messages.withColumn("__content", content)
+    return keep_latest(keyed, ["message_id", "__content"], [F.desc("processed_at"), F.desc("delivery")]).drop("__content")
 
 
 def silver_events(messages: DataFrame) -> DataFrame:
@@ -50,8 +52,9 @@ _DETAILS = {
 def transaction_details(events: DataFrame) -> DataFrame:
     """Payload fields of swap and transaction events."""
     chosen = events.filter(F.col("event_type").isin("solana_swap", "solana_transaction"))
-    fields = [F.get_json_object("payload_json", f"$.{path}").alias(name) for name, path in _DETAILS.items()]
-    return chosen.select("message_id", "event_timestamp", "event_type", *fields, "processing_date")
+    parsed = F.from_json("payload_json", ",".join(f"`{path}` string" for path in _DETAILS.values()))
+    fields = [F.col("__parsed")[path].alias(name) for name, path in _DETAILS.items()]
+    return chosen.withColumn("__parsed", parsed).select("message_id", "event_timestamp", "event_type", *fields, "processing_date")
 
 
 def quality_by_date(events: DataFrame) -> DataFrame:

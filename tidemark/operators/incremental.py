@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +31,8 @@ def upsert(
     shared ones) or maps columns to expressions over the aliases ``t`` and ``s``.
     Unmatched source rows are added when ``insert``.  ``only_if`` limits which
     matched rows change.  A key that occurs twice in the source is an error.
+    Keys are compared null-safe, so a key with nulls matches its like and is not
+    added again by a second run.
     """
     if check_source:
         twice = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
@@ -43,7 +45,7 @@ def upsert(
     # Left join and semi join instead of a full join: a small source is broadcast and
     # the target stays where it is, and a key with many target rows can be split.
     t, s = target.alias("t"), source.withColumn("__hit", F.lit(True)).alias("s")
-    joined = t.join(s, reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]), "left")
+    joined = t.join(s, _same("t", "s", keys), "left")
     matched = F.col("s.__hit").isNotNull()
     if only_if is not None:
         matched = matched & F.coalesce(only_if, F.lit(False))
@@ -55,13 +57,17 @@ def upsert(
     merged = joined.select(*columns)
     if not insert:
         return merged
-    present = target.select(*keys).join(source.select(*keys), list(keys), "left_semi").distinct()
-    added = source.join(present, list(keys), "left_anti")
+    present = target.select(*keys).alias("t").join(source.select(*keys).alias("s"), _same("t", "s", keys), "left_semi").distinct()
+    added = source.alias("s").join(present.alias("t"), _same("t", "s", keys), "left_anti")
     missing = {c: F.lit(None) for c in kinds if c not in source.columns}
     fresh = added.withColumns(missing).select(*[F.col(c).cast(kind).alias(c) for c, kind in kinds.items()])
     return merged.unionByName(fresh)
 
 
+def _same(left: str, right: str, keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
+
+
 def update_status(target: DataFrame, done: DataFrame, keys: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
     """Set status columns on the rows whose key occurs in ``done``."""
     return upsert(target, done.select(*keys).distinct(), keys, values, insert=False, check_source=False)
@@ -92,6 +98,13 @@ def due_for_refetch(df: DataFrame, status: str, fetched_at: str, as_of: Column,
     return df.filter(F.coalesce(due, F.lit(False)))
 
 
+def next_for_refetch(df: DataFrame, stage: str, key: str, as_of: Column, limit: int) -> DataFrame:
+    """The ``limit`` rows of a stage that are due, never fetched ones first, then the longest waiting."""
+    status, fetched_at, days = S.REFETCH_STAGES[stage]
+    due = due_for_refetch(df, status, fetched_at, as_of, days)
+    return due.orderBy(F.asc_nulls_first(fetched_at), F.asc(key)).limit(limit)
+
+
 def latest_activity(df: DataFrame, key: str, time_column: str) -> DataFrame:
     return df.groupBy(key).agg(F.max(time_column).alias("latest_activity"), F.count(F.lit(1)).alias("n_rows"))
 
@@ -167,14 +180,12 @@ def dataset_kind(columns: Sequence[str]) -> str:
 # --- storage age ------------------------------------------------------------------------------------
 
 
-def stored_files(df: DataFrame) -> DataFrame:
-    """One row per data file behind a file-based frame."""
-    meta = F.col("_metadata")
-    return df.select(
-        meta["file_path"].alias("file_path"),
-        meta["file_size"].alias("file_size"),
-        meta["file_modification_time"].alias("modified_at"),
-    ).distinct()
+def stored_files(spark: SparkSession, path: str) -> DataFrame:
+    """One row per data file below a path, from the file listing alone; no data is read."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path)
+    return listed.select(
+        F.col("path").alias("file_path"), F.col("length").alias("file_size"), F.col("modificationTime").alias("modified_at")
+    )
 
 
 def age_report(files: DataFrame, layer: str, as_of: Column) -> DataFrame:

@@ -230,7 +230,7 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.element_at(kinds, k % 5 + 1).alias("event_type"),
         F.when(F.col("event_type") == "error", "FAILED").otherwise("PROCESSED").alias("processing_status"),
         F.when(k % 8 != 0, F.concat(F.lit("W"), "user_id")).alias("wallet_address"),
-        F.concat(F.lit("T"), k % 3).alias("token_address"),
+        F.when(k % 10 != 3, F.concat(F.lit("T"), k % 3)).alias("token_address"),
         F.when(k % 7 != 0, on_tick(F.col("value")) * 256).alias("value_usd"),
         F.when(k % 6 != 0, F.concat(F.lit("h"), F.floor(event_id / 2))).alias("transaction_hash"),
         (k / 128).alias("data_quality_score"),

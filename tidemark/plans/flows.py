@@ -8,6 +8,7 @@ row.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from tidemark.functions.scalars import moment
 from tidemark.operators import events as E
 from tidemark.operators import incremental as I
 from tidemark.operators import pnl, tokens, traders
+from tidemark.operators.ordered import keep_latest
 from tidemark.session import cut_lineage
 from tidemark.sources.tables import SnapshotTable
 
@@ -69,8 +71,13 @@ class TraderFlow(Flow):
             }
         )
         keys = ["wallet_address", "token_address", "calculation_date"]
-        figures = [c for c in rows.columns if c not in (*keys, "moved_to_gold")]
-        return self.merge("wallet_pnl", rows, keys, update=figures)
+        # A rerun of the day that changes a figure makes the wallet due for gold again.
+        audit = ("batch_id", "processed_at", "moved_to_gold")
+        figures = [c for c in rows.columns if c not in (*keys, *audit)]
+        changed = reduce(lambda a, b: a | b, [~F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}")) for c in figures])
+        update = {c: F.col(f"s.{c}") for c in (*figures, "batch_id", "processed_at")}
+        update["moved_to_gold"] = F.when(changed, F.lit(False)).otherwise(F.col("t.moved_to_gold"))
+        return self.merge("wallet_pnl", rows, keys, update=update)
 
     def mark_holders(self, results: DataFrame) -> DataFrame:
         table = self.table("tracked_holders")
@@ -81,6 +88,7 @@ class TraderFlow(Flow):
     def gold(self, results: DataFrame) -> DataFrame:
         """Traders out of results not moved yet; ranks are taken over the merged table."""
         todo = results.filter(~F.coalesce("moved_to_gold", F.lit(False)))
+        todo = keep_latest(todo, ["wallet_address"], [F.desc("calculation_date")])
         columns = [c for c in results.columns if c != "moved_to_gold"]
         self.merge("qualified", todo.select(*columns), ["wallet_address"])
         ranked = traders.gold_traders(self.table("qualified").read())
@@ -106,11 +114,21 @@ class EventFlow(Flow):
     """Landed messages to clean events, transaction details and daily quality figures."""
 
     def run(self, messages: DataFrame) -> DataFrame:
-        """Only messages beyond the newest processed one are read; their dates are counted anew."""
-        table = self.table("events")
-        todo = I.above_high_water(messages, "processed_at", table.read()) if table.exists() else messages
-        events = self.merge("events", E.silver_events(todo), ["message_id"])
-        self.merge("transaction_details", E.transaction_details(events), ["message_id"])
+        """Messages whose (id, processing time) is not stored yet; their dates are counted anew.
+
+        Late messages and those of the newest stored moment are found like any other.
+        A message without an id gets one made of its content, so none is lost or read twice.
+        """
+        content = F.concat(F.lit("unnamed_"), F.sha2(F.to_json(F.struct(*messages.columns)), 256))
+        named = messages.withColumn("message_id", F.coalesce("message_id", content))
+        table, todo = self.table("events"), named
+        if table.exists():
+            known = table.read().select("message_id", F.col("processed_at").alias("stored_at"))
+            newer = (named["message_id"] == known["message_id"]) & (known["stored_at"] >= named["processed_at"])
+            todo = cut_lineage(named.join(known, newer, "left_anti"))
+        fresh = cut_lineage(E.silver_events(todo))
+        events = self.merge("events", fresh, ["message_id"])
+        self.merge("transaction_details", E.transaction_details(fresh), ["message_id"])
         touched = todo.select("processing_date").distinct()
         quality = E.quality_by_date(events.join(touched, "processing_date", "left_semi"))
         return self.merge("quality", quality, ["processing_date"])

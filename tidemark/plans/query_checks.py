@@ -11,6 +11,7 @@ from tidemark.operators import traders
 from tidemark.plans import adapters as A
 from tidemark.plans.oracle_tables import using
 from tidemark.plans.query_pnl import portfolios
+from tidemark.plans.query_pnl import _GOLD_COLUMNS
 from tidemark.plans.registry import query
 
 
@@ -66,10 +67,9 @@ def check_expression(spark, sf_dir):
     return K.expression_is_true(load(spark, sf_dir, "orders"), "o_totalprice > 1000 AND o_orderstatus <> 'P'").select("o_orderkey")
 
 
-@query(using("tokens") + "SELECT symbol, count(price_change_1h_percent) AS n_values FROM tokens WHERE token_address % 8 = 0 OR token_address < 40 GROUP BY 1 HAVING count(price_change_1h_percent) = 0")
+@query(using("tokens") + "SELECT token_address, count(price_change_1h_percent) AS n_values FROM tokens GROUP BY 1 HAVING count(price_change_1h_percent) = 0")
 def check_at_least_one(spark, sf_dir):
-    rows = A.tokens(spark, sf_dir).filter("token_address % 8 = 0 OR token_address < 40")
-    return K.at_least_one(rows, "price_change_1h_percent", ["symbol"])
+    return K.at_least_one(A.tokens(spark, sf_dir), "price_change_1h_percent", ["token_address"])
 
 
 @query("SELECT o_custkey, 1::BIGINT AS n_distinct FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderstatus) = 1")
@@ -96,15 +96,18 @@ def check_sequential_in_group(spark, sf_dir):
     return K.sequential_values(load(spark, sf_dir, "lineitem"), "l_linenumber", group_by=["l_orderkey"])
 
 
-@query("""SELECT * FROM (SELECT p_partkey, lag(p_partkey) OVER (ORDER BY p_partkey) AS previous_p_partkey FROM part WHERE p_size <> 7) WHERE p_partkey <> previous_p_partkey + 1""")
+@query("""SELECT * FROM (SELECT o_orderkey, lag(o_orderkey) OVER (ORDER BY o_orderkey) AS previous_o_orderkey FROM orders SEMI JOIN
+    (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) > 3) ON o_orderkey = l_orderkey) WHERE o_orderkey <> previous_o_orderkey + 1""")
 def check_sequential(spark, sf_dir):
-    return K.sequential_values(load(spark, sf_dir, "part").filter("p_size <> 7"), "p_partkey")
+    large = load(spark, sf_dir, "lineitem").groupBy("l_orderkey").count().filter("count > 3")
+    orders = load(spark, sf_dir, "orders")
+    return K.sequential_values(orders.join(large, orders["o_orderkey"] == large["l_orderkey"], "left_semi"), "o_orderkey")
 
 
-@query("""SELECT * FROM (SELECT day, lag(day) OVER (ORDER BY day) AS previous_day FROM (SELECT DISTINCT l_shipdate AS day FROM lineitem WHERE l_quantity = 50))
+@query("""SELECT * FROM (SELECT day, lag(day) OVER (ORDER BY day) AS previous_day FROM (SELECT l_shipdate AS day FROM lineitem GROUP BY 1 HAVING sum(l_quantity) % 2 = 0))
     WHERE day <> previous_day + INTERVAL 1 DAY""")
 def check_sequential_days(spark, sf_dir):
-    days = load(spark, sf_dir, "lineitem").filter("l_quantity = 50").select(F.col("l_shipdate").alias("day")).distinct()
+    days = load(spark, sf_dir, "lineitem").groupBy(F.col("l_shipdate").alias("day")).agg(F.sum("l_quantity").alias("n")).filter("n % 2 = 0").select("day")
     return K.sequential_values(days, "day", datepart="day")
 
 
@@ -230,18 +233,39 @@ def validate_tokens(spark, sf_dir):
     return K.validate(A.tokens(spark, sf_dir), K.PROFILES["tokens"])
 
 
-@query(using("portfolios") + """SELECT 'rank_gaps' AS test, count(*) FILTER (WHERE total_bought <= 0) AS failures FROM portfolios UNION ALL
-    SELECT 'tier_consistency', count(*) FILTER (WHERE NOT (win_rate > 0 OR total_pnl > 0) AND total_pnl > 0) FROM portfolios""")
+# Every seventh wallet is ranked one too low and every fifth has the tier ELITE.
+@query(using("portfolios") + _GOLD_COLUMNS + """, ranked AS (
+    SELECT performance_tier, smart_trader_score, CAST(substr(wallet_address, 2) AS BIGINT) AS n,
+           row_number() OVER (ORDER BY smart_trader_score DESC, total_pnl DESC, wallet_address) AS place FROM qualified),
+  changed AS (SELECT *, place + CASE WHEN n % 7 = 0 THEN 1 ELSE 0 END AS overall_rank FROM ranked),
+  walked AS (SELECT *, lag(overall_rank) OVER w AS rank_before, lag(smart_trader_score) OVER w AS score_before FROM changed
+             WINDOW w AS (ORDER BY overall_rank, smart_trader_score DESC))
+  SELECT 'rank_gaps' AS test, (SELECT count(*) FROM (SELECT overall_rank FROM walked
+         WHERE (rank_before IS NULL AND overall_rank <> 1) OR overall_rank <> rank_before + 1 OR smart_trader_score > score_before)) AS failures
+  UNION ALL SELECT 'tier_consistency', count(*) FILTER (WHERE n % 5 = 0 AND performance_tier <> 'ELITE') FROM changed""")
 def validate_gold_traders(spark, sf_dir):
-    gold = traders.gold_traders(portfolios(spark, sf_dir))
+    wallet = F.substring("wallet_address", 2, 20).cast("bigint")
+    gold = traders.gold_traders(portfolios(spark, sf_dir)).withColumns(
+        {
+            "overall_rank": F.col("overall_rank") + F.when(wallet % 7 == 0, 1).otherwise(0),
+            "performance_tier": F.when(wallet % 5 == 0, "ELITE").otherwise(F.col("performance_tier")),
+        }
+    )
     wrong_tier = gold.filter(F.col("performance_tier") != M.gold_tier())
     return K.run_suite({"rank_gaps": K.rank_gaps(gold, "overall_rank", "smart_trader_score"), "tier_consistency": wrong_tier})
 
 
-@query(using("messages") + "SELECT count(*) FILTER (WHERE json_valid(payload)) / count(*) AS rate, count(*) FILTER (WHERE json_valid(payload)) / count(*) >= 0.95 AS passed FROM messages")
+@query(using("messages") + """SELECT minimum, rate >= minimum AS passed, CASE WHEN rate >= minimum THEN rate END AS rate
+    FROM (SELECT count(*) FILTER (WHERE json_valid(payload)) / count(*) AS rate FROM messages), (SELECT unnest([0.5, 0.95]::DOUBLE[]) AS minimum)""")
 def success_rate(spark, sf_dir):
+    """The gate at two limits: the rate where it passes, none where it refuses."""
     from tidemark.functions.scalars import json_valid
 
-    valid = F.coalesce(json_valid(F.col("payload")), F.lit(False))
-    rate = A.messages(spark, sf_dir).agg(F.try_divide(F.count_if(valid), F.count(F.lit(1))).alias("rate"))
-    return rate.withColumn("passed", F.col("rate") >= S.MIN_SUCCESS_RATE)
+    valid, rows = F.coalesce(json_valid(F.col("payload")), F.lit(False)), A.messages(spark, sf_dir)
+    results = []
+    for minimum in (0.5, S.MIN_SUCCESS_RATE):
+        try:
+            results.append((minimum, True, K.success_gate(rows, valid, minimum)))
+        except ValueError:
+            results.append((minimum, False, None))
+    return spark.createDataFrame(results, "minimum double, passed boolean, rate double")

@@ -78,11 +78,11 @@ def payload_kinds(spark, sf_dir):
     )
 
 
-@query(using("payload_parts") + """SELECT CAST(event_id AS VARCHAR) AS message_id, 'sig' || event_id AS signature, kind AS type, trader AS account, from_mint AS mint
-    FROM payload_parts WHERE state = 'valid' AND k % 2 = 0""")
+@query(using("payload_parts") + """SELECT CAST(event_id AS VARCHAR) AS message_id, CASE WHEN listed THEN 'sig' || event_id END AS signature,
+        CASE WHEN listed THEN kind ELSE 'UNKNOWN' END AS type, CASE WHEN listed THEN trader END AS account, CASE WHEN listed THEN from_mint END AS mint
+    FROM (SELECT *, state = 'valid' AND k % 2 = 0 AS listed FROM payload_parts)""")
 def first_event_fields(spark, sf_dir):
-    arrays = A.payloads(spark, sf_dir).filter(F.col("payload").startswith("[{"))
-    return arrays.select("message_id", C.first_event_fields(F.col("payload")).alias("f")).select("message_id", "f.*")
+    return A.payloads(spark, sf_dir).select("message_id", C.first_event_fields(F.col("payload")).alias("f")).select("message_id", "f.*")
 
 
 @query(using("payload_parts") + """SELECT count(*) AS sample_size, count(*) FILTER (WHERE state = 'valid') AS valid_records,
@@ -225,7 +225,7 @@ def meme_venue_summary(spark, sf_dir):
     return E.meme_venue_summary(A.payloads(spark, sf_dir))
 
 
-@query(using("payload_parts") + """SELECT DISTINCT from_mint AS mint, CASE WHEN from_mint LIKE 'So111%' THEN 'SOL' WHEN from_mint LIKE 'EPj%' THEN 'USDC'
+@query(using("payload_parts") + f"""SELECT DISTINCT from_mint AS mint, CASE from_mint WHEN {_SOL} THEN 'SOL' WHEN 'EPjFWdd5AufqSSqeM2qN1xzybapC8G4wEGGkZwyTDt1v' THEN 'USDC'
         ELSE left(from_mint, 8) || '...' END AS symbol, from_mint LIKE '%pump' AS is_meme FROM payload_parts WHERE state = 'valid' AND kind = 'SWAP' AND NOT single""")
 def mint_symbols(spark, sf_dir):
     mints = pairs(spark, sf_dir).select(F.col("from_token").alias("mint")).filter("mint is not null").distinct()

@@ -112,13 +112,14 @@ def pivot_max_and_distinct(spark, sf_dir):
     return A.table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(*largest, *suppliers)
 
 
-@query("""SELECT n_nationkey, n_name, sum(n0)::BIGINT AS n0, sum(n1)::BIGINT AS n1, sum(n2)::BIGINT AS n2 FROM (
-      SELECT c_nationkey, CASE WHEN c_mktsegment = s[1] THEN 1 ELSE 0 END AS n0, CASE WHEN c_mktsegment = s[2] THEN 1 ELSE 0 END AS n1, CASE WHEN c_mktsegment = s[3] THEN 1 ELSE 0 END AS n2
+@query("""SELECT n_nationkey, n_name, sum(n0)::BIGINT AS n0, sum(n1)::BIGINT AS n1, sum(n2)::BIGINT AS n2, sum(n3)::BIGINT AS n3, sum(n4)::BIGINT AS n4 FROM (
+      SELECT c_nationkey, CASE WHEN c_mktsegment = s[1] THEN 1 ELSE 0 END AS n0, CASE WHEN c_mktsegment = s[2] THEN 1 ELSE 0 END AS n1, CASE WHEN c_mktsegment = s[3] THEN 1 ELSE 0 END AS n2,
+        CASE WHEN c_mktsegment = s[4] THEN 1 ELSE 0 END AS n3, CASE WHEN c_mktsegment = s[5] THEN 1 ELSE 0 END AS n4
       FROM customer, (SELECT list(c_mktsegment ORDER BY n DESC, c_mktsegment) AS s FROM (SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY 1)))
     JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL""")
 def pivot_found_values(spark, sf_dir):
     customers = A.table(spark, sf_dir, "customer")
-    found = R.column_value_list(customers, "c_mktsegment", 3)
+    found = R.column_value_list(customers, "c_mktsegment", 5)
     columns = [c.alias(f"n{i}") for i, c in enumerate(R.pivot_columns("c_mktsegment", found))]
     nations = A.table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_nationkey", "n_name").agg(*columns)
@@ -297,8 +298,11 @@ def time_parts(spark, sf_dir):
     )
 
 
-@query(using("trades") + "SELECT wallet_address, arg_max(token_address, trade_time) AS last_token, arg_min(token_address, trade_time) AS first_token FROM trades GROUP BY 1")
+@query(using("trades") + """SELECT wallet_address, arg_max(token_address, (CAST(trade_time AS DATE), trade_id)) AS last_token,
+    arg_min(token_address, (CAST(trade_time AS DATE), trade_id)) AS first_token FROM trades GROUP BY 1""")
 def argmax_token(spark, sf_dir):
+    # Days instead of moments, so that trades share a time and the id decides.
+    at = F.struct(F.to_date("trade_time"), "trade_id")
     return trades(spark, sf_dir).groupBy("wallet_address").agg(
-        F.max_by("token_address", "trade_time").alias("last_token"), F.min_by("token_address", "trade_time").alias("first_token")
+        F.max_by("token_address", at).alias("last_token"), F.min_by("token_address", at).alias("first_token")
     )

@@ -74,8 +74,10 @@ def ingest_json_files(spark, sf_dir):
         F.col("message_id").alias("webhook_id"), F.date_format("received_at", "yyyy-MM-dd'T'HH:mm:ss").alias("received_at"),
         F.lit("10.0.0.1").alias("source_ip"), "payload",
     ).write.json(path)
-    rows = L.webhook_rows(L.read_json_files(spark, path), moment(NOON), "batch-1")
-    return rows.select(
+    lake = T.Lake(spark, fresh_path(spark, "lake"))
+    for batch in ("batch-1", "batch-2"):  # the same files land twice
+        lake.merge("webhooks", L.latest_webhooks(L.webhook_rows(L.read_json_files(spark, path), moment(NOON), batch)))
+    return lake.read("webhooks").select(
         "webhook_id", "transaction_signature", "webhook_type", "account_address", "token_address", "processing_date", "processed_to_silver"
     )
 
@@ -181,11 +183,14 @@ def run_metadata(spark, sf_dir):
     return spark.read.schema("n_rows bigint, mean_balance double, max_balance double, building bigint").json(path)
 
 
-@query("SELECT l_suppkey, count(*) AS n, sum(l_quantity) AS quantity FROM lineitem GROUP BY 1")
+@query("SELECT l_returnflag, l_suppkey, count(*) AS n, sum(l_quantity) AS quantity FROM lineitem GROUP BY ALL")
 def compacted_table(spark, sf_dir):
     path = fresh_path(spark, "lines-compacted")
-    T.compact(spark, f"{sf_dir}/lineitem.parquet", path, ["l_suppkey", "l_shipdate"])
-    return spark.read.parquet(path).groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity"))
+    source = fresh_path(spark, "lines-by-flag")
+    A.table(spark, sf_dir, "lineitem").write.partitionBy("l_returnflag").parquet(source)
+    T.compact(spark, source, path, ["l_suppkey", "l_shipdate"], ["l_returnflag"])
+    flag = F.regexp_extract(F.col("_metadata.file_path"), "l_returnflag=([A-Z])/", 1)  # the partitions are still folders
+    return spark.read.parquet(path).withColumn("l_returnflag", flag).groupBy("l_returnflag", "l_suppkey").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity"))
 
 
 # --- snapshots ----------------------------------------------------------------------------------
@@ -271,10 +276,11 @@ def status_reset(spark, sf_dir):
     return reset.select("wallet_address", "token_address", "rank_date", "txns_fetched", "txns_fetch_status", "token_symbol")
 
 
-@query("SELECT event_id, ts FROM events WHERE ts > (SELECT max(ts) FROM events WHERE event_id < 7000)")
+@query("SELECT event_id, ts FROM events WHERE ts > (SELECT max(o_orderdate) + INTERVAL 9300 DAY FROM orders)")
 def above_high_water(spark, sf_dir):
     rows = events(spark, sf_dir).select("event_id", "ts")
-    return I.above_high_water(rows, "ts", rows.filter("event_id < 7000"))
+    done = A.table(spark, sf_dir, "orders").select((F.col("o_orderdate") + F.expr("INTERVAL 9300 DAYS")).alias("ts"))
+    return I.above_high_water(rows, "ts", done)
 
 
 @query("SELECT DISTINCT CAST(ts AS DATE) AS processed_date FROM events WHERE CAST(ts AS DATE) NOT IN (SELECT CAST(ts AS DATE) FROM events WHERE user_id = 3)")
@@ -297,34 +303,52 @@ def schema_changes(spark, sf_dir):
     return I.schema_diff_frame(old, new).join(filled, "column_name", "left")
 
 
-@query(using("tokens") + """, stored AS (SELECT token_address, symbol, liquidity, ingest, processing_date FROM tokens WHERE ingest = 1),
+@query(using("tokens") + """, stored AS (SELECT token_address, symbol, liquidity, ingest, CASE WHEN token_address % 13 <> 0 THEN processing_date END AS processing_date
+                       FROM tokens WHERE ingest = 1),
     fresh AS (SELECT token_address, symbol || '!' AS symbol, liquidity + 1 AS liquidity, 2 AS ingest, processing_date FROM stored
-              WHERE processing_date >= DATE '2024-01-04' AND token_address % 3 = 0
-              UNION ALL SELECT -token_address, symbol, liquidity, 2, processing_date FROM stored WHERE processing_date = DATE '2024-01-04' AND token_address % 7 = 0)
+              WHERE processing_date >= DATE '2024-01-04' AND token_address % 3 = 0 AND token_address % 11 <> 5
+              UNION ALL SELECT -token_address, symbol, liquidity, 2, processing_date FROM stored WHERE processing_date = DATE '2024-01-04' AND token_address % 7 = 0
+              UNION ALL SELECT token_address, symbol, liquidity, 3, DATE '2024-02-01' FROM stored WHERE token_address % 11 = 5
+              UNION ALL SELECT token_address, symbol, liquidity, 4, NULL FROM stored WHERE token_address = 13)
     SELECT * FROM fresh UNION ALL SELECT * FROM stored WHERE token_address NOT IN (SELECT token_address FROM fresh)""")
 def merge_into_partitions(spark, sf_dir):
+    """Changed and new keys, keys that move to another partition, and rows without a partition value."""
     lake = T.Lake(spark, fresh_path(spark, "lake"))
-    stored = A.tokens(spark, sf_dir).filter("ingest = 1").select("token_address", "symbol", "liquidity", "ingest", "processing_date")
+    day = F.when(F.col("token_address") % 13 != 0, F.col("processing_date"))
+    stored = A.tokens(spark, sf_dir).filter("ingest = 1").withColumn("processing_date", day)
+    stored = stored.select("token_address", "symbol", "liquidity", "ingest", "processing_date")
     lake.merge("tokens", stored)
-    changed = stored.filter("processing_date >= date'2024-01-04' and token_address % 3 = 0").withColumns(
+    changed = stored.filter("processing_date >= date'2024-01-04' and token_address % 3 = 0 and token_address % 11 <> 5").withColumns(
         {"symbol": F.concat("symbol", F.lit("!")), "liquidity": F.col("liquidity") + 1, "ingest": F.lit(2)}
     )
     added = stored.filter("processing_date = date'2024-01-04' and token_address % 7 = 0").withColumns(
         {"token_address": -F.col("token_address"), "ingest": F.lit(2)}
     )
-    lake.merge("tokens", changed.unionByName(added))
+    moved = stored.filter("token_address % 11 = 5").withColumns({"processing_date": F.lit("2024-02-01").cast("date"), "ingest": F.lit(3)})
+    undated = stored.filter("token_address = 13").withColumn("ingest", F.lit(4))
+    lake.merge("tokens", changed.unionByName(added).unionByName(moved).unionByName(undated))
     return lake.read("tokens")
 
 
-@query()
+def _stored_by_flag(spark, sf_dir):
+    """Order lines with one file per return flag."""
+    path = fresh_path(spark, "lines-by-flag")
+    A.table(spark, sf_dir, "lineitem").repartition("l_returnflag").write.partitionBy("l_returnflag").parquet(path)
+    return I.age_report(I.stored_files(spark, path), "bronze", F.lit("2040-01-01").cast("date"))
+
+
+@query("""SELECT 'bronze' AS layer, 'over_365_days' AS age_band, n AS files, n AS compress_due, n AS archive_due, n AS delete_due
+    FROM (SELECT count(DISTINCT l_returnflag) AS n FROM lineitem)""")
 def storage_age(spark, sf_dir):
-    files = I.stored_files(A.table(spark, sf_dir, "lineitem")).unionByName(I.stored_files(A.table(spark, sf_dir, "orders")))
-    return I.age_report(files, "bronze", F.lit("2030-01-01").cast("date"))
+    return _stored_by_flag(spark, sf_dir).filter("bytes > 0").drop("bytes")
 
 
-@query()
+@query("""SELECT 'bronze' AS layer, round(n * 0.3, 2)::DOUBLE AS compress_mb, round(n * 0.7, 2)::DOUBLE AS archive_mb, true AS frees_space
+    FROM (SELECT count(DISTINCT l_returnflag) AS n FROM lineitem)""")
 def storage_savings(spark, sf_dir):
-    return I.saving_estimate(storage_age(spark, sf_dir))
+    saved = I.saving_estimate(_stored_by_flag(spark, sf_dir))
+    both = [F.col(c).cast("double").alias(c) for c in ("compress_mb", "archive_mb")]
+    return saved.select("layer", *both, (F.col("delete_mb") > 0).alias("frees_space"))
 
 
 # --- streams ---------------------------------------------------------------------------------------------

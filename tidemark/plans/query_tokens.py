@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark import settings as S
+
 from tidemark.operators import incremental, tokens as T
 from tidemark.plans import adapters as A
 from tidemark.plans.oracle_tables import using
@@ -88,16 +90,49 @@ def token_availability(spark, sf_dir):
 
 
 @query(using("holders") + """, aged AS (SELECT wallet_address, token_address, rank, txns_fetch_status AS status,
-         rank_date - CAST(rank AS INTEGER) AS fetched_on FROM holders_first)
+         rank_date - CAST(rank AS INTEGER) AS fetched_on FROM holders)
   SELECT wallet_address, token_address, status, fetched_on FROM aged WHERE status = 'pending' OR DATE '2024-01-10' - fetched_on >= 30""")
 def holders_due_for_refetch(spark, sf_dir):
-    aged = A.holders(spark, sf_dir).filter(F.col("rank_date") == F.lit("2024-01-01").cast("date")).select(
+    aged = A.holders(spark, sf_dir).select(
         "wallet_address", "token_address", F.col("txns_fetch_status").alias("status"),
         F.date_sub("rank_date", F.col("rank").cast("int")).alias("fetched_on"),
     )
     return incremental.due_for_refetch(aged, "status", "fetched_on", F.lit("2024-01-10").cast("date"), 30)
 
 
+def _refetch_sql(days: int) -> str:
+    return using("holders") + f""", aged AS (SELECT wallet_address || token_address || rank_date AS id, txns_fetch_status AS status,
+         CASE WHEN rank % 3 > 0 THEN rank_date - CAST(rank AS INTEGER) END AS fetched_on FROM holders)
+  SELECT id, status, fetched_on FROM aged WHERE status = 'pending' OR DATE '2024-01-10' - fetched_on >= {days}
+  ORDER BY fetched_on NULLS FIRST, id LIMIT 40"""
+
+
+def _refetch(spark, sf_dir, stage):
+    status, fetched_at, _ = S.REFETCH_STAGES[stage]
+    rows = A.holders(spark, sf_dir).select(
+        F.concat("wallet_address", "token_address", F.col("rank_date").cast("string")).alias("id"),
+        F.col("txns_fetch_status").alias(status),
+        F.when(F.col("rank") % 3 > 0, F.date_sub("rank_date", F.col("rank").cast("int"))).alias(fetched_at),
+    )
+    due = incremental.next_for_refetch(rows, stage, "id", F.lit("2024-01-10").cast("date"), 40)
+    return due.select("id", F.col(status).alias("status"), F.col(fetched_at).alias("fetched_on"))
+
+
+@query(_refetch_sql(3))
+def next_holders_to_fetch(spark, sf_dir):
+    return _refetch(spark, sf_dir, "holders")
+
+
+@query(_refetch_sql(30))
+def next_trades_to_fetch(spark, sf_dir):
+    return _refetch(spark, sf_dir, "trades")
+
+
+@query(_refetch_sql(30))
+def next_results_to_fetch(spark, sf_dir):
+    return _refetch(spark, sf_dir, "results")
+
+
 @query(using("holders") + """SELECT CASE WHEN ui_amount >= 1000000 THEN 'MEGA' WHEN ui_amount >= 100000 THEN 'LARGE' WHEN ui_amount >= 10000 THEN 'MEDIUM'
               WHEN ui_amount >= 1000 THEN 'SMALL' ELSE 'MINIMAL' END AS whale_tier, count(*) AS n, count(DISTINCT wallet_address) AS wallets,
          count(DISTINCT token_address) AS tokens, min(ui_amount) AS least, max(ui_amount) AS greatest, round(avg(ui_amount), 4) AS mean

@@ -70,6 +70,17 @@ def path_exists(spark: SparkSession, text: str) -> bool:
     return files.exists(path)
 
 
+def remove_path(spark: SparkSession, text: str) -> None:
+    files, path = _file_system(spark, text)
+    files.delete(path, True)
+
+
+def stored_bytes(spark: SparkSession, text: str) -> int:
+    """Bytes of all files below a path."""
+    files, path = _file_system(spark, text)
+    return files.getContentSummary(path).getLength()
+
+
 def _file_system(spark: SparkSession, text: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(text)
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path

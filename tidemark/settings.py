@@ -45,6 +45,13 @@ RECENT_DAYS = 7
 RECENT_TOPUP_ROWS = 100
 TOKEN_REFETCH_DAYS = 3
 TRADE_REFETCH_DAYS = 30
+RESULT_REFETCH_DAYS = 30
+# Status column, time of the last run and days between runs of each stage.
+REFETCH_STAGES = {
+    "holders": ("whale_fetch_status", "whale_fetched_at", TOKEN_REFETCH_DAYS),
+    "trades": ("txns_fetch_status", "txns_last_fetched_at", TRADE_REFETCH_DAYS),
+    "results": ("pnl_processing_status", "pnl_last_processed_at", RESULT_REFETCH_DAYS),
+}
 
 # --- swap payloads ----------------------------------------------------------------
 REFERENCE_MINT = "So11111111111111111111111111111111111111112"

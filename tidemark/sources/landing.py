@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import first_event_fields, unix_time
+from tidemark.operators.ordered import keep_latest
 
 WEBHOOK_FILE_SCHEMA = "webhook_id string, received_at string, source_ip string, payload string"
 MESSAGE_SCHEMA = "message_id string, timestamp string, source_ip string, file_path string, payload string"
@@ -39,6 +40,11 @@ def webhook_rows(landed: DataFrame, ingested_at: Column, batch_id: str) -> DataF
     )
 
 
+def latest_webhooks(rows: DataFrame) -> DataFrame:
+    """One row per webhook id, the one received last; files that landed twice count once."""
+    return keep_latest(rows, ["webhook_id"], [F.desc_nulls_last("webhook_timestamp"), F.desc("raw_payload")])
+
+
 # --- token lists ---------------------------------------------------------------------------
 
 # Field names of the token list answers, first present one wins.
@@ -122,11 +128,9 @@ def trade_rows(documents: DataFrame, fetched_at: Column, body: str = "body") ->
     gets the fetch time.  ``data`` may be the list itself or hold it as ``items``
     or ``trades``.
     """
-    nested = F.from_json(F.col(body), f"struct<data:struct<items:{_TRADE},trades:{_TRADE}>>")["data"]
-    direct = F.from_json(F.col(body), f"struct<data:{_TRADE}>")["data"]
-    listed = documents.select(
-        "wallet_address", F.explode_outer(F.coalesce(nested["items"], nested["trades"], direct)).alias("x")
-    )
+    parsed = documents.select("wallet_address", F.try_parse_json(F.col(body)).alias("v"))
+    places = [F.try_variant_get("v", path, _TRADE) for path in ("$.data.items", "$.data.trades", "$.data")]
+    listed = parsed.select("wallet_address", F.explode_outer(F.coalesce(*places)).alias("x"))
     own = listed.filter((F.col("x.tx_hash") != "") & (F.col("x.owner") == F.col("wallet_address")))
     legs = [
         F.col(f"x.{leg}.{name}").alias(f"{leg}_{name}")

@@ -5,14 +5,18 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.scalars import moment as at_moment
 from tidemark.operators.incremental import require_compatible, upsert
-from tidemark.session import cut_lineage, parallelism, path_exists
+from tidemark.session import cut_lineage, path_exists, remove_path, stored_bytes
+
+# Size of a file that compaction aims at.
+FILE_BYTES = 256 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -69,12 +73,13 @@ class Lake:
             require_compatible(self.read(name).schema, df.schema)
         write_partitioned(df, self.path(name), self.spec(name).partition_by, mode)
 
-
     def merge(self, name: str, source: DataFrame, **options) -> None:
-        """Upsert on the table's keys that rewrites only the partitions the source touches.
+        """Upsert on the table's keys that rewrites only the partitions it touches.
 
-        A key has to stay in its partition.  The merged rows are written aside first,
-        since a partition cannot be read and replaced at once.
+        Touched are the partitions of the source and those that now hold its keys, so a
+        key may change its partition; nulls in keys and partitions are compared like
+        values.  A partition that loses all rows is removed.  The merged rows are
+        written aside first, since a partition cannot be read and replaced at once.
         """
         spec = self.spec(name)
         if not self.exists(name):
@@ -83,10 +88,29 @@ class Lake:
         stored = self.read(name)
         require_compatible(stored.schema, source.schema)
         parts = list(spec.partition_by)
-        if parts:
-            stored = stored.join(source.select(*parts).distinct(), parts, "left_semi").select(*stored.columns)
-        merged = cut_lineage(upsert(stored, source, spec.keys, **options))
+        if not parts:
+            write_partitioned(cut_lineage(upsert(stored, source, spec.keys, **options)), self.path(name), parts, "overwrite")
+            return
+        placed = stored.withColumn("__folder", F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", ""))
+        own = placed.join(source.select(*spec.keys).distinct(), _all_same(placed, source, spec.keys), "left_semi").select(*parts)
+        touched = cut_lineage(own.unionByName(source.select(*parts)).distinct())
+        affected = cut_lineage(placed.join(touched, _all_same(placed, touched, parts), "left_semi"))
+        merged = cut_lineage(upsert(affected.drop("__folder"), source, spec.keys, **options))
+        left = merged.select(*parts).distinct()
+        folders = affected.select(*parts, "__folder").distinct()
+        emptied = folders.join(left, _all_same(folders, left, parts), "left_anti").select("__folder").distinct().collect()
         write_partitioned(merged, self.path(name), parts, "overwrite", {"partitionOverwriteMode": "dynamic"})
+        for row in emptied:  # one row per partition that lost all its rows
+            remove_path(self.spark, row["__folder"])
+
+    def compact(self, name: str, target: str, **options) -> None:
+        """Rewrite a table elsewhere in files of even size, partitions kept and rows clustered as its spec says."""
+        spec = self.spec(name)
+        compact(self.spark, self.path(name), target, spec.cluster_by, spec.partition_by, **options)
+
+
+def _all_same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
 
 
 # --- scans -----------------------------------------------------------------------------
@@ -130,17 +154,14 @@ def write_partitioned(
 
 
 def append_batch(df: DataFrame, path: str, status_path: str, batch_id: str, moment: datetime, partition_by: Sequence[str] = ()) -> None:
-    """Append a batch and one status row with its size.
-
-    The size is read back from the written rows of the batch, so it states what
-    readers will find.
-    """
+    """Append a batch and one status row with its size, which the write itself counts."""
     spark = df.sparkSession
-    write_partitioned(df.withColumn("batch_id", F.lit(batch_id)), path, partition_by)
-    stored = spark.read.parquet(path).filter(F.col("batch_id") == batch_id)
-    status = stored.agg(F.count(F.lit(1)).alias("n_rows")).select(
+    written = Observation()
+    batch = df.withColumn("batch_id", F.lit(batch_id)).observe(written, F.count(F.lit(1)).alias("n_rows"))
+    write_partitioned(batch, path, partition_by)
+    status = spark.range(1).select(
         F.lit(batch_id).alias("batch_id"),
-        "n_rows",
+        F.lit(written.get["n_rows"]).cast("bigint").alias("n_rows"),
         at_moment(moment).alias("written_at"),
         F.lit(df.schema.simpleString()).alias("schema_text"),
         F.lit("completed").alias("status"),
@@ -153,11 +174,20 @@ def write_run_metadata(df: DataFrame, path: str, aggregates: Mapping[str, Column
     df.agg(*[c.alias(n) for n, c in aggregates.items()]).write.mode("overwrite").json(path)
 
 
-def compact(spark: SparkSession, source: str, target: str, cluster_by: Sequence[str], files: int | None = None) -> None:
-    """Rewrite a table into fewer files with rows clustered on the given columns."""
+def compact(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    cluster_by: Sequence[str],
+    partition_by: Sequence[str] = (),
+    file_bytes: int = FILE_BYTES,
+) -> None:
+    """Rewrite a table into files of about ``file_bytes``, partitions kept and rows clustered on the given columns."""
     rows = spark.read.parquet(source)
-    n = files or parallelism(spark)
-    rows.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by).write.mode("overwrite").parquet(target)
+    files = max(1, -(-stored_bytes(spark, source) // file_bytes))
+    order = [*partition_by, *cluster_by]
+    clustered = rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
+    clustered.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
 
 
 # --- snapshots ------------------------------------------------------------------------------
@@ -209,9 +239,9 @@ class SnapshotTable:
         latest = self._resolve(None, None)
         number = 0 if latest is None else latest + 1
         path = f"{self.root}/data/snapshot_id={number}"
-        write_partitioned(df, path, partition_by, "overwrite")
-        count = self.spark.read.parquet(path).count()
-        row = self.spark.createDataFrame([(number, moment, operation, count)], _MANIFEST)
+        written = Observation()
+        write_partitioned(df.observe(written, F.count(F.lit(1)).alias("n_rows")), path, partition_by, "overwrite")
+        row = self.spark.createDataFrame([(number, moment, operation, written.get["n_rows"])], _MANIFEST)
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/manifest")
         return number
 

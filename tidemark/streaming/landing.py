@@ -51,19 +51,25 @@ def with_partitions(df: DataFrame, moment: Column) -> DataFrame:
     )
 
 
-def land(
-    stream: DataFrame, path: str, checkpoint: str, every: str | None = "10 seconds", spread: int = 4
-) -> StreamingQuery:
+# Input tasks of a batch whose rows of one hour share an output task.
+GATHERED_TASKS = 4
+
+
+def land(stream: DataFrame, path: str, checkpoint: str, every: str | None = "10 seconds") -> StreamingQuery:
     """Append to Parquet by date and hour; ``every=None`` handles what is there and stops.
 
-    Rows of one hour are gathered in ``spread`` tasks, so a batch writes few files
-    and a crowded hour is still shared by several tasks.
+    Rows of one hour from ``GATHERED_TASKS`` input tasks are written by one task.  A small
+    batch so writes few files, and a large one, which the source cuts in more tasks,
+    is written by as many more.
     """
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
-    share = F.pmod(F.xxhash64(*stream.columns), F.lit(spread))
-    gathered = stream.repartition(parallelism(stream.sparkSession), "processing_date", "processing_hour", share)
+    share = F.floor(F.spark_partition_id() / GATHERED_TASKS)
+    gathered = stream.withColumn("__share", share).repartition(
+        parallelism(stream.sparkSession), "processing_date", "processing_hour", "__share"
+    )
     return (
-        gathered.writeStream.format("parquet")
+        gathered.drop("__share")
+        .writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
@@ -74,12 +80,19 @@ def land(
 
 
 def once_per_key(stream: DataFrame, keys: list[str], moment: str, window: str = "48 hours") -> DataFrame:
-    """First message of a key within the time window; older state is dropped."""
+    """First message of a key within the time window; older state is dropped.
+
+    For input in time order: a row that comes later than ``window`` behind the newest is dropped, also
+    when its key was never seen.
+    """
     return stream.withWatermark(moment, window).dropDuplicatesWithinWatermark(keys)
 
 
 def windowed_volume(stream: DataFrame, moment: str, key: str, amount: str, width: str, late: str) -> DataFrame:
-    """Volume and count per key and time window, final once the watermark passed."""
+    """Volume and count per key and time window, final once the watermark passed.
+
+    Rows later than ``late`` are dropped, and windows that the watermark has not passed are not written yet.
+    """
     return (
         stream.withWatermark(moment, late)
         .groupBy(F.window(moment, width).alias("w"), key)
