@@ -95,9 +95,10 @@ def test_global_position(skewed):
 
 
 def test_row_number_in_groups(skewed, rows):
-    got = O.row_number_in(skewed, ["g"], [F.desc("t"), F.asc("id")], "n")
-    window = O.Window.partitionBy("g").orderBy(F.desc("t"), F.asc("id"))
-    want = skewed.withColumn("n", F.row_number().over(window).cast("bigint"))
+    got = O.global_position(skewed, [F.desc("t"), F.asc("id")], "p", within={"n": ["g"], "m": ["g", "y"]}).drop("p")
+    order = [F.desc("t"), F.asc("id")]
+    number = lambda *by: F.row_number().over(O.Window.partitionBy(*by).orderBy(*order)).cast("bigint")
+    want = skewed.withColumns({"n": number("g"), "m": number("g", "y")})
     assert rows(got) == rows(want)
 
 

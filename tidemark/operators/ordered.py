@@ -14,7 +14,6 @@ them to one task; the rank functions are built on it.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -132,11 +131,12 @@ def scan(
     return joined.select(*[c for c in df.columns if c not in out], *[c.alias(n) for n, c in out.items()])
 
 
-def global_position(df: DataFrame, order: Sequence[Column | str], name: str) -> DataFrame:
+def global_position(df: DataFrame, order: Sequence[Column | str], name: str, within: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """1-based position of every row in the total order ``order``.
 
     Range-partition, sort each part, number rows by (part, slot) and add the part
-    offsets.  The offsets are one number per shuffle partition.
+    offsets.  The offsets are one number per shuffle partition.  ``within`` adds
+    positions inside groups under the same order, from one more count per part and group.
     """
     spark = df.sparkSession
     columns = df.columns
@@ -152,16 +152,15 @@ def global_position(df: DataFrame, order: Sequence[Column | str], name: str) ->
     schema = T.StructType([T.StructField(_PART, T.LongType()), T.StructField("__before", T.LongType())])
     lookup = F.broadcast(spark.createDataFrame(offsets, schema))
     placed = numbered.withColumn(_PART, part.cast("bigint")).join(lookup, _PART)
-    return placed.select(*columns, (F.col("__before") + slot + 1).alias(name))
-
-
-def row_number_in(df: DataFrame, groups: Sequence[str], order: Sequence[Column | str], name: str) -> DataFrame:
-    """``row_number`` inside a few large groups, e.g. a rank per tier."""
-    placed = global_position(df, [*groups, *order], "__pos")
-    starts = placed.groupBy(*groups).agg((F.min("__pos") - 1).alias("__start"))
-    same = reduce(lambda a, b: a & b, [F.col(f"r.{g}").eqNullSafe(F.col(f"s.{g}")) for g in groups])
-    joined = placed.alias("r").join(starts.alias("s"), same)
-    return joined.select(*[F.col(f"r.{c}") for c in df.columns], (F.col("__pos") - F.col("__start")).alias(name))
+    placed = placed.withColumn(name, F.col("__before") + slot + 1)
+    for inner_name, groups in (within or {}).items():
+        at = F.struct(_PART, *groups)
+        counts = placed.groupBy(at.alias(_AT)).agg(F.count(F.lit(1)).alias("n"))
+        earlier = Window.partitionBy(*[F.col(_AT)[g] for g in groups]).orderBy(F.col(_AT)[_PART]).rowsBetween(Window.unboundedPreceding, -1)
+        starts = counts.select(_AT, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__start"))
+        rows = placed.withColumn(_AT, at).withColumn("__here", F.row_number().over(Window.partitionBy(_AT).orderBy("__id")))
+        placed = rows.join(starts, _AT).withColumn(inner_name, F.col("__start") + F.col("__here")).drop(_AT, "__start", "__here")
+    return placed.select(*columns, name, *(within or {}))
 
 
 def percent_rank_from(df: DataFrame, rank: str, column: str, name: str) -> DataFrame:

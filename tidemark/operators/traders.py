@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import settings as S
 from tidemark.functions import market as M
-from tidemark.operators.ordered import global_position, percent_rank_from, row_number_in, top_n
+from tidemark.operators.ordered import global_position, percent_rank_from, top_n
 from tidemark.session import cut_lineage
 
 
@@ -30,8 +30,7 @@ def gold_traders(portfolios: DataFrame) -> DataFrame:
         }
     )
     best_first = [F.desc("smart_trader_score"), F.desc("total_pnl"), F.asc("wallet_address")]
-    ranked = global_position(cut_lineage(scored), best_first, "overall_rank")
-    return row_number_in(ranked, ["performance_tier"], best_first, "tier_rank")
+    return global_position(scored, best_first, "overall_rank", within={"tier_rank": ["performance_tier"]})
 
 
 def simple_traders(portfolios: DataFrame) -> DataFrame:
@@ -84,7 +83,11 @@ def scored_positions(positions: DataFrame) -> DataFrame:
 
 
 def ranked_positions(scored: DataFrame) -> DataFrame:
-    """Four ranks and three percentiles over all positions, none of them in a single task."""
+    """Four ranks and three percentiles over all positions, none of them in a single task.
+
+    Each order is sorted with its own columns and a row number only; the rows meet
+    their ranks again in one shuffle by that number.
+    """
     tie = [F.asc("wallet_address"), F.asc("token_address")]
     orders = {
         "overall_rank": [F.desc("enhanced_smart_trader_score"), F.desc("total_pnl"), *tie],
@@ -92,17 +95,28 @@ def ranked_positions(scored: DataFrame) -> DataFrame:
         "execution_rank": [F.desc("avg_trade_efficiency"), F.desc("avg_timing_score"), *tie],
         "roi_rank": [F.desc("roi"), *tie],
     }
-    ranked = cut_lineage(scored)
-    for name, order in orders.items():
-        ranked = global_position(ranked, order, name)
+    sorted_by = {
+        "overall_rank": ["enhanced_smart_trader_score", "total_pnl"],
+        "profitability_rank": ["total_pnl"],
+        "execution_rank": ["avg_trade_efficiency", "avg_timing_score"],
+        "roi_rank": ["roi"],
+    }
     percentiles = {
-        "score_percentile": ("overall_rank", "enhanced_smart_trader_score"),
-        "pnl_percentile": ("profitability_rank", "total_pnl"),
-        "efficiency_percentile": ("execution_rank", "avg_trade_efficiency"),
+        "overall_rank": ("score_percentile", "enhanced_smart_trader_score"),
+        "profitability_rank": ("pnl_percentile", "total_pnl"),
+        "execution_rank": ("efficiency_percentile", "avg_trade_efficiency"),
     }
-    for name, (rank, column) in percentiles.items():
-        ranked = percent_rank_from(ranked, rank, column, name)
-    return ranked
+    rows = cut_lineage(scored.withColumn("__row", F.monotonically_increasing_id()))
+    ranked = rows
+    for name, order in orders.items():
+        narrow = rows.select("__row", "wallet_address", "token_address", *sorted_by[name])
+        placed, kept = global_position(narrow, order, name), [name]
+        if name in percentiles:
+            share, column = percentiles[name]
+            placed, kept = percent_rank_from(placed, name, column, share), [name, share]
+        ranked = ranked.join(placed.select("__row", *kept), "__row")
+    new = [*orders, *[share for share, _ in percentiles.values()]]
+    return ranked.select(*scored.columns, *new)
 
 
 def wallet_summary(scored: DataFrame) -> DataFrame:
@@ -125,7 +139,8 @@ def wallet_summary(scored: DataFrame) -> DataFrame:
 def enhanced_traders(positions: DataFrame) -> DataFrame:
     """Ranked positions with the summary of their wallet."""
     scored = cut_lineage(scored_positions(positions))
-    return ranked_positions(scored).join(wallet_summary(scored), "wallet_address", "left")
+    summary = wallet_summary(scored)
+    return ranked_positions(scored).join(cut_lineage(summary), "wallet_address", "left")
 
 
 def qualification_counts(portfolios: DataFrame) -> DataFrame:

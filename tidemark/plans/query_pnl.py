@@ -36,6 +36,26 @@ def usd_valuation(spark, sf_dir):
     return trades(spark, sf_dir)
 
 
+# Every fourth swap is fetched again a day later with a doubled amount, every sixth also with another base.
+@query(using("swaps") + """, again AS (
+    SELECT * FROM swaps UNION ALL
+    SELECT * REPLACE (base_ui_change_amount * 2 AS base_ui_change_amount, fetched_at || 'b' AS fetched_at) FROM swaps WHERE event_id % 4 = 0 UNION ALL
+    SELECT * REPLACE ('X' AS base_address) FROM swaps WHERE event_id % 6 = 0),
+  single AS (SELECT * FROM again QUALIFY row_number() OVER (PARTITION BY transaction_hash, base_address ORDER BY fetched_at DESC) = 1)
+  SELECT * FROM (SELECT transaction_hash AS trade_id, base_address AS token_address, abs(base_ui_change_amount) AS quantity,
+      CASE WHEN base_nearest_price > 0 THEN abs(base_ui_change_amount) * base_nearest_price
+           WHEN quote_nearest_price > 0 THEN abs(quote_ui_change_amount) * quote_nearest_price END AS usd
+    FROM single WHERE lower(tx_type) = 'swap') WHERE usd > 0""")
+def repeated_swaps(spark, sf_dir):
+    once = A.swaps(spark, sf_dir)
+    later = once.filter("event_id % 4 = 0").withColumns(
+        {"base_ui_change_amount": F.col("base_ui_change_amount") * 2, "fetched_at": F.concat("fetched_at", F.lit("b"))}
+    )
+    other = once.filter("event_id % 6 = 0").withColumn("base_address", F.lit("X"))
+    rows = pnl.trades_from_swaps(once.unionByName(later).unionByName(other))
+    return rows.select("trade_id", "token_address", "quantity", "usd")
+
+
 @query(using("swaps") + """
     SELECT transaction_hash, abs(base_ui_change_amount) * coalesce(base_nearest_price, 0) AS base_usd,
            abs(quote_ui_change_amount) * coalesce(quote_nearest_price, 0) AS quote_usd,
@@ -367,6 +387,26 @@ def wallet_summary(spark, sf_dir):
     return rounded(rounded(summary, 4, "total_portfolio_pnl", "best_token_pnl"), 9, *_SUMMARY_MEANS)
 
 
+@query(using("scored") + f""", summary AS ({_SUMMARY}), ranked AS (
+    SELECT *, row_number() OVER (ORDER BY enhanced_smart_trader_score DESC, total_pnl DESC, wallet_address, token_address) AS overall_rank,
+           row_number() OVER (ORDER BY total_pnl DESC, wallet_address, token_address) AS profitability_rank,
+           row_number() OVER (ORDER BY avg_trade_efficiency DESC, avg_timing_score DESC, wallet_address, token_address) AS execution_rank,
+           percent_rank() OVER (ORDER BY enhanced_smart_trader_score) AS score_percentile, percent_rank() OVER (ORDER BY total_pnl) AS pnl_percentile,
+           percent_rank() OVER (ORDER BY avg_trade_efficiency) AS efficiency_percentile FROM scored)
+  SELECT wallet_address, token_address, round(total_pnl, 4) AS total_pnl, enhanced_smart_trader_score, performance_tier, execution_quality_tier,
+         portfolio_size_tier, overall_rank, profitability_rank, execution_rank, round(score_percentile, 6) AS score_percentile,
+         round(pnl_percentile, 6) AS pnl_percentile, round(efficiency_percentile, 6) AS efficiency_percentile, tokens_traded, total_portfolio_pnl,
+         avg_smart_trader_score, profitable_tokens, losing_tokens, best_performing_token FROM ranked LEFT JOIN summary USING (wallet_address)""")
+def enhanced_traders(spark, sf_dir):
+    found = traders.enhanced_traders(positions(spark, sf_dir)).select(
+        "wallet_address", "token_address", "total_pnl", "enhanced_smart_trader_score", "performance_tier", "execution_quality_tier", "portfolio_size_tier",
+        "overall_rank", "profitability_rank", "execution_rank", "score_percentile", "pnl_percentile", "efficiency_percentile", "tokens_traded",
+        "total_portfolio_pnl", "avg_smart_trader_score", "profitable_tokens", "losing_tokens", "best_performing_token",
+    )
+    found = rounded(found, 4, "total_pnl", "total_portfolio_pnl")
+    return rounded(rounded(found, 6, "score_percentile", "pnl_percentile", "efficiency_percentile"), 9, "avg_smart_trader_score")
+
+
 @query(using("scored") + f""", summary AS ({_SUMMARY})
   SELECT wallet_address, token_address, round(total_pnl, 4) AS total_pnl, enhanced_smart_trader_score, performance_tier, tokens_traded,
          best_performing_token, total_portfolio_pnl FROM scored LEFT JOIN summary USING (wallet_address)""")

@@ -276,10 +276,10 @@ def status_reset(spark, sf_dir):
     return reset.select("wallet_address", "token_address", "rank_date", "txns_fetched", "txns_fetch_status", "token_symbol")
 
 
-@query("SELECT event_id, ts FROM events WHERE ts > (SELECT max(o_orderdate) + INTERVAL 9300 DAY FROM orders)")
+@query("SELECT event_id, ts FROM events WHERE ts > (SELECT max(o_orderdate) + INTERVAL 8202 DAY FROM orders)")
 def above_high_water(spark, sf_dir):
     rows = events(spark, sf_dir).select("event_id", "ts")
-    done = A.table(spark, sf_dir, "orders").select((F.col("o_orderdate") + F.expr("INTERVAL 9300 DAYS")).alias("ts"))
+    done = A.table(spark, sf_dir, "orders").select((F.col("o_orderdate") + F.expr("INTERVAL 8202 DAYS")).alias("ts"))
     return I.above_high_water(rows, "ts", done)
 
 
