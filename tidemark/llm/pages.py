@@ -259,7 +259,8 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, steady: float = STEADY
     host, _ = host_and_path(F.col("url"))
     rows = pages.select("page_id", "url", host.alias("host"), "html")
     named = rows.filter(F.col("page_id").isNotNull() & F.col("html").isNotNull())
-    first = named.groupBy("host").agg(F.min("page_id").alias("page_id"))
+    # Written, so that its size is known and pages are not shuffled to meet a few rows.
+    first = cut_lineage(named.groupBy("host").agg(F.min("page_id").alias("page_id")))
     reference = named.select("host", "page_id", F.col("html").alias("reference")).join(first, ["host", "page_id"], "left_semi")
     reference = cut_lineage(reference.groupBy("host").agg(F.min("reference").alias("reference")))
     found = cut_lineage(rows.join(reference, "host", "left").mapInPandas(_align, "page_id long, url string, host string, content string, blocks array<struct<node:int,text:string>>"))
@@ -273,7 +274,8 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, steady: float = STEADY
 def _templates(found: DataFrame, min_pages: int, steady: float) -> DataFrame:
     """For each host the reference nodes whose text hardly any distinct page changes."""
     nodes = found.select("host", "content", F.explode("blocks").alias("b")).filter("b.node >= 0")
-    nodes = nodes.groupBy("host", "content", "b.node").agg(F.xxhash64(F.array_sort(F.collect_set("b.text"))).alias("said"))
+    nodes = nodes.select("host", "content", "b.node", F.xxhash64("b.text").alias("said"))
+    nodes = nodes.groupBy("host", "content", "node").agg(F.xxhash64(F.array_sort(F.collect_set("said"))).alias("said"))
     nodes = nodes.groupBy("host", "node").agg(F.count(F.lit(1)).alias("n"), (F.min("said") == F.max("said")).alias("same"))
     hosts = found.groupBy("host").agg(F.count_distinct("content").alias("pages"))
     is_template = F.col("same") & (F.col("n") >= F.col("pages") * steady)
