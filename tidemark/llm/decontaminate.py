@@ -68,11 +68,11 @@ def mark(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_windows:
     """
     spark = docs.sparkSession
     blocks = [spark.sparkContext.broadcast(block) for block in _pattern_blocks(items, window, block_windows)]
-    hits = F.array().cast(T.ArrayType(T.IntegerType())), F.array().cast(T.ArrayType(T.StringType()))
-    found = docs.withColumn("__hits", F.struct(hits[0].alias("words"), hits[1].alias("items")))
-    for block in blocks:
+    nothing = F.struct(F.array().cast(T.ArrayType(T.IntegerType())).alias("words"), F.array().cast(T.ArrayType(T.StringType())).alias("items"))
+    found = docs.withColumn("__hits", nothing)
+    for block in blocks[:-1]:
         found = found.withColumn("__hits", _scanner(block)(F.col("text"), F.col("__hits")))
-    found = found.withColumn("__result", _judge(F.col("text"), F.col("__hits")))
+    found = found.withColumn("__result", _judge(blocks[-1] if blocks else None)(F.col("text"), F.col("__hits")))
     out = {field.name: F.col("__result")[field.name] for field in RESULT.fields}
     return found.withColumns(out).drop("__hits", "__result")
 
@@ -108,19 +108,21 @@ def _automaton(raw: bytes) -> ahocorasick.Automaton:
 
 
 def _scanner(block):
+    """Adds the hits of one block of patterns."""
+
     @F.pandas_udf(_HITS)
     def scan(texts: pd.Series, hits: pd.DataFrame) -> pd.DataFrame:
-        automaton = _automaton(block.value)
-        words, items = [], []
-        for text, old_words, old_items in zip(texts, hits["words"], hits["items"], strict=True):
-            new_words, new_items = _scan(automaton, text or "")
-            words.append(np.union1d(np.asarray(old_words, dtype=np.int32), new_words) if len(new_words) else old_words)
-            items.append(sorted({*old_items, *new_items}) if new_items else old_items)
-        return pd.DataFrame({"words": words, "items": items})
+        return pd.DataFrame(_more_hits(_automaton(block.value), texts, hits), columns=["words", "items"])
 
     return scan
 
 
+def _more_hits(automaton: ahocorasick.Automaton, texts: pd.Series, hits: pd.DataFrame) -> Iterator[tuple[np.ndarray, list[str]]]:
+    for text, words, items in zip(texts, hits["words"], hits["items"], strict=True):
+        new_words, new_items = _scan(automaton, text or "")
+        yield np.union1d(np.asarray(words, dtype=np.int32), new_words) if len(new_words) else words, sorted({*items, *new_items})
+
+
 def _scan(automaton: ahocorasick.Automaton, text: str) -> tuple[np.ndarray, set[str]]:
     """Numbers of the hit words and the items found."""
     raw = f" {b' '.join(normal_words(text)).decode('latin-1')} "
@@ -136,15 +138,21 @@ def _scan(automaton: ahocorasick.Automaton, text: str) -> tuple[np.ndarray, set[
     return np.flatnonzero(np.cumsum(change) > 0).astype(np.int32), {i for _, value in found for i in value[2]}
 
 
-@F.pandas_udf(RESULT)
-def _judge(texts: pd.Series, hits: pd.DataFrame) -> pd.DataFrame:
-    rows = []
-    for text, words, items in zip(texts, hits["words"], hits["items"], strict=True):
-        text = text or ""
-        digest = hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
-        n_words = len(normal_words(text))
-        rows.append((n_words, len(words), len(items), digest, len(words) > 0, _char_spans(text, np.asarray(words)) if len(words) else []))
-    return pd.DataFrame(rows, columns=RESULT.names)
+def _judge(block):
+    """Adds the hits of the last block and derives the result, so that one block needs one Python worker."""
+
+    @F.pandas_udf(RESULT)
+    def judge(texts: pd.Series, hits: pd.DataFrame) -> pd.DataFrame:
+        found = zip(hits["words"], hits["items"], strict=True) if block is None else _more_hits(_automaton(block.value), texts, hits)
+        rows = []
+        for text, (words, items) in zip(texts, found, strict=True):
+            text = text or ""
+            digest = hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+            spans = _char_spans(text, np.asarray(words)) if len(words) else []
+            rows.append((len(normal_words(text)), len(words), len(items), digest, len(words) > 0, spans))
+        return pd.DataFrame(rows, columns=RESULT.names)
+
+    return judge
 
 
 def _char_spans(text: str, words: np.ndarray) -> list[dict]:
