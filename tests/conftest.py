@@ -9,8 +9,9 @@ from tidemark.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     settings = {
+        "spark.checkpoint.dir": tmp_path_factory.mktemp("shared").as_uri(),
         "spark.sql.shuffle.partitions": "4",
         # Small test tables would end up in one partition and leave nothing to stitch.
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
