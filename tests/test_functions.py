@@ -48,10 +48,10 @@ def test_division_never_fails(spark):
 
 def test_json(spark):
     texts = ['{"a": 1, "b": "x"}', "[1]", "{bad", "", None]
-    assert column(spark, texts, "string", C.json_valid) == [True, True, False, False, False]
-    assert column(spark, texts, "string", lambda x: C.json_text(x, "$.b")) == ["x", None, None, None, None]
+    assert column(spark, texts, "string", lambda x: C.parsed_json(x).isNotNull()) == [True, True, False, False, False]
+    assert column(spark, texts, "string", lambda x: C.json_text(C.parsed_json(x), "$.b")) == ["x", None, None, None, None]
     kinds = ['{"transactionType":"SWAP"}', '{"transaction":1}', "{}", "no", None]
-    assert column(spark, kinds, "string", C.payload_kind) == ["solana_swap", "solana_transaction", "unknown", "invalid_json", "invalid_json"]
+    assert column(spark, kinds, "string", lambda x: C.payload_kind(C.parsed_json(x))) == ["solana_swap", "solana_transaction", "unknown", "invalid_json", "invalid_json"]
     words = ["a transaction SWAP", "transaction swap", "test", "Test", None]
     assert column(spark, words, "string", C.payload_kind_by_text) == ["solana_swap", "solana_transaction", "test_event", "unknown", "unknown"]
 

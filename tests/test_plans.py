@@ -31,3 +31,12 @@ def test_order_trades_read_only_needed_columns(spark, sf_dir):
     plan = plan_of(QUERIES["running_cost_of_orders"](spark, sf_dir))
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
     assert "ReadSchema: struct<p_partkey:bigint,p_brand:string>" in plan
+
+
+def test_payloads_are_parsed_once(spark, sf_dir):
+    """One parse per payload; ``payload_kinds`` has one in each branch of its union, details parse what events kept."""
+    for name, parses in {"silver_events": 1, "payload_kinds": 2, "transaction_details": 2, "trade_list_rows": 1}.items():
+        body = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        found = body.count("parse_json(") + body.count("parseJson") + body.count("from_json(") + body.count("jsontostructs(")
+        assert 1 <= found <= parses, (name, found)
+        assert "get_json_object(payload" not in body

@@ -16,25 +16,26 @@ from tidemark.functions.market import first_label
 # --- JSON --------------------------------------------------------------------------
 
 
-def json_valid(text: Column) -> Column:
-    return F.try_parse_json(text).isNotNull()
+def parsed_json(text: Column) -> Column:
+    """JSON parsed once, null where invalid.  Make it a column of its own and take fields from that."""
+    return F.try_parse_json(text)
 
 
-def json_text(text: Column, path: str) -> Column:
-    """Unquoted text at ``path``; null for invalid JSON or a missing field."""
-    return F.when(json_valid(text), F.get_json_object(text, path))
+def json_text(parsed: Column, path: str) -> Column:
+    """Unquoted text at ``path`` of parsed JSON; null for invalid JSON or a missing field."""
+    return F.try_variant_get(parsed, path, "string")
 
 
-def json_decimal(text: Column, path: str, precision: int = 18, scale: int = 3) -> Column:
-    return json_text(text, path).try_cast(T.DecimalType(precision, scale))
+def json_decimal(parsed: Column, path: str, precision: int = 18, scale: int = 3) -> Column:
+    return json_text(parsed, path).try_cast(T.DecimalType(precision, scale))
 
 
-def payload_kind(text: Column) -> Column:
-    """Class of a payload by its JSON fields."""
+def payload_kind(parsed: Column) -> Column:
+    """Class of a parsed payload by its JSON fields."""
     rules = [
-        (~F.coalesce(json_valid(text), F.lit(False)), "invalid_json"),
-        (F.get_json_object(text, "$.transactionType") == "SWAP", "solana_swap"),
-        (F.get_json_object(text, "$.transaction").isNotNull(), "solana_transaction"),
+        (parsed.isNull(), "invalid_json"),
+        (json_text(parsed, "$.transactionType") == "SWAP", "solana_swap"),
+        (json_text(parsed, "$.transaction").isNotNull(), "solana_transaction"),
     ]
     return first_label(rules, "unknown")
 

@@ -22,15 +22,15 @@ def latest_messages(messages: DataFrame) -> DataFrame:
 
 def silver_events(messages: DataFrame) -> DataFrame:
     """Deduplicated messages with checked time, payload fields, category and quality flags."""
-    payload = F.col("payload")
-    return latest_messages(messages).select(
+    payload, parsed = F.col("payload"), F.col("__parsed")
+    return latest_messages(messages).withColumn("__parsed", C.parsed_json(payload)).select(
         "message_id",
         C.iso_timestamp(F.col("webhook_timestamp")).alias("event_timestamp"),
         "source_ip",
-        F.when(C.json_valid(payload), payload).alias("payload_json"),
-        *[C.json_text(payload, f"$.{name}").alias(f"payload_{name}") for name in ("source", "test", "value")],
+        F.when(parsed.isNotNull(), payload).alias("payload_json"),
+        *[C.json_text(parsed, f"$.{name}").alias(f"payload_{name}") for name in ("source", "test", "value")],
         C.payload_kind_by_text(payload).alias("event_type"),
-        F.coalesce(C.json_valid(payload), F.lit(False)).alias("has_valid_json"),
+        parsed.isNotNull().alias("has_valid_json"),
         F.col("source_ip").isNotNull().alias("has_source_ip"),
         "processed_at",
         "processing_date",
@@ -181,7 +181,7 @@ def payload_state(payload: Column) -> Column:
     """missing, parse_error, empty or valid."""
     return (
         F.when(payload.isNull(), "missing")
-        .when(~F.coalesce(C.json_valid(payload), F.lit(False)), "parse_error")
+        .when(C.parsed_json(payload).isNull(), "parse_error")
         .when(F.trim(payload).isin("[]", "{}", "null", '""', "0", "false"), "empty")
         .otherwise("valid")
     )

@@ -70,11 +70,11 @@ def quality_by_date(spark, sf_dir):
         CASE WHEN json_valid(payload) THEN CAST(TRY_CAST(json_extract_string(payload, '$.transactionAmount') AS DECIMAL(18,3)) AS DOUBLE) END AS amount,
         CASE WHEN json_valid(payload) THEN coalesce(length(json_extract_string(payload, '$.signature')) = 88, false) ELSE false END AS signed FROM messages""")
 def payload_kinds(spark, sf_dir):
-    payload = F.col("payload")
-    return A.messages(spark, sf_dir).select(
-        "message_id", "delivery", C.json_valid(payload).alias("valid"), C.payload_kind(payload).alias("kind"),
-        C.json_decimal(payload, "$.transactionAmount").cast("double").alias("amount"),
-        C.is_signature(C.json_text(payload, "$.signature")).alias("signed"),
+    parsed = F.col("parsed")
+    return A.messages(spark, sf_dir).withColumn("parsed", C.parsed_json(F.col("payload"))).select(
+        "message_id", "delivery", parsed.isNotNull().alias("valid"), C.payload_kind(parsed).alias("kind"),
+        C.json_decimal(parsed, "$.transactionAmount").cast("double").alias("amount"),
+        C.is_signature(C.json_text(parsed, "$.signature")).alias("signed"),
     )
 
 
@@ -338,12 +338,12 @@ def document_keywords(spark, sf_dir):
     FROM messages WHERE json_valid(payload))
   SELECT message_id, delivery, coalesce(kind IN ('SWAP','TRANSFER','UNKNOWN') AND amount BETWEEN 0.000001 AND 1000000000 AND length(signature) >= 64, false) AS valid FROM parts""")
 def transaction_validity(spark, sf_dir):
-    payload = F.col("payload")
-    valid = C.json_valid(payload)
-    signature = F.get_json_object(payload, "$.signature")
-    return A.messages(spark, sf_dir).filter(valid).select(
+    parsed = F.col("parsed")
+    signature = C.json_text(parsed, "$.signature")
+    rows = A.messages(spark, sf_dir).withColumn("parsed", C.parsed_json(F.col("payload")))
+    return rows.select("message_id", "delivery", "parsed").filter(parsed.isNotNull()).select(
         "message_id", "delivery",
         E.valid_transaction(
-            F.get_json_object(payload, "$.transactionType"), F.get_json_object(payload, "$.transactionAmount").try_cast("double"), signature, signature
+            C.json_text(parsed, "$.transactionType"), C.json_text(parsed, "$.transactionAmount").try_cast("double"), signature, signature
         ).alias("valid"),
     )
