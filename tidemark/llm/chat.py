@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import ship
+
 HEAD, CLOSE = "### ", "</turn>"
 LEARNED_ROLES = ("assistant",)
 TOKENIZER = "byte_bpe_50k.json"
@@ -90,6 +92,7 @@ def masked(token_spans: np.ndarray, turn_spans: np.ndarray) -> tuple[np.ndarray,
 
 def format_conversations(rows: DataFrame, tokenizer_path: str, roles: tuple[str, ...] = LEARNED_ROLES) -> DataFrame:
     """One row per conversation: rendered text, number of tokens, loss tokens and loss spans."""
+    ship(rows.sparkSession)
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     whole = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
     whole = whole.select(F.col("conv_id").cast("long"), "turns.role", "turns.text")
@@ -141,6 +144,7 @@ def digests(formatted: DataFrame) -> DataFrame:
             names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
             yield pd.DataFrame(out, columns=names).astype({"conv_id": "Int64"})
 
+    ship(formatted.sparkSession)
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     return formatted.select("conv_id", "formatted", "loss_spans").mapInPandas(read, schema)
 

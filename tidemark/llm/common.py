@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 import hashlib
+import io
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+import tidemark
+from tidemark.session import fresh_path
+
 # Text handled at once inside a task; a longer single text is handled alone.
 BLOCK_BYTES = 1_000_000
 
@@ -23,6 +29,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this library importable in the Python workers of a session, once per application.
+
+    The package goes as one zip file to the shared folder, from where each executor fetches it.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root, held = Path(tidemark.__file__).parent, io.BytesIO()
+    with zipfile.ZipFile(held, "w") as packed:
+        for source in sorted(root.rglob("*.py")):
+            packed.writestr(f"tidemark/{source.relative_to(root).as_posix()}", source.read_bytes())
+    path = f"{fresh_path(spark, 'package')}/tidemark.zip"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target)
+    stream.write(bytearray(held.getvalue()))
+    stream.close()
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
 def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 

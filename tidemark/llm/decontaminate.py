@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.common import ship
+
 WINDOW = 10
 BLOCK_WINDOWS = 200_000
 
@@ -67,6 +69,7 @@ def mark(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_windows:
     ``spans`` are character places of maximal runs of hit words.
     """
     spark = docs.sparkSession
+    ship(spark)
     blocks = [spark.sparkContext.broadcast(block) for block in _pattern_blocks(items, window, block_windows)]
     nothing = F.struct(F.array().cast(T.ArrayType(T.IntegerType())).alias("words"), F.array().cast(T.ArrayType(T.StringType())).alias("items"))
     found = docs.withColumn("__hits", nothing)

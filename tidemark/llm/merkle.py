@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Words
+from tidemark.llm.common import Words, ship
 from tidemark.session import parallelism
 
 WORDS = 16
@@ -120,6 +120,7 @@ def differing(left: str, right: str) -> list[tuple[int, int]]:
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """Fingerprints of all texts and of their edited texts, with likenesses to these and to the next document."""
+    ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     tasks = parallelism(docs.sparkSession)
     shares = [i / (4 * tasks) for i in range(1, 4 * tasks)]

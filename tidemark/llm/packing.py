@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Words, raw_texts, text_blocks
+from tidemark.llm.common import Words, raw_texts, ship, text_blocks
 from tidemark.session import cut_lineage
 
 TOKENIZER = "word_bpe_49k.json"
@@ -167,6 +167,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, with_
                     columns["ids"] = pa.array([np.frombuffer(x, "<u4").astype(np.int32) for _, _, x in out], pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_pydict(columns)
 
+    ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     schema = PIECES.removeprefix("uid long, ") + (", ids array<int>" if with_ids else "")
     return rows.mapInArrow(run, schema)
@@ -174,6 +175,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, with_
 
 def pack(cut: DataFrame, sequence: int = SEQUENCE, group_pieces: int = GROUP_PIECES, rounds: int = ROUNDS) -> DataFrame:
     """Pieces with ``sequence_id``, ``offset`` and ``certified`` (whether the group that packed them met its bound)."""
+    ship(cut.sparkSession)
     waiting = cut_lineage(cut.withColumn("uid", F.monotonically_increasing_id()))
     counts = np.zeros(sequence + 1, dtype=np.int64)
     for row in waiting.groupBy("length").count().collect():  # as many rows as there are lengths

@@ -30,6 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import ship
 from tidemark.llm.urls import host_and_path
 from tidemark.session import cut_lineage
 
@@ -256,6 +257,7 @@ def _content_roots(root: Node) -> list[Node]:
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, steady: float = STEADY) -> DataFrame:
     """page_id, url and the main text of every page."""
+    ship(pages.sparkSession)
     host, _ = host_and_path(F.col("url"))
     rows = pages.select("page_id", "url", host.alias("host"), "html")
     named = rows.filter(F.col("page_id").isNotNull() & F.col("html").isNotNull())

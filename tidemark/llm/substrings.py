@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Words, range_hashes, raw_texts, sha256_hex, text_blocks
+from tidemark.llm.common import Words, range_hashes, raw_texts, sha256_hex, ship, text_blocks
 from tidemark.session import cut_lineage
 
 WINDOW = 50
@@ -48,6 +48,7 @@ _SPAN_SQL = "array<struct<start:int,end:int>>"
 
 def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, factors and removed word spans, one row per document."""
+    ship(docs.sparkSession)
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), F.col("text").cast("binary").alias("text")
     )

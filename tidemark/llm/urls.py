@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import ship
+
 STRICT_TERMS = ("adult", "casino", "escort", "gambling", "hentai", "malware", "phishing", "porn", "spam", "viagra", "warez", "xxx")
 SOFT_TERMS = (
     "ads", "bet", "bets", "bonus", "cheap", "click", "crack", "download", "farm", "free", "jackpot", "loan", "pills", "poker",
@@ -42,6 +44,7 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, strict=STRICT_TERMS, soft=SOFT_TERMS, soft_limit: int = SOFT_LIMIT) -> DataFrame:
     """``pages`` with host, path, rule, verdict and the numbers of distinct strict and soft terms."""
+    ship(pages.sparkSession)
     host, path = host_and_path(F.col("url"))
     found = pages.withColumns({"host": host, "path": path})
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
