@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import ship
 from tidemark.session import cut_lineage
 
 ORDER = 3
@@ -50,11 +51,19 @@ def held_out(doc_id) -> F.Column:
 
 def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, order: int = ORDER, max_contexts: int = MAX_CONTEXTS) -> dict:
     """Frozen tables from labelled documents that are not held out."""
+    ship(docs.sparkSession)
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = labelled.select("doc_id", "lang").withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= sample_rows).drop("n")
+    counts = {row["lang"]: row["count"] for row in labelled.groupBy("lang").count().collect()}  # one row per language
+    if not counts:
+        return build(pd.DataFrame({"lang": [], "size": [], "context": [], "byte": [], "n": []}), order)
+    # Ids below a share of the hash range that leaves more than enough, then the lowest of these.
+    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, 2 * sample_rows / n + 1e-3)])
+    unit = F.xxhash64("doc_id") / F.lit(float(1 << 64)) + 0.5
+    few = labelled.select("doc_id", "lang", unit.alias("unit")).filter(F.col("unit") <= share[F.col("lang")]).distinct()
+    by_hash = Window.partitionBy("lang").orderBy("unit", "doc_id")
+    ids = few.withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= sample_rows).select("doc_id", "lang")
     # At most sample_rows rows per language, so small by construction.
-    chosen = labelled.select("doc_id", "lang", "text").join(F.broadcast(ids.distinct()), ["doc_id", "lang"], "left_semi")
+    chosen = labelled.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"], "left_semi")
     chosen = chosen.dropDuplicates(["doc_id", "lang"]).select("lang", F.col("text").cast("binary").alias("text"))
     grams = chosen.mapInArrow(_gram_counter(order), "lang string, size int, gram long, n long")
     grams = cut_lineage(grams.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n")))
@@ -115,7 +124,7 @@ def build(rows: pd.DataFrame, order: int) -> dict:
     share = probability.copy()
     share[:, :, -1] /= unseen
     cost[:] = -np.log2(np.maximum(share, 1e-30)).transpose(1, 2, 0)
-    return {"langs": langs, "classes": classes.astype(np.int32), "width": width, "order": order, "cost": cost.reshape(-1, len(langs)), "move": (move * width).astype(np.int32).ravel()}
+    return {"langs": langs, "classes": classes.astype(np.int32), "width": width, "order": order, "cost": cost.reshape(len(states) * width, len(langs)), "move": (move * width).astype(np.int32).ravel()}
 
 
 def _suffix(size: int, context: int) -> tuple[int, int]:
@@ -162,6 +171,7 @@ def code_lengths(model: dict, offsets: np.ndarray, data: np.ndarray) -> np.ndarr
 
 def identify(docs: DataFrame, model: dict) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``."""
+    ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
     names = [c for c in docs.columns if c not in ("lang_pred", "score")]
     if not model["langs"]:
