@@ -31,12 +31,21 @@ MIN_TOKENS = 4
 MIN_DOCS = 3
 CONSTANT = 0.6
 VARIABLE = "<*>"
+FILTER_BITS = 1 << 23
+_BLOCK_BITS = 32_768  # of one bitmap, fixed by bitmap_construct_agg
 
 _KEY = ["doc_id", "mark"]
 # A token that has a digit; only starts of tokens are tried.
 _DIGIT_TOKEN = r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+"
 
 
+def _spaced(raw: Column) -> Column:
+    """The line with single spaces; only lines with other white space are rewritten."""
+    odd = [F.contains(raw, F.lit(x)) for x in ("  ", "\t", "\x0b", "\x0c", "\r")]
+    odd = odd[0] | odd[1] | odd[2] | odd[3] | odd[4]
+    return F.trim(F.when(odd, F.regexp_replace(raw, r"[\x09\x0B-\x0D ]+", " ")).otherwise(raw))
+
+
 def _masked(line: Column) -> Column:
     return F.regexp_replace(line, _DIGIT_TOKEN, VARIABLE)
 
@@ -44,16 +53,16 @@ def _masked(line: Column) -> Column:
 def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, constant: float = CONSTANT) -> DataFrame:
     """``docs`` with recurring lines taken out of ``text``, and ``n_lines`` and ``n_dropped``."""
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    marked = docs.select(*names, F.xxhash64("text").alias("__mark"), F.split("text", "\n").alias("__lines"))
+    marked = docs.select(*[c for c in names if c != "text"], F.xxhash64("text").alias("__mark"), F.split("text", "\n").alias("__lines"))
     dropped = _dropped(docs, min_docs, depth, min_tokens, constant)
     dropped = dropped.groupBy(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).agg(F.collect_set("line_no").alias("__gone"))
     same = (marked["doc_id"] == dropped["__id"]) & (marked["__mark"] == dropped["__mark"])
     whole = marked.join(dropped, same, "left")
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size("__lines"))
+    n_lines = F.when(F.col("__lines").isNull(), 0).otherwise(F.size("__lines"))
     # Numbers of the lines that stay; "__lines" is a column of the join, not split anew per line.
     stay = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__gone"))
     kept = F.array_join(F.transform(stay, lambda i: F.get(F.col("__lines"), i)), "\n")
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept)
+    text = F.when(F.col("__gone").isNull(), F.array_join("__lines", "\n")).otherwise(kept)
     out = [text.alias("text") if c == "text" else F.col(c) for c in names]
     n_dropped = F.coalesce(F.size("__gone"), F.lit(0))
     n_dropped = F.when(F.col("__gone").isNull(), 0).otherwise(n_dropped)
@@ -62,17 +71,17 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH
 
 def _dropped(docs: DataFrame, min_docs: int, depth: int, min_tokens: int, constant: float) -> DataFrame:
     """(doc_id, mark, line_no) of all lines to drop."""
-    lines = (
-        docs.filter("doc_id is not null")
-        .select("doc_id", F.xxhash64("text").alias("mark"), F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
-        .select(*_KEY, "line_no", F.trim(F.regexp_replace("raw", r"[\x09\x0B-\x0D ]+", " ")).alias("line"))
-        .withColumn("n", F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
-        .filter((F.col("line") != "") & (F.col("n") >= min_tokens))
-        .withColumn("leaf", F.concat_ws(" ", "n", _masked(F.substring_index("line", " ", depth))))
-    )
+    # Parsed inside the array, so that each line is worked out once before it becomes a row.
+    raw = F.split("text", "\n")
+    parsed = F.transform(F.transform(raw, _spaced), lambda line, i: F.struct(i.alias("line_no"), line.alias("line"), F.size(F.split(line, " ")).alias("n")))
+    long_enough = F.filter(parsed, lambda p: (p["line"] != "") & (p["n"] >= min_tokens))
+    leaf = lambda p: F.concat_ws(" ", p["n"].cast("string"), _masked(F.substring_index(p["line"], " ", depth)))
+    leafed = F.transform(long_enough, lambda p: F.struct(p["line_no"].alias("line_no"), p["line"].alias("line"), leaf(p).alias("leaf")))
+    lines = docs.filter("doc_id is not null").select("doc_id", F.xxhash64("text").alias("mark"), F.inline(leafed))
     leaves = lines.groupBy("leaf").agg(F.count_distinct("doc_id").alias("docs")).filter(F.col("docs") >= min_docs).select("leaf")
-    # Lines of shared leaves, with the id of their masked form.
-    shared = lines.join(cut_lineage(leaves), "leaf", "left_semi").withColumn("masked", _masked(F.col("line")))
+    leaves = cut_lineage(leaves)
+    # Lines of shared leaves, with the id of their masked form; most others go before the shuffle.
+    shared = _perhaps_in(lines, leaves).join(leaves, "leaf", "left_semi").withColumn("masked", _masked(F.col("line")))
     shared = cut_lineage(shared.select(*_KEY, "line_no", "leaf", "masked", F.md5(F.concat_ws(" ", "leaf", "masked")).alias("variant")))
     pairs = shared.select("variant", "doc_id").distinct()
     variants = shared.groupBy("variant").agg(F.min("leaf").alias("leaf"), F.min("masked").alias("masked"))
@@ -84,6 +93,21 @@ def _dropped(docs: DataFrame, min_docs: int, depth: int, min_tokens: int, consta
     return shared.join(cut_lineage(recurring), "variant").filter("doc_id > keeper").select(*_KEY, "line_no")
 
 
+def _perhaps_in(lines: DataFrame, leaves: DataFrame) -> DataFrame:
+    """Lines whose leaf's hash is set in a bitmap of all ``leaves``; the bitmap has ``FILTER_BITS`` bits whatever the data.
+
+    A scalar subquery instead of a join: the semi join that follows would be moved below a join.
+    """
+    bit = F.pmod(F.xxhash64("leaf"), F.lit(FILTER_BITS))
+    block, place = F.floor(bit / _BLOCK_BITS).cast("int"), bit % _BLOCK_BITS
+    bits = leaves.groupBy(block.alias("block")).agg(F.bitmap_construct_agg(place).alias("bits"))
+    blocks = lines.sparkSession.range(FILTER_BITS // _BLOCK_BITS).select(F.col("id").cast("int").alias("block")).join(bits, "block", "left")
+    bitmap = blocks.select(F.array_sort(F.collect_list(F.struct("block", "bits"))).alias("blocks")).scalar()
+    own = F.get(bitmap, block)["bits"]
+    byte = F.conv(F.hex(F.substring(own, (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return lines.filter(F.getbit(byte, (place % 8).cast("int")) == 1)
+
+
 def _templates(variants: DataFrame, min_docs: int, depth: int, constant: float) -> DataFrame:
     """(variant, template) for masked lines whose template is constant enough."""
     tokens = variants.select("variant", "leaf", "pairs", F.posexplode(F.split("masked", " ")).alias("at", "token"))
