@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import raw_texts
+from tidemark.llm.common import raw_texts, ship
 from tidemark.llm.graph import components
 from tidemark.session import cut_lineage
 
@@ -70,6 +70,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             values = pa.array(np.array(prints, dtype=np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), values], names=["doc_id", "mark", "print"])
 
+    ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), F.col("text").cast("binary").alias("text"))
     return rows.mapInArrow(run, "doc_id long, mark long, print long")
 
@@ -89,10 +90,12 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
     """``docs`` with one row of each component: the smallest id (null last), of rows with that id the lowest text hash."""
     found = near_duplicates(docs, shingle, distance, parts)
     kept = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("kept"))
-    kept = kept.select(F.col("kept.doc_id").alias("__id"), F.col("kept.mark").alias("__mark")).distinct()
-    marked = docs.withColumn("__own", F.xxhash64("text"))
-    same = marked["doc_id"].eqNullSafe(kept["__id"]) & (marked["__own"] == kept["__mark"])
-    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__own"]).drop("__own")
+    # One struct as the key: its null fields match, and the join and the removal of repeated rows share one shuffle,
+    # provided that the same fields may be null on both sides.
+    mark = F.coalesce("kept.mark", F.lit(0).cast("long")).alias("mark")
+    kept = kept.select(F.struct(F.col("kept.doc_id").alias("doc_id"), mark).alias("__key")).distinct()
+    marked = docs.withColumn("__key", F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark")))
+    return marked.join(kept, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
 
 
 def links(prints: DataFrame, distance: int = DISTANCE, parts: int = PARTS) -> DataFrame:
@@ -128,6 +131,7 @@ def bit_counts(prints: DataFrame) -> tuple[np.ndarray, int]:
         i, j = np.divmod(np.arange(64 * 64), 64)
         yield pa.RecordBatch.from_pydict({"i": i.astype(np.int32), "j": j.astype(np.int32), "c": total.ravel().astype(np.int64), "n": np.full(4096, n)})
 
+    ship(prints.sparkSession)
     summed = prints.mapInArrow(count, "i int, j int, c long, n long").groupBy("i", "j").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
     together, n = np.zeros((64, 64)), 0
     for row in summed.collect():  # 64 x 64 rows
