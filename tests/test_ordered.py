@@ -103,20 +103,19 @@ def test_row_number_in_groups(skewed, rows):
 
 
 def test_percent_rank_with_ties(skewed):
-    placed = O.global_position(skewed, [F.desc("x"), F.asc("id")], "r")
-    pdf = O.percent_rank_from(placed, "r", "x", "share").toPandas()
+    pdf = O.global_position(skewed, [F.desc("x"), F.asc("id")], "r", percent={"share": "x"}).toPandas()
     ranks = pdf.x.rank(method="min", na_option="top")
     assert ((ranks - 1) / 2999 - pdf.share).abs().max() < 1e-12
 
 
 def test_percent_rank_of_one_row(spark):
-    one = spark.createDataFrame([(1.0, 1)], "x double, r bigint")
-    assert O.percent_rank_from(one, "r", "x", "share").first()["share"] == 0.0
+    one = spark.createDataFrame([(1.0,)], "x double")
+    assert O.global_position(one, [F.desc("x")], "r", percent={"share": "x"}).first()["share"] == 0.0
 
 
 def test_percent_rank_when_nearly_all_share_a_value(spark):
     df = spark.range(1000).select("id", F.when(F.col("id") % 100 == 0, F.col("id")).otherwise(0).cast("double").alias("x"))
-    pdf = O.percent_rank_from(O.global_position(df, [F.desc("x"), "id"], "r"), "r", "x", "share").toPandas()
+    pdf = O.global_position(df, [F.desc("x"), "id"], "r", percent={"share": "x"}).toPandas()
     assert ((pdf.x.rank(method="min") - 1) / 999 - pdf.share).abs().max() < 1e-12
 
 

@@ -131,12 +131,21 @@ def scan(
     return joined.select(*[c for c in df.columns if c not in out], *[c.alias(n) for n, c in out.items()])
 
 
-def global_position(df: DataFrame, order: Sequence[Column | str], name: str, within: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+def global_position(
+    df: DataFrame,
+    order: Sequence[Column | str],
+    name: str,
+    within: Mapping[str, Sequence[str]] | None = None,
+    percent: Mapping[str, str] | None = None,
+) -> DataFrame:
     """1-based position of every row in the total order ``order``.
 
     Range-partition, sort each part, number rows by (part, slot) and add the part
     offsets.  The offsets are one number per shuffle partition.  ``within`` adds
     positions inside groups under the same order, from one more count per part and group.
+    ``percent`` adds ``percent_rank`` ascending by a column that ``order`` puts largest first: the rows
+    below a value are those behind its last position, which is known per part and value.  Rows
+    meet their part's row only, so a value that nearly all rows share is joined part by part.
     """
     spark = df.sparkSession
     columns = df.columns
@@ -160,27 +169,13 @@ def global_position(df: DataFrame, order: Sequence[Column | str], name: str, wit
         starts = counts.select(_AT, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__start"))
         rows = placed.withColumn(_AT, at).withColumn("__here", F.row_number().over(Window.partitionBy(_AT).orderBy("__id")))
         placed = rows.join(starts, _AT).withColumn(inner_name, F.col("__start") + F.col("__here")).drop(_AT, "__start", "__here")
-    return placed.select(*columns, name, *(within or {}))
-
-
-def percent_rank_from(df: DataFrame, rank: str, column: str, name: str) -> DataFrame:
-    """``percent_rank`` ascending by ``column``, out of a rank that puts its largest value first.
-
-    Rows below a value are those behind its last rank, and equal values stand side by side in
-    the rank, so the last rank of a value is found like the next smaller value: inside
-    stretches of ranks, stretches stitched by one row each.  No join on the value, however
-    many rows share it.
-    """
-    after = "__after"
-    marked = scan(df, [], [rank], following={after: F.struct(F.col(column).alias("v"))}, totals={"__total": F.lit(1)})
-    is_last = F.col(after).isNull() | ~F.col(f"{after}.v").eqNullSafe(F.col(column))
-    # Seen from the end, the nearest last rank of a value is its own.
-    backwards = scan(
-        marked.withColumn("__back", -F.col(rank)), [], ["__back"], carry={"__last": F.when(is_last, F.col(rank))}
-    )
-    total = F.col("__total")
-    share = F.when(total > 1, (total - F.col("__last")) / (total - 1).cast("double")).otherwise(F.lit(0.0))
-    return backwards.select(*df.columns, share.alias(name))
+    for share, column in (percent or {}).items():
+        at = F.struct(_PART, column)
+        lasts = placed.groupBy(at.alias(_AT)).agg(F.max(name).alias("__here"))
+        lasts = lasts.select(_AT, F.max("__here").over(Window.partitionBy(F.col(_AT)[column])).alias("__last"))
+        below = (F.lit(total) - F.col("__last")) / F.lit(float(total - 1)) if total > 1 else F.lit(0.0)
+        placed = placed.withColumn(_AT, at).join(lasts, _AT).withColumn(share, below).drop(_AT, "__last")
+    return placed.select(*columns, name, *(within or {}), *(percent or {}))
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:

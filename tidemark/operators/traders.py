@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import settings as S
 from tidemark.functions import market as M
-from tidemark.operators.ordered import global_position, percent_rank_from, top_n
+from tidemark.operators.ordered import global_position, top_n
 from tidemark.session import cut_lineage
 
 
@@ -102,20 +102,17 @@ def ranked_positions(scored: DataFrame) -> DataFrame:
         "roi_rank": ["roi"],
     }
     percentiles = {
-        "overall_rank": ("score_percentile", "enhanced_smart_trader_score"),
-        "profitability_rank": ("pnl_percentile", "total_pnl"),
-        "execution_rank": ("efficiency_percentile", "avg_trade_efficiency"),
+        "overall_rank": {"score_percentile": "enhanced_smart_trader_score"},
+        "profitability_rank": {"pnl_percentile": "total_pnl"},
+        "execution_rank": {"efficiency_percentile": "avg_trade_efficiency"},
     }
     rows = cut_lineage(scored.withColumn("__row", F.monotonically_increasing_id()))
     ranked = rows
     for name, order in orders.items():
         narrow = rows.select("__row", "wallet_address", "token_address", *sorted_by[name])
-        placed, kept = global_position(narrow, order, name), [name]
-        if name in percentiles:
-            share, column = percentiles[name]
-            placed, kept = percent_rank_from(placed, name, column, share), [name, share]
-        ranked = ranked.join(placed.select("__row", *kept), "__row")
-    new = [*orders, *[share for share, _ in percentiles.values()]]
+        placed = global_position(narrow, order, name, percent=percentiles.get(name))
+        ranked = ranked.join(placed.select("__row", name, *percentiles.get(name, {})), "__row")
+    new = [*orders, *[share for shares in percentiles.values() for share in shares]]
     return ranked.select(*scored.columns, *new)
 
 
