@@ -34,6 +34,15 @@ def test_wrapper_is_induced_per_host(spark):
     assert got[100] == "copied page\nall of it" and got[200] == "constant\na"
 
 
+def test_few_deviating_pages_keep_the_template(spark):
+    rows = [(i, f"http://h/{i}", f"<div>(c) {2024 if i == 7 else 2023}</div><div><h2>News {i}</h2></div><div>Call us<p>{i}</p>Bye</div>") for i in range(20)]
+    rows[9] = (9, "http://h/9", "<div>(c) 20")
+    got = texts(pages.extract(table(spark, rows)))
+    assert got == {i: f"News {i}\n{i}" for i in range(20)} | {7: "(c) 2024\nNews 7\n7", 9: "(c) 20"}
+    near = [(i, "http://n/", "".join(f"<p>{'odd' if i == k else 'text'} {k}</p>" for k in range(12))) for i in range(12)]
+    assert texts(pages.extract(table(spark, near)))[3].startswith("text 0\ntext 1\ntext 2\nodd 3\ntext 4")
+
+
 def test_defined_cases(spark):
     rows = [
         (1, None, "<p>x</p>"), (2, "http://a", None), (3, "http://a", ""), (4, "http://a", "plain &lt;text&gt; a < b"), (5, "http://a", "<p>cut <b>off &am"),

@@ -2,13 +2,13 @@
 
 Every page is parsed into a tree of block elements.  The pages of a host are aligned with
 one reference page of that host by simple tree matching (the largest order-keeping
-match of equally labelled nodes).  A matched node whose text is the same on nearly all
-of the host's distinct pages is template; what varies is a slot and holds
-content.  Elements that by their tag or class are navigation, header, footer, sidebar, notice, advert,
+match of equally labelled nodes).  A text that a matched node has on nearly all
+of the host's distinct pages is template there; what varies is a slot and holds
+content, also where a few pages deviate from a template text.  Elements that by their tag or class are navigation, header, footer, sidebar, notice, advert,
 form, script, style or reader comments are template on every page.  If a page has an article, content comes
 from inside it.
 
-Statistics of a host are partial sums over (host, node), so a host with a third of
+Statistics of a host are partial sums over (host, node, text), so a host with a third of
 all pages is split like any other.
 
 Text: character references are decoded, white space inside a block becomes one space,
@@ -27,7 +27,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import ship
@@ -35,7 +35,7 @@ from tidemark.llm.urls import host_and_path
 from tidemark.session import cut_lineage
 
 MIN_PAGES = 4
-STEADY = 0.9  # share of a host's distinct pages that must have a template node
+STEADY = 0.9  # share of a host's distinct pages that must have a template text at its node
 _KNOWN_TREES = 500
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -268,23 +268,34 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, steady: float = STEADY
     found = cut_lineage(rows.join(reference, "host", "left").mapInPandas(_align, "page_id long, url string, host string, content string, blocks array<struct<node:int,text:string>>"))
     template = cut_lineage(_templates(found, min_pages, steady))
     left = found.join(template, "host", "left")
-    varying = F.filter("blocks", lambda b: F.col("template").isNull() | ~F.array_contains("template", b["node"]))
+    varying = F.filter("blocks", lambda b: F.col("template").isNull() | ~F.array_contains("template", _said(b)))
     text = F.array_join(F.transform(varying, lambda b: b["text"]), "\n")
     return left.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def _templates(found: DataFrame, min_pages: int, steady: float) -> DataFrame:
-    """For each host the reference nodes whose text hardly any distinct page changes."""
-    nodes = found.select("host", "content", F.explode("blocks").alias("b")).filter("b.node >= 0")
-    nodes = nodes.select("host", "content", "b.node", F.xxhash64("b.text").alias("said"))
-    nodes = nodes.groupBy("host", "content", "node").agg(F.xxhash64(F.array_sort(F.collect_set("said"))).alias("said"))
-    nodes = nodes.groupBy("host", "node").agg(F.count(F.lit(1)).alias("n"), (F.min("said") == F.max("said")).alias("same"))
-    hosts = found.groupBy("host").agg(F.count_distinct("content").alias("pages"))
-    is_template = F.col("same") & (F.col("n") >= F.col("pages") * steady)
-    judged = nodes.join(hosts.filter(F.col("pages") >= min_pages), "host").groupBy("host").agg(
-        F.collect_list(F.when(is_template, F.col("node"))).alias("template"), F.count(F.lit(1)).alias("all")
+    """For each host the hashes of (node, text) pairs that nearly all of its distinct pages have."""
+    said = F.array_distinct(F.transform("blocks", lambda b: F.struct(b["node"].alias("node"), _said(b).alias("said"))))
+    distinct = found.groupBy("host", "content").agg(F.min(said).alias("said"))
+    pairs = distinct.select("host", F.inline("said")).groupBy("host", "node", "said").agg(F.count(F.lit(1)).alias("n"))
+    # Texts too rare for any template are one row per node before anything meets by host.
+    often = F.when(F.col("n") >= min_pages * steady, F.col("said"))
+    pairs = pairs.groupBy("host", "node", often.alias("said")).agg(F.sum("n").alias("n"))
+    hosts = found.groupBy("host").agg(F.count_distinct("content").alias("pages")).filter(F.col("pages") >= min_pages)
+    hosts = cut_lineage(hosts)
+    is_template = (F.col("node") >= 0) & F.col("said").isNotNull() & (F.col("n") >= F.col("pages") * steady)
+    nodes = pairs.join(hosts, "host").groupBy("host", "pages", "node").agg(
+        F.collect_list(F.when(is_template, F.col("said"))).alias("steady"), F.sum(F.when(~is_template, F.col("n"))).alias("other")
     )
-    return judged.filter((F.size("template") > 0) & (F.size("template") < F.col("all"))).select("host", "template")
+    # A slot has other texts on more pages than a few deviating ones.
+    judged = nodes.groupBy("host").agg(
+        F.flatten(F.collect_list("steady")).alias("template"), F.max(F.col("other") > F.col("pages") * (1 - steady)).alias("varies")
+    )
+    return judged.filter((F.size("template") > 0) & F.col("varies")).select("host", "template")
+
+
+def _said(block: Column) -> Column:
+    return F.xxhash64(block["node"], block["text"])
 
 
 _references: dict[str, Node] = {}
