@@ -43,6 +43,22 @@ def test_few_deviating_pages_keep_the_template(spark):
     assert texts(pages.extract(table(spark, near)))[3].startswith("text 0\ntext 1\ntext 2\nodd 3\ntext 4")
 
 
+def test_each_layout_of_a_host_has_its_wrapper(spark):
+    def page(i, layout):
+        if layout == "a":
+            return f"<div class=top>Our motto</div><div class=main><h2>News {i}</h2>{'<ul><li>x</ul>' * (i % 2)}<p>n {i}</p></div><div class=end>Call us</div>"
+        return f"<table><tr><td>Shop motto<td><p>Ware {i}</p><td>Buy now</table>"
+
+    rows = [(1, "http://h/1", "<p>odd</p><b>broken"), (2, "http://s/2", "<p>odd</p><h1>broken")]
+    rows += [(i, f"http://h/{i}", page(i, "ab"[i % 2])) for i in range(10, 30)]
+    rows += [(i, f"http://s/{i}", page(i, "a" if i % 5 else "b")) for i in range(30, 60)]
+    got = texts(pages.extract(table(spark, rows)))
+    assert got[1].startswith("odd")
+    for i, _, html in rows[2:]:
+        lists = "\nx" * (i % 2)
+        assert got[i] == (f"Ware {i}" if "Ware" in html else f"News {i}{lists}\nn {i}")
+
+
 def test_defined_cases(spark):
     rows = [
         (1, None, "<p>x</p>"), (2, "http://a", None), (3, "http://a", ""), (4, "http://a", "plain &lt;text&gt; a < b"), (5, "http://a", "<p>cut <b>off &am"),

@@ -1,21 +1,23 @@
 """HTML extraction by wrapper induction.
 
-Every page is parsed into a tree of block elements.  The pages of a host are aligned with
-one reference page of that host by simple tree matching (the largest order-keeping
-match of equally labelled nodes).  A text that a matched node has on nearly all
-of the host's distinct pages is template there; what varies is a slot and holds
+Every page is parsed into a tree of block elements.  The pages of a host, and those of each
+layout of a host (pages with the same labels outside articles and prose), are aligned with
+one reference page by simple tree matching (the largest order-keeping
+match of equally labelled nodes); it is the page of smallest id among those of the commonest shape.
+A text that a matched node has on nearly all distinct pages of the host or
+of the layout is template there; what varies is a slot and holds
 content, also where a few pages deviate from a template text.  Elements that by their tag or class are navigation, header, footer, sidebar, notice, advert,
 form, script, style or reader comments are template on every page.  If a page has an article, content comes
 from inside it.
 
-Statistics of a host are partial sums over (host, node, text), so a host with a third of
+Statistics are partial sums over (host, node, text) and (host, layout, node, text), so a host with a third of
 all pages is split like any other.
 
 Text: character references are decoded, white space inside a block becomes one space,
 blocks are trimmed and joined in page order by a line break.
 
 Defined cases: null and empty pages have empty text; a null URL belongs to the empty host;
-pages without an id are never a reference; broken and cut-off markup is closed where it ends; hosts with fewer
+pages without an id are never a reference; broken and cut-off markup is closed where it ends; hosts and layouts with fewer
 than ``MIN_PAGES`` distinct pages, or whose pages vary nowhere, have no template nodes; other columns are not carried.
 """
 
@@ -35,7 +37,7 @@ from tidemark.llm.urls import host_and_path
 from tidemark.session import cut_lineage
 
 MIN_PAGES = 4
-STEADY = 0.9  # share of a host's distinct pages that must have a template text at its node
+STEADY = 0.9  # share of the distinct pages of a host or layout that must have a template text at its node
 _KNOWN_TREES = 500
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -59,6 +61,8 @@ BOILERPLATE = frozenset(
 OUTSIDE_ONLY = frozenset({"header"})  # an article's own header is content
 ROLES = frozenset("banner navigation complementary contentinfo search form alert dialog menu".split())
 CONTENT_ROOTS = frozenset({"article", "main"})
+PROSE = frozenset("p ul ol li dl dt dd blockquote pre h1 h2 h3 h4 h5 h6 hr figure figcaption table thead tbody tfoot tr td th caption address details summary".split())
+_PATH = 200  # last characters of a path that tell layouts apart
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?/][^>]*>", re.DOTALL)
 _CUT_OFF = re.compile(r"<(?:[a-zA-Z/!?][^<]*)?\Z", re.DOTALL)
@@ -259,43 +263,90 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, steady: float = STEADY
     """page_id, url and the main text of every page."""
     ship(pages.sparkSession)
     host, _ = host_and_path(F.col("url"))
-    rows = pages.select("page_id", "url", host.alias("host"), "html")
+    rows = pages.select("page_id", "url", host.alias("host"), "html").withColumn("signature", F.pandas_udf(_signatures, "struct<layout:long,shape:long>")("html"))
+    rows = rows.select("page_id", "url", "host", "html", "signature.*")
     named = rows.filter(F.col("page_id").isNotNull() & F.col("html").isNotNull())
     # Written, so that its size is known and pages are not shuffled to meet a few rows.
-    first = cut_lineage(named.groupBy("host").agg(F.min("page_id").alias("page_id")))
-    reference = named.select("host", "page_id", F.col("html").alias("reference")).join(first, ["host", "page_id"], "left_semi")
-    reference = cut_lineage(reference.groupBy("host").agg(F.min("reference").alias("reference")))
-    found = cut_lineage(rows.join(reference, "host", "left").mapInPandas(_align, "page_id long, url string, host string, content string, blocks array<struct<node:int,text:string>>"))
-    template = cut_lineage(_templates(found, min_pages, steady))
-    left = found.join(template, "host", "left")
-    varying = F.filter("blocks", lambda b: F.col("template").isNull() | ~F.array_contains("template", _said(b)))
-    text = F.array_join(F.transform(varying, lambda b: b["text"]), "\n")
+    shapes = cut_lineage(named.groupBy("host", "layout", "shape").agg(F.count(F.lit(1)).alias("n"), F.min("page_id").alias("page_id")))
+    commonest = F.min(F.struct(-F.col("n"), F.col("page_id")))["page_id"].alias("page_id")
+    of_host = shapes.groupBy("host").agg(commonest)
+    several = shapes.groupBy("host").agg(F.count_distinct("layout").alias("layouts")).filter("layouts > 1")
+    of_layout = shapes.join(several, "host", "left_semi").groupBy("host", "layout").agg(commonest, F.sum("n").alias("n"))
+    of_layout = cut_lineage(of_layout.filter(F.col("n") >= min_pages).select("host", "layout", "page_id"))
+    chosen = cut_lineage(of_host.union(of_layout.select("host", "page_id")).distinct())
+    # Signatures are not used here, so pages are not parsed for it.
+    html = named.select("host", "page_id", "html").join(chosen, ["host", "page_id"], "left_semi").groupBy("host", "page_id").agg(F.min("html").alias("html"))
+    html = cut_lineage(html)
+    of_host = cut_lineage(html.join(of_host, ["host", "page_id"]).select("host", F.col("html").alias("reference")))
+    of_layout = cut_lineage(html.join(of_layout, ["host", "page_id"]).select("host", "layout", F.col("html").alias("own_reference")))
+    met = rows.join(of_host, "host", "left").join(of_layout, ["host", "layout"], "left")
+    found = cut_lineage(met.mapInPandas(_align, "page_id long, url string, host string, layout long, content string, blocks array<struct<node:int,own:int,text:string>>"))
+    template = cut_lineage(_templates(found, ["host"], "node", min_pages, steady))
+    own = cut_lineage(_templates(found.filter("layout is not null"), ["host", "layout"], "own", min_pages, steady).withColumnRenamed("template", "own_template"))
+    left = found.join(template, "host", "left").join(own, ["host", "layout"], "left")
+    for known, node in (("template", "node"), ("own_template", "own")):
+        varying = F.filter("blocks", lambda b: ~F.array_contains(known, _said(b, node)))  # noqa: B023
+        left = left.withColumn("blocks", F.when(F.col(known).isNull(), F.col("blocks")).otherwise(varying))
+    text = F.array_join(F.transform("blocks", lambda b: b["text"]), "\n")
     return left.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
 
 
-def _templates(found: DataFrame, min_pages: int, steady: float) -> DataFrame:
-    """For each host the hashes of (node, text) pairs that nearly all of its distinct pages have."""
-    said = F.array_distinct(F.transform("blocks", lambda b: F.struct(b["node"].alias("node"), _said(b).alias("said"))))
-    distinct = found.groupBy("host", "content").agg(F.min(said).alias("said"))
-    pairs = distinct.select("host", F.inline("said")).groupBy("host", "node", "said").agg(F.count(F.lit(1)).alias("n"))
-    # Texts too rare for any template are one row per node before anything meets by host.
+def _templates(found: DataFrame, group: list[str], node: str, min_pages: int, steady: float) -> DataFrame:
+    """For each group the hashes of (node, text) pairs that nearly all of its distinct pages have."""
+    said = F.array_distinct(F.transform("blocks", lambda b: F.struct(b[node].alias("node"), _said(b, node).alias("said"))))
+    distinct = found.groupBy(*group, "content").agg(F.min(said).alias("said"))
+    pairs = distinct.select(*group, F.inline("said")).groupBy(*group, "node", "said").agg(F.count(F.lit(1)).alias("n"))
+    # Texts too rare for any template are one row per node before anything meets by group.
     often = F.when(F.col("n") >= min_pages * steady, F.col("said"))
-    pairs = pairs.groupBy("host", "node", often.alias("said")).agg(F.sum("n").alias("n"))
-    hosts = found.groupBy("host").agg(F.count_distinct("content").alias("pages")).filter(F.col("pages") >= min_pages)
-    hosts = cut_lineage(hosts)
+    pairs = pairs.groupBy(*group, "node", often.alias("said")).agg(F.sum("n").alias("n"))
+    sizes = cut_lineage(found.groupBy(*group).agg(F.count_distinct("content").alias("pages")).filter(F.col("pages") >= min_pages))
     is_template = (F.col("node") >= 0) & F.col("said").isNotNull() & (F.col("n") >= F.col("pages") * steady)
-    nodes = pairs.join(hosts, "host").groupBy("host", "pages", "node").agg(
+    nodes = pairs.join(sizes, group).groupBy(*group, "pages", "node").agg(
         F.collect_list(F.when(is_template, F.col("said"))).alias("steady"), F.sum(F.when(~is_template, F.col("n"))).alias("other")
     )
     # A slot has other texts on more pages than a few deviating ones.
-    judged = nodes.groupBy("host").agg(
+    judged = nodes.groupBy(*group).agg(
         F.flatten(F.collect_list("steady")).alias("template"), F.max(F.col("other") > F.col("pages") * (1 - steady)).alias("varies")
     )
-    return judged.filter((F.size("template") > 0) & F.col("varies")).select("host", "template")
+    return judged.filter((F.size("template") > 0) & F.col("varies")).select(*group, "template")
 
 
-def _said(block: Column) -> Column:
-    return F.xxhash64(block["node"], block["text"])
+def _said(block: Column, node: str) -> Column:
+    return F.xxhash64(block[node], block["text"])
+
+
+def signature(root: Node) -> tuple[int, int]:
+    """Numbers of the page's layout and of its shape, the set of all its labels.
+
+    The layout is the set of labelled paths outside articles and dropped elements: every block where
+    the page first branches, below that blocks that have a name or are no prose.
+    """
+    top, above = root, ""
+    while top.tag not in CONTENT_ROOTS:
+        below = [n for n in top.children if not n.dropped]
+        if len(below) != 1:
+            break
+        top, above = below[0], f"{above}/{below[0].label}"[-_PATH:]
+    layout, shape = {above}, set()
+    waiting = [(root, None)]
+    while waiting:
+        node, path = waiting.pop()
+        shape.add(node.label)
+        if node is top:
+            path = above
+        elif path is not None:
+            known = node.tag not in PROSE or node.label != f"{node.tag}." or path == above
+            path = f"{path}/{node.label}"[-_PATH:] if known else None
+            if known:
+                layout.add(path)
+        inner = None if node.tag in CONTENT_ROOTS else path
+        waiting.extend((n, inner) for n in node.children if not n.dropped)
+    numbers = [hashlib.blake2b("\n".join(sorted(x)).encode("utf-8", "surrogatepass"), digest_size=8).digest() for x in (layout, layout | {"", *shape})]
+    return tuple(int.from_bytes(x, "big", signed=True) for x in numbers)
+
+
+def _signatures(html: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([signature(parse(page or "")) for page in html], columns=["layout", "shape"], dtype="int64")
 
 
 _references: dict[str, Node] = {}
@@ -304,13 +355,16 @@ _references: dict[str, Node] = {}
 def _align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
-        for page, reference in zip(batch["html"], batch["reference"], strict=True):
+        for page, *references in zip(batch["html"], batch["reference"], batch["own_reference"], strict=True):
             tree = numbered(parse(page or ""))
             said = blocks(tree)
-            matched = match(tree, _reference(reference)) if reference is not None else {}
+            host, own = references
+            matched = match(tree, _reference(host)) if host is not None else {}
+            nearer = matched if own == host else match(tree, _reference(own)) if own is not None else {}
             content = hashlib.md5("\n".join(text for _, text in said).encode("utf-8", "surrogatepass")).hexdigest()
-            out.append((content, [{"node": matched.get(number, -1), "text": text} for number, text in said]))
-        frame = batch[["page_id", "url", "host"]].astype({"page_id": "Int64"})
+            out.append((content, [{"node": matched.get(number, -1), "own": nearer.get(number, -1), "text": text} for number, text in said]))
+        frame = batch[["page_id", "url", "host", "layout"]].astype({"page_id": "Int64", "layout": "Int64"})
+        frame["layout"] = frame["layout"].where(batch["own_reference"].notna())
         yield frame.assign(content=[c for c, _ in out], blocks=[b for _, b in out])
 
 
