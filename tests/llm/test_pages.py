@@ -59,6 +59,22 @@ def test_each_layout_of_a_host_has_its_wrapper(spark):
         assert got[i] == (f"Ware {i}" if "Ware" in html else f"News {i}{lists}\nn {i}")
 
 
+def test_names_mark_whole():
+    def text(body):
+        return "\n".join(x for _, x in pages.blocks(pages.numbered(pages.parse(f"<body>{body}</body>"))))
+
+    for name in ("class='content no-sidebar'", "class=has-sidebar", "class=with-menu", "class='elementor-widget'", "class=post-share-enabled", "id='comment-free'"):
+        assert text(f"<p>a longer line of text before it</p><div {name}>whole</div>") == "a longer line of text before it\nwhole"
+    for name in ("class='x widget'", "class=site-footer", "id=comment-list-2", "class='cookie-notice'", "class=page-header", "role=search", "class=Ad_Box", "id=respond"):
+        assert text(f"<p>a longer line of text before it</p><div {name}>gone</div>") == "a longer line of text before it"
+    assert text("<div class=sidebar><article>kept</article><div class=ad>x</div></div>") == "kept"
+    assert text("<p>post of some length</p><div class=related><article>teaser</article></div>") == "post of some length\nteaser"
+    assert text("<article>post</article><div class=related><article>a teaser longer than it</article></div>") == "post\na teaser longer than it"
+    assert text("<article>the post itself</article><div class=related><article>teaser</article></div>") == "the post itself"
+    assert text("<div class=widget><p>all of the text</p><div class=ad>buy</div></div><div>x</div>") == "all of the text\nx"
+    assert text("<p>short</p><div class=comments>readers say much more than that</div>") == "short"
+
+
 def test_defined_cases(spark):
     rows = [
         (1, None, "<p>x</p>"), (2, "http://a", None), (3, "http://a", ""), (4, "http://a", "plain &lt;text&gt; a < b"), (5, "http://a", "<p>cut <b>off &am"),

@@ -6,9 +6,10 @@ one reference page by simple tree matching (the largest order-keeping
 match of equally labelled nodes); it is the page of smallest id among those of the commonest shape.
 A text that a matched node has on nearly all distinct pages of the host or
 of the layout is template there; what varies is a slot and holds
-content, also where a few pages deviate from a template text.  Elements that by their tag or class are navigation, header, footer, sidebar, notice, advert,
-form, script, style or reader comments are template on every page.  If a page has an article, content comes
-from inside it.
+content, also where a few pages deviate from a template text.  Elements that by their tag, role or whole class or id are navigation,
+header, footer, sidebar, notice, advert, form, script, style or reader comments are template on every page, but
+a role or name alone drops neither an article or main nor, reader comments aside, most of a page's text.  If a page has an article
+outside elements so named, content comes from inside it.
 
 Statistics are partial sums over (host, node, text) and (host, layout, node, text), so a host with a third of
 all pages is split like any other.
@@ -58,9 +59,13 @@ BOILERPLATE = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr menu nav navbar "
     "navigation newsletter notice notices popup promo promoted related respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
+# A class or id marks an element if all its parts are words above or of these, and one is above: site-footer, ad-box, comment-list.
+PLACES = frozenset("site page global main top bottom left right side primary secondary area bar block box button buttons container item items link links list section wrap wrapper".split())
+COMMENTS = frozenset("comment comments disqus respond".split())
 OUTSIDE_ONLY = frozenset({"header"})  # an article's own header is content
 ROLES = frozenset("banner navigation complementary contentinfo search form alert dialog menu".split())
 CONTENT_ROOTS = frozenset({"article", "main"})
+_NAMING = BOILERPLATE | OUTSIDE_ONLY | PLACES
 PROSE = frozenset("p ul ol li dl dt dd blockquote pre h1 h2 h3 h4 h5 h6 hr figure figcaption table thead tbody tfoot tr td th caption address details summary".split())
 _PATH = 200  # last characters of a path that tell layouts apart
 
@@ -72,10 +77,11 @@ _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'
 class Node:
     """A block element: label for matching, child blocks, and its own text in pieces between the children."""
 
-    __slots__ = ("tag", "label", "dropped", "children", "items", "number")
+    __slots__ = ("tag", "label", "dropped", "marked", "children", "items", "number")
 
-    def __init__(self, tag: str, label: str, dropped: bool):
+    def __init__(self, tag: str, label: str, dropped: bool, marked: str = ""):
         self.tag, self.label, self.dropped = tag, label, dropped
+        self.marked = marked  # by its names: "names", "comments" or not at all
         self.children: list[Node] = []
         self.items: list[str | Node] = []
         self.number = -1
@@ -108,9 +114,37 @@ def parse(page: str) -> Node:
                 raw_until = tag
     if raw_until is None:
         open_nodes[-1].items.append(_CUT_OFF.sub("", page[at:]))
+    _drop_marked(root)
     return root
 
 
+def _drop_marked(root: Node) -> None:
+    """Drops what its names mark, but nothing that holds an article or main, or most of the page's text.
+
+    Reader comments may be most of a page.  Marks that stay tell where else to look for articles first.
+    """
+    order, waiting = [], [root]
+    while waiting:
+        node = waiting.pop()
+        order.append(node)
+        if not node.dropped:
+            waiting.extend(node.children)
+    if not any(n.marked for n in order):
+        return
+    length, roots = {}, set()
+    for node in reversed(order):
+        length[id(node)] = 0 if node.dropped else sum(len("".join(x.split())) if isinstance(x, str) else length[id(x)] for x in node.items)
+        if not node.dropped and (node.tag in CONTENT_ROOTS or any(id(n) in roots for n in node.children)):
+            roots.add(id(node))
+    for node in order:
+        if not node.marked or node.dropped:
+            continue
+        if node.marked == "names" and 2 * length[id(node)] > length[id(root)]:
+            node.marked = ""
+        elif id(node) not in roots:
+            node.dropped = True
+
+
 def _open(open_nodes: list[Node], tag: str, attributes: str) -> None:
     if tag in CLOSES_P:
         for i in range(len(open_nodes) - 1, 0, -1):
@@ -125,17 +159,25 @@ def _open(open_nodes: list[Node], tag: str, attributes: str) -> None:
             break
         if open_nodes[i].tag in STOPS:
             break
-    names, role = set(), ""
+    names, words, role = set(), set(), ""
     for name, *values in _NAMES.findall(attributes) if "=" in attributes else ():
         value = "".join(values).lower()
         if name.lower() == "role":
             role = value.strip()
-        else:
-            names.update(x for x in re.split(r"[^a-z0-9]+", value) if x and not x.isdigit())
+            continue
+        for whole in value.split():
+            parts = {x for x in re.split(r"[^a-z0-9]+", whole) if x and not x.isdigit()}
+            names.update(parts)
+            if parts <= _NAMING:
+                words.update(parts - PLACES)
     inside = any(n.tag in CONTENT_ROOTS for n in open_nodes)
-    marked = tag not in ("html", "body", "article", "main") and bool(names & BOILERPLATE or role in ROLES)
-    outside = not inside and (tag in OUTSIDE_ONLY or (tag not in ("html", "body") and bool(names & OUTSIDE_ONLY)))
-    node = Node(tag, f"{tag}.{'.'.join(sorted(names))}", tag in DROPPED or tag == "footer" or marked or outside)
+    by_name = set() if tag in ("html", "body", "article", "main") else words & BOILERPLATE
+    if role in ROLES and tag not in ("html", "body", "article", "main"):
+        by_name.add(role)
+    if not inside and tag not in ("html", "body"):
+        by_name |= words & OUTSIDE_ONLY
+    marked = "" if not by_name else "comments" if by_name <= COMMENTS else "names"
+    node = Node(tag, f"{tag}.{'.'.join(sorted(names))}", tag in DROPPED or tag == "footer" or (tag in OUTSIDE_ONLY and not inside), marked)
     open_nodes[-1].children.append(node)
     open_nodes[-1].items.append(node)
     if tag not in VOID:
@@ -243,12 +285,12 @@ def blocks(root: Node) -> list[tuple[int, str]]:
 
 
 def _content_roots(root: Node) -> list[Node]:
-    """Outermost articles outside dropped elements, or else main elements."""
+    """Outermost articles outside dropped and marked elements, or else main elements."""
     for tag in ("article", "main"):
         found, waiting = [], [root]
         while waiting:
             node = waiting.pop()
-            if node.dropped:
+            if node.dropped or node.marked:
                 continue
             if node.tag == tag:
                 found.append(node)
