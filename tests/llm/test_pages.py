@@ -114,3 +114,19 @@ def test_matching_is_largest_and_keeps_order():
         found = pages.match(a, b)
         assert len(found) == plain_weight(a, b)
         assert list(dict(sorted(found.items())).values()) == sorted(found.values())
+
+
+def test_deep_and_wide_trees():
+    deep = pages.numbered(pages.parse("<div>" * 3000 + "a<p>b"))
+    other = pages.numbered(pages.parse("<div>" * 2000 + "<p>x</p>" + "<div>" * 1000 + "a"))
+    assert len(pages.match(deep, deep)) == 3002
+    assert len(pages.match(deep, other)) == 3001
+    cells = ["<tr><td></td></tr>", "<tr><td></td><td></td></tr>"]
+    wide = [pages.numbered(pages.parse("<table>" + "".join(cells[k] if (i + k) % 3 else cells[1 - k] for i in range(10_000)))) for k in (0, 1)]
+    found = pages.match(*wide)
+    assert len(found) >= 2 + 6666 * 2 and list(dict(sorted(found.items())).values()) == sorted(found.values())
+
+
+def test_deep_reference(spark):
+    rows = [(i, "http://d/", "<div>" * 3000 + f"deep {i}") for i in range(5)]
+    assert texts(pages.extract(table(spark, rows))) == {i: f"deep {i}" for i in range(5)}

@@ -29,6 +29,7 @@ import html as html_text
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,14 +78,14 @@ _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'
 class Node:
     """A block element: label for matching, child blocks, and its own text in pieces between the children."""
 
-    __slots__ = ("tag", "label", "dropped", "marked", "children", "items", "number")
+    __slots__ = ("tag", "label", "dropped", "marked", "children", "items", "number", "shape", "size")
 
     def __init__(self, tag: str, label: str, dropped: bool, marked: str = ""):
         self.tag, self.label, self.dropped = tag, label, dropped
         self.marked = marked  # by its names: "names", "comments" or not at all
         self.children: list[Node] = []
         self.items: list[str | Node] = []
-        self.number = -1
+        self.number, self.shape, self.size = -1, 0, 1  # shape: hash of the labels of the subtree
 
 
 def parse(page: str) -> Node:
@@ -194,65 +195,109 @@ def _close(open_nodes: list[Node], tag: str) -> None:
 
 
 def numbered(root: Node) -> Node:
-    """The tree with its nodes numbered in page order."""
-    waiting, n = [root], 0
+    """The tree with its nodes numbered in page order, and the shape and size of each subtree."""
+    waiting, order = [root], []
     while waiting:
         node = waiting.pop()
-        node.number, n = n, n + 1
+        node.number = len(order)
+        order.append(node)
         waiting.extend(reversed(node.children))
+    for node in reversed(order):
+        node.shape = hash((node.label, *[n.shape for n in node.children]))
+        node.size = 1 + sum([n.size for n in node.children])
     return root
 
 
 def match(page: Node, reference: Node) -> dict[int, int]:
-    """Simple tree matching: numbers of ``page``'s nodes to those of ``reference``."""
-    known: dict[tuple[int, int], tuple[int, list]] = {}
+    """Simple tree matching: numbers of ``page``'s nodes to those of ``reference``, both ``numbered``.
+
+    Pairs are worked out bottom-up from an explicit stack, once per pair of shapes.
+    """
+    known: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
 
-    def weigh(a: Node, b: Node) -> int:
+    def weight(a: Node, b: Node) -> int | None:
         if a.label != b.label:
             return 0
+        if a.shape == b.shape:
+            return a.size
         if not a.children or not b.children:
             return 1
-        key = (id(a), id(b))
-        if key not in known:
-            known[key] = _best_children(a.children, b.children, weigh)
-        return known[key][0] + 1
+        found = known.get((a.shape, b.shape))
+        return found and found[0]
 
-    out: dict[int, int] = {}
-    waiting = [(page, reference)] if weigh(page, reference) else []
+    waiting = [(page, reference)]
     while waiting:
-        a, b = waiting.pop()
+        a, b = waiting[-1]
+        if weight(a, b) is not None:
+            waiting.pop()
+            continue
+        low, high = _equal_ends(a.children, b.children)
+        left, right = a.children[low : len(a.children) - high], b.children[low : len(b.children) - high]
+        ours, theirs = {n.shape: n for n in left}, {n.shape: n for n in right}
+        weights = {(x, y): weight(m, n) for x, m in ours.items() for y, n in theirs.items()}
+        missing = [(ours[x], theirs[y]) for (x, y), found in weights.items() if found is None]
+        if missing:
+            waiting.extend(missing)
+            continue
+        waiting.pop()
+        total, pairs = _best_pairs([n.shape for n in left], [n.shape for n in right], weights)
+        ends = [(i, i) for i in range(low)] + [(len(a.children) - i, len(b.children) - i) for i in range(1, high + 1)]
+        total += 1 + sum(a.children[i].size for i, _ in ends)
+        known[a.shape, b.shape] = total, [*ends, *((i + low, j + low) for i, j in pairs)]
+
+    out: dict[int, int] = {}
+    both = [(page, reference)] if page.label == reference.label else []
+    while both:
+        a, b = both.pop()
+        if a.shape == b.shape:
+            out.update(zip(range(a.number, a.number + a.size), range(b.number, b.number + b.size), strict=True))
+            continue
         out[a.number] = b.number
         if a.children and b.children:
-            waiting.extend(known[id(a), id(b)][1])
+            both.extend((a.children[i], b.children[j]) for i, j in known[a.shape, b.shape][1])
     return out
 
 
-def _best_children(left: list[Node], right: list[Node], weigh) -> tuple[int, list]:
-    """Largest total weight of order-keeping pairs of two child lists, and the pairs."""
-    pairs, total, low = [], 0, 0
-    # Equally labelled leaves at the front always belong to a largest match.
-    while low < min(len(left), len(right)) and left[low].label == right[low].label and not (left[low].children or right[low].children):
-        pairs.append((left[low], right[low]))
-        low, total = low + 1, total + 1
-    left, right = left[low:], right[low:]
+def _equal_ends(left: list[Node], right: list[Node]) -> tuple[int, int]:
+    """How many subtrees at the front and at the end are equal; these always belong to a largest match."""
+    most, low, high = min(len(left), len(right)), 0, 0
+    while low < most and left[low].shape == right[low].shape:
+        low += 1
+    while high < most - low and left[-1 - high].shape == right[-1 - high].shape:
+        high += 1
+    return low, high
+
+
+def _best_pairs(left: list[int], right: list[int], weights: dict[tuple[int, int], int]) -> tuple[int, list[tuple[int, int]]]:
+    """Largest total weight of order-keeping pairs of two lists of shapes, and the pairs' places.
+
+    One row of the table is kept, and two bits of each cell for the way back.
+    """
     if not left or not right:
-        return total, pairs
-    weights = [[weigh(a, b) for b in right] for a in left]
-    best = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
-    for i, row in enumerate(weights):
-        above, here = best[i], best[i + 1]
-        for j, weight in enumerate(row):
-            here[j + 1] = max(here[j], above[j + 1], above[j] + weight)
-    i, j = len(left), len(right)
-    while i and j:
-        if weights[i - 1][j - 1] and best[i][j] == best[i - 1][j - 1] + weights[i - 1][j - 1]:
+        return 0, []
+    kinds = {y: k for k, y in enumerate(dict.fromkeys(right))}
+    of = np.array([kinds[y] for y in right])
+    rows = {x: np.array([weights[x, y] for y in kinds], dtype=np.int64)[of] for x in set(left)}
+    above = np.zeros(len(right) + 1, dtype=np.int64)
+    paired, lifted = [], []
+    for x in left:
+        row = rows[x]
+        here = np.zeros_like(above)
+        np.maximum.accumulate(np.maximum(above[1:], above[:-1] + row), out=here[1:])
+        paired.append(np.packbits((row > 0) & (here[1:] == above[:-1] + row)))
+        lifted.append(np.packbits(here[1:] == above[1:]))
+        above = here
+    pairs, i, j = [], len(left) - 1, len(right) - 1
+    while i >= 0 and j >= 0:
+        byte, bit = j >> 3, 128 >> (j & 7)
+        if paired[i][byte] & bit:
+            pairs.append((i, j))
             i, j = i - 1, j - 1
-            pairs.append((left[i], right[j]))
-        elif best[i][j] == best[i - 1][j]:
+        elif lifted[i][byte] & bit:
             i -= 1
         else:
             j -= 1
-    return total + best[len(left)][len(right)], pairs
+    return int(above[-1]), pairs
 
 
 def blocks(root: Node) -> list[tuple[int, str]]:
