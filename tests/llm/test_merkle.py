@@ -56,3 +56,16 @@ def test_equal_texts_and_edits_are_told_apart():
 def test_trees_do_not_depend_on_neighbours():
     texts = [t.encode() for _, t in made(8, 30)]
     assert merkle.trees(texts) == [merkle.trees([t])[0] for t in texts]
+
+
+def test_lines_without_spaces_have_several_paragraphs():
+    rnd = random.Random(9)
+    for script in (range(0x4E00, 0x5A00), range(0x61, 0x7B), range(0xE01, 0xE2F)):
+        text = "".join(chr(rnd.choice(script)) for _ in range(4000))
+        edited, half = f"{text[:2000]}{chr(script[0])}{text[2001:]}", text[:2000] + text[:1999:-1]
+        a, b, c, moved = merkle.trees([t.encode() for t in (text, edited, half, "x y " + text)])
+        assert 0.9 < merkle.likeness(a, b) < 1 and 1 <= len(merkle.differing(a, b)) <= 2
+        assert 0.3 < merkle.likeness(a, c) < 0.7 and merkle.likeness(a, moved) > 0.9
+    assert all(len(x) < 200 for x in merkle.trees([bytes([c]) * 5000 for c in range(0x61, 0x7B)]))
+    texts = ["字" * 50 + text, "short", text, ""]
+    assert merkle.trees([t.encode() for t in texts]) == [merkle.trees([t.encode()])[0] for t in texts]

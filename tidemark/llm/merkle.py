@@ -1,7 +1,9 @@
 """Document fingerprints: a Merkle tree over paragraphs and sections.
 
 A text is cut, byte for byte, into paragraphs: after each line break and, so that long
-lines have several, after every word whose hash is a multiple of ``WORDS``.  A section
+lines have several, after every word whose hash is a multiple of ``WORDS``.  Words of over
+``LONG`` bytes, as in scripts without spaces, are also cut before code points
+where the hash of the ``WINDOW`` bytes before is a multiple of ``POINTS``.  A section
 ends after a paragraph whose hash is a multiple of ``PARAGRAPHS``.  Cuts depend on
 content alone, so an edit moves only the cuts beside it.  A section's hash covers its
 paragraphs' hashes, the root covers the sections.
@@ -32,11 +34,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Words, ship
+from tidemark.llm.common import _BYTE_VALUES, Words, range_hashes, ship
 from tidemark.session import parallelism
 
 WORDS = 16
 PARAGRAPHS = 8
+LONG, WINDOW, POINTS = 64, 16, 32
 
 RESULT = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
@@ -56,7 +59,7 @@ def trees(texts: list[bytes]) -> list[str]:
     following = np.append(words.starts, len(data))[chosen + 1]
     # A cut stands where the next word begins; one in another text is no cut of this one.
     last = words.first[1:][np.searchsorted(words.first, chosen, side="right") - 1] - 1
-    cuts = np.unique(np.concatenate([following[chosen < last], np.flatnonzero(data == 0x0A) + 1, offsets]))
+    cuts = np.unique(np.concatenate([following[chosen < last], _inner_cuts(words), np.flatnonzero(data == 0x0A) + 1, offsets]))
     edges = np.searchsorted(cuts, offsets)
     places = cuts.tolist()
     digest = hashlib.blake2b
@@ -66,6 +69,23 @@ def trees(texts: list[bytes]) -> list[str]:
     return out
 
 
+def _inner_cuts(words: Words) -> np.ndarray:
+    """Places inside long words where the bytes before say so."""
+    lengths = words.ends - words.starts
+    sizes = lengths[lengths > LONG]
+    if not len(sizes):
+        return np.zeros(0, np.int64)
+    begins = np.cumsum(sizes) - sizes
+    since = np.arange(sizes.sum()) - np.repeat(begins, sizes)
+    places = np.repeat(words.starts[lengths > LONG], sizes) + since
+    data = words.data[places]
+    at = np.flatnonzero((since >= WINDOW) & (data & 0xC0 != 0x80))
+    at = at[range_hashes(_BYTE_VALUES[data], at - WINDOW, at) % np.uint64(POINTS) == 0]
+    # Of places close together, as in a run of one letter, the first.
+    cuts = places[at]
+    return cuts[np.diff(cuts, prepend=-WINDOW) >= WINDOW]
+
+
 def _tree(leaves: list[bytes]) -> str:
     sections, start = [], 0
     for i, leaf in enumerate(leaves):
