@@ -1,15 +1,14 @@
-"""Substring dedup by relative Lempel-Ziv parsing against an index of all documents.
+"""Substring dedup by anchored phrase hashing, in place of relative Lempel-Ziv parsing, against an index of all documents.
 
 The reference is every document with a smaller id.  Its index is cut in blocks by
 anchor: in each window of ``window`` words the ``GRAM``-word gram of lowest hash
 is the anchor, so equal windows have equal anchors wherever they stand.  The windows
 of a document that share one anchor occurrence form a phrase.
 
-* A document is parsed into factors: each phrase is looked up in every block through one
-  shuffle, and a factor grows greedily as long as the next phrase continues
-  the same stretch of the reference document.  A phrase holds at least ``window`` words, so every
-  factor is long enough to be a duplicate span.
-* At factor boundaries a phrase is found only in part: there the windows of all
+* Each phrase is looked up in every block through one shuffle.  A phrase holds at least ``window``
+  words, so one found is long enough to be a duplicate span.  ``factors`` joins found phrases that continue
+  the same stretch of a reference document; they do not decide what is removed.
+* At the boundaries of copied stretches a phrase is found only in part: there the windows of all
   phrases with that anchor are looked up one by one, against the first owner of each distinct
   phrase.
 
@@ -219,7 +218,7 @@ _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
 def factors(found: list[dict]) -> list[dict]:
-    """The greedy parse: found phrases in order, each joined to the factor that it continues in the same reference document."""
+    """Found phrases in order, each joined to the factor that it continues in the same reference document."""
     out: list[dict] = []
     for piece in found:
         last = out[-1] if out else None
