@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, languages, lines, merkle, packing, pages, simhash, substrings, urls
+from tidemark.llm import chat, decontaminate, languages, lines, merkle, minhash, packing, pages, simhash, substrings, urls
 from tidemark.llm.common import table
 from tidemark.llm.registry import query
-from tidemark.llm.sql import CHAT, DECONTAMINATE, LINES, SUBSTRINGS, URLS
+from tidemark.llm.sql import CHAT, DECONTAMINATE, LINES, MINHASH, SUBSTRINGS, URLS
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -83,3 +83,8 @@ def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(table(spark, sf_dir, "pages"))
+
+
+@query(MINHASH)
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -47,6 +47,26 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+MINHASH = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_sort(list_distinct(list_transform(range(1, greatest(len(w) - 3, 1) + 1),
+        lambda i: array_to_string(w[i : i + 3], ' ')))) END AS s FROM d
+), classes AS (SELECT s, len(s) AS n, min(doc_id) AS c FROM sets WHERE len(s) > 0 GROUP BY s
+), items AS (SELECT c, n, unnest(s) AS g FROM classes
+), edges AS (
+    SELECT x.c AS a, y.c AS b FROM items x JOIN items y ON x.g = y.g AND x.c <> y.c
+    GROUP BY x.c, y.c, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+), reach AS (SELECT c AS a, c AS b FROM classes UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a
+), least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT sets.doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, coalesce(component_id, sets.doc_id) AS component_id,
+    sets.doc_id = coalesce(component_id, sets.doc_id) AS kept
+FROM sets LEFT JOIN classes ON sets.s = classes.s LEFT JOIN least ON classes.c = least.a
+"""
+
 LINES = r"""
 WITH raw AS (SELECT doc_id, text, string_split(text, chr(10)) AS all_lines FROM documents
 ), l AS (
