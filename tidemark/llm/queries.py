@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, languages, lines, merkle, minhash, packing, pages, simhash, substrings, urls
+from tidemark.llm import chat, decontaminate, importance, languages, lines, merkle, minhash, packing, pages, periodic, simhash, substrings, urls
 from tidemark.llm.common import table
 from tidemark.llm.registry import query
-from tidemark.llm.sql import CHAT, DECONTAMINATE, LINES, MINHASH, SUBSTRINGS, URLS
+from tidemark.llm.sql import CHAT, DECONTAMINATE, IMPORTANCE, LINES, MINHASH, SUBSTRINGS, URLS
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -88,3 +88,14 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(MINHASH)
 def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(periodic.find_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), planted=True))
+
+
+@query(IMPORTANCE)
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    return importance.resample(docs, target).select("doc_id", "n_features", "weight", "score", "rank")

@@ -67,6 +67,45 @@ SELECT sets.doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, coalesce(componen
 FROM sets LEFT JOIN classes ON sets.s = classes.s LEFT JOIN least ON classes.c = least.a
 """
 
+# CRC-32 byte by byte with a table that eight shifts give; buckets once per distinct word.
+IMPORTANCE = r"""
+WITH shifted AS (
+    SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc_table
+), words AS (
+    SELECT src, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+    FROM (SELECT 'd' AS src, doc_id, text FROM documents UNION ALL SELECT 'b', NULL, text FROM benchmark)
+), seen AS (SELECT src, doc_id, unnest(w) AS word FROM words
+), hashed AS (
+    SELECT word, xor(list_reduce(list_concat([4294967295], list_transform(range(octet_length(encode(word))),
+        lambda k: 16 * (instr('0123456789ABCDEF', substr(hex(word), 2 * k + 1, 1)) - 1) + instr('0123456789ABCDEF', substr(hex(word), 2 * k + 2, 1)) - 1)),
+        lambda c, x: xor(crc_table[1 + (xor(c, x) & 255)], c >> 8)), 4294967295) % 10000 AS bucket
+    FROM (SELECT DISTINCT word FROM seen) CROSS JOIN shifted
+), counted AS (SELECT src, doc_id, bucket, count(*) AS n FROM seen JOIN hashed USING (word) GROUP BY src, doc_id, bucket
+), totals AS (
+    SELECT b.bucket, coalesce(sum(n) FILTER (src = 'd'), 0) AS s, coalesce(sum(n) FILTER (src = 'b'), 0) AS t
+    FROM range(10000) AS b(bucket) LEFT JOIN counted ON counted.bucket = b.bucket GROUP BY b.bucket
+), gains AS (
+    SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * CAST(sum(s) OVER () + 10000 AS DOUBLE)
+        / (CAST(s + 1 AS DOUBLE) * CAST(sum(t) OVER () + 10000 AS DOUBLE)))) AS BIGINT) AS gain FROM totals
+), weighed AS (SELECT doc_id, sum(n * gain) AS weight FROM counted JOIN gains USING (bucket) WHERE src = 'd' GROUP BY doc_id
+), noise AS (
+    SELECT doc_id, len(w) AS n_features, list_reduce(list_concat([0], list_transform(range(1, 9),
+        lambda k: instr('0123456789abcdef', substr(sha256('2024:' || doc_id), k, 1)) - 1)), lambda a, x: 16 * a + x) AS h
+    FROM words WHERE src = 'd'
+), scored AS (
+    SELECT doc_id, n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+    FROM noise LEFT JOIN weighed USING (doc_id)
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS r, count(*) FILTER (n_features >= 20) OVER () AS able FROM scored
+)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+    CASE WHEN n_features >= 20 AND r <= 10 * able // 100 THEN r END AS rank
+FROM ranked
+"""
+
 LINES = r"""
 WITH raw AS (SELECT doc_id, text, string_split(text, chr(10)) AS all_lines FROM documents
 ), l AS (
