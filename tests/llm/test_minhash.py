@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,9 +71,10 @@ def crowd_rows(seed):
     return [(i, " ".join(t)) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize(("seed", "longest"), [(1, 8), (2, 2)])
-def test_crowds_equal_all_pairs(documents, monkeypatch, seed, longest):
+@pytest.mark.parametrize(("seed", "longest", "members"), [(1, 8, 512), (2, 2, 8)])
+def test_crowds_equal_all_pairs(documents, monkeypatch, seed, longest, members):
     monkeypatch.setattr(minhash, "LIST", longest)
+    monkeypatch.setattr(minhash, "MEMBERS", members)
     rows = crowd_rows(seed)
     want = plain(rows)
     assert len({r[2] for r in want}) < len(rows) - 60
@@ -109,3 +111,22 @@ def test_a_large_crowd(documents):
     rows = [(i, " ".join(edited(rnd, base, 1))) for i in range(300)]
     got = minhash.near_duplicates(documents(rows, 8)).select("component_id").distinct().collect()
     assert [r.component_id for r in got] == [0]
+
+
+def test_sets_inside_a_task():
+    rnd = random.Random(8)
+    base = list(range(300))
+    sets = [sorted(set(rnd.sample(base, rnd.choice([200, 260, 280])))) for _ in range(40)] + [[1], [1, 2], [5000]]
+    root = minhash.linked_rows(np.array([len(s) for s in sets]), np.concatenate(sets), 80)
+    want = plain_roots([set(s) for s in sets])
+    assert root.tolist() == want and 3 < len(set(want)) < 40
+
+
+def plain_roots(sets):
+    root = list(range(len(sets)))
+    for _ in sets:
+        for i, x in enumerate(sets):
+            for j, y in enumerate(sets):
+                if 100 * len(x & y) >= 80 * len(x | y):
+                    root[i] = min(root[i], root[j])
+    return root

@@ -11,15 +11,15 @@ copies cost one row each.  A class retains its ``SKETCH`` lowest hashes.
 
 Two linked classes share at least ``least_shared(SKETCH)`` retained values, but for a chance below
 ``RISK``; sets of up to ``SKETCH`` shingles are retained whole, so nothing is left to chance there.  Hence
-longer lists matter only for classes with that many retained values in them.  These are not compared
-in pairs but with a consensus: the values that more than half of a crowd have.  With D(x) the values in which
-x differs from it, the symmetric difference of x and y has |D(x)| + |D(y)| - 2 |D(x) & D(y)| values.  So
+longer lists matter only for classes with that many retained values in them.  These meet in crowds.  A crowd
+of up to ``MEMBERS`` classes and ``VALUES`` values is compared whole inside one task, which returns connecting edges.  A larger one is compared
+with its consensus, the values that more than half of it have.  With D(x) the values in which x differs from it, the symmetric difference of x and y has |D(x)| + |D(y)| - 2 |D(x) & D(y)| values.  So
 
 * x and y are linked whenever their slacks, size * (100 - percent) - |D| * (100 + percent), have a sum of 0 or more, and
   then both are linked in this way to the class of most slack: one row per class;
 * otherwise they must share values of D, so those left over by that class meet in inverted lists of D
-  (of as many values as leave no room for the needed overlap).  At most half of the crowd is in such a list,
-  so that lists of lists end.
+  (of as many values as leave no room for the needed overlap), which are crowds again.  At most half of a crowd is in such a list,
+  so that this ends.
 
 No pair inside a crowd is written, no list is capped and no link is lost.  A consensus has less than twice as many values as the
 average set of its crowd.
@@ -50,6 +50,12 @@ PERCENT = 80
 SKETCH = 64
 LIST = 8
 RISK = 1e-10
+# A crowd of up to so many classes, with so many values together, is compared inside one task.
+MEMBERS = 512
+VALUES = 1 << 22
+# Values of fewer sets of a crowd are counted pair by pair, the others by products of so many columns.
+FEW = 12
+_COLUMNS = 4096
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -147,11 +153,15 @@ def _links(docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> D
     sets = _sets(docs, classes.select("uid", "row"), pairs, crowds, shingle)
     found = [_confirmed(_likely(pairs, classes, percent), sets, percent)]
     while not crowds.isEmpty():
-        sizes = crowds.groupBy("crowd").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-        sized = cut_lineage(crowds.join(cut_lineage(sizes), "crowd"))
-        few = _pairs(sized.filter(F.col("size") <= LIST).select("crowd", F.struct("uid", "open").alias("member")), "crowd")
-        found.append(_confirmed(_likely(few, classes, percent), sets, percent))
-        star, crowds = _split(sized.filter(F.col("size") > LIST), sets, percent)
+        sized = crowds.join(classes.select("uid", "n"), "uid")
+        sizes = sized.groupBy("crowd").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("total"), F.max("open").alias("any")).filter("size > 1 and any")
+        small = (F.col("size") <= MEMBERS) & (F.col("total") <= VALUES)
+        sized = cut_lineage(crowds.join(cut_lineage(sizes.select("crowd", small.alias("small"))), "crowd"))
+        found.append(_compared(sized.filter("small"), sets, percent))
+        large = sized.filter("not small")
+        if large.isEmpty():
+            break
+        star, crowds = _split(large, sets, percent)
         found.append(star)
     edges = found[0]
     for more in found[1:]:
@@ -208,6 +218,53 @@ def _sets(docs: DataFrame, rows: DataFrame, pairs: DataFrame, crowds: DataFrame,
     return cut_lineage(found.mapInArrow(run, "uid long, values array<long>"))
 
 
+def _compared(crowds: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Edges that connect the linked members of each crowd of bounded size, one less than there are members at most."""
+
+    def run(group: pa.Table) -> pa.Table:
+        uids = group.column("uid").to_numpy()
+        lists = group.column("values").combine_chunks()
+        root = linked_rows(np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy(), percent)
+        other = np.flatnonzero(root != np.arange(len(root)))
+        return pa.table({"a": uids[root[other]], "b": uids[other]})
+
+    rows = crowds.select("crowd", "uid").join(sets, "uid").select("crowd", "uid", "values")
+    return cut_lineage(rows.groupBy("crowd").applyInArrow(run, "a long, b long"))
+
+
+def linked_rows(sizes: np.ndarray, values: np.ndarray, percent: int) -> np.ndarray:
+    """For each of some sets, one behind the other in ``values``, the first set that it is connected with."""
+    n = len(sizes)
+    of = np.repeat(np.arange(n), sizes)
+    order = np.argsort(values, kind="stable")
+    of, values = of[order], values[order]
+    heads = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    counts = np.diff(np.append(heads, len(values)))
+    shared = np.zeros((n, n), dtype=np.int64)
+    for c in range(2, FEW):  # values that few sets have: their pairs
+        at = heads[counts == c]
+        for i in range(c if len(at) else 0):
+            for j in range(i):
+                shared += np.bincount(of[at + j] * n + of[at + i], minlength=n * n).reshape(n, n)
+    common = np.flatnonzero(counts >= FEW)
+    for start in range(0, len(common), _COLUMNS):  # the others: products of columns
+        some = common[start : start + _COLUMNS]
+        column = np.repeat(np.arange(len(some)), counts[some])
+        at = np.repeat(heads[some] - (np.cumsum(counts[some]) - counts[some]), counts[some]) + np.arange(len(column))
+        has = np.zeros((n, len(some)), dtype=np.float32)
+        has[of[at], column] = 1
+        shared += np.triu(has @ has.T, 1).astype(np.int64)
+    shared += shared.T
+    near = 100 * shared >= percent * (sizes[:, None] + sizes[None, :] - shared)
+    root = np.full(n, -1)
+    for first in range(n):
+        front = np.array([first]) if root[first] < 0 else np.zeros(0, np.int64)
+        while len(front):
+            root[front] = first
+            front = np.flatnonzero(near[front].any(axis=0) & (root < 0))
+    return root
+
+
 # --- crowds -----------------------------------------------------------------------------------
 
 
@@ -236,7 +293,7 @@ def _crowds(postings: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 def _split(crowds: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Edges to the class of most slack of each crowd, and the crowds in which those left over meet."""
-    rows = cut_lineage(crowds.select("crowd", "size", "uid").join(sets, "uid"))
+    rows = cut_lineage(crowds.select("crowd", "uid").join(sets, "uid"))
     middle = cut_lineage(_consensus(rows))
     unlike = F.concat(F.array_except("values", "middle"), F.array_except("middle", "values"))
     apart = rows.join(middle, "crowd").select("crowd", "uid", F.size("values").alias("n"), F.array_sort(unlike).alias("unlike"))
