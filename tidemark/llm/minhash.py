@@ -4,7 +4,7 @@ A document is the set of its distinct shingles, hashed once.  Equal sets form on
 copies cost one row each.  A class retains its ``SKETCH`` lowest hashes.
 
 * Inverted lists of retained values give the overlapping classes.  Lists of up to ``LIST`` classes
-  give pairs; equal lists count once.
+  give pairs and how many values each pair shares; pairs that share too few go, values of longer lists taken as shared.
 * The lowest values of both sketches together are a bottom-k sketch of the union; the share of
   them that both have estimates the similarity and filters the pairs.
 * Pairs that pass are confirmed on their full sets.
@@ -50,6 +50,8 @@ PERCENT = 80
 SKETCH = 64
 LIST = 8
 RISK = 1e-10
+# Values of long lists by which a class finds its crowds.
+GUIDES = 20
 # A crowd of up to so many classes, with so many values together, is compared inside one task.
 MEMBERS = 512
 VALUES = 1 << 22
@@ -143,15 +145,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
 def _links(docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Edges (a, b) of classes whose components are those of all linked pairs."""
-    postings = classes.select("uid", F.explode("sketch").alias("value"))
+    postings = classes.select("uid", "n", F.explode("sketch").alias("value"))
     lengths = postings.groupBy("value").agg(F.count(F.lit(1)).alias("length")).filter("length > 1")
-    # Written, so that both sides of the joins are dealt anew and a crowded value can be split.
-    lengths = cut_lineage(lengths)
-    lists = postings.join(lengths.filter(F.col("length") <= LIST).select("value"), "value", "left_semi")
-    pairs = _pairs(lists.select("value", F.struct("uid", F.lit(True).alias("open")).alias("member")), "value")
-    crowds = _crowds(postings.join(lengths.filter(F.col("length") > LIST).select("value"), "value", "left_semi"), classes, percent)
+    # Written, so that both sides of the join are dealt anew and a crowded value can be split.
+    listed = cut_lineage(postings.join(cut_lineage(lengths), "value"))
+    long = listed.filter(F.col("length") > LIST).select("uid", "n", "value")
+    pairs = _overlapping(listed.filter(F.col("length") <= LIST), classes, long, percent)
+    pairs = cut_lineage(_likely(pairs, classes, percent))
+    crowds = _crowds(long, percent)
     sets = _sets(docs, classes.select("uid", "row"), pairs, crowds, shingle)
-    found = [_confirmed(_likely(pairs, classes, percent), sets, percent)]
+    found = [_confirmed(pairs, sets, percent)]
     while not crowds.isEmpty():
         sized = crowds.join(classes.select("uid", "n"), "uid")
         sizes = sized.groupBy("crowd").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("total"), F.max("open").alias("any")).filter("size > 1 and any")
@@ -169,12 +172,24 @@ def _links(docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> D
     return edges
 
 
-def _pairs(lists: DataFrame, key: str) -> DataFrame:
-    """Distinct pairs (a < b) of the members of short lists, one of them open at least; lists with the same members count once."""
-    members = lists.groupBy(key).agg(F.array_sort(F.collect_list("member")).alias("members")).select("members").distinct()
-    first = members.select("members", F.posexplode("members").alias("at", "x"))
-    both = first.select("x", F.explode(F.slice("members", F.col("at") + 2, F.size("members"))).alias("y"))
-    return cut_lineage(both.filter("x.open or y.open").select(F.col("x.uid").alias("a"), F.col("y.uid").alias("b")).distinct())
+def _needed(n: Column, percent: int) -> Column:
+    """How many retained values two linked classes share, the larger with ``n`` shingles; known sets leave nothing to chance."""
+    return F.least(F.lit(least_shared(SKETCH, percent)), F.ceil(n * F.lit(percent) / 100))
+
+
+def _overlapping(lists: DataFrame, classes: DataFrame, long: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a < b) that share enough retained values, those in long lists taken as shared wherever both have some."""
+    members = lists.groupBy("value").agg(F.array_sort(F.collect_list("uid")).alias("members"))
+    members = members.groupBy("members").agg(F.count(F.lit(1)).alias("values"))
+    first = members.select("members", "values", F.posexplode("members").alias("at", "a"))
+    both = first.select("values", "a", F.explode(F.slice("members", F.col("at") + 2, F.size("members"))).alias("b"))
+    shared = cut_lineage(both.groupBy("a", "b").agg(F.sum("values").alias("shared")))
+    in_long = long.groupBy("uid").agg(F.count(F.lit(1)).alias("in_long"))
+    own = cut_lineage(classes.select("uid", "n").join(in_long, "uid", "left").fillna(0, ["in_long"]))
+    of = lambda side: own.select(F.col("uid").alias(side), F.col("n").alias(f"n_{side}"), F.col("in_long").alias(f"long_{side}"))
+    joined = shared.join(of("a"), "a").join(of("b"), "b").filter(_sizes_fit(percent))
+    enough = F.col("shared") + F.least("long_a", "long_b") >= _needed(F.greatest("n_a", "n_b"), percent)
+    return joined.filter(enough).select("a", "b")
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -272,23 +287,20 @@ def _crowd(least: Column, size: Column, digest: Column) -> Column:
     return F.struct(least.alias("least"), size.alias("size"), digest.alias("digest")).alias("crowd")
 
 
-def _crowds(postings: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _crowds(long: DataFrame, percent: int) -> DataFrame:
     """(crowd, uid, open) of the classes that long lists could link without any short one.
 
-    The lists whose smallest class is the same form one crowd.  Of its crowds a class leaves those out
-    that together hold less than half of the values it must share: two linked classes cannot both leave out all that they share.
+    Such a class takes part with its ``GUIDES`` lowest values of long lists; two linked ones share at least one of
+    theirs but for a chance below ``RISK``.  The lists whose smallest class is the same form one crowd.
     """
-    needed = F.least(F.lit(least_shared(SKETCH, percent)), F.ceil(F.col("n") * F.lit(percent) / 100))
-    own = postings.groupBy("uid").agg(F.count(F.lit(1)).alias("in_long"))
-    inside = own.join(classes.select("uid", needed.alias("needed")), "uid").filter(F.col("in_long") >= F.col("needed"))
-    members = cut_lineage(postings.join(inside, "uid"))
-    heads = members.groupBy("value").agg(F.min("uid").alias("head"), F.count(F.lit(1)).alias("length")).filter("length > 1")
-    placed = members.join(cut_lineage(heads), "value").groupBy("uid", "needed", "head").agg(F.count(F.lit(1)).alias("held"))
-    # Values in lists without another member need no crowd: what is left must cover the rest.
-    smaller = Window.partitionBy("uid").orderBy("held", F.desc("head")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    left_out = placed.withColumn("so_far", F.sum("held").over(smaller)).filter(F.col("so_far") > F.floor((F.col("needed") - 1) / 2))
+    own = Window.partitionBy("uid")  # at most a sketch
+    counted = long.withColumns({"in_long": F.count(F.lit(1)).over(own), "place": F.row_number().over(own.orderBy("value"))})
+    guides = counted.filter((F.col("in_long") >= _needed(F.col("n"), percent)) & (F.col("place") <= GUIDES))
+    guides = cut_lineage(guides.select("uid", "value"))
+    heads = guides.groupBy("value").agg(F.min("uid").alias("head"), F.count(F.lit(1)).alias("length")).filter("length > 1")
+    placed = guides.join(cut_lineage(heads), "value").select("uid", "head").distinct()
     zero = F.lit(0).cast("long")
-    return cut_lineage(left_out.select(_crowd(F.col("head"), zero, zero), "uid", F.lit(True).alias("open")))
+    return cut_lineage(placed.select(_crowd(F.col("head"), zero, zero), "uid", F.lit(True).alias("open")))
 
 
 def _split(crowds: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
