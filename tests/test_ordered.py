@@ -69,15 +69,36 @@ def test_default_buckets_keep_the_order(spark, kind):
     assert [(r.s, r.p) for r in got] == [(i, i) for i in range(1, 201)]
 
 
-def test_building_a_scan_runs_no_job(spark, skewed):
+def test_building_a_scan_with_buckets_runs_no_job(spark, skewed):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("build", "build")
-    O.scan(skewed, ["g"], ["t", "id"], position="pos", **columns())
+    O.scan(skewed, ["g"], ["t", "id"], position="pos", bucket=F.floor(F.col("t") / 7), **columns())
     jobs = tracker.getJobIdsForGroup("build")
     spark.sparkContext.setJobGroup("", "")
     assert not jobs
 
 
+@pytest.mark.parametrize(("keys", "order"), [(["g"], ["t", "id"]), ([], ["id"])])
+def test_sampled_cuts_equal_whole_groups(skewed, rows, keys, order):
+    given = columns() if keys else {"sums": {"s": F.col("id")}, "preceding": {"before": F.col("y")}}
+    got = O.scan(skewed, keys, order, position="pos", stored=True, **given)
+    if keys:
+        assert rows(got) == rows(by_windows(skewed))
+    W = O.Window.orderBy("id")
+    plain = skewed.select(*skewed.columns, F.sum("id").over(W).alias("s"), F.lag("y").over(W).alias("before"), F.row_number().over(W).cast("bigint").alias("pos"))
+    assert keys or rows(got) == rows(plain)
+
+
+@pytest.mark.parametrize("values", [lambda i: f"Customer#0000{i:05d}", lambda i: i % 50 + 1, lambda i: float(i) / 1e9, lambda i: 10**15 * i])
+def test_any_range_of_values_is_split(spark, values):
+    """Texts with one prefix, few numbers, slivers and wide ranges: more stretches than cores, none with more than its share."""
+    df = spark.createDataFrame([(values(i), i) for i in range(4000)]).toDF("v", "id")
+    for order, most in ((["v"], 4000), (["v", "id"], 600)):
+        sizes = [r["count"] for r in df.groupBy(O.sampled_bucket(df, order).alias("b")).count().collect()]
+        assert len(sizes) > 8 and max(sizes) <= most
+    assert O.sampled_bucket(df.limit(0), ["v"]) is not None
+
+
 def test_scan_without_keys(skewed):
     got = O.scan(skewed, [], ["t", "id"], sums={"s": F.lit(1)}, preceding={"before": F.col("id")}, position="p")
     pdf = got.orderBy("t", "id").toPandas()

@@ -12,7 +12,16 @@ def test_running_cost_meets_rows_with_one_line_per_bucket_only(spark, sf_dir):
     plan = plan_of(QUERIES["running_cost_by_token"](spark, sf_dir))
     body = plan.split("\n\n")[0]
     assert body.count("SortMergeJoin") + body.count("BroadcastHashJoin") + body.count("ShuffledHashJoin") == 1
+    # The joined trades were written once; rows and bucket totals are read from there.
     assert body.count("Scan parquet") == 2
+    assert plan.count("/cut-") == 2 and "lineitem" not in plan
+
+
+def test_input_of_a_scan_is_computed_once(spark, sf_dir):
+    """No given table is read by the plans of running results; each was joined and written before."""
+    for name in ("position_pnl", "running_positions", "running_cost_portfolio", "running_cost_of_orders", "fifo_matches"):
+        plan = plan_of(QUERIES[name](spark, sf_dir))
+        assert "lineitem" not in plan and "orders.parquet" not in plan, name
 
 
 def test_dedup_is_cut_before_the_shuffle(spark, sf_dir):
@@ -28,7 +37,7 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
 
 
 def test_order_trades_read_only_needed_columns(spark, sf_dir):
-    plan = plan_of(QUERIES["running_cost_of_orders"](spark, sf_dir))
+    plan = plan_of(A.order_trades(spark, sf_dir))
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
     assert "ReadSchema: struct<p_partkey:bigint,p_brand:string>" in plan
 

@@ -94,12 +94,12 @@ def recency(
 
 
 def sequential_values(
-    df: DataFrame, column: str, interval: int = 1, datepart: str | None = None, group_by: Sequence[str] = ()
+    df: DataFrame, column: str, interval: int = 1, datepart: str | None = None, group_by: Sequence[str] = (), stored: bool = False
 ) -> DataFrame:
-    """Values that do not follow the previous one by exactly ``interval``."""
+    """Values that do not follow the previous one by exactly ``interval``; ``stored`` as in ``ordered.scan``."""
     previous = f"previous_{column}"
     rows = df.select(*group_by, column).filter(F.col(column).isNotNull())
-    paired = scan(rows, list(group_by), [column], preceding={previous: F.col(column)})
+    paired = scan(rows, list(group_by), [column], preceding={previous: F.col(column)}, stored=stored)
     if datepart:
         expected = F.timestamp_add(datepart.upper(), F.lit(interval), F.col(previous)).cast("timestamp_ntz")
         return paired.filter(F.col(column).cast("timestamp_ntz") != expected)
@@ -114,9 +114,9 @@ _GAP_RULES: dict[str, Callable[[Column, Column], Column]] = {
 
 
 def mutually_exclusive_ranges(
-    df: DataFrame, lower: str, upper: str, partition_by: Sequence[str] = (), gaps: str = "allowed", zero_length: bool = False
+    df: DataFrame, lower: str, upper: str, partition_by: Sequence[str] = (), gaps: str = "allowed", zero_length: bool = False, stored: bool = False
 ) -> DataFrame:
-    """Ranges that are empty or reversed, or that clash with the next range."""
+    """Ranges that are empty or reversed, or that clash with the next range; ``stored`` as in ``ordered.scan``."""
     if gaps not in _GAP_RULES:
         raise ValueError(f"gaps must be one of {sorted(_GAP_RULES)}, got {gaps!r}")
     rows = df.select(*partition_by, F.col(lower).alias("lower_bound"), F.col(upper).alias("upper_bound"))
@@ -125,6 +125,7 @@ def mutually_exclusive_ranges(
         list(partition_by),
         ["lower_bound", "upper_bound"],
         following={"next_lower_bound": F.col("lower_bound"), "__has_next": F.lit(True)},
+        stored=stored,
     )
     low, high, ahead = F.col("lower_bound"), F.col("upper_bound"), F.col("next_lower_bound")
     ordered = F.coalesce((low <= high) if zero_length else (low < high), F.lit(False))

@@ -2,10 +2,10 @@
 
 ``scan`` gives running sums, minima, carried values, neighbours and positions inside
 groups, by one plan for groups of any size: rows are windowed inside
-(group, bucket), a bucket being a stretch of the order such as an hour, and the
-buckets of a group are stitched together with one small row each.  The plan is
-lazy, keeps null keys apart like any other value and needs no look at the data
-first.
+(group, bucket), a bucket being a stretch of the order between two cuts sampled from the rows, and the
+buckets of a group are stitched together with one small row each.  The input is computed once: its
+rows are written, and sample, buckets and rows are read from there.  Null keys are kept apart like any
+other value.
 
 ``global_position`` numbers all rows of a frame in a total order without moving
 them to one task; the rank functions are built on it.
@@ -19,10 +19,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, parallelism
 
-# Width of a bucket of whole-number orders.
-NUMBERS_PER_BUCKET = 65_536
+# Buckets per shuffle partition, and sampled rows per bucket.
+BUCKETS_PER_PART = 4
+ROWS_PER_CUT = 32
 
 _AT = "__at"
 _SLOT = "__slot"
@@ -31,16 +32,34 @@ _BEFORE = "__rows_before"
 _PART = "__part"
 
 
-def default_bucket(df: DataFrame, column: str) -> Column:
-    """A stretch of an order column: an hour of times, a day, a run of numbers, the first letters of a text."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_trunc("HOUR", F.col(column))
-    if isinstance(kind, T.NumericType):
-        return F.floor(F.col(column) / F.lit(NUMBERS_PER_BUCKET))
-    if isinstance(kind, T.StringType):
-        return F.substring(F.col(column), 1, 4)
-    return F.col(column)
+def sampled_bucket(df: DataFrame, order: Sequence[str]) -> Column:
+    """Number of the stretch of ``order`` that a row lies in, stretches holding about equally many rows of ``df``.
+
+    Cuts are taken from a sample of rows, so that any type and any range of values is split where the rows
+    are; of a group with a share of all rows, one stretch holds as much as of the whole frame at most.  The driver holds
+    ``BUCKETS_PER_PART * ROWS_PER_CUT`` sampled rows per shuffle partition.
+    """
+    n = BUCKETS_PER_PART * parallelism(df.sparkSession)
+    wanted, total = n * ROWS_PER_CUT, df.count()
+    sample = df.select(*order) if total <= wanted else df.select(*order).sample(wanted / total, seed=7)
+    rows = [tuple(r) for r in sample.repartition(1).sortWithinPartitions(*order).collect()]
+    cuts = list(dict.fromkeys(rows[len(rows) * i // n] for i in range(1, n))) if rows else []
+    kinds = [df.schema[c].dataType for c in order]
+
+    def below(cut: tuple) -> Column:
+        # Structs compare field by field with nulls first, as the order does.
+        if len(order) == 1:
+            return F.lit(False) if cut[0] is None else F.col(order[0]).isNull() | (F.col(order[0]) < F.lit(cut[0]).cast(kinds[0]))
+        values = [F.lit(v).cast(k).alias(c) for v, k, c in zip(cut, kinds, order, strict=True)]
+        return F.struct(*order) < F.struct(*values)
+
+    def place(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(below(cuts[middle]), place(low, middle)).otherwise(place(middle + 1, high))
+
+    return place(0, len(cuts))
 
 
 def _plus(here: Column, before: Column, kind: T.DataType) -> Column:
@@ -65,6 +84,7 @@ def scan(
     totals: Mapping[str, Column] | None = None,
     position: str | None = None,
     bucket: Column | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """Add running columns per group, rows taken in ascending ``order``.
 
@@ -73,15 +93,21 @@ def scan(
     rows with the same first order column.  ``sums`` are running totals up to and
     including the row, ``least`` running minima, ``least_before`` without the row, ``carry`` the last non-null value
     so far, ``following`` and ``preceding`` the neighbouring row's value,
-    ``totals`` sums over the group, ``position`` the 1-based index.  ``bucket`` must not fall when the first
-    order column rises; buckets of a group meet in one task with one row each, and so
-    do the rows of one bucket.
+    ``totals`` sums over the group, ``position`` the 1-based index.
+
+    The input is computed once and written, unless it is ``stored``, a table read without joins or
+    aggregates.  Buckets come from cuts that are sampled from it; a ``bucket`` of one's own must not fall when
+    the order rises (with ``tied_sums``: must follow from the first order column), and nothing is written or run while the plan is built.
+    Buckets of a group meet in one task with one row each, and so do the rows of one bucket; with ``tied_sums`` that
+    includes all rows of one moment.
     """
     sums, tied_sums, least, least_before = sums or {}, tied_sums or {}, least or {}, least_before or {}
     carry, following, preceding, totals = carry or {}, following or {}, preceding or {}, totals or {}
-    stretch = default_bucket(df, order[0]) if bucket is None else bucket
+    if bucket is None:
+        df = df if stored else cut_lineage(df)
+        bucket = sampled_bucket(df, order[:1] if tied_sums else order)
     # A struct is never null itself and its null fields are equal, so null keys join like others.
-    rows = df.withColumn(_AT, F.struct(*keys, stretch.alias("__bucket")))
+    rows = df.withColumn(_AT, F.struct(*keys, bucket.alias("__bucket")))
 
     every_sum = {**sums, **tied_sums}
     every_least = {**least, **least_before}

@@ -93,7 +93,7 @@ def check_recency(spark, sf_dir):
 @query("""SELECT * FROM (SELECT l_orderkey, l_linenumber, lag(l_linenumber) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS previous_l_linenumber FROM lineitem)
     WHERE l_linenumber <> previous_l_linenumber + 1""")
 def check_sequential_in_group(spark, sf_dir):
-    return K.sequential_values(load(spark, sf_dir, "lineitem"), "l_linenumber", group_by=["l_orderkey"])
+    return K.sequential_values(load(spark, sf_dir, "lineitem"), "l_linenumber", group_by=["l_orderkey"], stored=True)
 
 
 @query("""SELECT * FROM (SELECT o_orderkey, lag(o_orderkey) OVER (ORDER BY o_orderkey) AS previous_o_orderkey FROM orders SEMI JOIN
@@ -124,12 +124,12 @@ def _ranges(spark, sf_dir):
 
 @query(_RANGES + " WHERE NOT (lower_bound < upper_bound AND coalesce(upper_bound <= next_lower_bound, is_last))")
 def check_exclusive_ranges(spark, sf_dir):
-    return K.mutually_exclusive_ranges(_ranges(spark, sf_dir), "starts", "ends", ["o_custkey"])
+    return K.mutually_exclusive_ranges(_ranges(spark, sf_dir), "starts", "ends", ["o_custkey"], stored=True)
 
 
 @query(_RANGES + " WHERE NOT (lower_bound <= upper_bound AND coalesce(upper_bound < next_lower_bound, is_last))")
 def check_ranges_with_gaps(spark, sf_dir):
-    return K.mutually_exclusive_ranges(_ranges(spark, sf_dir), "starts", "ends", ["o_custkey"], gaps="required", zero_length=True)
+    return K.mutually_exclusive_ranges(_ranges(spark, sf_dir), "starts", "ends", ["o_custkey"], gaps="required", zero_length=True, stored=True)
 
 
 @query("""WITH w AS (SELECT ts AS lower_bound, ts + INTERVAL 5 MINUTE AS upper_bound, lead(ts) OVER (ORDER BY ts, ts + INTERVAL 5 MINUTE) AS next_lower_bound FROM events)
