@@ -32,14 +32,14 @@ _BEFORE = "__rows_before"
 _PART = "__part"
 
 
-def sampled_bucket(df: DataFrame, order: Sequence[str]) -> Column:
+def sampled_bucket(df: DataFrame, order: Sequence[str], n: int | None = None) -> Column:
     """Number of the stretch of ``order`` that a row lies in, stretches holding about equally many rows of ``df``.
 
     Cuts are taken from a sample of rows, so that any type and any range of values is split where the rows
-    are; of a group with a share of all rows, one stretch holds as much as of the whole frame at most.  The driver holds
-    ``BUCKETS_PER_PART * ROWS_PER_CUT`` sampled rows per shuffle partition.
+    are; of a group with a share of all rows, one stretch holds as much as of the whole frame at most.  There are ``n``
+    stretches at most, by default ``BUCKETS_PER_PART`` for each shuffle partition; the driver holds ``ROWS_PER_CUT`` sampled rows for each.
     """
-    n = BUCKETS_PER_PART * parallelism(df.sparkSession)
+    n = n or BUCKETS_PER_PART * parallelism(df.sparkSession)
     wanted, total = n * ROWS_PER_CUT, df.count()
     sample = df.select(*order) if total <= wanted else df.select(*order).sample(wanted / total, seed=7)
     rows = [tuple(r) for r in sample.repartition(1).sortWithinPartitions(*order).collect()]

@@ -69,16 +69,23 @@ def trades_from_swaps(swaps: DataFrame) -> DataFrame:
 # --- running average cost -----------------------------------------------------------
 
 
-def costed_trades(trades: DataFrame) -> DataFrame:
+def costed_trades(trades: DataFrame, opening: DataFrame | None = None) -> DataFrame:
     """Buys and sells with the average cost of all buys up to and including their moment.
 
     This is the as-of match of every sell with the buys before it, ties included,
     done as one ordered pass instead of a join of sells with earlier buys.  A sell
-    before any buy has no basis and realises 0.
+    before any buy has no basis and realises 0.  ``opening`` holds what pairs had bought before
+    (``open_tokens``, ``open_usd``).
     """
     moved = trades.filter(F.col("side").isin("BUY", "SELL"))
     known = {"__bought": _buys("quantity"), "__paid": _buys("usd")}
     levels = scan(moved, PAIR, ["trade_time", "trade_id"], tied_sums=known)
+    if opening is not None:
+        same = [F.col(f"l.{c}").eqNullSafe(F.col(f"o.{c}")) for c in PAIR]
+        with_opening = levels.alias("l").join(opening.alias("o"), same[0] & same[1], "left")
+        carried = {"__bought": "open_tokens", "__paid": "open_usd"}
+        total = [F.when(F.col(c).isNull(), F.col(o)).otherwise(F.col(c) + F.coalesce(F.col(o), F.lit(0.0))).alias(c) for c, o in carried.items()]
+        levels = with_opening.select(*[F.col(f"l.{c}") for c in levels.columns if c not in carried], *total)
     costed = levels.withColumn("avg_cost", F.try_divide("__paid", "__bought")).drop(*known)
     cost = _sells(F.col("quantity") * F.col("avg_cost"))
     return costed.withColumns(
@@ -95,12 +102,9 @@ def sells_with_cost(trades: DataFrame) -> DataFrame:
     return costed_trades(trades).filter(F.col("side") == "SELL")
 
 
-def running_cost_by_token(trades: DataFrame, include_unbought: bool = False) -> DataFrame:
-    """Realised result per wallet and token under the running average cost.
-
-    Tokens that were only sold are left out unless ``include_unbought``.
-    """
-    tokens = costed_trades(trades).groupBy(*PAIR).agg(
+def running_totals(trades: DataFrame, opening: DataFrame | None = None) -> DataFrame:
+    """Sums, counts and times per wallet and token under the running average cost; ``opening`` as in ``costed_trades``."""
+    return costed_trades(trades, opening).groupBy(*PAIR).agg(
         F.max("token_symbol").alias("token_symbol"),
         F.sum("realized_pnl").alias("realized_pnl"),
         F.sum("cost_of_sold").alias("cost_of_sold"),
@@ -115,11 +119,14 @@ def running_cost_by_token(trades: DataFrame, include_unbought: bool = False) ->
         F.max(_buys("trade_time")).alias("last_buy"),
         F.min(_sells("trade_time")).alias("first_sell"),
         F.max(_sells("trade_time")).alias("last_sell"),
+        F.max("trade_time").alias("last_trade"),
         F.max_by(F.try_divide("usd", "quantity"), F.struct("trade_time", "trade_id")).alias("last_price"),
     )
-    if not include_unbought:
-        tokens = tokens.filter(F.col("buy_count") > 0)
-    return tokens.withColumns(
+
+
+def running_ratios(totals: DataFrame) -> DataFrame:
+    """Totals with position, unit cost, win rate and return."""
+    return totals.withColumns(
         {
             "net_position_tokens": F.col("bought_tokens") - F.col("sold_tokens"),
             "avg_cost": F.try_divide("bought_usd", "bought_tokens"),
@@ -129,6 +136,17 @@ def running_cost_by_token(trades: DataFrame, include_unbought: bool = False) ->
     )
 
 
+def running_cost_by_token(trades: DataFrame, include_unbought: bool = False) -> DataFrame:
+    """Realised result per wallet and token under the running average cost.
+
+    Tokens that were only sold are left out unless ``include_unbought``.
+    """
+    tokens = running_totals(trades).drop("last_trade")
+    if not include_unbought:
+        tokens = tokens.filter(F.col("buy_count") > 0)
+    return running_ratios(tokens)
+
+
 def running_cost_portfolio(tokens: DataFrame) -> DataFrame:
     """One ``ALL_TOKENS`` row per wallet from the running-cost token rows."""
     held = F.greatest(F.col("net_position_tokens"), F.lit(0.0))
