@@ -1,4 +1,8 @@
 import random
+import re
+import time
+
+import pytest
 
 from tidemark.llm import pages
 
@@ -130,3 +134,39 @@ def test_deep_and_wide_trees():
 def test_deep_reference(spark):
     rows = [(i, "http://d/", "<div>" * 3000 + f"deep {i}") for i in range(5)]
     assert texts(pages.extract(table(spark, rows))) == {i: f"deep {i}" for i in range(5)}
+
+
+@pytest.mark.parametrize("pattern", ["<a ", "x <b y ", '<a "', "<a '\"", '<a title="x y', "<!-- x ", "<!", "<p '", "<script>", "</a", "<"])
+@pytest.mark.parametrize("tail", ["", ">", "\"'>"])
+def test_broken_markup_takes_time_in_proportion(pattern, tail):
+    page = "<p>first</p>" + pattern * (1_000_000 // len(pattern)) + tail
+    started = time.perf_counter()
+    assert pages.blocks(pages.parse(page))[0][1].startswith("first")
+    assert time.perf_counter() - started < 5
+
+
+def test_tags_end_where_no_quote_is_open():
+    """Against a pattern that tries every end."""
+    rnd = random.Random(3)
+    slow = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?/][^>]*>", re.DOTALL)
+    for _ in range(3000):
+        page = "".join(rnd.choice(["<a", "<b ", "</a", ">", " x='", "'", '"', ' y="', "<!", "<!--", "-->", "<?", "text", "<", "/", " "]) for _ in range(rnd.randrange(1, 25)))
+        want = [(m.start(), m.end(), m[1] or "", (m[2] or "").lower(), m[3] or "") for m in slow.finditer(page)]
+        # A name with a quote in it is cut by the pattern wherever that gives an end; such pages are left out.
+        if not any(re.match(r"</?[a-zA-Z][^\s/>]*[\"']", page[i:]) for i in range(len(page))):
+            assert list(pages._tokens(page)) == want, page
+
+
+def test_cards_and_comments_do_not_replace_the_story():
+    story = "<div class='post-body'><p>The whole story here.</p><p>More text of the story, quite long and told at length.</p></div>"
+    page = f"<body>{story}<div class='more-stories'><article class='card'>Other</article></div></body>"
+    assert [t for _, t in pages.blocks(pages.parse(page))][:2] == ["The whole story here.", "More text of the story, quite long and told at length."]
+    reader = "<ol class='comment-list'><li><article class='comment-body'><p>A reader says more than the story does, and says it at great length.</p></article></li></ol>"
+    page = f"<main>{story}<div id='comments' class='comments-area'>{reader}</div></main>"
+    assert "reader" not in " ".join(t for _, t in pages.blocks(pages.parse(page)))
+    page = f"<main><article>{story}</article><div class='comments-area'>{reader}</div></main>"
+    assert len(pages.blocks(pages.parse(page))) == 2
+    page = f"<div id='comments'><main>{story}</main></div>"
+    assert len(pages.blocks(pages.parse(page))) == 2
+    page = f"<body><article>{story}</article><div class='newsletter-signup'>Join</div><div class='ad-slot'>Buy</div><ins class='adsbygoogle'></ins></body>"
+    assert len(pages.blocks(pages.parse(page))) == 2

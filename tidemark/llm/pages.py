@@ -8,8 +8,9 @@ A text that a matched node has on nearly all distinct pages of the host or
 of the layout is template there; what varies is a slot and holds
 content, also where a few pages deviate from a template text.  Elements that by their tag, role or whole class or id are navigation,
 header, footer, sidebar, notice, advert, form, script, style or reader comments are template on every page, but
-a role or name alone drops neither an article or main nor, reader comments aside, most of a page's text.  If a page has an article
-outside elements so named, content comes from inside it.
+a role or name alone drops neither an article or main nor, reader comments aside, most of a page's text; what is named as comments goes with
+the articles in it.  If articles outside elements so named hold ``ARTICLES`` of the text of a page, or of its main, content comes from
+inside them, or else from its main.
 
 Statistics are partial sums over (host, node, text) and (host, layout, node, text), so a host with a third of
 all pages is split like any other.
@@ -18,7 +19,7 @@ Text: character references are decoded, white space inside a block becomes one s
 blocks are trimmed and joined in page order by a line break.
 
 Defined cases: null and empty pages have empty text; a null URL belongs to the empty host;
-pages without an id are never a reference; broken and cut-off markup is closed where it ends; hosts and layouts with fewer
+pages without an id are never a reference; broken and cut-off markup is closed where it ends, and takes time in proportion to its length; hosts and layouts with fewer
 than ``MIN_PAGES`` distinct pages, or whose pages vary nowhere, have no template nodes; other columns are not carried.
 """
 
@@ -27,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import html as html_text
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +42,7 @@ from tidemark.session import cut_lineage
 
 MIN_PAGES = 4
 STEADY = 0.9  # share of the distinct pages of a host or layout that must have a template text at its node
+ARTICLES = 0.25  # share of the text of a page, or its main, that its articles must have to be its content
 _KNOWN_TREES = 500
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -57,11 +60,11 @@ CLOSES_P = frozenset(
 CLOSES_OWN = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 STOPS = frozenset("ul ol dl table tbody thead tfoot article section div body html main select".split())
 BOILERPLATE = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr menu nav navbar "
+    "ad ads adsbygoogle advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr menu nav navbar "
     "navigation newsletter notice notices popup promo promoted related respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
 # A class or id marks an element if all its parts are words above or of these, and one is above: site-footer, ad-box, comment-list.
-PLACES = frozenset("site page global main top bottom left right side primary secondary area bar block box button buttons container item items link links list section wrap wrapper".split())
+PLACES = frozenset("site page global main top bottom left right side primary secondary area bar block box button buttons container item items link links list section signup slot wrap wrapper".split())
 COMMENTS = frozenset("comment comments disqus respond".split())
 OUTSIDE_ONLY = frozenset({"header"})  # an article's own header is content
 ROLES = frozenset("banner navigation complementary contentinfo search form alert dialog menu".split())
@@ -70,7 +73,8 @@ _NAMING = BOILERPLATE | OUTSIDE_ONLY | PLACES
 PROSE = frozenset("p ul ol li dl dt dd blockquote pre h1 h2 h3 h4 h5 h6 hr figure figcaption table thead tbody tfoot tr td th caption address details summary".split())
 _PATH = 200  # last characters of a path that tell layouts apart
 
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?/][^>]*>", re.DOTALL)
+_NAME = re.compile(r"/?([a-zA-Z][^\s/>]*)")
+_SPECIAL = re.compile(r"[>\"']")
 _CUT_OFF = re.compile(r"<(?:[a-zA-Z/!?][^<]*)?\Z", re.DOTALL)
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 
@@ -88,33 +92,111 @@ class Node:
         self.number, self.shape, self.size = -1, 0, 1  # shape: hash of the labels of the subtree
 
 
+class _Ends:
+    """Where tags end: at the first ``>`` that stands in no quotes.
+
+    What follows a quote or ``>`` does not depend on where the tag began, so each of these places is worked out
+    once, and pages of any markup take time in proportion to their length.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = {c: page.rfind(c) for c in ">\"'"}
+        self.known: dict[int, int] = {}
+        self.clear = (0, -1)  # from the first place up to the second one no quote or > stands
+
+    def after(self, at: int) -> int:
+        """Place of the ``>`` that ends a tag whose names begin at ``at``; -1 if none does."""
+        passed, found = [], -1
+        while at <= self.last[">"]:
+            if not self.clear[0] <= at <= self.clear[1]:
+                self.clear = (at, _SPECIAL.search(self.page, at).start())
+            place = self.clear[1]
+            if place in self.known:
+                found = self.known[place]
+                break
+            passed.append(place)
+            mark = self.page[place]
+            if mark == ">":
+                found = place
+                break
+            if place == self.last[mark]:
+                break  # a quote that nothing closes
+            at = self.page.find(mark, place + 1) + 1
+        for place in passed:
+            self.known[place] = found
+        return found
+
+
+def _tokens(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, slash, tag, attributes) of all markup in order; comments and declarations without a tag.
+
+    The content of ``RAW`` elements is passed over, to the end of the page where nothing closes them.  A ``<`` that begins
+    no markup is text.
+    """
+    ends, at = _Ends(page), page.find("<")
+    while at >= 0:
+        stop, slash, tag, names = -1, "", "", ""
+        if page.startswith("<!--", at):
+            stop = page.find("-->", at + 4)
+            stop = len(page) - 1 if stop < 0 else stop + 2
+        elif named := _NAME.match(page, at + 1):
+            stop = ends.after(named.end())
+            if stop >= 0:
+                slash, tag, names = page[at + 1] if page[at + 1] == "/" else "", named[1].lower(), page[named.end() : stop]
+        if stop < 0 and page[at + 1 : at + 2] in ("!", "?", "/") and at < ends.last[">"]:
+            stop = page.find(">", at)
+        if stop < 0:
+            at = page.find("<", at + 1)
+            continue
+        yield at, stop + 1, slash, tag, names
+        at = stop + 1
+        if tag in RAW and not slash:
+            close = re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE).search(page, at)
+            if close is None:
+                yield at, len(page), "", "", ""
+                return
+            if close.start() > at:
+                yield at, close.start(), "", "", ""
+            at = close.start()
+        else:
+            at = page.find("<", at)
+
+
+class _Open(list):
+    """The open elements, outermost first, and how many there are of each tag."""
+
+    def __init__(self, root: Node):
+        super().__init__([root])
+        self.tags: Counter[str] = Counter()
+
+    def append(self, node: Node) -> None:
+        super().append(node)
+        self.tags[node.tag] += 1
+
+    def cut(self, at: int) -> None:
+        self.tags.subtract(n.tag for n in self[at:])
+        del self[at:]
+
+
 def parse(page: str) -> Node:
     """The tree of block elements; inline elements only lend their text."""
     root = Node("#page", "#page", False)
-    open_nodes: list[Node] = [root]
-    at = 0
-    raw_until = None
-    for found in _MARKUP.finditer(page):
-        if raw_until is not None and not (found[1] and found[2].lower() == raw_until):
-            continue
-        if raw_until is None and found.start() > at:
-            open_nodes[-1].items.append(page[at : found.start()])
-        at = found.end()
-        raw_until = None
-        if found[2] is None:
+    open_nodes, at = _Open(root), 0
+    for start, end, slash, tag, names in _tokens(page):
+        if start > at:
+            open_nodes[-1].items.append(page[at:start])
+        at = end
+        if not tag:
             continue
-        tag = found[2].lower()
-        if found[1]:
+        if slash:
             _close(open_nodes, tag)
         elif tag in INLINE:
             if tag in ("br", "wbr", "img"):
                 open_nodes[-1].items.append(" " if tag == "br" else "")
         else:
-            _open(open_nodes, tag, found[3])
-            if tag in RAW:
-                raw_until = tag
-    if raw_until is None:
-        open_nodes[-1].items.append(_CUT_OFF.sub("", page[at:]))
+            _open(open_nodes, tag, names)
+    open_nodes[-1].items.append(_CUT_OFF.sub("", page[at:]))
     _drop_marked(root)
     return root
 
@@ -122,7 +204,8 @@ def parse(page: str) -> Node:
 def _drop_marked(root: Node) -> None:
     """Drops what its names mark, but nothing that holds an article or main, or most of the page's text.
 
-    Reader comments may be most of a page.  Marks that stay tell where else to look for articles first.
+    Reader comments may be most of a page and articles themselves: what is marked as comments goes with its articles, unless it
+    holds a main or nothing else is left.  Marks that stay tell where else to look for articles first.
     """
     order, waiting = [], [root]
     while waiting:
@@ -132,11 +215,13 @@ def _drop_marked(root: Node) -> None:
             waiting.extend(node.children)
     if not any(n.marked for n in order):
         return
-    length, roots = {}, set()
+    length, roots, mains = _lengths(order), set(), set()
     for node in reversed(order):
-        length[id(node)] = 0 if node.dropped else sum(len("".join(x.split())) if isinstance(x, str) else length[id(x)] for x in node.items)
         if not node.dropped and (node.tag in CONTENT_ROOTS or any(id(n) in roots for n in node.children)):
             roots.add(id(node))
+        if not node.dropped and (node.tag == "main" or any(id(n) in mains for n in node.children)):
+            mains.add(id(node))
+    gone = 0
     for node in order:
         if not node.marked or node.dropped:
             continue
@@ -144,22 +229,34 @@ def _drop_marked(root: Node) -> None:
             node.marked = ""
         elif id(node) not in roots:
             node.dropped = True
+        elif node.marked == "comments" and id(node) not in mains and length[id(node)] < length[id(root)] - gone:
+            node.dropped, gone = True, gone + length[id(node)]
+
+
+def _lengths(order: list[Node]) -> dict[int, int]:
+    """Characters but white space of each node of a tree, whose nodes stand behind their parents; dropped ones have none."""
+    length: dict[int, int] = {}
+    for node in reversed(order):
+        length[id(node)] = 0 if node.dropped else sum(len("".join(x.split())) if isinstance(x, str) else length[id(x)] for x in node.items)
+    return length
 
 
-def _open(open_nodes: list[Node], tag: str, attributes: str) -> None:
-    if tag in CLOSES_P:
+def _open(open_nodes: _Open, tag: str, attributes: str) -> None:
+    if tag in CLOSES_P and open_nodes.tags["p"]:
         for i in range(len(open_nodes) - 1, 0, -1):
             if open_nodes[i].tag == "p":
-                del open_nodes[i:]
+                open_nodes.cut(i)
+                break
+            if open_nodes[i].tag in STOPS:
+                break
+    closes = CLOSES_OWN.get(tag, ())
+    if any(open_nodes.tags[t] for t in closes):
+        for i in range(len(open_nodes) - 1, 0, -1):
+            if open_nodes[i].tag in closes:
+                open_nodes.cut(i)
                 break
             if open_nodes[i].tag in STOPS:
                 break
-    for i in range(len(open_nodes) - 1, 0, -1):
-        if open_nodes[i].tag in CLOSES_OWN.get(tag, ()):
-            del open_nodes[i:]
-            break
-        if open_nodes[i].tag in STOPS:
-            break
     names, words, role = set(), set(), ""
     for name, *values in _NAMES.findall(attributes) if "=" in attributes else ():
         value = "".join(values).lower()
@@ -171,7 +268,7 @@ def _open(open_nodes: list[Node], tag: str, attributes: str) -> None:
             names.update(parts)
             if parts <= _NAMING:
                 words.update(parts - PLACES)
-    inside = any(n.tag in CONTENT_ROOTS for n in open_nodes)
+    inside = any(open_nodes.tags[t] for t in CONTENT_ROOTS)
     by_name = set() if tag in ("html", "body", "article", "main") else words & BOILERPLATE
     if role in ROLES and tag not in ("html", "body", "article", "main"):
         by_name.add(role)
@@ -185,12 +282,12 @@ def _open(open_nodes: list[Node], tag: str, attributes: str) -> None:
         open_nodes.append(node)
 
 
-def _close(open_nodes: list[Node], tag: str) -> None:
-    if tag in INLINE:
+def _close(open_nodes: _Open, tag: str) -> None:
+    if tag in INLINE or not open_nodes.tags[tag]:
         return
     for i in range(len(open_nodes) - 1, 0, -1):
         if open_nodes[i].tag == tag:
-            del open_nodes[i:]
+            open_nodes.cut(i)
             return
 
 
@@ -330,20 +427,36 @@ def blocks(root: Node) -> list[tuple[int, str]]:
 
 
 def _content_roots(root: Node) -> list[Node]:
-    """Outermost articles outside dropped and marked elements, or else main elements."""
-    for tag in ("article", "main"):
-        found, waiting = [], [root]
-        while waiting:
-            node = waiting.pop()
-            if node.dropped or node.marked:
-                continue
-            if node.tag == tag:
-                found.append(node)
-            else:
-                waiting.extend(reversed(node.children))
-        if found:
-            return found
-    return []
+    """Outermost articles outside dropped and marked elements if they hold ``ARTICLES`` of the text around them, or else main elements.
+
+    Around them is the main element, or the page; a card or teaser beside the story is no reason to drop the story.
+    """
+    order, waiting = [], [root]
+    while waiting:
+        node = waiting.pop()
+        order.append(node)
+        if not node.dropped:
+            waiting.extend(reversed(node.children))
+    length = _lengths(order)
+    mains = _outermost(root, "main")
+    around = sum(length[id(n)] for n in mains or [root])
+    articles = _outermost(root, "article")
+    if articles and sum(length[id(n)] for n in articles) >= ARTICLES * around:
+        return articles
+    return mains
+
+
+def _outermost(root: Node, tag: str) -> list[Node]:
+    found, waiting = [], [root]
+    while waiting:
+        node = waiting.pop()
+        if node.dropped or node.marked:
+            continue
+        if node.tag == tag:
+            found.append(node)
+        else:
+            waiting.extend(reversed(node.children))
+    return found
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, steady: float = STEADY) -> DataFrame:
