@@ -14,7 +14,7 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
 FEW_ROWS = {
     "publish_list", "top_performers", "largest_results", "lenient_tokens", "screened_tokens", "latest_rows", "whale_trades", "hot_tokens",
     "trader_activity", "meme_trends", "venue_ranking", "unknown_pairs", "unknown_tokens",
-    "check_sequential", "check_sequential_days", "check_exclusive_ranges_overall", "validate_gold_traders",
+    "check_sequential", "check_sequential_days", "check_exclusive_ranges_overall", "validate_gold_traders", "asof_events_within",
 }
 
 
