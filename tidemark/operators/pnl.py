@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidemark import settings as S
 from tidemark.functions import market as M
 from tidemark.operators.ordered import keep_latest, scan, top_n_per_group
+from tidemark.session import cut_lineage
 
 PAIR = ["wallet_address", "token_address"]
 TRADE_COLUMNS = [*PAIR, "token_symbol", "trade_id", "trade_time", "side", "quantity", "usd"]
@@ -405,6 +406,19 @@ def position_pnl(trades: DataFrame) -> DataFrame:
 CELL_POINTS = 10_000
 
 
+# Digits of a quantity: one less than the most, so that differences keep the scale.
+_DIGITS = 37
+
+
+def _whole_digits(moved: DataFrame) -> int:
+    """Digits before the point of the largest sum of quantities of a pair."""
+    sums = moved.groupBy(*PAIR).agg(F.sum("quantity").cast("double").alias("n"))
+    largest = sums.agg(F.max("n")).first()[0] or 0.0
+    if not largest < 10.0 ** (_DIGITS - 8):
+        raise ValueError(f"quantities of a pair add up to {largest}: too much for exact sums")
+    return len(str(int(largest)))
+
+
 def fifo_matches(trades: DataFrame, strict: bool = False, scale: int = 18, cell_points: int = CELL_POINTS) -> DataFrame:
     """Pieces of sells matched to buy lots, first in first out.
 
@@ -420,13 +434,15 @@ def fifo_matches(trades: DataFrame, strict: bool = False, scale: int = 18, cell_
     of its trades; stretches are cut at cell borders and each cell is matched by
     itself.  Stretches of one side do not overlap, so this adds at most two rows per
     border, there are at most buys + sells pieces, and no buy is compared with a sell it does
-    not touch.  Quantities are decimals, so pieces add up exactly.
+    not touch.  Quantities are decimals, so pieces add up exactly; they keep ``scale`` places, or as many fewer as the
+    largest sum of a pair needs before the point (18 for sums below 1e18, 15 for 1e20), and a trade below the last place
+    counts nothing.  Sums from 1e29 on are refused.
     """
-    number = f"decimal(37,{scale})"  # one digit less than the most, so that differences keep the scale
-    moved = trades.filter(F.col("side").isin("BUY", "SELL")).select(
-        *PAIR, "side", "trade_id", "trade_time", F.try_divide("usd", "quantity").alias("price"), F.col("quantity").cast(number).alias("amount")
-    )
-    moved = moved.filter(F.col("amount") > 0)
+    named = trades.filter(F.col("side").isin("BUY", "SELL") & (F.col("quantity") > 0))
+    named = cut_lineage(named.select(*PAIR, "side", "trade_id", "trade_time", F.try_divide("usd", "quantity").alias("price"), "quantity"))
+    scale = min(scale, _DIGITS - 1 - _whole_digits(named))
+    number = f"decimal({_DIGITS},{scale})"
+    moved = named.withColumn("amount", F.col("quantity").cast(number)).drop("quantity").filter(F.col("amount") > 0)
     stacked = scan(
         moved,
         PAIR,
@@ -434,6 +450,7 @@ def fifo_matches(trades: DataFrame, strict: bool = False, scale: int = 18, cell_
         sums={"bought": _buys("amount"), "sold": _sells("amount")},
         tied_sums={"bought_by_then": _buys("amount")},
         totals={"pair_rows": F.lit(1), "pair_bought": _buys("amount")},
+        stored=True,
     )
     end = F.when(F.col("side") == "BUY", F.col("bought")).otherwise(F.col("sold")).cast(number)
     points = stacked.withColumns({"start": (end - F.col("amount")).cast(number), "end": end})
