@@ -28,7 +28,7 @@ from __future__ import annotations
 import hashlib
 import html as html_text
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +42,7 @@ from tidemark.session import cut_lineage
 
 MIN_PAGES = 4
 STEADY = 0.9  # share of the distinct pages of a host or layout that must have a template text at its node
-ARTICLES = 0.25  # share of the text of a page, or its main, that its articles must have to be its content
+ARTICLES = 0.2  # share of the text of a page, or its main, that its articles must have to be its content
 _KNOWN_TREES = 500
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -73,7 +73,10 @@ _NAMING = BOILERPLATE | OUTSIDE_ONLY | PLACES
 PROSE = frozenset("p ul ol li dl dt dd blockquote pre h1 h2 h3 h4 h5 h6 hr figure figcaption table thead tbody tfoot tr td th caption address details summary".split())
 _PATH = 200  # last characters of a path that tell layouts apart
 
+_RAW_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in RAW}
 _NAME = re.compile(r"/?([a-zA-Z][^\s/>]*)")
+# Most tags: no angle bracket in their names or values.  Without going back, so in time proportional to what is read.
+_PLAIN = re.compile(r"<(/?+)([a-zA-Z][^\s/<>\"']*+)(?=[\s/>])([^<>\"']*+(?:\"[^\"<>]*+\"[^<>\"']*+|'[^'<>]*+'[^<>\"']*+)*+)>")
 _SPECIAL = re.compile(r"[>\"']")
 _CUT_OFF = re.compile(r"<(?:[a-zA-Z/!?][^<]*)?\Z", re.DOTALL)
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
@@ -134,33 +137,42 @@ def _tokens(page: str) -> Iterator[tuple[int, int, str, str, str]]:
     The content of ``RAW`` elements is passed over, to the end of the page where nothing closes them.  A ``<`` that begins
     no markup is text.
     """
-    ends, at = _Ends(page), page.find("<")
+    ends, at = None, page.find("<")
     while at >= 0:
-        stop, slash, tag, names = -1, "", "", ""
-        if page.startswith("<!--", at):
-            stop = page.find("-->", at + 4)
-            stop = len(page) - 1 if stop < 0 else stop + 2
-        elif named := _NAME.match(page, at + 1):
-            stop = ends.after(named.end())
-            if stop >= 0:
-                slash, tag, names = page[at + 1] if page[at + 1] == "/" else "", named[1].lower(), page[named.end() : stop]
-        if stop < 0 and page[at + 1 : at + 2] in ("!", "?", "/") and at < ends.last[">"]:
-            stop = page.find(">", at)
-        if stop < 0:
-            at = page.find("<", at + 1)
-            continue
-        yield at, stop + 1, slash, tag, names
-        at = stop + 1
-        if tag in RAW and not slash:
-            close = re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE).search(page, at)
-            if close is None:
-                yield at, len(page), "", "", ""
-                return
-            if close.start() > at:
-                yield at, close.start(), "", "", ""
-            at = close.start()
+        if plain := _PLAIN.match(page, at):
+            slash, tag, names = plain.groups()
+            tag, start, at = tag.lower(), at, plain.end()
+            yield start, at, slash, tag, names
+            if tag not in RAW or slash:
+                at = page.find("<", at)
+                continue
         else:
-            at = page.find("<", at)
+            ends = ends or _Ends(page)
+            stop, slash, tag, names = -1, "", "", ""
+            if page.startswith("<!--", at):
+                stop = page.find("-->", at + 4)
+                stop = len(page) - 1 if stop < 0 else stop + 2
+            elif named := _NAME.match(page, at + 1):
+                stop = ends.after(named.end())
+                if stop >= 0:
+                    slash, tag, names = page[at + 1] if page[at + 1] == "/" else "", named[1].lower(), page[named.end() : stop]
+            if stop < 0 and page[at + 1 : at + 2] in ("!", "?", "/") and at < ends.last[">"]:
+                stop = page.find(">", at)
+            if stop < 0:
+                at = page.find("<", at + 1)
+                continue
+            yield at, stop + 1, slash, tag, names
+            at = stop + 1
+            if tag not in RAW or slash:
+                at = page.find("<", at)
+                continue
+        close = _RAW_ENDS[tag].search(page, at)
+        if close is None:
+            yield at, len(page), "", "", ""
+            return
+        if close.start() > at:
+            yield at, close.start(), "", "", ""
+        at = close.start()
 
 
 class _Open(list):
@@ -168,14 +180,15 @@ class _Open(list):
 
     def __init__(self, root: Node):
         super().__init__([root])
-        self.tags: Counter[str] = Counter()
+        self.tags: defaultdict[str, int] = defaultdict(int)
 
     def append(self, node: Node) -> None:
         super().append(node)
         self.tags[node.tag] += 1
 
     def cut(self, at: int) -> None:
-        self.tags.subtract(n.tag for n in self[at:])
+        for node in self[at:]:
+            self.tags[node.tag] -= 1
         del self[at:]
 
 
@@ -215,7 +228,9 @@ def _drop_marked(root: Node) -> None:
             waiting.extend(node.children)
     if not any(n.marked for n in order):
         return
-    length, roots, mains = _lengths(order), set(), set()
+    length, roots, mains = {}, set(), set()
+    for node in reversed(order):
+        length[id(node)] = 0 if node.dropped else sum(len("".join(x.split())) if isinstance(x, str) else length[id(x)] for x in node.items)
     for node in reversed(order):
         if not node.dropped and (node.tag in CONTENT_ROOTS or any(id(n) in roots for n in node.children)):
             roots.add(id(node))
@@ -233,14 +248,6 @@ def _drop_marked(root: Node) -> None:
             node.dropped, gone = True, gone + length[id(node)]
 
 
-def _lengths(order: list[Node]) -> dict[int, int]:
-    """Characters but white space of each node of a tree, whose nodes stand behind their parents; dropped ones have none."""
-    length: dict[int, int] = {}
-    for node in reversed(order):
-        length[id(node)] = 0 if node.dropped else sum(len("".join(x.split())) if isinstance(x, str) else length[id(x)] for x in node.items)
-    return length
-
-
 def _open(open_nodes: _Open, tag: str, attributes: str) -> None:
     if tag in CLOSES_P and open_nodes.tags["p"]:
         for i in range(len(open_nodes) - 1, 0, -1):
@@ -249,8 +256,8 @@ def _open(open_nodes: _Open, tag: str, attributes: str) -> None:
                 break
             if open_nodes[i].tag in STOPS:
                 break
-    closes = CLOSES_OWN.get(tag, ())
-    if any(open_nodes.tags[t] for t in closes):
+    closes = CLOSES_OWN.get(tag)
+    if closes and any([open_nodes.tags[t] for t in closes]):
         for i in range(len(open_nodes) - 1, 0, -1):
             if open_nodes[i].tag in closes:
                 open_nodes.cut(i)
@@ -268,7 +275,7 @@ def _open(open_nodes: _Open, tag: str, attributes: str) -> None:
             names.update(parts)
             if parts <= _NAMING:
                 words.update(parts - PLACES)
-    inside = any(open_nodes.tags[t] for t in CONTENT_ROOTS)
+    inside = open_nodes.tags["article"] > 0 or open_nodes.tags["main"] > 0
     by_name = set() if tag in ("html", "body", "article", "main") else words & BOILERPLATE
     if role in ROLES and tag not in ("html", "body", "article", "main"):
         by_name.add(role)
@@ -437,11 +444,15 @@ def _content_roots(root: Node) -> list[Node]:
         order.append(node)
         if not node.dropped:
             waiting.extend(reversed(node.children))
-    length = _lengths(order)
     mains = _outermost(root, "main")
-    around = sum(length[id(n)] for n in mains or [root])
     articles = _outermost(root, "article")
-    if articles and sum(length[id(n)] for n in articles) >= ARTICLES * around:
+    if not articles:
+        return mains
+    length: dict[int, int] = {}
+    for node in reversed(order):
+        length[id(node)] = 0 if node.dropped else sum([len(x.strip()) if isinstance(x, str) else length[id(x)] for x in node.items])
+    around = sum(length[id(n)] for n in mains or [root])
+    if sum(length[id(n)] for n in articles) >= ARTICLES * around:
         return articles
     return mains
 
