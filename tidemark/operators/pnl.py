@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import settings as S
 from tidemark.functions import market as M
-from tidemark.operators.ordered import keep_latest, scan, top_n_per_group
-from tidemark.session import cut_lineage
+from tidemark.operators.ordered import BUCKETS_PER_PART, keep_latest, sampled_bucket, scan, top_n_per_group
+from tidemark.session import cut_lineage, parallelism
 
 PAIR = ["wallet_address", "token_address"]
 TRADE_COLUMNS = [*PAIR, "token_symbol", "trade_id", "trade_time", "side", "quantity", "usd"]
@@ -402,7 +402,7 @@ def position_pnl(trades: DataFrame) -> DataFrame:
 # --- first in, first out ---------------------------------------------------------------------
 
 
-# Points of a pair that share a cell of its quantity axis, on average.
+# Trades that share a cell of the quantity axis, at least and on average.
 CELL_POINTS = 10_000
 
 
@@ -430,11 +430,12 @@ def fifo_matches(trades: DataFrame, strict: bool = False, scale: int = 18, cell_
     summed sells`` where negative.  What a sell could not get stays unmatched and its lots
     serve later sells.
 
-    The axis of a pair is cut in cells of equal width, one for about ``cell_points``
-    of its trades; stretches are cut at cell borders and each cell is matched by
-    itself.  Stretches of one side do not overlap, so this adds at most two rows per
-    border, there are at most buys + sells pieces, and no buy is compared with a sell it does
-    not touch.  Quantities are decimals, so pieces add up exactly; they keep ``scale`` places, or as many fewer as the
+    Stretches of one side do not overlap, so a lot and a sell that overlap do so from the start of the later
+    one on, and there the other is the last of its side to have started.  One ordered scan by start that
+    carries the last lot and the last sell along therefore finds every piece once, at most one per trade, and
+    compares no other trades.  Cells are stretches of the axis between cuts sampled from the trades (``ordered.scan``): they hold about
+    equally many trades wherever these lie, ``cell_points`` or, with more than ``BUCKETS_PER_PART`` cells per shuffle
+    partition, as many more.  Quantities are decimals, so pieces add up exactly; they keep ``scale`` places, or as many fewer as the
     largest sum of a pair needs before the point (18 for sums below 1e18, 15 for 1e20), and a trade below the last place
     counts nothing.  Sums from 1e29 on are refused.
     """
@@ -449,7 +450,7 @@ def fifo_matches(trades: DataFrame, strict: bool = False, scale: int = 18, cell_
         ["trade_time", "trade_id"],
         sums={"bought": _buys("amount"), "sold": _sells("amount")},
         tied_sums={"bought_by_then": _buys("amount")},
-        totals={"pair_rows": F.lit(1), "pair_bought": _buys("amount")},
+        totals={"pair_bought": _buys("amount")},
         stored=True,
     )
     end = F.when(F.col("side") == "BUY", F.col("bought")).otherwise(F.col("sold")).cast(number)
@@ -465,38 +466,25 @@ def fifo_matches(trades: DataFrame, strict: bool = False, scale: int = 18, cell_
                 "start": F.when(is_sell, F.col("start") + F.least(zero, "low_before")).otherwise(F.col("start")).cast(number),
             }
         )
-    # Borders have few decimals, so that a cell number times the width is exact.
-    border = "decimal(38,6)"
-    cells = F.ceil(F.col("pair_rows") / F.lit(cell_points))
-    width = ((F.col("pair_bought") / cells).cast(border) + F.lit("0.000001").cast(border)).cast(border)
     placed = points.filter((F.col("end") > F.col("start")) & (F.col("start") < F.col("pair_bought")))
-    placed = placed.withColumns({"width": width, "reach": F.least("end", F.col("pair_bought").cast(number))})
-    first, last = F.expr("start div width"), F.expr(f"(reach - CAST('1e-{scale}' AS {number})) div width")
-    placed = placed.withColumn("cell", F.explode(F.sequence(first, last)))
-    low = (F.col("cell").cast("decimal(18,0)") * F.col("width")).cast(border)
-    high = (low + F.col("width")).cast(number)
-    clipped = placed.withColumns({"from": F.greatest("start", low.cast(number)), "to": F.least("reach", high)})
-
-    inside = Window.partitionBy(*PAIR, "cell").orderBy("from", "side", "trade_id")
-    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    leg = F.struct("trade_id", "trade_time", "price", "to")
-    walked = clipped.select(
+    placed = cut_lineage(placed.select(*PAIR, "side", "trade_id", "trade_time", "price", "start", "end"))
+    by_start = ["start", "side", "trade_id"]
+    cells = min(BUCKETS_PER_PART * parallelism(trades.sparkSession), -(-placed.count() // cell_points))
+    leg = F.struct("trade_id", "trade_time", "price", "end")
+    last = {"lot": _buys(leg), "sale": _sells(leg)}
+    walked = scan(placed, PAIR, by_start, carry=last, bucket=sampled_bucket(placed, by_start, max(cells, 1)))
+    matched = (F.least("lot.end", "sale.end") - F.col("start")).cast(number)
+    pieces = walked.filter(F.col("lot").isNotNull() & F.col("sale").isNotNull()).withColumn("matched", matched)
+    pieces = pieces.filter(F.col("matched") > 0).withColumn("quantity", F.col("matched").cast("double"))
+    return pieces.select(
         *PAIR,
-        "from",
-        F.last(_buys(leg), ignorenulls=True).over(so_far).alias("lot"),
-        F.last(_sells(leg), ignorenulls=True).over(so_far).alias("sale"),
-        F.lead("from").over(inside).alias("next_from"),
-    )
-    piece = F.least("next_from", "lot.to", "sale.to") - F.col("from")
-    pieces = walked.filter(F.col("lot").isNotNull() & F.col("sale").isNotNull()).withColumn("matched", piece.cast(number))
-    trade = lambda side, name: F.col(f"{side}.{name}")
-    names = {"buy_id": trade("lot", "trade_id"), "sell_id": trade("sale", "trade_id"), "buy_time": trade("lot", "trade_time"), "sell_time": trade("sale", "trade_time")}
-    prices = {"buy_price": trade("lot", "price"), "sell_price": trade("sale", "price")}
-    found = pieces.filter(F.col("matched") > 0).select(*PAIR, *[c.alias(n) for n, c in (names | prices).items()], "matched")
-    # A piece that a cell border cuts is one piece again.
-    whole = found.groupBy(*PAIR, *names, *prices).agg(F.sum("matched").cast("double").alias("quantity"))
-    return whole.select(
-        *PAIR, *names, "quantity", (F.col("quantity") * F.col("buy_price")).alias("cost"), (F.col("quantity") * F.col("sell_price")).alias("proceeds")
+        F.col("lot.trade_id").alias("buy_id"),
+        F.col("sale.trade_id").alias("sell_id"),
+        F.col("lot.trade_time").alias("buy_time"),
+        F.col("sale.trade_time").alias("sell_time"),
+        "quantity",
+        (F.col("quantity") * F.col("lot.price")).alias("cost"),
+        (F.col("quantity") * F.col("sale.price")).alias("proceeds"),
     )
 
 

@@ -251,6 +251,27 @@ def fifo_without_short_sales(spark, sf_dir):
     return rounded(pnl.fifo_by_sell(pnl.fifo_matches(trades(spark, sf_dir), strict=True)), 4, "cost", "realized_pnl")
 
 
+# All trades are one pair, and one trade in a thousand is a million times larger: the others lie in slivers of the axis.
+_SLIVER = """, one AS (
+    SELECT trade_id, trade_time, side, usd / (quantity * CASE WHEN trade_id % 1000 = 0 THEN 1e6 ELSE 1 END) AS price,
+           quantity * CASE WHEN trade_id % 1000 = 0 THEN 1e6 ELSE 1 END AS quantity FROM order_trades WHERE side <> 'SWAP'),
+  legs AS (
+    SELECT *, sum(quantity) OVER w - quantity AS lo, sum(quantity) OVER w AS hi FROM one
+    WINDOW w AS (PARTITION BY side ORDER BY trade_time, trade_id ROWS UNBOUNDED PRECEDING)),
+  met AS (
+    SELECT b.trade_id AS buy_id, s.trade_id AS sell_id, b.price AS buy_price, s.price AS sell_price, least(b.hi, s.hi) - greatest(b.lo, s.lo) AS quantity
+    FROM (SELECT * FROM legs WHERE side = 'BUY') b JOIN (SELECT * FROM legs WHERE side = 'SELL') s ON b.lo < s.hi AND s.lo < b.hi)
+  SELECT buy_id, sell_id, quantity, round(quantity * buy_price, 2) AS cost, round(quantity * sell_price, 2) AS proceeds FROM met"""
+
+
+@query(using("order_trades") + _SLIVER)
+def fifo_in_a_sliver(spark, sf_dir):
+    large = F.when(F.col("trade_id") % 1000 == 0, 1e6).otherwise(1.0)
+    one = {"wallet_address": F.lit("all"), "token_address": F.lit("all"), "quantity": F.col("quantity") * large}
+    matches = pnl.fifo_matches(A.order_trades(spark, sf_dir).withColumns(one))
+    return rounded(matches.select("buy_id", "sell_id", "quantity", "cost", "proceeds"), 2, "cost", "proceeds")
+
+
 # Half of all trades belong to one pair and that pair has no token.
 _CROWDED = """, crowded AS (
     SELECT CASE WHEN trade_id % 2 = 0 THEN wallet_address END AS wallet_address, CASE WHEN trade_id % 2 = 0 THEN token_address END AS token_address,
