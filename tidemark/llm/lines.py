@@ -1,20 +1,20 @@
 """Line dedup with a log-template tree, in DataFrame functions only.
 
-A line is parsed into a tree of fixed depth: first by its number of tokens, then
-by its ``DEPTH`` leading tokens, tokens with a digit counting as variable.  In a leaf
-that ``MIN_DOCS`` documents share, the fields are generalised: a token
-stays in the template if it stands at its place in at least ``MIN_DOCS`` (document,
-distinct line) pairs, otherwise it becomes a variable field.  A template recurs
-when lines of at least ``MIN_DOCS`` documents have it and at least ``CONSTANT`` of its tokens are
-constant.  The lines of a recurring template are dropped from every document but the
-one with the smallest id.
+A line that stands in two documents or more with the very same tokens is a template of constants only, whatever its
+length and script; it recurs.  Lines of at least ``MIN_TOKENS`` tokens are also parsed into a tree of fixed depth: first by
+their number of tokens, then by their ``DEPTH`` leading tokens, tokens with a digit counting as variable.  In a
+leaf that ``MIN_DOCS`` documents share, the fields are generalised: a token stays in the template if
+at least ``MIN_DOCS`` of the leaf's (document, distinct line) pairs and at least one in ``LEAF_SHARE`` of them have it at its
+place, otherwise it becomes a variable field; so a field generalises alike in small and in crowded leaves.  A
+template recurs when lines of at least ``MIN_DOCS`` documents have it and at least ``CONSTANT`` of its tokens
+behind the leading ones are constant.  The lines of a recurring template are dropped from every document but the one with the smallest id.
 
 Leaves, tokens and templates are counted with partial sums, and lines meet their leaf and
 template in equi-joins whose other side is one written row per key, so adaptive
 execution can split a crowded leaf.
 
-Defined cases: null texts stay null and have no lines; lines of fewer than ``MIN_TOKENS``
-tokens, and documents without an id, neither count nor lose anything; rows with the same id are the
+Defined cases: null texts stay null and have no lines; blank lines, and documents without an id,
+neither count nor lose anything; equal lines are found by 96 bits of hashes; rows with the same id are the
 same document when counting, and each loses its own lines; other columns pass through,
 except those named like an output column, which the output replaces.
 """
@@ -29,6 +29,7 @@ from tidemark.session import cut_lineage
 DEPTH = 3
 MIN_TOKENS = 4
 MIN_DOCS = 3
+LEAF_SHARE = 50
 CONSTANT = 0.6
 VARIABLE = "<*>"
 FILTER_BITS = 1 << 23
@@ -54,7 +55,7 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH
     """``docs`` with recurring lines taken out of ``text``, and ``n_lines`` and ``n_dropped``."""
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     marked = docs.select(*[c for c in names if c != "text"], F.xxhash64("text").alias("__mark"), F.split("text", "\n").alias("__lines"))
-    dropped = _dropped(docs, min_docs, depth, min_tokens, constant)
+    dropped = _repeated(docs).unionByName(_dropped(docs, min_docs, depth, min_tokens, constant))
     dropped = dropped.groupBy(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).agg(F.collect_set("line_no").alias("__gone"))
     same = (marked["doc_id"] == dropped["__id"]) & (marked["__mark"] == dropped["__mark"])
     whole = marked.join(dropped, same, "left")
@@ -69,6 +70,20 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH
     return whole.select(*out, n_lines.cast("long").alias("n_lines"), n_dropped.cast("long").alias("n_dropped"))
 
 
+def _repeated(docs: DataFrame) -> DataFrame:
+    """(doc_id, mark, line_no) of all lines that a document with a smaller id has as well."""
+    spaced = F.transform(F.split("text", "\n"), lambda raw, i: F.struct(i.alias("line_no"), _spaced(raw).alias("line")))
+    keyed = F.transform(F.filter(spaced, lambda p: p["line"] != ""), lambda p: F.struct(p["line_no"], _same(p["line"]).alias("same")))
+    lines = docs.filter("doc_id is not null").select("doc_id", F.xxhash64("text").alias("mark"), F.inline(keyed))
+    owners = lines.groupBy("same").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last"))
+    recurring = cut_lineage(owners.filter("keeper < last").select("same", "keeper"))
+    return _perhaps_in(lines, recurring, "same").join(recurring, "same").filter("doc_id > keeper").select(*_KEY, "line_no")
+
+
+def _same(line: Column) -> Column:
+    return F.struct(F.xxhash64(line).alias("a"), F.hash(line).alias("b"))
+
+
 def _dropped(docs: DataFrame, min_docs: int, depth: int, min_tokens: int, constant: float) -> DataFrame:
     """(doc_id, mark, line_no) of all lines to drop."""
     # Parsed inside the array, so that each line is worked out once before it becomes a row.
@@ -93,12 +108,12 @@ def _dropped(docs: DataFrame, min_docs: int, depth: int, min_tokens: int, consta
     return shared.join(cut_lineage(recurring), "variant").filter("doc_id > keeper").select(*_KEY, "line_no")
 
 
-def _perhaps_in(lines: DataFrame, leaves: DataFrame) -> DataFrame:
-    """Lines whose leaf's hash is set in a bitmap of all ``leaves``; the bitmap has ``FILTER_BITS`` bits whatever the data.
+def _perhaps_in(lines: DataFrame, leaves: DataFrame, key: str = "leaf") -> DataFrame:
+    """Lines whose key's hash is set in a bitmap of all keys of ``leaves``; the bitmap has ``FILTER_BITS`` bits whatever the data.
 
     A scalar subquery instead of a join: the semi join that follows would be moved below a join.
     """
-    bit = F.pmod(F.xxhash64("leaf"), F.lit(FILTER_BITS))
+    bit = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
     block, place = F.floor(bit / _BLOCK_BITS).cast("int"), bit % _BLOCK_BITS
     bits = leaves.groupBy(block.alias("block")).agg(F.bitmap_construct_agg(place).alias("bits"))
     blocks = lines.sparkSession.range(FILTER_BITS // _BLOCK_BITS).select(F.col("id").cast("int").alias("block")).join(bits, "block", "left")
@@ -111,11 +126,13 @@ def _perhaps_in(lines: DataFrame, leaves: DataFrame) -> DataFrame:
 def _templates(variants: DataFrame, min_docs: int, depth: int, constant: float) -> DataFrame:
     """(variant, template) for masked lines whose template is constant enough."""
     tokens = variants.select("variant", "leaf", "pairs", F.posexplode(F.split("masked", " ")).alias("at", "token"))
-    steady = tokens.groupBy("leaf", "at", "token").agg(F.sum("pairs").alias("seen")).filter(F.col("seen") >= min_docs)
-    steady = cut_lineage(steady.filter(F.col("token") != VARIABLE).select("leaf", "at", "token", F.lit(True).alias("steady")))
+    sizes = variants.groupBy("leaf").agg(F.sum("pairs").alias("leaf_pairs"))
+    seen = tokens.filter(F.col("token") != VARIABLE).groupBy("leaf", "at", "token").agg(F.sum("pairs").alias("seen"))
+    steady = seen.filter(F.col("seen") >= min_docs).join(sizes, "leaf").filter(F.col("seen") * LEAF_SHARE >= F.col("leaf_pairs"))
+    steady = cut_lineage(steady.select("leaf", "at", "token", F.lit(True).alias("steady")))
     field = F.when(F.col("steady"), F.col("token")).otherwise(F.lit(VARIABLE))
     placed = tokens.drop("pairs").join(steady, ["leaf", "at", "token"], "left").groupBy("variant").agg(
-        F.array_sort(F.collect_list(F.struct("at", field.alias("field")))).alias("fields"), F.count("steady").alias("constants")
+        F.array_sort(F.collect_list(F.struct("at", field.alias("field")))).alias("fields"), F.count(F.when(F.col("at") >= depth, F.col("steady"))).alias("constants")
     )
-    enough = placed.filter(F.col("constants") >= F.size("fields") * constant)
+    enough = placed.filter((F.size("fields") > depth) & (F.col("constants") >= (F.size("fields") - depth) * constant))
     return cut_lineage(enough.select("variant", F.md5(F.array_join("fields.field", " ")).alias("template")))

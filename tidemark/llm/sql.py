@@ -109,25 +109,32 @@ FROM ranked
 LINES = r"""
 WITH raw AS (SELECT doc_id, text, string_split(text, chr(10)) AS all_lines FROM documents
 ), l AS (
-    SELECT doc_id, no, list_transform(list_filter(regexp_split_to_array(line, '[\x09\x0B-\x0D ]+'), lambda x: x <> ''),
-        lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS w
+    SELECT doc_id, no, list_filter(regexp_split_to_array(line, '[\x09\x0B-\x0D ]+'), lambda x: x <> '') AS u
     FROM (SELECT doc_id, unnest(range(1, len(all_lines) + 1)) AS no, unnest(all_lines) AS line FROM raw) WHERE doc_id IS NOT NULL
-), leafed AS (SELECT doc_id, no, w, len(w) AS n, w[1:3] AS head FROM l WHERE len(w) >= 4
+), same AS (SELECT u, min(doc_id) AS keeper FROM l WHERE len(u) >= 1 GROUP BY u HAVING count(DISTINCT doc_id) >= 2
+), repeated AS (SELECT doc_id, no FROM l JOIN same USING (u) WHERE doc_id > keeper
+), leafed AS (
+    SELECT doc_id, no, w, len(w) AS n, w[1:3] AS head
+    FROM (SELECT doc_id, no, list_transform(u, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS w FROM l WHERE len(u) >= 4)
 ), crowded AS (SELECT n, head FROM leafed GROUP BY n, head HAVING count(DISTINCT doc_id) >= 3
 ), c AS (SELECT leafed.* FROM leafed SEMI JOIN crowded USING (n, head)
 ), once AS (SELECT DISTINCT doc_id, w, n, head FROM c
-), steady AS (
-    SELECT n, head, place, token FROM (SELECT n, head, unnest(range(1, n + 1)) AS place, unnest(w) AS token FROM once)
-    WHERE token <> '<*>' GROUP BY n, head, place, token HAVING count(*) >= 3
+), sizes AS (SELECT n, head, count(*) AS pairs FROM once GROUP BY n, head
+), seen AS (
+    SELECT n, head, place, token, count(*) AS times FROM (SELECT n, head, unnest(range(1, n + 1)) AS place, unnest(w) AS token FROM once)
+    WHERE token <> '<*>' GROUP BY n, head, place, token
+), steady AS (SELECT n, head, place, token FROM seen JOIN sizes USING (n, head) WHERE times >= 3 AND times * 50 >= pairs
 ), known AS (SELECT n, head, list(token || ' ' || place) AS have FROM steady GROUP BY n, head
 ), templated AS (
     SELECT w, n, list_transform(range(1, n + 1), lambda i: CASE WHEN list_contains(have, w[i] || ' ' || i) THEN w[i] ELSE '<*>' END) AS t
     FROM (SELECT DISTINCT w, n, head FROM once) JOIN known USING (n, head)
-), fit AS (SELECT w, t FROM templated WHERE len(list_filter(t, lambda x: x <> '<*>')) >= 0.6 * n
+), fit AS (SELECT w, t FROM templated WHERE len(list_filter(t[4:], lambda x: x <> '<*>')) >= 0.6 * (n - 3)
 ), recurring AS (
     SELECT t, min(doc_id) AS keeper FROM once JOIN fit USING (w) GROUP BY t HAVING count(DISTINCT doc_id) >= 3
 ), gone AS (
-    SELECT doc_id, list(no) AS nos FROM c JOIN fit USING (w) JOIN recurring USING (t) WHERE doc_id > keeper GROUP BY doc_id
+    SELECT doc_id, list(DISTINCT no) AS nos FROM (
+        SELECT doc_id, no FROM c JOIN fit USING (w) JOIN recurring USING (t) WHERE doc_id > keeper UNION ALL SELECT doc_id, no FROM repeated
+    ) GROUP BY doc_id
 )
 SELECT raw.doc_id, CAST(coalesce(len(all_lines), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(nos), 0) AS BIGINT) AS n_dropped,
     CASE WHEN nos IS NULL THEN text ELSE coalesce(array_to_string(list_transform(
