@@ -66,6 +66,81 @@ def test_lines_without_spaces_have_several_paragraphs():
         a, b, c, moved = merkle.trees([t.encode() for t in (text, edited, half, "x y " + text)])
         assert 0.9 < merkle.likeness(a, b) < 1 and 1 <= len(merkle.differing(a, b)) <= 2
         assert 0.3 < merkle.likeness(a, c) < 0.7 and merkle.likeness(a, moved) > 0.9
-    assert all(len(x) < 200 for x in merkle.trees([bytes([c]) * 5000 for c in range(0x61, 0x7B)]))
+    # A run of one letter is cut by force only: one leaf, and at most one section, per ``MOST`` bytes.
+    assert all(len(x) <= 33 + 16 * -(-5000 // merkle.MOST) for x in merkle.trees([bytes([c]) * 5000 for c in range(0x61, 0x7B)]))
     texts = ["字" * 50 + text, "short", text, ""]
     assert merkle.trees([t.encode() for t in texts]) == [merkle.trees([t.encode()])[0] for t in texts]
+
+
+def leaves(text):
+    """Paragraphs of a text by the rule, place by place."""
+    data = text.encode()
+    words, at = [], 0
+    for word in data.split():
+        at = data.index(word, at)
+        words.append((at, at + len(word)))
+        at += len(word)
+    grams = merkle.Words(merkle.np.array([0, len(data)]), merkle.np.frombuffer(data, merkle.np.uint8))
+    allowed = {int(x) for x in merkle._word_cuts(grams, len(data))} | {int(x) for x in merkle._inner_cuts(grams)}
+    assert allowed <= {a for a, _ in words} | {i for a, b in words if b - a > merkle.LONG for i in range(a, b)}
+    allowed |= {i + 1 for i, c in enumerate(data) if c == 10}
+    cuts, before = [0], 0
+    for place in sorted(allowed - {0, len(data)}):
+        if place - before >= merkle.LEAST:
+            cuts.append(place)
+        before = place
+    out = []
+    for a, b in zip(cuts, [*cuts[1:], len(data)], strict=True):
+        start = a
+        for k in range(1, -(-(b - a) // merkle.MOST)):
+            end = a + merkle.MOST * k
+            while data[end] & 0xC0 == 0x80:
+                end -= 1
+            out.append(data[start:end])
+            start = end
+        out.append(data[start:b])
+    return out
+
+
+def test_leaves_and_likeness_equal_a_plain_form():
+    """Fingerprints and likenesses from lists of paragraphs, without trees."""
+    texts = [t for _, t in made(11, 25) if t] + ["la " * 900, "字" * 700, "a\n" * 400, "x", "\n\n", "one line\nof two " * 90]
+    digest = lambda x: hashlib.blake2b(x, digest_size=8).digest()[:4].hex()
+    plain = [[digest(x) for x in leaves(t)] for t in texts]
+    made_trees = merkle.trees([t.encode() for t in texts])
+    assert [[p for s in merkle._sections(tree) for p in merkle._paragraphs(s)] for tree in made_trees] == plain
+    for a, x in zip(made_trees, plain, strict=True):
+        for b, y in zip(made_trees, plain, strict=True):
+            common = sum(min(x.count(v), y.count(v)) for v in set(x))
+            assert merkle.likeness(a, b) == (1.0 if x == y else 2 * common / (len(x) + len(y)))
+
+
+def test_half_a_text_is_always_seen():
+    """Texts of over 1,000 characters of which half is kept, repeats and small vocabularies included."""
+    rnd = random.Random(12)
+    small = [f"v{i}" for i in range(300)]
+    kinds = [
+        lambda n: "same " * (n // 5 + 1),
+        lambda n: "one two three " * (n // 14 + 1),
+        lambda n: "z" * n,
+        lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n)),
+        lambda n: " ".join(rnd.choice(small) for _ in range(n)),
+        lambda n: " ".join("".join(rnd.choice("aeioustrnl") for _ in range(rnd.randint(1, 12))) for _ in range(n)),
+        lambda n: "\n".join("".join(rnd.choice("aeiou ") for _ in range(rnd.randint(0, 40))) for _ in range(n)),
+    ]
+    for first in kinds:
+        for second in kinds:
+            for n in (510, 2000, 9000):
+                kept = first(n)[:n]
+                a, b = merkle.trees([(kept + second(n)[:n]).encode(), (kept + second(n + 77)[77 : n + 77][::-1]).encode()])
+                assert merkle.likeness(a, b) >= 0.2, (kept[:40], n)
+
+
+def test_one_change_in_a_long_text_of_few_words():
+    rnd = random.Random(13)
+    words = [f"u{i}" for i in range(300)]
+    text = " ".join(rnd.choice(words) for _ in range(20_000))
+    place = len(text) // 3
+    for whole in (text, "again and " * 12_000):
+        a, b = merkle.trees([whole.encode(), (whole[:place] + "X" + whole[place + 1 :]).encode()])
+        assert merkle.likeness(a, b) > 0.99 and 1 <= len(merkle.differing(a, b)) <= 4

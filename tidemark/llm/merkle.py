@@ -1,9 +1,11 @@
 """Document fingerprints: a Merkle tree over paragraphs and sections.
 
-A text is cut, byte for byte, into paragraphs: after each line break and, so that long
-lines have several, after every word whose hash is a multiple of ``WORDS``.  Words of over
-``LONG`` bytes, as in scripts without spaces, are also cut before code points
-where the hash of the ``WINDOW`` bytes before is a multiple of ``POINTS``.  A section
+A text is cut, byte for byte, into paragraphs.  Cuts may stand after each line break, after every word where the
+hash of the ``GRAM`` words up to it is a multiple of ``WORDS``, and, inside words of over ``LONG`` bytes, as in scripts without
+spaces, before code points where the hash of the ``WINDOW`` bytes before is a multiple of ``POINTS``.  Of such places
+less than ``LEAST`` bytes behind the one before, as in runs of one word, none is taken; where none comes
+for ``MOST`` bytes, as in passages that repeat, a cut is forced.  So paragraphs of all texts have sizes of one order, and
+a half of a text has a like share of them.  A section
 ends after a paragraph whose hash is a multiple of ``PARAGRAPHS``.  Cuts depend on
 content alone, so an edit moves only the cuts beside it.  A section's hash covers its
 paragraphs' hashes, the root covers the sections.
@@ -37,9 +39,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import _BYTE_VALUES, Words, range_hashes, ship
 from tidemark.session import parallelism
 
-WORDS = 16
+GRAM, WORDS = 3, 8
+LEAST, MOST = 16, 64  # bytes
 PARAGRAPHS = 8
-LONG, WINDOW, POINTS = 64, 16, 32
+LONG, WINDOW, POINTS = 64, 12, 24
 
 RESULT = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
@@ -55,11 +58,7 @@ def trees(texts: list[bytes]) -> list[str]:
         return [_tree([]) for _ in texts]
     data = np.frombuffer(whole, np.uint8)
     words = Words(offsets, data)
-    chosen = np.flatnonzero(words.hashes() % np.uint64(WORDS) == 0)
-    following = np.append(words.starts, len(data))[chosen + 1]
-    # A cut stands where the next word begins; one in another text is no cut of this one.
-    last = words.first[1:][np.searchsorted(words.first, chosen, side="right") - 1] - 1
-    cuts = np.unique(np.concatenate([following[chosen < last], _inner_cuts(words), np.flatnonzero(data == 0x0A) + 1, offsets]))
+    cuts = _forced(_spread(offsets, np.concatenate([_word_cuts(words, len(data)), _inner_cuts(words), np.flatnonzero(data == 0x0A) + 1])), data)
     edges = np.searchsorted(cuts, offsets)
     places = cuts.tolist()
     digest = hashlib.blake2b
@@ -69,6 +68,39 @@ def trees(texts: list[bytes]) -> list[str]:
     return out
 
 
+def _word_cuts(words: Words, end: int) -> np.ndarray:
+    """Beginnings of words behind a run of ``GRAM`` words of their text whose hash says so."""
+    hashes = words.hashes()
+    if len(hashes) <= GRAM:
+        return np.zeros(0, np.int64)
+    runs = np.zeros(len(hashes) - GRAM + 1, np.uint64)
+    for i in range(GRAM):
+        runs = runs * np.uint64(0x9E3779B97F4A7C15) + hashes[i : len(runs) + i]
+    runs ^= runs >> np.uint64(29)
+    chosen = np.flatnonzero(runs * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(40) & np.uint64(WORDS - 1) == 0) + GRAM - 1
+    # The run and the next word lie in one text.
+    text = np.searchsorted(words.first, chosen, side="right") - 1
+    inside = (chosen - GRAM + 1 >= words.first[text]) & (chosen + 1 < words.first[1:][text])
+    return np.append(words.starts, end)[chosen[inside] + 1]
+
+
+def _spread(offsets: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """``offsets`` and the places that stand ``LEAST`` bytes or more behind the place or offset before."""
+    every = np.unique(np.concatenate([offsets, places]))
+    far = np.diff(every, prepend=-LEAST) >= LEAST
+    return every[far | np.isin(every, offsets)]
+
+
+def _forced(cuts: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """``cuts`` with one more every ``MOST`` bytes in longer gaps, at beginnings of code points."""
+    more = (np.diff(cuts) - 1) // MOST
+    begins = np.cumsum(more) - more
+    extra = np.repeat(cuts[:-1], more) + MOST * (np.arange(more.sum()) - np.repeat(begins, more) + 1)
+    for _ in range(3):
+        extra = extra - (data[extra] & 0xC0 == 0x80)
+    return np.unique(np.concatenate([cuts, extra]))
+
+
 def _inner_cuts(words: Words) -> np.ndarray:
     """Places inside long words where the bytes before say so."""
     lengths = words.ends - words.starts
@@ -81,9 +113,7 @@ def _inner_cuts(words: Words) -> np.ndarray:
     data = words.data[places]
     at = np.flatnonzero((since >= WINDOW) & (data & 0xC0 != 0x80))
     at = at[range_hashes(_BYTE_VALUES[data], at - WINDOW, at) % np.uint64(POINTS) == 0]
-    # Of places close together, as in a run of one letter, the first.
-    cuts = places[at]
-    return cuts[np.diff(cuts, prepend=-WINDOW) >= WINDOW]
+    return places[at]
 
 
 def _tree(leaves: list[bytes]) -> str:
