@@ -40,9 +40,9 @@ from tidemark.llm.common import _BYTE_VALUES, Words, range_hashes, ship
 from tidemark.session import parallelism
 
 GRAM, WORDS = 3, 8
-LEAST, MOST = 16, 64  # bytes
+LEAST, MOST = 16, 96  # bytes
 PARAGRAPHS = 8
-LONG, WINDOW, POINTS = 64, 12, 24
+LONG, WINDOW, POINTS = 64, 16, 32
 
 RESULT = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
