@@ -1,4 +1,6 @@
 import hashlib
+import pickle
+import random
 import re
 
 from tidemark.llm import decontaminate
@@ -73,3 +75,28 @@ def test_empty_tables_and_clashing_columns(spark, documents):
     assert {r.contaminated for r in marked.collect()} == {False}
     assert marked.columns.count("contaminated") == 1
     assert decontaminate.mark(documents([]), items_table(spark, ITEMS)).count() == 0
+
+
+def test_large_test_sets_are_cut_by_bytes(spark, documents):
+    rnd = random.Random(3)
+    words = ["".join(rnd.choices("abcdefghij", k=6)) for _ in range(4000)]
+    texts = [" ".join(rnd.choices(words, k=30)) for _ in range(1500)]
+    items = items_table(spark, list(enumerate(texts)))
+    blocks = list(decontaminate._pattern_blocks(items, 10, decontaminate.BLOCK_WINDOWS, decontaminate.BLOCK_BYTES))
+    assert len(blocks) == 3
+    for raw in blocks:
+        assert sum(map(len, pickle.loads(raw))) <= decontaminate.BLOCK_BYTES
+        assert decontaminate._automaton(raw).get_stats()["total_size"] < 96 << 20
+    docs = [(i, f"before {texts[i * 99]} between {texts[i * 7 + 3]} after") for i in range(12)]
+    expected = plain(docs, list(enumerate(texts))[:100] + [(i * 99, texts[i * 99]) for i in range(2, 12)])
+    marked = decontaminate.mark(documents(docs), items)
+    assert results(marked) == expected
+    one = decontaminate.mark(documents(docs), items, block_bytes=1 << 30)
+    assert sorted(map(str, one.collect())) == sorted(map(str, marked.collect()))
+
+
+def test_one_automaton_a_task(spark, documents):
+    marked = decontaminate.mark(documents(DOCS), items_table(spark, ITEMS), block_bytes=80)
+    assert results(marked) == plain(DOCS, ITEMS)
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1

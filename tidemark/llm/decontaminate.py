@@ -8,8 +8,11 @@ reports every occurrence, overlapping ones included, and places in the
 normalised text lead back to words and characters of the original.
 
 The item table is a stated test set.  Its patterns are cut in blocks of at most
-``block_windows``, each block is one broadcast automaton of bounded size, and the
-blocks are applied one after the other to the same rows, without a shuffle.
+``block_bytes`` of pattern text (an automaton takes some 60 bytes for each) and ``block_windows``
+patterns, and each block is one broadcast automaton.  The blocks are applied one after the other to
+the same rows, without a shuffle; between two blocks the rows are written, so that a task holds one
+automaton at a time and the driver one block.  A test set beyond one block costs one more pass over the texts
+for each further block.
 
 Defined cases: null and empty texts have no words; an item without words
 matches nothing; repeated items and documents are kept as they come; other
@@ -31,9 +34,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import ship
+from tidemark.session import cut_lineage
 
 WINDOW = 10
 BLOCK_WINDOWS = 200_000
+BLOCK_BYTES = 1 << 20
 
 # Bytes above 0x7F belong to non-ASCII characters, which are all part of words.
 _WORD_BYTE = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
@@ -63,33 +68,39 @@ def item_windows(text: str | None, window: int = WINDOW) -> set[bytes]:
     return {b" ".join(words[i : i + window]) for i in range(max(1, len(words) - window + 1))}
 
 
-def mark(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+def mark(
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """``docs`` with word counts, hit words, matched items and the hit spans in the original text.
 
     ``spans`` are character places of maximal runs of hit words.
     """
     spark = docs.sparkSession
     ship(spark)
-    blocks = [spark.sparkContext.broadcast(block) for block in _pattern_blocks(items, window, block_windows)]
     nothing = F.struct(F.array().cast(T.ArrayType(T.IntegerType())).alias("words"), F.array().cast(T.ArrayType(T.StringType())).alias("items"))
-    found = docs.withColumn("__hits", nothing)
-    for block in blocks[:-1]:
-        found = found.withColumn("__hits", _scanner(block)(F.col("text"), F.col("__hits")))
-    found = found.withColumn("__result", _judge(blocks[-1] if blocks else None)(F.col("text"), F.col("__hits")))
+    found, last = docs.withColumn("__hits", nothing), None
+    for block in _pattern_blocks(items, window, block_windows, block_bytes):
+        if last is not None:
+            found = cut_lineage(found.withColumn("__hits", _scanner(last)(F.col("text"), F.col("__hits"))))
+        last = spark.sparkContext.broadcast(block)
+    found = found.withColumn("__result", _judge(last)(F.col("text"), F.col("__hits")))
     out = {field.name: F.col("__result")[field.name] for field in RESULT.fields}
     return found.withColumns(out).drop("__hits", "__result")
 
 
-def _pattern_blocks(items: DataFrame, window: int, block_windows: int) -> Iterator[bytes]:
-    """Pickled pattern tables of at most ``block_windows`` entries, read item by item."""
+def _pattern_blocks(items: DataFrame, window: int, block_windows: int, block_bytes: int) -> Iterator[bytes]:
+    """Pickled pattern tables within both limits, read item by item; a pattern may stand in several blocks with other items."""
     patterns: dict[bytes, set[str]] = {}
+    size = 0
     rows = items.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("text is not null").distinct()
     for row in rows.toLocalIterator():
         for pattern in item_windows(row.text, window):
+            if pattern not in patterns:
+                if patterns and (len(patterns) >= block_windows or size + len(pattern) > block_bytes):
+                    yield pickle.dumps({k: sorted(v) for k, v in patterns.items()})
+                    patterns, size = {}, 0
+                size += len(pattern)
             patterns.setdefault(pattern, set()).add(row.item_id if row.item_id is not None else "")
-        if len(patterns) >= block_windows:
-            yield pickle.dumps({k: sorted(v) for k, v in patterns.items()})
-            patterns = {}
     if patterns:
         yield pickle.dumps({k: sorted(v) for k, v in patterns.items()})
 
