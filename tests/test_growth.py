@@ -7,11 +7,13 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import pnl, resume
+from tidemark.operators import events, pnl, resume
 from tidemark.operators.asof import asof_join
+from tidemark.operators.relational import differences, differing_buckets, symmetric_difference
 from tidemark.session import fresh_path
 from tidemark.sources import tables as T
 from tidemark.sources.snapshots import SharedPartitions
+from tidemark.streaming import alerts
 from tidemark.streaming import landing as ST
 from tidemark.streaming.upserts import upsert_stream
 
@@ -227,3 +229,61 @@ def test_an_increment_on_time_reads_new_trades_only(spark, monkeypatch):
     assert read == [] and store.results().first().realized_pnl == 4.0
     store.add(spark.createDataFrame([day(2, "BUY", 30.0)], schema), NOON)
     assert read == [1] and store.results().first().realized_pnl == -6.0
+
+
+# --- alerts on a stream ---------------------------------------------------------------------------
+
+
+def test_stream_alerts_equal_batch_alerts(spark, rows, tmp_path):
+    rnd = random.Random(9)
+    made = [
+        (DAY + timedelta(minutes=rnd.randrange(3 * 24 * 60)), rnd.choice(["hot", "hot", "hot", "cold", None]), rnd.choice([1.0, 8.0, 64.0, 60000.0]), rnd.choice([0.0, 2.0, 4.0]))
+        for _ in range(500)
+    ]
+    made += [(DAY, "rare", 1.0, 1.0), (DAY + timedelta(hours=30), "rare", 900.0, 1.0), (None, "hot", 7.0, 1.0)]
+    made.sort(key=lambda r: r[0] or DAY)
+    late = [(DAY + timedelta(hours=1), "hot", 1e9, 1.0)]
+    closing = [(DAY + timedelta(days=5), "end", 1.0, 1.0)]
+    schema = "trade_time timestamp, token_address string, usd double, quantity double"
+    for part in (made[:200], made[200:], late, closing):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = ST.file_source(spark, f"{tmp_path}/in", spark.createDataFrame([], schema).schema, max_files=1)
+    ST.run_to_end(alerts.activity_alerts(stream, "1 hour", "30 minutes", "6 hours"), f"{tmp_path}/out", f"{tmp_path}/check")
+    got = spark.read.parquet(f"{tmp_path}/out")
+    batch = events.activity_alerts(spark.createDataFrame(made, schema), "1 hour")
+    # The late trade is in no window; gaps of over six hours have no window before.
+    columns = ["window_start", "token_address", "volume", "price", "largest_trade", "whale_trade"]
+    assert rows(got.filter("token_address = 'hot' or token_address is null")) == rows(batch.filter("token_address = 'hot' or token_address is null"))
+    assert rows(got.filter("whale_trade"), *columns) == rows(batch.filter("whale_trade"), *columns)
+    assert batch.filter("token_address = 'rare'").count() == 1 and got.filter("token_address = 'rare'").count() == 0
+
+
+# --- comparison by digests of buckets -------------------------------------------------------------
+
+
+def test_differences_equal_symmetric_difference(spark, rows):
+    rnd = random.Random(4)
+    value = lambda: rnd.choice([None, 1, 2, 3])
+    a = [(value(), value(), [value(), value()], rnd.choice([0.0, -0.0, float("nan"), None])) for _ in range(300)]
+    b = [r for r in a if rnd.random() > 0.2] + [(value(), None, [None, value()], 5.0) for _ in range(40)] + a[:5]
+    schema = "bucket int, which int, c array<int>, d double"
+    left, right = spark.createDataFrame(a, schema), spark.createDataFrame(b, schema)
+    for names in (None, ["which", "bucket"], ["c"]):
+        for x, y in ((left, right), (right, left), (left, left.limit(0)), (left.limit(0), left.limit(0))):
+            plain = lambda df: sorted(str(r).replace("-0.0", "0.0") for r in rows(df))
+            assert plain(differences(x, y, names, buckets=8)) == plain(symmetric_difference(x, y, names))
+
+
+def test_nulls_that_change_columns_are_seen(spark):
+    left = spark.createDataFrame([(None, 1, [None, 2])], "a int, b int, c array<int>")
+    for other in ([(1, None, [None, 2])], [(None, 1, [2, None])], [(None, 1, [2])]):
+        assert differences(left, spark.createDataFrame(other, left.schema)).count() == 2
+
+
+def test_equal_tables_have_no_differing_bucket(spark):
+    rows_ = spark.range(20_000).selectExpr("id % 700 as k", "cast(id as string) as t", "id / 3.0 as x", "if(id % 3 = 0, null, id) as n")
+    assert differing_buckets(rows_, rows_.repartition(7, "t")).count() == 0
+    one_less = rows_.filter("t <> '77'")
+    assert differing_buckets(rows_, one_less).count() == 1
+    found = differences(rows_, one_less).collect()
+    assert [(r.t, r.which_diff) for r in found] == [("77", "a_minus_b")]

@@ -496,21 +496,30 @@ def venue_daily_volume(trades: DataFrame, venues=S.VENUES, floor: float = S.VENU
 
 def activity_alerts(trades: DataFrame, width: str = "5 minutes", limits: dict = S.ALERTS) -> DataFrame:
     """Windows whose volume or mean price jumped against the token's window before, or with a very large trade."""
+    before = Window.partitionBy("token_address").orderBy("window_start")
+    flat = alert_windows(trades, width).drop("w")
+    return judged_alerts(flat.withColumns({"volume_before": F.lag("volume").over(before), "price_before": F.lag("price").over(before)}), limits)
+
+
+def alert_windows(trades: DataFrame, width: str) -> DataFrame:
+    """Volume, mean price and largest trade of each token and window, for batch and streaming frames."""
     windows = trades.groupBy(F.window("trade_time", width).alias("w"), "token_address").agg(
         F.sum("usd").alias("volume"),
         F.try_divide(F.sum("usd"), F.sum("quantity")).alias("price"),
         F.max("usd").alias("largest_trade"),
     )
-    flat = windows.select(F.col("w.start").alias("window_start"), "token_address", "volume", "price", "largest_trade")
-    before = Window.partitionBy("token_address").orderBy("window_start")
-    judged = flat.withColumns({"volume_before": F.lag("volume").over(before), "price_before": F.lag("price").over(before)})
+    return windows.select("w", F.col("w.start").alias("window_start"), "token_address", "volume", "price", "largest_trade")
+
+
+def judged_alerts(paired: DataFrame, limits: dict = S.ALERTS) -> DataFrame:
+    """Windows, each with the figures of its token's window before, that pass a limit."""
     move = F.abs(F.try_divide(F.col("price") - F.col("price_before"), F.col("price_before"))) * 100
     flags = {
         "volume_spike": F.coalesce(F.col("volume") >= F.col("volume_before") * limits["volume_multiple"], F.lit(False)),
         "price_move": F.coalesce(move >= limits["price_change_percent"], F.lit(False)),
         "whale_trade": F.col("largest_trade") >= limits["whale_trade"],
     }
-    return judged.withColumns(flags).filter(F.col("volume_spike") | F.col("price_move") | F.col("whale_trade"))
+    return paired.withColumns(flags).filter(F.col("volume_spike") | F.col("price_move") | F.col("whale_trade"))
 
 
 def valid_transaction(kind: Column, amount: Column, signature: Column, address: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import resume
 from tidemark.operators.asof import asof_join
+from tidemark.operators.relational import differences
 from tidemark.plans import adapters as A
 from tidemark.plans.oracle_tables import using
 from tidemark.plans.query_pnl import trades
@@ -15,6 +16,7 @@ from tidemark.plans.registry import query, rounded
 from tidemark.session import fresh_path
 from tidemark.sources import tables as T
 from tidemark.sources.snapshots import SharedPartitions
+from tidemark.streaming import alerts
 from tidemark.streaming import landing as ST
 from tidemark.streaming.upserts import upsert_stream
 
@@ -139,3 +141,42 @@ def resumed_running_cost(spark, sf_dir):
         store.add(arrived.filter(F.col("step") == i).drop("step"))
     found = store.results().select("wallet_address", "token_address", "realized_pnl", "bought_usd", "sell_count")
     return rounded(found, 2, "realized_pnl", "bought_usd")
+
+
+# --- alerts on a stream, comparison of nearly equal tables ------------------------------------
+
+
+@query(using("trades") + """, w AS (SELECT time_bucket(INTERVAL 1 HOUR, trade_time, TIMESTAMP '1970-01-01') AS window_start, token_address, sum(usd) AS volume,
+        sum(usd) / sum(quantity) AS price, max(usd) AS largest_trade FROM trades GROUP BY ALL),
+  l AS (SELECT *, lag(window_start) OVER t AS start_before, lag(volume) OVER t AS last_volume, lag(price) OVER t AS last_price
+        FROM w WINDOW t AS (PARTITION BY token_address ORDER BY window_start)),
+  j AS (SELECT * EXCLUDE (start_before, last_volume, last_price), CASE WHEN start_before >= window_start - INTERVAL 1 DAY THEN last_volume END AS volume_before,
+        CASE WHEN start_before >= window_start - INTERVAL 1 DAY THEN last_price END AS price_before FROM l),
+  f AS (SELECT *, coalesce(volume >= volume_before * 3, false) AS volume_spike,
+        coalesce(abs((price - price_before) / price_before) * 100 >= 20, false) AS price_move, largest_trade >= 50000 AS whale_trade FROM j)
+  SELECT window_start, token_address, round(volume, 4) AS volume, round(price, 6) AS price, largest_trade, round(volume_before, 4) AS volume_before,
+    round(price_before, 6) AS price_before, volume_spike, price_move, whale_trade FROM f
+  WHERE (volume_spike OR price_move OR whale_trade)
+    AND window_start + INTERVAL 1 HOUR <= (SELECT max(trade_time) - INTERVAL 10 MINUTE - INTERVAL 1 DAY FROM trades)""")
+def stream_activity_alerts(spark, sf_dir):
+    """Alerts from a stream of trade files; the windows of the last day are not judged yet."""
+    landed, path, checkpoint = (fresh_path(spark, f"alerts-{part}") for part in ("trades", "out", "checkpoint"))
+    at = F.col("trade_time").cast("timestamp").alias("trade_time")
+    trades(spark, sf_dir).select(at, "token_address", "usd", "quantity").write.parquet(landed)
+    stream = ST.file_source(spark, landed, spark.read.parquet(landed).schema)
+    ST.run_to_end(alerts.activity_alerts(stream, "1 hour", "10 minutes", "1 day"), path, checkpoint)
+    judged = rounded(rounded(spark.read.parquet(path), 4, "volume", "volume_before"), 6, "price", "price_before")
+    return judged.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+_CHANGED = "CASE WHEN l_orderkey % 997 = 5 THEN l_quantity + 1 ELSE l_quantity END"
+_COMPARED = "l_orderkey, l_linenumber, l_shipdate"
+
+
+@query(f"""WITH a AS (SELECT {_COMPARED}, l_quantity FROM lineitem WHERE l_orderkey % 1009 <> 3), b AS (SELECT {_COMPARED}, {_CHANGED} AS l_quantity FROM lineitem)
+    SELECT *, 'a_minus_b' AS which_diff FROM (FROM a EXCEPT FROM b) UNION ALL SELECT *, 'b_minus_a' FROM (FROM b EXCEPT FROM a)""")
+def nearly_equal_tables(spark, sf_dir):
+    """Rows by which two copies of a table differ, found from digests of buckets."""
+    lines = A.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity")
+    changed = lines.withColumn("l_quantity", F.expr(_CHANGED).cast(lines.schema["l_quantity"].dataType))
+    return differences(lines.filter("l_orderkey % 1009 <> 3"), changed)
