@@ -8,7 +8,7 @@ reports every occurrence, overlapping ones included, and places in the
 normalised text lead back to words and characters of the original.
 
 The item table is a stated test set.  Its patterns are cut in blocks of at most
-``block_bytes`` of pattern text (an automaton takes some 60 bytes for each) and ``block_windows``
+``block_bytes`` of pattern text (an automaton takes 40 to 60 bytes for each byte) and ``block_windows``
 patterns, and each block is one broadcast automaton.  The blocks are applied one after the other to
 the same rows, without a shuffle; between two blocks the rows are written, so that a task holds one
 automaton at a time and the driver one block.  A test set beyond one block costs one more pass over the texts
