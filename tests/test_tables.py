@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import incremental as I
+from tidemark.plans import query_tables
 from tidemark.session import fresh_path, shared_folder, stored_bytes
 from tidemark.sources import tables as S
 
@@ -208,3 +209,16 @@ def test_refetch_takes_the_longest_waiting(spark):
     df = spark.createDataFrame(data, "id string, whale_fetch_status string, whale_fetched_at date")
     found = I.next_for_refetch(df, "holders", "id", F.lit("2024-01-10").cast("date"), 3)
     assert [r["id"] for r in found.collect()] == ["c", "e", "a"]
+
+
+def test_one_file_per_partition_without_a_sort(spark, tmp_path):
+    """The task that writes a partition's only file does not hold its rows, as a sort by partition would."""
+    rows = spark.range(4000).repartition(6).select((F.col("id") % 3).cast("string").alias("l_returnflag"), "id")
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    assert [r.files for r in query_tables.storage_age(spark, str(tmp_path)).collect()] == [3]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    plans = [spark._jsparkSession.sharedState().statusStore().executionsList()]
+    plans = [plans[0].apply(i).physicalPlanDescription() for i in range(plans[0].size())]
+    writes = [p for p in plans if "lines-by-flag" in p and "InsertIntoHadoopFsRelationCommand" in p]
+    assert writes and "Sort" not in writes[-1]

@@ -333,7 +333,7 @@ def merge_into_partitions(spark, sf_dir):
 def _stored_by_flag(spark, sf_dir):
     """Order lines with one file per return flag."""
     path = fresh_path(spark, "lines-by-flag")
-    A.table(spark, sf_dir, "lineitem").repartition("l_returnflag").write.partitionBy("l_returnflag").parquet(path)
+    T.write_file_per_partition(A.table(spark, sf_dir, "lineitem"), path, ["l_returnflag"])
     return I.age_report(I.stored_files(spark, path), "bronze", F.lit("2040-01-01").cast("date"))
 
 

@@ -14,8 +14,10 @@ from pyspark.sql import types as T
 from tidemark.functions.scalars import moment as at_moment
 from tidemark.operators.incremental import require_compatible, upsert
 from tidemark.operators.ordered import sampled_bucket
-from tidemark.session import cut_lineage, path_exists, remove_path, stored_bytes
+from tidemark.session import cut_lineage, path_exists, remove_path, setting, stored_bytes
 
+# Files that a task keeps open at once before it sorts its rows by partition.
+OPEN_FILES = 16
 # Size of a file that compaction aims at.
 FILE_BYTES = 256 * 1024 * 1024
 
@@ -154,6 +156,16 @@ def write_partitioned(
     df.write.mode(mode).options(**(options or {})).partitionBy(*partition_by).parquet(path)
 
 
+def write_file_per_partition(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Parquet write with one file per partition.
+
+    A file has one writer, so that each partition is one task's; that task streams its rows into the open files and
+    holds what the files buffer.  Sorting them by partition first, as Spark does by default, would hold them all.
+    """
+    with setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FILES)):
+        df.repartition(*partition_by).write.partitionBy(*partition_by).parquet(path)
+
+
 def append_batch(df: DataFrame, path: str, status_path: str, batch_id: str, moment: datetime, partition_by: Sequence[str] = ()) -> None:
     """Append a batch and one status row with its size, which the write itself counts."""
     spark = df.sparkSession
