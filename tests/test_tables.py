@@ -222,3 +222,20 @@ def test_one_file_per_partition_without_a_sort(spark, tmp_path):
     plans = [plans[0].apply(i).physicalPlanDescription() for i in range(plans[0].size())]
     writes = [p for p in plans if "lines-by-flag" in p and "InsertIntoHadoopFsRelationCommand" in p]
     assert writes and "Sort" not in writes[-1]
+
+
+def test_a_merge_computes_its_source_once(spark, rows):
+    lake = S.Lake(spark, fresh_path(spark, "lake"), {"t": S.TableSpec("t", "bronze", ("k",), ("day",))})
+    schema = "k string, v int, day date"
+    lake.merge("t", spark.createDataFrame([(f"k{i}", i, date(2024, 1, 1 + i % 3)) for i in range(30)], schema))
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    changed = spark.createDataFrame([(f"k{i}", -i, date(2024, 1, 1 + i % 3)) for i in range(20, 40)], schema)
+    lake.merge("t", changed.mapInArrow(counted, schema))
+    assert seen.value == 20
+    assert rows(lake.read("t").select("k", "v")) == sorted([(f"k{i}", i if i < 20 else -i) for i in range(40)], key=repr)

@@ -90,6 +90,7 @@ class Lake:
             return
         stored = self.read(name)
         require_compatible(stored.schema, source.schema)
+        source = cut_lineage(source)  # read several times below
         parts = list(spec.partition_by)
         if not parts:
             write_partitioned(cut_lineage(upsert(stored, source, spec.keys, **options)), self.path(name), parts, "overwrite")
@@ -97,7 +98,7 @@ class Lake:
         placed = stored.withColumn("__folder", F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", ""))
         own = placed.join(source.select(*spec.keys).distinct(), _all_same(placed, source, spec.keys), "left_semi").select(*parts)
         touched = cut_lineage(own.unionByName(source.select(*parts)).distinct())
-        affected = cut_lineage(placed.join(touched, _all_same(placed, touched, parts), "left_semi"))
+        affected = placed.join(touched, _all_same(placed, touched, parts), "left_semi")
         merged = cut_lineage(upsert(affected.drop("__folder"), source, spec.keys, **options))
         left = merged.select(*parts).distinct()
         folders = affected.select(*parts, "__folder").distinct()
