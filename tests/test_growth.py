@@ -234,6 +234,19 @@ def test_an_increment_on_time_reads_new_trades_only(spark, monkeypatch):
 # --- alerts on a stream ---------------------------------------------------------------------------
 
 
+def test_an_increment_is_stored_in_few_files(spark):
+    """Files follow the partitions of pairs, not these times the tasks that deliver the trades."""
+    start = datetime(2024, 1, 1)
+    data = [(f"w{i % 40}", "t", "s", f"x{i}", start + timedelta(hours=i), "BUY", 1.0, 2.0) for i in range(640)]
+    schema = "wallet_address string, token_address string, token_symbol string, trade_id string, trade_time timestamp_ntz, side string, quantity double, usd double"
+    root = fresh_path(spark, "running")
+    store = resume.RunningCost(spark, root)
+    store.add(spark.createDataFrame(data, schema).repartition(8))
+    stored = spark.read.parquet(f"{root}/trades")
+    assert stored.count() == 640
+    assert stored.select(F.col("_metadata.file_path")).distinct().count() <= resume.PARTS
+
+
 def test_stream_alerts_equal_batch_alerts(spark, rows, tmp_path):
     rnd = random.Random(9)
     made = [

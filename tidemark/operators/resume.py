@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.pnl import PAIR, running_ratios, running_totals
 from tidemark.session import cut_lineage
 from tidemark.sources.snapshots import SharedPartitions
+from tidemark.sources.tables import write_partitioned
 
 # Pairs are dealt to so many partitions by hash.
 PARTS = 32
@@ -37,9 +38,11 @@ class RunningCost:
 
     def add(self, trades: DataFrame, moment: datetime | None = None) -> None:
         part = F.pmod(F.xxhash64(*PAIR), F.lit(PARTS)).cast("int")
-        new = cut_lineage(trades.filter(F.col("side").isin("BUY", "SELL")).withColumn("part", part))
+        arrived = trades.filter(F.col("side").isin("BUY", "SELL")).withColumn("part", part)
         number = 0 if self._totals is None else self._totals.version() + 1
-        new.write.mode("overwrite").partitionBy("part").parquet(f"{self.root}/trades/increment={number}")
+        path = f"{self.root}/trades/increment={number}"
+        write_partitioned(arrived, path, ["part"], "overwrite")
+        new = self.spark.read.schema(arrived.schema).parquet(path)
         if self._totals is None:
             found = running_totals(new)
         else:

@@ -13,7 +13,7 @@ from tidemark.plans import adapters as A
 from tidemark.plans.oracle_tables import using
 from tidemark.plans.query_pnl import trades
 from tidemark.plans.registry import query, rounded
-from tidemark.session import fresh_path
+from tidemark.session import cut_lineage, fresh_path
 from tidemark.sources import tables as T
 from tidemark.sources.snapshots import SharedPartitions
 from tidemark.streaming import alerts
@@ -136,7 +136,7 @@ def resumed_running_cost(spark, sf_dir):
     part = F.pmod(F.xxhash64("trade_id"), F.lit(100))
     # Most trades come in order of time, a few in a later increment.
     step = F.least(F.lit(3), F.greatest(F.lit(0), F.floor(F.datediff("trade_time", F.lit("2024-01-01")) / 8)) + F.when(part < 3, 1).otherwise(0))
-    arrived = all_trades.withColumn("step", step)
+    arrived = cut_lineage(all_trades.withColumn("step", step))  # read once per increment
     for i in range(4):
         store.add(arrived.filter(F.col("step") == i).drop("step"))
     found = store.results().select("wallet_address", "token_address", "realized_pnl", "bought_usd", "sell_count")
