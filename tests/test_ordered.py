@@ -99,6 +99,22 @@ def test_any_range_of_values_is_split(spark, values):
     assert O.sampled_bucket(df.limit(0), ["v"]) is not None
 
 
+def test_small_groups_are_not_cut(spark, monkeypatch):
+    """Only groups with a cut inside lie in several buckets, however their rows mix in the order."""
+    df = spark.range(2000).select((F.col("id") % 500).alias("g"), F.col("id").alias("t"))
+    seen, sampled = [], O.sampled_bucket
+
+    def watched(rows, order, n=None):
+        found = sampled(rows, order, n)
+        seen.append(rows.select("g", found.alias("b")).distinct().count())
+        return found
+
+    monkeypatch.setattr(O, "sampled_bucket", watched)
+    got = O.scan(df, ["g"], ["t"], position="p").orderBy("t").collect()
+    assert [r.p for r in got] == [1 + i // 500 for i in range(2000)]
+    assert seen[0] <= 500 + O.BUCKETS_PER_PART * 4
+
+
 def test_scan_without_keys(skewed):
     got = O.scan(skewed, [], ["t", "id"], sums={"s": F.lit(1)}, preceding={"before": F.col("id")}, position="p")
     pdf = got.orderBy("t", "id").toPandas()

@@ -26,6 +26,7 @@ BUCKETS_PER_PART = 4
 ROWS_PER_CUT = 32
 
 _AT = "__at"
+_BUCKET = "__bucket"
 _SLOT = "__slot"
 _ROWS = "__rows_here"
 _BEFORE = "__rows_before"
@@ -44,22 +45,16 @@ def sampled_bucket(df: DataFrame, order: Sequence[str], n: int | None = None) ->
     sample = df.select(*order) if total <= wanted else df.select(*order).sample(wanted / total, seed=7)
     rows = [tuple(r) for r in sample.repartition(1).sortWithinPartitions(*order).collect()]
     cuts = list(dict.fromkeys(rows[len(rows) * i // n] for i in range(1, n))) if rows else []
-    kinds = [df.schema[c].dataType for c in order]
+    if not cuts:
+        return F.lit(0)
+    # Structs compare field by field with nulls first, as the order does.  A row's place is searched by halves in one array of all cuts.
+    bounds = F.array(*[F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order, cut, strict=True)]) for cut in cuts])
+    halves = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
+    def place(row: Column) -> Column:
+        return F.aggregate(halves, F.lit(0), lambda at, half: F.when(F.get(bounds, at + half - 1) <= row, at + half).otherwise(at))
 
-    def below(cut: tuple) -> Column:
-        # Structs compare field by field with nulls first, as the order does.
-        if len(order) == 1:
-            return F.lit(False) if cut[0] is None else F.col(order[0]).isNull() | (F.col(order[0]) < F.lit(cut[0]).cast(kinds[0]))
-        values = [F.lit(v).cast(k).alias(c) for v, k, c in zip(cut, kinds, order, strict=True)]
-        return F.struct(*order) < F.struct(*values)
-
-    def place(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(below(cuts[middle]), place(low, middle)).otherwise(place(middle + 1, high))
-
-    return place(0, len(cuts))
+    # Inside the one-element array the row's struct is made once, not for every half.
+    return F.get(F.transform(F.array(F.struct(*order)), place), F.lit(0))
 
 
 def _plus(here: Column, before: Column, kind: T.DataType) -> Column:
@@ -96,7 +91,8 @@ def scan(
     ``totals`` sums over the group, ``position`` the 1-based index.
 
     The input is computed once and written, unless it is ``stored``, a table read without joins or
-    aggregates.  Buckets come from cuts that are sampled from it; a ``bucket`` of one's own must not fall when
+    aggregates.  Buckets come from cuts that are sampled from it, along keys and order, so that only groups with a cut inside lie in
+    several buckets: there are as many (group, bucket) pairs as groups and cuts at most.  A ``bucket`` of one's own must not fall when
     the order rises (with ``tied_sums``: must follow from the first order column), and nothing is written or run while the plan is built.
     Buckets of a group meet in one task with one row each, and so do the rows of one bucket; with ``tied_sums`` that
     includes all rows of one moment.
@@ -105,9 +101,11 @@ def scan(
     carry, following, preceding, totals = carry or {}, following or {}, preceding or {}, totals or {}
     if bucket is None:
         df = df if stored else cut_lineage(df)
-        bucket = sampled_bucket(df, order[:1] if tied_sums else order)
+        bucket = sampled_bucket(df, [*keys, *(order[:1] if tied_sums else order)])
     # A struct is never null itself and its null fields are equal, so null keys join like others.
-    rows = df.withColumn(_AT, F.struct(*keys, bucket.alias("__bucket")))
+    # The bucket also stands beside it: sorts compare that number first.
+    rows = df.withColumn(_BUCKET, bucket).withColumn(_AT, F.struct(*keys, _BUCKET))
+    here = [_BUCKET, _AT]
 
     every_sum = {**sums, **tied_sums}
     every_least = {**least, **least_before}
@@ -118,10 +116,10 @@ def scan(
     per_bucket += [F.max_by(x, F.when(x.isNotNull(), at)).alias(f"__p_{n}") for n, x in carry.items()]
     per_bucket += [F.min_by(x, at).alias(f"__p_{n}") for n, x in following.items()]
     per_bucket += [F.max_by(x, at).alias(f"__p_{n}") for n, x in preceding.items()]
-    parts = rows.groupBy(_AT).agg(*per_bucket)
+    parts = rows.groupBy(*here).agg(*per_bucket)
 
     group = [F.col(_AT)[k] for k in keys]
-    across = Window.partitionBy(*group).orderBy(F.asc_nulls_first(F.col(_AT)["__bucket"]))
+    across = Window.partitionBy(*group).orderBy(F.asc_nulls_first(_BUCKET))
     before = across.rowsBetween(Window.unboundedPreceding, -1)
     edges = {_BEFORE: F.sum(_ROWS).over(before)}
     edges |= {f"__e_{n}": F.sum(f"__p_{n}").over(before) for n in every_sum}
@@ -130,19 +128,19 @@ def scan(
     edges |= {f"__e_{n}": F.lead(f"__p_{n}").over(across) for n in following}
     edges |= {f"__e_{n}": F.lag(f"__p_{n}").over(across) for n in preceding}
     edges |= {f"__e_{n}": F.sum(f"__p_{n}").over(Window.partitionBy(*group)) for n in totals}
-    stitches = parts.withColumns(edges).select(_AT, _ROWS, *edges)
+    stitches = parts.withColumns(edges).select(*here, _ROWS, *edges)
 
-    inner = Window.partitionBy(_AT).orderBy(*order)
+    inner = Window.partitionBy(*here).orderBy(*order)
     so_far = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inside = {n: F.sum(x).over(so_far) for n, x in sums.items()}
-    inside |= {n: F.sum(x).over(Window.partitionBy(_AT).orderBy(order[0])) for n, x in tied_sums.items()}
+    inside |= {n: F.sum(x).over(Window.partitionBy(*here).orderBy(order[0])) for n, x in tied_sums.items()}
     inside |= {n: F.min(x).over(so_far) for n, x in least.items()}
     inside |= {n: F.min(x).over(inner.rowsBetween(Window.unboundedPreceding, -1)) for n, x in least_before.items()}
     inside |= {n: F.last(x, ignorenulls=True).over(so_far) for n, x in carry.items()}
     inside |= {n: F.lead(x).over(inner) for n, x in following.items()}
     inside |= {n: F.lag(x).over(inner) for n, x in preceding.items()}
     inside[_SLOT] = F.row_number().over(inner).cast("bigint")
-    joined = rows.withColumns(inside).join(stitches, _AT)
+    joined = rows.withColumns(inside).join(stitches, here)
 
     edge = lambda n: F.col(f"__e_{n}")
     kinds = {n: joined.schema[n].dataType for n in every_sum}
