@@ -113,6 +113,38 @@ def test_a_large_crowd(documents):
     assert [r.component_id for r in got] == [0]
 
 
+def crowd_counts(monkeypatch, documents, rows):
+    """Rows of (crowd, class) that each crowd step of a run returned, the first that of the long lists, and the result."""
+    counts = []
+    for name, part in (("_crowds", lambda made: made), ("_split", lambda made: made[1])):
+        step = getattr(minhash, name)
+
+        def counted(*args, step=step, part=part):
+            made = step(*args)
+            counts.append(part(made).count())
+            return made
+
+        monkeypatch.setattr(minhash, name, counted)
+    return counts, found(minhash.near_duplicates(documents(rows)))
+
+
+def test_classes_left_over_in_a_large_crowd_stand_in_few_lists(documents, monkeypatch):
+    """Copies with up to 16 edited words, most too far from the text and from each other to be linked."""
+    monkeypatch.setattr(minhash, "MEMBERS", 64)
+    rnd = random.Random(21)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join(edited(rnd, base, i % 17))) for i in range(340)]
+    counts, got = crowd_counts(monkeypatch, documents, rows)
+    assert got == plain(rows)
+    assert counts[0] <= 1.2 * len(rows) and counts[1] <= 3 * len(rows)
+
+
+def test_crowds_inside_one_another_become_one(spark):
+    lists = {1: range(100, 200), 2: range(102, 199), 3: range(150, 200), 4: range(190, 260), 5: range(300, 310)}
+    placed = spark.createDataFrame([(u, 50, h) for h, us in lists.items() for u in us], "uid long, n long, head long")
+    assert sorted(map(tuple, minhash._inside(placed).collect())) == [(2, 1), (3, 1)]
+
+
 def test_sets_inside_a_task():
     rnd = random.Random(8)
     base = list(range(300))

@@ -17,9 +17,9 @@ with its consensus, the values that more than half of it have.  With D(x) the va
 
 * x and y are linked whenever their slacks, size * (100 - percent) - |D| * (100 + percent), have a sum of 0 or more, and
   then both are linked in this way to the class of most slack: one row per class;
-* otherwise they must share values of D, so those left over by that class meet in inverted lists of D
-  (of as many values as leave no room for the needed overlap), which are crowds again.  At most half of a crowd is in such a list,
-  so that this ends.
+* otherwise they must share values of D, so those left over by that class meet in inverted lists of D, which are crowds again.
+  D(x) without D(y) lies inside the symmetric difference of x and y, which is bounded for linked classes, so that the rarest values of D, one more
+  than the bound, suffice, and fewer where the slacks leave no room for the needed overlap.  At most half of a crowd is in such a list, so that this ends.
 
 No pair inside a crowd is written, no list is capped and no link is lost.  A consensus has less than twice as many values as the
 average set of its crowd.
@@ -156,8 +156,7 @@ def _links(docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> D
     sets = _sets(docs, classes.select("uid", "row"), pairs, crowds, shingle)
     found = [_confirmed(pairs, sets, percent)]
     while not crowds.isEmpty():
-        sized = crowds.join(classes.select("uid", "n"), "uid")
-        sizes = sized.groupBy("crowd").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("total"), F.max("open").alias("any")).filter("size > 1 and any")
+        sizes = crowds.groupBy("crowd").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("total"), F.max("open").alias("any")).filter("size > 1 and any")
         small = (F.col("size") <= MEMBERS) & (F.col("total") <= VALUES)
         sized = cut_lineage(crowds.join(cut_lineage(sizes.select("crowd", small.alias("small"))), "crowd"))
         found.append(_compared(sized.filter("small"), sets, percent))
@@ -288,19 +287,30 @@ def _crowd(least: Column, size: Column, digest: Column) -> Column:
 
 
 def _crowds(long: DataFrame, percent: int) -> DataFrame:
-    """(crowd, uid, open) of the classes that long lists could link without any short one.
+    """(crowd, uid, n, open) of the classes that long lists could link without any short one.
 
     Such a class takes part with its ``GUIDES`` lowest values of long lists; two linked ones share at least one of
-    theirs but for a chance below ``RISK``.  The lists whose smallest class is the same form one crowd.
+    theirs but for a chance below ``RISK``.  The lists whose smallest class is the same form one crowd, and a crowd
+    goes into the one that is the largest for most of its classes, so that lists of nearly the same classes count once.
     """
     own = Window.partitionBy("uid")  # at most a sketch
     counted = long.withColumns({"in_long": F.count(F.lit(1)).over(own), "place": F.row_number().over(own.orderBy("value"))})
     guides = counted.filter((F.col("in_long") >= _needed(F.col("n"), percent)) & (F.col("place") <= GUIDES))
-    guides = cut_lineage(guides.select("uid", "value"))
+    guides = cut_lineage(guides.select("uid", "n", "value"))
     heads = guides.groupBy("value").agg(F.min("uid").alias("head"), F.count(F.lit(1)).alias("length")).filter("length > 1")
-    placed = guides.join(cut_lineage(heads), "value").select("uid", "head").distinct()
+    placed = cut_lineage(guides.join(cut_lineage(heads), "value").select("uid", "n", "head").distinct())
+    merged = components(_inside(placed)).select(F.col("node").alias("head"), "root")
+    named = placed.join(merged, "head", "left").select("uid", "n", F.coalesce("root", "head").alias("head")).distinct()
     zero = F.lit(0).cast("long")
-    return cut_lineage(placed.select(_crowd(F.col("head"), zero, zero), "uid", F.lit(True).alias("open")))
+    return cut_lineage(named.select(_crowd(F.col("head"), zero, zero), "uid", "n", F.lit(True).alias("open")))
+
+
+def _inside(placed: DataFrame) -> DataFrame:
+    """(a, b): heads of crowds more than half of whose classes have crowd b as their largest."""
+    sizes = cut_lineage(placed.groupBy("head").agg(F.count(F.lit(1)).alias("size")))
+    largest = F.max(F.struct("size", "head")).over(Window.partitionBy("uid"))  # at most a class's guides
+    votes = placed.join(sizes, "head").withColumn("into", largest["head"]).groupBy("head", "size", "into").agg(F.count(F.lit(1)).alias("votes"))
+    return votes.filter((F.col("votes") * 2 > F.col("size")) & (F.col("into") != F.col("head"))).select(F.col("head").alias("a"), F.col("into").alias("b"))
 
 
 def _split(crowds: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -311,20 +321,37 @@ def _split(crowds: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame,
     apart = rows.join(middle, "crowd").select("crowd", "uid", F.size("values").alias("n"), F.array_sort(unlike).alias("unlike"))
     slack = (100 - percent) * F.col("n") - (100 + percent) * F.size("unlike")
     apart = cut_lineage(apart.withColumn("slack", slack.cast("long")))
-    best = apart.groupBy("crowd").agg(F.max(F.struct("slack", "uid")).alias("best"), F.min("slack").alias("worst"))
-    rated = apart.join(cut_lineage(best), "crowd").withColumn("open", F.col("slack") + F.col("best.slack") < 0)
+    best = apart.groupBy("crowd").agg(F.max(F.struct("slack", "uid")).alias("best"), F.min("slack").alias("worst"), F.max("n").alias("longest"))
+    rated = cut_lineage(apart.join(cut_lineage(best), "crowd").withColumn("open", F.col("slack") + F.col("best.slack") < 0))
     star = rated.filter(~F.col("open") & (F.col("uid") != F.col("best.uid"))).select(F.col("best.uid").alias("a"), F.col("uid").alias("b"))
     rest = rated.filter(F.col("worst") + F.col("best.slack") < 0)
-    most = F.when(F.col("open"), -F.col("slack") - F.col("best.slack")).otherwise(F.col("best.slack") - F.col("slack") + 1)
-    overlap = F.ceil(most / F.lit(2 * (100 + percent)))
-    head = F.slice("unlike", 1, F.greatest(F.size("unlike") - overlap + 1, F.lit(0)).cast("int"))
-    # Written: the lists below are built from three passes over it.
-    postings = cut_lineage(rest.select("crowd", "uid", "open", F.explode(head).alias("value")))
+    postings = _prefixes(rest, percent)
     digest = F.bit_xor(F.xxhash64("uid"))
     lists = postings.groupBy("crowd", "value").agg(F.count(F.lit(1)).alias("size"), F.min("uid").alias("least"), digest.alias("digest"), F.max("open").alias("any"))
     lists = cut_lineage(lists.filter("any and size > 1").select(F.struct("crowd", "value").alias("list"), _crowd(F.col("least"), F.col("size"), F.col("digest")).alias("next")))
-    member = postings.select(F.struct("crowd", "value").alias("list"), "uid", "open").join(lists, "list")
-    return cut_lineage(star), cut_lineage(member.groupBy(F.col("next").alias("crowd"), "uid").agg(F.max("open").alias("open")))
+    member = postings.select(F.struct("crowd", "value").alias("list"), "uid", "n", "open").join(lists, "list")
+    return cut_lineage(star), cut_lineage(member.groupBy(F.col("next").alias("crowd"), "uid").agg(F.first("n").alias("n"), F.max("open").alias("open")))
+
+
+def _prefixes(rest: DataFrame, percent: int) -> DataFrame:
+    """(crowd, uid, n, open, value): of each class the rarest values of D, of as many that two linked classes share one.
+
+    Values that no other class of the crowd has come first and fill a prefix without a row.
+    """
+    most = F.when(F.col("open"), -F.col("slack") - F.col("best.slack")).otherwise(F.col("best.slack") - F.col("slack") + 1)
+    overlap = F.ceil(most / F.lit(2 * (100 + percent)))
+    # D without the other's D lies inside the symmetric difference of both sets.
+    other = F.least("longest", F.floor(F.col("n") * 100 / F.lit(percent)))
+    apart = F.floor((F.col("n") + other) * (100 - percent) / F.lit(100 + percent))
+    room = F.least(F.size("unlike") - overlap + 1, apart + 1)
+    own = rest.select("crowd", "uid", "n", "open", F.size("unlike").alias("d"), room.alias("room"), F.explode("unlike").alias("value")).filter("room > 0")
+    seen = cut_lineage(own.groupBy("crowd", "value").agg(F.count(F.lit(1)).alias("seen")).filter("seen > 1"))
+    common = own.join(seen, ["crowd", "value"]).groupBy("crowd", "uid").agg(
+        F.first("n").alias("n"), F.first("open").alias("open"), F.first("d").alias("d"), F.first("room").alias("room"), F.array_sort(F.collect_list(F.struct("seen", "value"))).alias("common")
+    )
+    left = F.greatest(F.col("room") - F.col("d") + F.size("common"), F.lit(0)).cast("int")
+    # Written: the lists are built from three passes over it.
+    return cut_lineage(common.select("crowd", "uid", "n", "open", F.explode(F.slice("common.value", F.lit(1), left)).alias("value")))
 
 
 def _consensus(rows: DataFrame) -> DataFrame:
