@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import minhash
+from tidemark.llm import graph, minhash
 
 
 def shingles(text, k=4):
@@ -145,6 +145,27 @@ def test_crowds_inside_one_another_become_one(spark):
     assert sorted(map(tuple, minhash._inside(placed).collect())) == [(2, 1), (3, 1)]
 
 
+def test_a_large_group_of_near_copies_takes_few_written_steps(documents, monkeypatch):
+    """One group that is split once: contraction rounds do not grow with the group, and sizes are not written again."""
+    monkeypatch.setattr(minhash, "MEMBERS", 64)
+    rnd = random.Random(31)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join(edited(rnd, base, i % 6))) for i in range(260)]
+    written = []
+    for module in (minhash, graph):
+        monkeypatch.setattr(module, "cut_lineage", lambda df, cut=module.cut_lineage: written.append(1) or cut(df))
+    assert found(minhash.near_duplicates(documents(rows))) == plain(rows)
+    assert len(written) <= 36
+
+
+def test_a_hub_takes_one_contraction(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(graph, "_normal", lambda edges, normal=graph._normal: rounds.append(1) or normal(edges))
+    edges = spark.range(1, 2000).selectExpr("0L AS a", "id AS b")
+    assert graph.components(edges).agg(F.count_distinct("root"), F.count("node")).collect() == [(1, 2000)]
+    assert len(rounds) == 2
+
+
 def test_sets_inside_a_task():
     rnd = random.Random(8)
     base = list(range(300))

@@ -35,6 +35,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +53,8 @@ LIST = 8
 RISK = 1e-10
 # Values of long lists by which a class finds its crowds.
 GUIDES = 20
+# So many times a crowd goes on into a larger one.
+HOPS = 4
 # A crowd of up to so many classes, with so many values together, is compared inside one task.
 MEMBERS = 512
 VALUES = 1 << 22
@@ -134,7 +137,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     roots = components(edges).withColumnRenamed("node", "uid")
     placed = cut_lineage(classes.select("uid", "d1", "d2", "first_doc").join(roots, "uid", "left").withColumn("root", F.coalesce("root", "uid")))
     named = placed.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    named = cut_lineage(placed.join(named, "root").select("d1", "d2", "component_id"))
+    named = placed.join(named, "root").select("d1", "d2", "component_id")
     linked = full.join(named, ["d1", "d2"]).select("doc_id", "n_shingles", "component_id")
     alone = parsed.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -146,29 +149,25 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 def _links(docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Edges (a, b) of classes whose components are those of all linked pairs."""
     postings = classes.select("uid", "n", F.explode("sketch").alias("value"))
-    lengths = postings.groupBy("value").agg(F.count(F.lit(1)).alias("length")).filter("length > 1")
+    lengths = postings.groupBy("value").agg(F.count(F.lit(1)).alias("length"), F.min("uid").alias("head")).filter("length > 1")
     # Written, so that both sides of the join are dealt anew and a crowded value can be split.
     listed = cut_lineage(postings.join(cut_lineage(lengths), "value"))
-    long = listed.filter(F.col("length") > LIST).select("uid", "n", "value")
+    long = listed.filter(F.col("length") > LIST).select("uid", "n", "value", "head")
     pairs = _overlapping(listed.filter(F.col("length") <= LIST), classes, long, percent)
     pairs = cut_lineage(_likely(pairs, classes, percent))
     crowds = _crowds(long, percent)
     sets = _sets(docs, classes.select("uid", "row"), pairs, crowds, shingle)
-    found = [_confirmed(pairs, sets, percent)]
-    while not crowds.isEmpty():
-        sizes = crowds.groupBy("crowd").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("total"), F.max("open").alias("any")).filter("size > 1 and any")
-        small = (F.col("size") <= MEMBERS) & (F.col("total") <= VALUES)
-        sized = cut_lineage(crowds.join(cut_lineage(sizes.select("crowd", small.alias("small"))), "crowd"))
-        found.append(_compared(sized.filter("small"), sets, percent))
-        large = sized.filter("not small")
+    found, small = [_confirmed(pairs, sets, percent)], []
+    while True:
+        small.append(crowds.filter("small").select(F.lit(len(small)).alias("level"), "crowd", "uid"))
+        large = crowds.filter("not small")
         if large.isEmpty():
             break
         star, crowds = _split(large, sets, percent)
         found.append(star)
-    edges = found[0]
-    for more in found[1:]:
-        edges = edges.unionByName(more)
-    return edges
+    # The bounded crowds of all levels are compared at once.
+    found.append(_compared(reduce(DataFrame.unionByName, small), sets, percent))
+    return reduce(DataFrame.unionByName, found)
 
 
 def _needed(n: Column, percent: int) -> Column:
@@ -182,9 +181,9 @@ def _overlapping(lists: DataFrame, classes: DataFrame, long: DataFrame, percent:
     members = members.groupBy("members").agg(F.count(F.lit(1)).alias("values"))
     first = members.select("members", "values", F.posexplode("members").alias("at", "a"))
     both = first.select("values", "a", F.explode(F.slice("members", F.col("at") + 2, F.size("members"))).alias("b"))
-    shared = cut_lineage(both.groupBy("a", "b").agg(F.sum("values").alias("shared")))
+    shared = both.groupBy("a", "b").agg(F.sum("values").alias("shared"))
     in_long = long.groupBy("uid").agg(F.count(F.lit(1)).alias("in_long"))
-    own = cut_lineage(classes.select("uid", "n").join(in_long, "uid", "left").fillna(0, ["in_long"]))
+    own = classes.select("uid", "n").join(in_long, "uid", "left").fillna(0, ["in_long"])
     of = lambda side: own.select(F.col("uid").alias(side), F.col("n").alias(f"n_{side}"), F.col("in_long").alias(f"long_{side}"))
     joined = shared.join(of("a"), "a").join(of("b"), "b").filter(_sizes_fit(percent))
     enough = F.col("shared") + F.least("long_a", "long_b") >= _needed(F.greatest("n_a", "n_b"), percent)
@@ -233,7 +232,7 @@ def _sets(docs: DataFrame, rows: DataFrame, pairs: DataFrame, crowds: DataFrame,
 
 
 def _compared(crowds: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Edges that connect the linked members of each crowd of bounded size, one less than there are members at most."""
+    """Edges that connect the linked members of each crowd of bounded size of a level, one less than there are members at most."""
 
     def run(group: pa.Table) -> pa.Table:
         uids = group.column("uid").to_numpy()
@@ -242,8 +241,8 @@ def _compared(crowds: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         other = np.flatnonzero(root != np.arange(len(root)))
         return pa.table({"a": uids[root[other]], "b": uids[other]})
 
-    rows = crowds.select("crowd", "uid").join(sets, "uid").select("crowd", "uid", "values")
-    return cut_lineage(rows.groupBy("crowd").applyInArrow(run, "a long, b long"))
+    rows = crowds.join(sets, "uid").select("level", "crowd", "uid", "values")
+    return rows.groupBy("level", "crowd").applyInArrow(run, "a long, b long")
 
 
 def linked_rows(sizes: np.ndarray, values: np.ndarray, percent: int) -> np.ndarray:
@@ -287,22 +286,31 @@ def _crowd(least: Column, size: Column, digest: Column) -> Column:
 
 
 def _crowds(long: DataFrame, percent: int) -> DataFrame:
-    """(crowd, uid, n, open) of the classes that long lists could link without any short one.
+    """(crowd, uid, n, open, small) of the classes that long lists could link without any short one.
 
     Such a class takes part with its ``GUIDES`` lowest values of long lists; two linked ones share at least one of
     theirs but for a chance below ``RISK``.  The lists whose smallest class is the same form one crowd, and a crowd
     goes into the one that is the largest for most of its classes, so that lists of nearly the same classes count once.
+    That one may go on into a larger one; ``HOPS`` steps are followed, and any number keeps the classes of a list together.
     """
     own = Window.partitionBy("uid")  # at most a sketch
     counted = long.withColumns({"in_long": F.count(F.lit(1)).over(own), "place": F.row_number().over(own.orderBy("value"))})
     guides = counted.filter((F.col("in_long") >= _needed(F.col("n"), percent)) & (F.col("place") <= GUIDES))
-    guides = cut_lineage(guides.select("uid", "n", "value"))
-    heads = guides.groupBy("value").agg(F.min("uid").alias("head"), F.count(F.lit(1)).alias("length")).filter("length > 1")
-    placed = cut_lineage(guides.join(cut_lineage(heads), "value").select("uid", "n", "head").distinct())
-    merged = components(_inside(placed)).select(F.col("node").alias("head"), "root")
+    placed = cut_lineage(guides.select("uid", "n", "head").distinct())
+    into = cut_lineage(_inside(placed))
+    step, merged = into.select(F.col("a").alias("b"), F.col("b").alias("next")), into
+    for _ in range(HOPS - 1):
+        merged = merged.join(step, "b", "left").select("a", F.coalesce("next", "b").alias("b"))
+    merged = merged.select(F.col("a").alias("head"), F.col("b").alias("root"))
     named = placed.join(merged, "head", "left").select("uid", "n", F.coalesce("root", "head").alias("head")).distinct()
-    zero = F.lit(0).cast("long")
-    return cut_lineage(named.select(_crowd(F.col("head"), zero, zero), "uid", "n", F.lit(True).alias("open")))
+    named = cut_lineage(named)
+    sizes = cut_lineage(named.groupBy("head").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("total")).filter("size > 1"))
+    crowd = _crowd(F.col("head"), F.col("size"), F.lit(0).cast("long"))
+    return cut_lineage(named.join(sizes, "head").select(crowd, "uid", "n", F.lit(True).alias("open"), _small().alias("small")))
+
+
+def _small() -> Column:
+    return (F.col("size") <= MEMBERS) & (F.col("total") <= VALUES)
 
 
 def _inside(placed: DataFrame) -> DataFrame:
@@ -317,8 +325,9 @@ def _split(crowds: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame,
     """Edges to the class of most slack of each crowd, and the crowds in which those left over meet."""
     rows = cut_lineage(crowds.select("crowd", "uid").join(sets, "uid"))
     middle = cut_lineage(_consensus(rows))
-    unlike = F.concat(F.array_except("values", "middle"), F.array_except("middle", "values"))
-    apart = rows.join(middle, "crowd").select("crowd", "uid", F.size("values").alias("n"), F.array_sort(unlike).alias("unlike"))
+    # Without a consensus, all values of a set are unlike it.
+    unlike = F.coalesce(F.concat(F.array_except("values", "middle"), F.array_except("middle", "values")), "values")
+    apart = rows.join(middle, "crowd", "left").select("crowd", "uid", F.size("values").alias("n"), F.array_sort(unlike).alias("unlike"))
     slack = (100 - percent) * F.col("n") - (100 + percent) * F.size("unlike")
     apart = cut_lineage(apart.withColumn("slack", slack.cast("long")))
     best = apart.groupBy("crowd").agg(F.max(F.struct("slack", "uid")).alias("best"), F.min("slack").alias("worst"), F.max("n").alias("longest"))
@@ -327,10 +336,14 @@ def _split(crowds: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame,
     rest = rated.filter(F.col("worst") + F.col("best.slack") < 0)
     postings = _prefixes(rest, percent)
     digest = F.bit_xor(F.xxhash64("uid"))
-    lists = postings.groupBy("crowd", "value").agg(F.count(F.lit(1)).alias("size"), F.min("uid").alias("least"), digest.alias("digest"), F.max("open").alias("any"))
-    lists = cut_lineage(lists.filter("any and size > 1").select(F.struct("crowd", "value").alias("list"), _crowd(F.col("least"), F.col("size"), F.col("digest")).alias("next")))
+    lists = postings.groupBy("crowd", "value").agg(
+        F.count(F.lit(1)).alias("size"), F.sum("n").alias("total"), F.min("uid").alias("least"), digest.alias("digest"), F.max("open").alias("any")
+    )
+    following = _crowd(F.col("least"), F.col("size"), F.col("digest")).alias("next")
+    lists = cut_lineage(lists.filter("any and size > 1").select(F.struct("crowd", "value").alias("list"), following, _small().alias("small")))
     member = postings.select(F.struct("crowd", "value").alias("list"), "uid", "n", "open").join(lists, "list")
-    return cut_lineage(star), cut_lineage(member.groupBy(F.col("next").alias("crowd"), "uid").agg(F.first("n").alias("n"), F.max("open").alias("open")))
+    members = member.groupBy(F.col("next").alias("crowd"), "uid").agg(F.first("n").alias("n"), F.max("open").alias("open"), F.first("small").alias("small"))
+    return star, cut_lineage(members)
 
 
 def _prefixes(rest: DataFrame, percent: int) -> DataFrame:
@@ -355,7 +368,7 @@ def _prefixes(rest: DataFrame, percent: int) -> DataFrame:
 
 
 def _consensus(rows: DataFrame) -> DataFrame:
-    """(crowd, middle): the values that more than half of the sets of a crowd have."""
+    """(crowd, middle): the values that more than half of the sets of a crowd have; no row for a crowd without any."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -374,8 +387,5 @@ def _consensus(rows: DataFrame) -> DataFrame:
 
     schema = "crowd struct<least:long,size:long,digest:long>, value long, seen long"
     counted = rows.select("crowd", "values").mapInArrow(count, schema).groupBy("crowd", "value").agg(F.sum("seen").alias("seen"))
-    sizes = cut_lineage(rows.groupBy("crowd").agg(F.count(F.lit(1)).alias("members")))
-    common = counted.join(sizes, "crowd").filter(F.col("seen") * 2 > F.col("members"))
-    middles = common.groupBy("crowd").agg(F.collect_list("value").alias("middle"))
-    none = F.array().cast("array<long>")
-    return sizes.select("crowd").join(middles, "crowd", "left").select("crowd", F.coalesce("middle", none).alias("middle"))
+    common = counted.filter(F.col("seen") * 2 > F.col("crowd.size"))
+    return common.groupBy("crowd").agg(F.collect_list("value").alias("middle"))
