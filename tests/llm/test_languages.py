@@ -1,9 +1,11 @@
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tidemark.llm import languages
@@ -85,6 +87,17 @@ def test_probabilities_sum_to_one(documents):
     assert np.allclose(share.sum(axis=1), 1, atol=1e-4)
 
 
+def test_building_a_model_takes_little_more_than_the_model():
+    contexts = [(0, 0), *[(1, a) for a in range(40)], *[(2, a << 8 | b) for a in range(20) for b in range(20)], *[(3, a << 16 | b << 8 | c) for a in range(12) for b in range(12) for c in range(12)]]
+    rows = pd.DataFrame([(f"l{k % 30:02}", *context, (7 * k) % 40, 1 + k % 5) for k, context in enumerate(contexts * 4)], columns=["lang", "size", "context", "byte", "n"])
+    tracemalloc.start()
+    model = languages.build(rows, languages.ORDER)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(model["cost"]) == len(contexts) * model["width"]
+    assert peak < 3 * (model["cost"].nbytes + model["move"].nbytes)
+
+
 def test_held_out_accuracy(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     guessed = languages.identify(docs, languages.learn(docs)).filter(languages.held_out(languages.F.col("doc_id"))).collect()

@@ -72,8 +72,9 @@ def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, order: int = ORDER, m
     contexts = grams.groupBy(size, context).agg(F.sum("n").alias("n"))
     kept = contexts.orderBy(F.desc("n"), "size", "context").limit(max_contexts).select("size", "context")
     counted = grams.select("lang", size, context, (F.col("gram") % 256).alias("byte"), "n")
-    rows = counted.join(F.broadcast(kept), ["size", "context"], "left_semi").toPandas()
-    return build(rows, order)
+    # As Arrow batches: a row object for each count would take the driver several times as much.
+    rows = counted.join(F.broadcast(kept), ["size", "context"], "left_semi").toArrow()
+    return build(rows.to_pandas(), order)
 
 
 def _gram_counter(order: int):
@@ -104,27 +105,30 @@ def build(rows: pd.DataFrame, order: int) -> dict:
     for size, context in sorted(names):
         if size == 0 or _suffix(size, context) in place:
             place[size, context] = len(place)
-    states = list(place)
-    counts = np.zeros((len(langs), len(states), width))
     at = [place.get((int(s), int(c)), -1) for s, c in zip(rows["size"], rows["context"], strict=True)]
     at, lang = np.array(at, dtype=np.int64), np.searchsorted(langs, rows["lang"]) if len(rows) else np.zeros(0, np.int64)
-    ok = at >= 0
-    np.add.at(counts, (lang[ok], at[ok], classes[rows["byte"].to_numpy(np.int64)[ok]]), rows["n"].to_numpy(float)[ok])
-    uniform = np.append(np.ones(len(seen)), unseen) / 256
-    cost, move = np.zeros((len(states), width, len(langs)), np.float32), np.zeros((len(states), width), np.int64)
-    probability = np.zeros((len(langs), len(states), width))
-    for state, (size, context) in enumerate(states):
-        shorter = probability[:, place[_suffix(size, context)]] if size else np.tile(uniform, (len(langs), 1))
-        probability[:, state] = _blend(counts[:, state], shorter)
-        for byte, symbol in zip(seen, range(len(seen)), strict=True):
-            longer = (size + 1, context << 8 | int(byte))
+    symbol, n = classes[rows["byte"].to_numpy(np.int64)], rows["n"].to_numpy(float)
+    by_state = np.argsort(at, kind="stable")
+    edges = np.searchsorted(at[by_state], np.arange(len(place) + 1))
+    uniform = np.tile(np.append(np.ones(len(seen)), unseen) / 256, (len(langs), 1))
+    cost, move = np.zeros((len(place), width, len(langs)), np.float32), np.zeros((len(place), width), np.int32)
+    # One context at a time, so that the table of all contexts is only held as code lengths; longer ones look up shorter ones.
+    probability: dict[int, np.ndarray] = {}
+    for (size, context), state in place.items():
+        own = by_state[edges[state] : edges[state + 1]]
+        counts = np.zeros((len(langs), width))
+        np.add.at(counts, (lang[own], symbol[own]), n[own])
+        share = _blend(counts, probability[place[_suffix(size, context)]] if size else uniform)
+        if size < order:
+            probability[state] = share.copy()
+        share[:, -1] /= unseen
+        cost[state] = -np.log2(np.maximum(share, 1e-30)).T
+        for byte, number in zip(seen.tolist(), range(len(seen)), strict=True):
+            longer = (size + 1, context << 8 | byte)
             while longer[0] > order or longer not in place:
                 longer = _suffix(*longer)
-            move[state, symbol] = place[longer]
-    share = probability.copy()
-    share[:, :, -1] /= unseen
-    cost[:] = -np.log2(np.maximum(share, 1e-30)).transpose(1, 2, 0)
-    return {"langs": langs, "classes": classes.astype(np.int32), "width": width, "order": order, "cost": cost.reshape(len(states) * width, len(langs)), "move": (move * width).astype(np.int32).ravel()}
+            move[state, number] = place[longer] * width
+    return {"langs": langs, "classes": classes.astype(np.int32), "width": width, "order": order, "cost": cost.reshape(len(place) * width, len(langs)), "move": move.ravel()}
 
 
 def _suffix(size: int, context: int) -> tuple[int, int]:
